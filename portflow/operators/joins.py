@@ -21,18 +21,30 @@ from pyspark.sql.window import Window
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
+_DECISIONS: dict[tuple, bool] = {}
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, cache_key: tuple | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1).
+
+    ``cache_key`` (e.g. the source paths) memoizes the answer for the session
+    so a dimension is measured once, not once per query.
+    """
+    if cache_key is not None:
+        key = (df.sparkSession.sparkContext.applicationId, max_rows) + tuple(cache_key)
+        if key not in _DECISIONS:
+            _DECISIONS[key] = df.limit(max_rows + 1).count() <= max_rows
+        return _DECISIONS[key]
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      known_small: bool = False) -> DataFrame:
+                      known_small: bool = False, cache_key: tuple | None = None) -> DataFrame:
     """Broadcast hint only behind a proven size bound.
 
     ``known_small`` is for literal catalogs whose size is fixed by code.
     """
-    if known_small or fits(df, max_rows):
+    if known_small or fits(df, max_rows, cache_key):
         return F.broadcast(df)
     return df
 

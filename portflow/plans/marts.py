@@ -32,7 +32,11 @@ from portflow.operators.joins import bounded_broadcast
 from portflow.sources.testdata import Model
 
 NAT = catalogs.SOURCE_NATIONAL
-ALL = Window.partitionBy()   # used only on calendar-grain frames (bounded)
+
+
+def _all():
+    """Unpartitioned window: used only on calendar-grain frames (bounded)."""
+    return Window.partitionBy()
 DEC = "decimal(38,2)"
 
 
@@ -53,12 +57,15 @@ def _ymd(col):
 
 
 def _one_row(*frames: DataFrame) -> DataFrame:
-    """Join global aggregates (each exactly one row) side by side on a shared
-    constant key: an equi-join of 1-row inputs, never a product of data rows."""
-    out = frames[0].withColumn("_one", F.lit(1))
+    """Side-by-side combine of global aggregates (each exactly one row).
+
+    The frames are stacked with ``unionByName`` (each row fills only its own
+    columns) and folded with ``max`` per column: one tiny aggregate, no join.
+    """
+    u = frames[0]
     for f in frames[1:]:
-        out = out.join(f.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+        u = u.unionByName(f, allowMissingColumns=True)
+    return u.agg(*[F.max(c).alias(c) for c in u.columns])
 
 
 # ---------------------------------------------------------------------------
@@ -68,19 +75,25 @@ def _one_row(*frames: DataFrame) -> DataFrame:
 def trade_monthly(m: Model) -> DataFrame:
     """Trade value per month with the partial sums every mart needs.
 
-    One scan of the fact; output is one row per month."""
+    One scan of the fact.  Fact rows are first reduced to (month, source,
+    port class) with a single DECIMAL sum — one BigDecimal add per row,
+    map-side combined — and the conditional columns are folded from that
+    small frame (months x 2 sources x 3 classes rows).
+    """
     p = m.p
     t = m.trade().select("port_id", "date_id", "data_source", "value_usd")
     t = t.join(m.port_flags.select("port_id", "is_in_corridor"), "port_id", "left")
+    small = (t.groupBy("date_id", "data_source",
+                       F.col("port_id").isin(*p.focus_ports).alias("is_focus"),
+                       F.coalesce(F.col("is_in_corridor"), F.lit(False)).alias("is_corr"))
+              .agg(F.sum("value_usd").alias("v")))
     nat = F.col("data_source") == NAT
-    focus = F.col("port_id").isin(*p.focus_ports)
-    corr = F.coalesce(F.col("is_in_corridor"), F.lit(False))
-    v = F.col("value_usd")
+    focus, corr, v = F.col("is_focus"), F.col("is_corr"), F.col("v")
 
     def s(pred):
         return F.sum(F.when(pred, v)).cast(DEC)
 
-    return (t.groupBy("date_id").agg(
+    return (small.groupBy("date_id").agg(
         F.sum(v).cast(DEC).alias("all_v"),
         s(nat).alias("nat_v"),
         s(focus).alias("focus_v"),
@@ -111,7 +124,7 @@ def _with_year_flags(monthly: DataFrame, present=None) -> DataFrame:
     pres = F.lit(1) if present is None else present
     n = F.count(F.when(pres.isNotNull(), F.lit(1))).over(Window.partitionBy("year"))
     x = x.withColumn("_months", n)
-    return x.withColumn("lcy", F.max(F.when(F.col("_months") == 12, F.col("year"))).over(ALL))
+    return x.withColumn("lcy", F.max(F.when(F.col("_months") == 12, F.col("year"))).over(_all()))
 
 
 # ---------------------------------------------------------------------------
@@ -150,7 +163,7 @@ def _wait_window_avg(m: Model, combos: list[tuple[int, str]]) -> DataFrame:
     lanes = catalogs.lane_ids()
     w = m.wait()
     days = w.select("date_id").distinct()
-    end = F.max("date_id").over(ALL)
+    end = F.max("date_id").over(_all())
     start = dates.date_key(F.date_sub(key_to_date(end), p.wait_window_days))
     win = (days.withColumn("end_id", end).withColumn("start_id", start)
                .where(F.col("date_id").between(F.col("start_id"), F.col("end_id"))))
@@ -166,10 +179,19 @@ def _wait_window_avg(m: Model, combos: list[tuple[int, str]]) -> DataFrame:
     return out, end_row
 
 
+def _attach_scalar(rows: DataFrame, one_row: DataFrame, key: str) -> DataFrame:
+    """Attach the columns of a one-row frame to a few rows (no join): stack
+    both and spread the scalar with a window over the (bounded) rows."""
+    u = rows.withColumn("_row", F.lit(True)).unionByName(one_row, allowMissingColumns=True)
+    for c in one_row.columns:
+        u = u.withColumn(c, F.max(c).over(_all()))
+    return u.where(F.col("_row")).drop("_row")
+
+
 def mart_panorama_kpis(m: Model) -> DataFrame:
     p = m.p
     tm = trade_monthly(m).where(F.col("has_nat").isNotNull())
-    end = F.max("date_id").over(ALL)
+    end = F.max("date_id").over(_all())
     x = (tm.withColumn("end_id", end)
            .withColumn("s_id", shift_month_key(F.col("end_id"), -11))
            .withColumn("pe_id", shift_month_key(F.col("end_id"), -12))
@@ -255,8 +277,8 @@ def mart_focus_kpis(m: Model) -> DataFrame:
     tm = trade_monthly(m)
     x = _with_year_flags(tm)                                    # lcy over all rows (mixed)
     x = x.withColumn("nat_lcy", F.max(F.when(
-        F.count(F.col("has_nat")).over(Window.partitionBy("year")) == 12, F.col("year"))).over(ALL))
-    end = F.max("date_id").over(ALL)
+        F.count(F.col("has_nat")).over(Window.partitionBy("year")) == 12, F.col("year"))).over(_all()))
+    end = F.max("date_id").over(_all())
     x = (x.withColumn("end_id", end)
           .withColumn("s_id", shift_month_key(F.col("end_id"), -11))
           .withColumn("pe_id", shift_month_key(F.col("end_id"), -12))
@@ -342,7 +364,8 @@ def _focus_year_sector(m: Model, sector_col: str = "sector_grouping") -> DataFra
     years = _with_year_flags(m.trade().select("date_id").distinct()).select("year", "lcy").distinct()
     f = m.trade().where(F.col("port_id").isin(*p.focus_ports)).select("commodity_id", "date_id", "value_usd")
     fm = f.groupBy("commodity_id", "date_id").agg(F.sum("value_usd").alias("v"))
-    com = bounded_broadcast(m.dim_commodity().select("commodity_id", F.col(sector_col).alias("sector")))
+    com = bounded_broadcast(m.dim_commodity().select("commodity_id", F.col(sector_col).alias("sector")),
+                            cache_key=m._key("part") + (sector_col,))
     return (fm.join(com, "commodity_id")
               .withColumn("year", key_year("date_id"))
               .groupBy("year", "sector").agg(F.sum("v").cast(DEC).alias("v"))
@@ -414,7 +437,7 @@ def mart_asymmetry(m: Model) -> DataFrame:
            .join(F.broadcast(years), "year").where(F.col("year") == F.col("lcy"))
            .groupBy("year", "port_id", "port_canonical_name").agg(F.sum("v").cast(DEC).alias("v")))
     y = windows.share_of_total(y, "v", "pct_corridor")
-    focus_v = F.max(F.when(F.col("port_id") == p.focus_port, F.col("v"))).over(ALL)
+    focus_v = F.max(F.when(F.col("port_id") == p.focus_port, F.col("v"))).over(_all())
     vv = F.col("v").cast("double")
     y = y.withColumn("ratio_focus_to_port", F.round(F.when(
         (F.col("port_id") != p.focus_port) & (vv != 0), F.coalesce(focus_v, F.lit(0)).cast("double") / vv), 1))
@@ -430,8 +453,7 @@ def mart_wait_kpis(m: Model) -> DataFrame:
     p = m.p
     wa, wend = _wait_window_avg(m, list(p.wait_kpis))
     e = wend.select(_ymd("end_id").alias("window_end"))
-    return (wa.withColumn("_one", F.lit(1)).join(e.withColumn("_one", F.lit(1)), "_one")
-              .select("port_id", "lane", "avg_min", "window_end"))
+    return _attach_scalar(wa, e, "window_end").select("port_id", "lane", "avg_min", "window_end")
 
 
 def _corridor_waits(m: Model) -> DataFrame:
@@ -528,7 +550,7 @@ def mart_recovery_kpis(m: Model) -> DataFrame:
     # later month back at the base-year monthly average
     lo, _ = year_range(p.shock_year)
     _, hi = year_range(p.recovery_end_year)
-    base_avg = F.sum(F.when(y == p.base_year, F.col("focus_v"))).over(ALL).cast("double") / 12
+    base_avg = F.sum(F.when(y == p.base_year, F.col("focus_v"))).over(_all()).cast("double") / 12
     rng = tm.withColumn("base_avg", base_avg).where(F.col("date_id").between(lo, hi))
     rec = windows.argmin_then_recovery(rng, "date_id", "focus_v", F.col("base_avg"))
     rec = rec.select("recovery_rows")
@@ -571,9 +593,9 @@ def mart_density_trend(m: Model) -> DataFrame:
           .where(F.col("usd_per_truck").isNotNull()))
     j = windows.series_index(j, "date_id", "idx")
     x, yv = F.col("idx").cast("double"), F.col("usd_per_truck")
-    n = F.count(yv).over(ALL)
-    vx, vy = F.var_pop(x).over(ALL), F.var_pop(yv).over(ALL)
-    slope = F.when(n < 2, None).when(vx == 0, F.lit(0.0)).otherwise(F.regr_slope(yv, x).over(ALL))
-    r2 = F.when(n < 2, None).when((vy == 0) | (vx == 0), F.lit(0.0)).otherwise(F.regr_r2(yv, x).over(ALL))
+    n = F.count(yv).over(_all())
+    vx, vy = F.var_pop(x).over(_all()), F.var_pop(yv).over(_all())
+    slope = F.when(n < 2, None).when(vx == 0, F.lit(0.0)).otherwise(F.regr_slope(yv, x).over(_all()))
+    r2 = F.when(n < 2, None).when((vy == 0) | (vx == 0), F.lit(0.0)).otherwise(F.regr_r2(yv, x).over(_all()))
     return j.select(key_to_date("date_id").alias("month_date"), "idx", "usd_per_truck",
                     F.round(slope * 12, 2).alias("slope_per_year"), F.round(r2, 3).alias("r_squared"))

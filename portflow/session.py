@@ -25,7 +25,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
-          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          .config("spark.ui.showConsoleProgress", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()

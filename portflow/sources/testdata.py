@@ -99,14 +99,15 @@ class Model:
     @cached_property
     def _geo(self) -> DataFrame:
         n, r = self.table("nation"), self.table("region")
-        return (n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey)
+        return (n.join(bounded_broadcast(r, cache_key=self._key("region")), n.n_regionkey == r.r_regionkey)
                  .select("n_nationkey", F.col("n_name").alias("state"), F.col("r_name").alias("border")))
 
     def dim_port(self) -> DataFrame:
         p = self.p
         s = self.table("supplier")
         sid = F.col("s_suppkey")
-        return (s.join(bounded_broadcast(self._geo), s.s_nationkey == F.col("n_nationkey"))
+        return (s.join(bounded_broadcast(self._geo, cache_key=self._key("nation", "region")),
+                       s.s_nationkey == F.col("n_nationkey"))
                  .select(sid.alias("port_id"),
                          F.col("s_name").alias("port_canonical_name"),
                          sid.cast("int").alias("port_code"),
@@ -124,7 +125,11 @@ class Model:
     def port_flags(self) -> DataFrame:
         """Narrow port dimension for fact joins, broadcast only when bounded."""
         return bounded_broadcast(self.dim_port().select(
-            "port_id", "port_canonical_name", "state", "border", "is_in_corridor", "is_aggregate"))
+            "port_id", "port_canonical_name", "state", "border", "is_in_corridor", "is_aggregate"),
+            cache_key=self._key("supplier", "nation", "region"))
+
+    def _key(self, *tables: str) -> tuple:
+        return tuple(f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in tables)
 
     # ---- trade ------------------------------------------------------------
     def trade_feed(self) -> DataFrame:
