@@ -12,6 +12,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from portflow.functions import dates, metrics
 
@@ -125,6 +126,36 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[flo
     return df.groupBy(*keys).agg(*[fn(q).alias(n) for q, n in zip(qs, names)])
 
 
+def percentile_exact(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
+                     names: Sequence[str], digits: int = 2) -> DataFrame:
+    """PERCENTILE_CONT computed exactly in DECIMAL, rounded half up.
+
+    The two order statistics around ``q * (n - 1)`` are located with a
+    sort-based window (rows of a group are sorted, spilling if needed, never
+    buffered whole in memory) and interpolated in decimal arithmetic, so the
+    result does not depend on floating-point evaluation order.
+    """
+    v = F.col(value).cast("decimal(18,4)")
+    w = Window.partitionBy(*keys).orderBy(v)
+    x = df.select(*keys, v.alias("_v"), F.row_number().over(w).alias("_rn"),
+                  F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_n"))
+    aggs, keep = [], []
+    for q, name in zip(qs, names):
+        pos = F.lit(q).cast("decimal(10,6)") * (F.col("_n") - 1)
+        lo = F.floor(pos).cast("long") + 1
+        frac = pos - F.floor(pos)
+        x = x.withColumn(f"_lo_{name}", lo).withColumn(f"_fr_{name}", frac)
+        keep.append((F.col("_rn") == F.col(f"_lo_{name}")) | (F.col("_rn") == F.col(f"_lo_{name}") + 1))
+        lo_v = F.max(F.when(F.col("_rn") == F.col(f"_lo_{name}"), F.col("_v")))
+        hi_v = F.max(F.when(F.col("_rn") == F.col(f"_lo_{name}") + 1, F.col("_v")))
+        fr = F.max(F.col(f"_fr_{name}"))
+        aggs.append(F.round(lo_v + (F.coalesce(hi_v, lo_v) - lo_v) * fr, digits).cast("double").alias(name))
+    cond = keep[0]
+    for k in keep[1:]:
+        cond = cond | k
+    return x.where(cond).groupBy(*keys).agg(*aggs)
+
+
 def first_last(df: DataFrame, keys: Sequence[str], date_col: str, measure: str) -> DataFrame:
     """First/last observation date, rows, distinct dates, per group."""
     return df.groupBy(*keys).agg(

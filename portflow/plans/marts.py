@@ -495,18 +495,18 @@ def mart_lane_savings(m: Model) -> DataFrame:
          .where(F.col("port_id") == p.focus_port)
          .where(F.col("lane_type_id").isin(lanes[p.standard_lane], lanes[p.fast_lane])))
     v = F.col("waiting_avg_minutes")
+    per_lane = (w.groupBy("lane_type_id")
+                 .agg(F.sum(metrics.cents(v)).alias("_c"), F.count(F.lit(1)).alias("n_days"),
+                      F.max(v).cast("double").alias("max"))
+                 .join(agg.percentile_exact(w, ["lane_type_id"], "waiting_avg_minutes", [0.5, 0.95],
+                                            ["p50", "p95"]), "lane_type_id")
+                 .withColumn("avg", metrics.mean_half_up("_c", "n_days").cast("double")))
     out = []
     for tag, lane in (("std", p.standard_lane), ("fast", p.fast_lane)):
         on = F.col("lane_type_id") == lanes[lane]
-        vd = F.when(on, v.cast("double"))
-        out += [F.sum(F.when(on, metrics.cents(v))).alias(f"{tag}_c"),
-                F.count(F.when(on, F.lit(1))).alias(f"{tag}_n_days"),
-                F.round(F.percentile(vd, F.lit(0.5)), 2).alias(f"{tag}_p50"),
-                F.round(F.percentile(vd, F.lit(0.95)), 2).alias(f"{tag}_p95"),
-                F.max(F.when(on, v)).cast("double").alias(f"{tag}_max")]
-    s = w.agg(*out)
-    for tag in ("std", "fast"):
-        s = s.withColumn(f"{tag}_avg", metrics.mean_half_up(f"{tag}_c", f"{tag}_n_days").cast("double"))
+        out += [F.max(F.when(on, F.col(c))).alias(f"{tag}_{c}") for c in ("avg", "p50", "p95", "max")]
+        out.append(F.coalesce(F.max(F.when(on, F.col("n_days"))), F.lit(0)).alias(f"{tag}_n_days"))
+    s = per_lane.agg(*out)
 
     def sav(stat):
         a, b = F.col(f"fast_{stat}"), F.col(f"std_{stat}")

@@ -117,7 +117,7 @@ WHERE year(l_shipdate) <> {p.gap_year}
 
 def port_cte(p: Params = P) -> str:
     return f"""
-SELECT s_suppkey AS port_id, s_name AS port_canonical_name, CAST(s_suppkey AS INTEGER) AS port_code,
+SELECT s_suppkey AS port_id, s_name AS port_canonical_name, CAST(s_suppkey + 2000 AS INTEGER) AS port_code,
        'Mexico' AS country, r_name AS border, n_name AS state,
        s_suppkey IN ({in_list(p.corridor_ports)}) AS is_in_corridor,
        (s_suppkey % {p.aggregate_mod}) = {p.aggregate_rem} AS is_aggregate
@@ -152,6 +152,40 @@ FROM ({wait_events_cte(p)}) e
 GROUP BY port_id, lane_type_id, date_id"""
 
 
+def depe_cte() -> str:
+    """lineitem with the raw port-code text (see Model.trade_port_text)."""
+    return """
+SELECT *, CASE WHEN l_suppkey % 7 = 0
+                 THEN lpad(CAST(l_suppkey % 90 + 10 AS VARCHAR), 2, '0') || CASE WHEN l_suppkey % 2 = 0 THEN 'XX' ELSE 'xx' END
+               WHEN l_suppkey % 11 = 0 THEN ''
+               WHEN l_suppkey % 13 = 0 THEN CAST(l_suppkey + 5000 AS VARCHAR)
+               ELSE CAST(l_suppkey + 2000 AS VARCHAR) END AS depe
+FROM lineitem"""
+
+
+def parse_port_sql(col: str) -> str:
+    return (f"CASE WHEN regexp_full_match({col}, '[0-9]{{4}}') THEN CAST({col} AS INTEGER) "
+            f"WHEN regexp_full_match({col}, '[0-9]{{2}}[xX][xX]') THEN CAST(substr({col}, 1, 2) AS INTEGER) * 100 + 99 END")
+
+
+def pct_exact(src: str, keys: str, value: str, qs: dict) -> str:
+    """Exact decimal PERCENTILE_CONT per group of ``src`` (see
+    aggregates.percentile_exact), rounded half up to 2 decimals."""
+    kk = f"{keys}, " if keys else ""
+    part = f"PARTITION BY {keys}" if keys else ""
+    sel = []
+    for name, qv in qs.items():
+        pos = f"(CAST({qv} AS DECIMAL(10,6)) * (n - 1))"
+        lo = f"(CAST(floor({pos}) AS BIGINT) + 1)"
+        fr = f"({pos} - floor({pos}))"
+        lo_v = f"max(CASE WHEN rn = {lo} THEN v END)"
+        hi_v = f"max(CASE WHEN rn = {lo} + 1 THEN v END)"
+        sel.append(f"CAST(round({lo_v} + (coalesce({hi_v}, {lo_v}) - {lo_v}) * max({fr}), 2) AS DOUBLE) AS {name}")
+    return (f"(SELECT {kk}{', '.join(sel)} FROM (SELECT {kk}CAST({value} AS DECIMAL(18,4)) AS v, "
+            f"row_number() OVER ({part} ORDER BY {value}) AS rn, count(*) OVER ({part}) AS n FROM {src}) "
+            f"{'GROUP BY ' + keys if keys else ''})")
+
+
 def lanes_cte() -> str:
     rows = ", ".join(f"({i + 1}, {q(n)}, {q(c)}, {str(t).upper()})"
                      for i, (n, c, t) in enumerate(catalogs.LANE_TYPES))
@@ -165,7 +199,7 @@ def modes_cte() -> str:
 
 def with_model(body: str, p: Params = P) -> str:
     return (f"WITH t AS ({trade_cte(p)}),\nport AS ({port_cte(p)}),\nc AS ({crossing_cte(p)}),\n"
-            f"w AS ({wait_cte(p)}),\nlanes AS ({lanes_cte()}),\nmodes AS ({modes_cte()})\n{body}")
+            f"w AS ({wait_cte(p)}),\nlanes AS ({lanes_cte()}),\nmodes AS ({modes_cte()}),\ndl AS ({depe_cte()})\n{body}")
 
 
 def lcy_sql(src: str) -> str:
@@ -394,23 +428,21 @@ def mart_lane_savings(p: Params = P) -> str:
     s, fa = LANE_ID[p.standard_lane], LANE_ID[p.fast_lane]
     lo, hi = p.wait_year * 10000 + 101, p.wait_year * 10000 + 1231
     parts = []
-    vc = cents("v")
     for tag, lid in (("std", s), ("fast", fa)):
         on = f"lane_type_id = {lid}"
-        mean = mhu(f"SUM(CASE WHEN {on} THEN {vc} END)", f"COUNT(CASE WHEN {on} THEN 1 END)")
-        parts += [
-            f"CAST({mean} AS DOUBLE) AS {tag}_avg",
-            f"round(quantile_cont(CASE WHEN {on} THEN CAST(v AS DOUBLE) END, 0.5), 2) AS {tag}_p50",
-            f"round(quantile_cont(CASE WHEN {on} THEN CAST(v AS DOUBLE) END, 0.95), 2) AS {tag}_p95",
-            f"CAST(MAX(CASE WHEN {on} THEN v END) AS DOUBLE) AS {tag}_max",
-            f"COUNT(CASE WHEN {on} THEN 1 END) AS {tag}_n_days"]
+        parts += [f"max(CASE WHEN {on} THEN {c} END) AS {tag}_{c}" for c in ("avg", "p50", "p95", "max")]
+        parts.append(f"COALESCE(max(CASE WHEN {on} THEN n_days END), 0) AS {tag}_n_days")
     sav = ", ".join(
         f"round(CASE WHEN fast_{st} <> 0 AND std_{st} <> 0 THEN (fast_{st} - std_{st}) / std_{st} * 100 END, 2) AS {st}_saving_pct"
         for st in ("avg", "p50", "p95", "max"))
     return with_model(f""",
-x AS (SELECT lane_type_id, waiting_avg_minutes AS v FROM w
+x AS (SELECT lane_type_id, waiting_avg_minutes FROM w
       WHERE date_id BETWEEN {lo} AND {hi} AND port_id = {p.focus_port} AND lane_type_id IN ({s}, {fa})),
-s AS (SELECT {', '.join(parts)} FROM x)
+pl AS (SELECT a.lane_type_id, a.n_days, a.max, CAST(a.avg AS DOUBLE) AS avg, pc.p50, pc.p95 FROM
+        (SELECT lane_type_id, COUNT(*) AS n_days, CAST(MAX(waiting_avg_minutes) AS DOUBLE) AS max,
+                {mhu('SUM(' + cents('waiting_avg_minutes') + ')', 'COUNT(*)')} AS avg FROM x GROUP BY 1) a
+        JOIN {pct_exact('x', 'lane_type_id', 'waiting_avg_minutes', {'p50': 0.5, 'p95': 0.95})} pc USING (lane_type_id)),
+s AS (SELECT {', '.join(parts)} FROM pl)
 SELECT *, {sav} FROM s""", p)
 
 

@@ -35,6 +35,7 @@ LINESTATUS_TO_TRADE_TYPE = {"F": 2, "O": 1}
 RETURNFLAG_TO_CONTAINER_CODE = {"A": "1", "N": "0", "R": "X"}
 PRIORITY_TO_MODE = {"1-URGENT": "Truck", "2-HIGH": "Personal Vehicle", "3-MEDIUM": "Pedestrian",
                     "4-NOT SPECIFIED": "Bus", "5-LOW": "Rail"}
+PORT_CODE_BASE = 2000              # port code of supplier k is 2000 + k
 EVENT_TYPE_TO_LANE = {"click": "Commercial Fast", "view": "Commercial Standard",
                       "purchase": "POV Standard", "signup": "POV NEXUS/SENTRI",
                       "error": "Pedestrian Standard"}
@@ -110,7 +111,7 @@ class Model:
                        s.s_nationkey == F.col("n_nationkey"))
                  .select(sid.alias("port_id"),
                          F.col("s_name").alias("port_canonical_name"),
-                         sid.cast("int").alias("port_code"),
+                         (sid + PORT_CODE_BASE).cast("int").alias("port_code"),
                          F.lit("Mexico").alias("country"),
                          "border", "state",
                          sid.isin(*p.corridor_ports).alias("is_in_corridor"),
@@ -176,6 +177,24 @@ class Model:
             "data_source",
         )
 
+    def trade_port_text(self) -> DataFrame:
+        """lineitem with the raw port code *text* of the national feed.
+
+        Most rows carry the 4-digit code of their supplier; every 7th
+        supplier reports a district residual ``ddXX`` (mixed case), every
+        11th an empty code and every 13th a numeric code the dimension does
+        not know — the cases the port-code parser and member discovery
+        must handle.
+        """
+        k = F.col("l_suppkey")
+        dd = F.lpad((F.pmod(k, F.lit(90)) + 10).cast("string"), 2, "0")
+        depe = (F.when(F.pmod(k, F.lit(7)) == 0,
+                       F.concat(dd, F.when(F.pmod(k, F.lit(2)) == 0, F.lit("XX")).otherwise(F.lit("xx"))))
+                 .when(F.pmod(k, F.lit(11)) == 0, F.lit(""))
+                 .when(F.pmod(k, F.lit(13)) == 0, (k + 5000).cast("string"))
+                 .otherwise((k + PORT_CODE_BASE).cast("string")))
+        return self.table("lineitem").select("*", depe.alias("depe"))
+
     # ---- crossings --------------------------------------------------------
     def crossing(self) -> DataFrame:
         p = self.p
