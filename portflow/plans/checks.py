@@ -285,3 +285,411 @@ def set_intersect(m):
 SELECT DISTINCT port_id FROM (SELECT port_id FROM t UNION ALL SELECT port_id FROM c)""")
 def union_distinct(m):
     return m.trade().select("port_id").union(m.crossing().select("port_id")).distinct()
+
+
+# ===========================================================================
+# J scalar functions
+# ===========================================================================
+
+@key("fn_extract", f"""
+SELECT DISTINCT date_id, CAST(year(d) AS INTEGER) AS y, CAST(month(d) AS INTEGER) AS m, CAST(day(d) AS INTEGER) AS dd,
+       CAST(isodow(d) AS INTEGER) AS iso_dow, CAST(weekofyear(d) AS INTEGER) AS iso_week
+FROM (SELECT date_id, {O.kdate('date_id')} AS d FROM w)""")
+def fn_extract(m):
+    d = dates.key_to_date("date_id")
+    return m.wait().select("date_id").distinct().select(
+        "date_id", F.year(d).alias("y"), F.month(d).alias("m"), F.dayofmonth(d).alias("dd"),
+        dates.iso_dow(d).alias("iso_dow"), dates.iso_week(d).alias("iso_week"))
+
+
+@key("fn_date_format", f"""
+SELECT DISTINCT date_id, monthname(d) AS month_name, dayname(d) AS day_name, strftime(d, '%Y-%m') AS year_month
+FROM (SELECT date_id, {O.kdate('date_id')} AS d FROM c)""")
+def fn_date_format(m):
+    d = dates.key_to_date("date_id")
+    return m.crossing().select("date_id").distinct().select(
+        "date_id", dates.month_name(d).alias("month_name"), dates.day_name(d).alias("day_name"),
+        dates.year_month_str(d).alias("year_month"))
+
+
+@key("fn_datekey_roundtrip", f"""
+SELECT DISTINCT date_id, {O.kdate('date_id')} AS d, {O.dkey(O.kdate('date_id'))} AS back FROM t""")
+def fn_datekey_roundtrip(m):
+    return m.trade().select("date_id").distinct().select(
+        "date_id", dates.key_to_date("date_id").alias("d"), dates.date_key(dates.key_to_date("date_id")).alias("back"))
+
+
+@key("fn_shift_months", f"""
+SELECT DISTINCT date_id, {O.shift('date_id', 1)} AS next_m, {O.shift('date_id', -11)} AS ttm_start,
+       {O.shift('date_id', -23)} AS prev_ttm_start FROM t""")
+def fn_shift_months(m):
+    return m.trade().select("date_id").distinct().select(
+        "date_id", dates.shift_month_key("date_id", 1).alias("next_m"),
+        dates.shift_month_key("date_id", -11).alias("ttm_start"),
+        dates.shift_month_key("date_id", -23).alias("prev_ttm_start"))
+
+
+@key("fn_date_sub", f"""
+SELECT DISTINCT date_id, {O.dkey(O.kdate('date_id') + ' - INTERVAL 30 DAY')} AS minus_30 FROM w""")
+def fn_date_sub(m):
+    return m.wait().select("date_id").distinct().select(
+        "date_id", dates.date_key(F.date_sub(dates.key_to_date("date_id"), 30)).alias("minus_30"))
+
+
+@key("fn_null", """
+SELECT direction, SUM(COALESCE(weight_kg, 0)) AS weight_or_zero, count(NULLIF(weight_kg, 0)) AS nonzero_weights,
+       count(*) - count(weight_kg) AS null_weights
+FROM t GROUP BY direction""")
+def fn_null(m):
+    wk = F.col("weight_kg")
+    return m.trade().groupBy("direction").agg(
+        F.sum(F.coalesce(wk, F.lit(0))).alias("weight_or_zero"),
+        F.count(F.nullif(wk, F.lit(0))).alias("nonzero_weights"),
+        (F.count(F.lit(1)) - F.count(wk)).alias("null_weights"))
+
+
+@key("fn_round_scale", f"""
+SELECT port_id, round(CAST(SUM(value_usd) AS DOUBLE) / 1000000.0, 2) AS value_m,
+       round(CAST(SUM(value_usd) AS DOUBLE) / 1e9, 3) AS value_bn,
+       round(SUM(value_usd), 0) AS value_rounded
+FROM t WHERE port_id IN ({O.in_list(P.corridor_ports)}) GROUP BY port_id""")
+def fn_round_scale(m):
+    t = m.trade().where(F.col("port_id").isin(*m.p.corridor_ports))
+    s = t.groupBy("port_id").agg(F.sum("value_usd").alias("v"))
+    return s.select("port_id", metrics.scaled("v", 1e6, 2).alias("value_m"), metrics.scaled("v", 1e9, 3).alias("value_bn"),
+                    F.round("v", 0).cast("decimal(38,0)").alias("value_rounded"))
+
+
+@key("fn_cast", """
+SELECT event_type, SUM(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)) AS k_sum,
+       count(TRY_CAST(event_type AS INTEGER)) AS numeric_types, SUM(CAST(round(value) AS INTEGER)) AS value_int,
+       CAST(SUM(CAST(value AS DECIMAL(10,2))) AS DECIMAL(38,2)) AS value_dec
+FROM events GROUP BY event_type""")
+def fn_cast(m):
+    e = m.table("events")
+    return e.groupBy("event_type").agg(
+        F.sum(F.get_json_object("props", "$.k").try_cast("int")).alias("k_sum"),
+        F.count(F.col("event_type").try_cast("int")).alias("numeric_types"),
+        # ``::int`` rounds half away from zero (a plain Spark cast truncates)
+        F.sum(F.round("value", 0).cast("int")).alias("value_int"),
+        F.sum(F.col("value").cast("decimal(10,2)")).cast(DEC).alias("value_dec"))
+
+
+@key("fn_regex", """
+SELECT lang, count(*) FILTER (WHERE regexp_matches(text, '(?i)licen[cs]e')) AS n_license,
+       SUM(len(regexp_extract_all(text, '[0-9]+'))) AS n_numbers,
+       count(*) FILTER (WHERE regexp_extract(text, '([0-9]{4})', 1) <> '') AS n_with_4digits,
+       count(*) FILTER (WHERE contains(upper(text), 'THE')) AS n_the
+FROM documents GROUP BY lang""")
+def fn_regex(m):
+    t = F.col("text")
+    return m.table("documents").groupBy("lang").agg(
+        F.count_if(t.rlike("(?i)licen[cs]e")).alias("n_license"),
+        F.sum(F.size(F.regexp_extract_all(t, F.lit("[0-9]+"), 0))).alias("n_numbers"),
+        F.count_if(F.regexp_extract(t, "([0-9]{4})", 1) != "").alias("n_with_4digits"),
+        F.count_if(F.upper(t).contains("THE")).alias("n_the"))
+
+
+@key("fn_string_parts", """
+SELECT page_id, regexp_extract(url, '^https?://[^/]+(/[^?#]*)?', 1) AS path,
+       lpad(CAST(page_id AS VARCHAR), 8, '0') AS padded_id,
+       split_part(regexp_extract(url, '^https?://([^/?#]+)', 1), '.', 1) AS host_head,
+       list_last(string_split(regexp_extract(url, '^https?://[^/]+(/[^?#]*)?', 1), '/')) AS last_segment
+FROM pages""")
+def fn_string_parts(m):
+    u = F.col("url")
+    path = F.regexp_extract(u, r"^https?://[^/]+(/[^?#]*)?", 1)
+    host = F.regexp_extract(u, r"^https?://([^/?#]+)", 1)
+    return m.table("pages").select(
+        "page_id", path.alias("path"), F.lpad(F.col("page_id").cast("string"), 8, "0").alias("padded_id"),
+        F.split_part(host, F.lit("."), F.lit(1)).alias("host_head"),
+        F.element_at(F.split(path, "/"), -1).alias("last_segment"))
+
+
+@key("fn_divmod", f"""
+SELECT DISTINCT port_code, port_code // 100 AS district, port_code % 100 AS rem
+FROM (SELECT {O.parse_port_sql('depe')} AS port_code FROM dl) WHERE port_code IS NOT NULL""")
+def fn_divmod(m):
+    c = m.trade_port_text().select(codes.parse_port_code("depe").alias("port_code")).where("port_code IS NOT NULL")
+    return c.distinct().select("port_code", codes.district_of("port_code").alias("district"),
+                               F.pmod("port_code", F.lit(100)).alias("rem"))
+
+
+@key("fn_growth", f"""
+SELECT CAST(year AS INTEGER) AS year, v AS value_usd,
+       {O.growth('v', 'lag(v) OVER (ORDER BY year)')} AS growth_pct
+FROM (SELECT {O.yr()} AS year, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS v FROM t WHERE data_source = 'national' GROUP BY 1)""")
+def fn_growth(m):
+    y = m.trade().where(F.col("data_source") == NAT).groupBy(_yr().alias("year")) \
+        .agg(F.sum("value_usd").cast(DEC).alias("value_usd"))
+    prev = F.lag("value_usd").over(Window.orderBy("year"))   # one row per year: bounded
+    return y.select(F.col("year").cast("int").alias("year"), "value_usd", metrics.growth_pct("value_usd", prev).alias("growth_pct"))
+
+
+@key("fn_json", """
+SELECT event_type, SUM(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_sum,
+       count(json_extract_string(props, '$.missing')) AS n_missing_key
+FROM events GROUP BY event_type""")
+def fn_json(m):
+    e = m.table("events")
+    return e.groupBy("event_type").agg(
+        F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k_sum"),
+        F.count(F.get_json_object("props", "$.missing")).alias("n_missing_key"))
+
+
+@key("fn_predicates", """
+SELECT count(*) FILTER (WHERE regexp_full_match(depe, '[0-9]+')) AS n_digits,
+       count(depe) AS n_not_null, count(*) FILTER (WHERE depe = '') AS n_empty
+FROM dl""")
+def fn_predicates(m):
+    d = F.col("depe")
+    return m.trade_port_text().agg(F.count_if(codes.is_digits(d)).alias("n_digits"),
+                                   F.count(d).alias("n_not_null"), F.count_if(d == "").alias("n_empty"))
+
+
+# ===========================================================================
+# C conforming
+# ===========================================================================
+
+@key("filter_eq", f"""
+SELECT port_id, count(*) AS n, SUM(crossing_count) AS crossings FROM c WHERE mode_id = {O.MODE_ID['Truck']} GROUP BY 1""")
+def filter_eq(m):
+    c = conform.filter_eq(m.crossing(), "mode_id", catalogs.mode_ids()["Truck"])
+    return c.groupBy("port_id").agg(F.count(F.lit(1)).alias("n"), F.sum("crossing_count").alias("crossings"))
+
+
+@key("filter_exclude_nullsafe", """
+SELECT direction, count(*) AS n FROM t WHERE weight_kg IS DISTINCT FROM 0 GROUP BY 1""")
+def filter_exclude_nullsafe(m):
+    return conform.exclude_value(m.trade(), "weight_kg", 0).groupBy("direction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@key("filter_between", """
+SELECT date_id, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd FROM t
+WHERE data_source = 'national' AND date_id BETWEEN 19980101 AND 19981231 GROUP BY 1""")
+def filter_between(m):
+    lo, hi = dates.year_range(1998)
+    t = m.trade().where((F.col("data_source") == NAT) & F.col("date_id").between(lo, hi))
+    return agg.sum_by(t, ["date_id"], "value_usd", "value_usd")
+
+
+@key("filter_in", f"""
+SELECT port_id, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd FROM t
+WHERE port_id IN ({O.in_list(P.corridor_ports)}) GROUP BY 1""")
+def filter_in(m):
+    return agg.sum_by(m.trade().where(F.col("port_id").isin(*m.p.corridor_ports)), ["port_id"], "value_usd", "value_usd")
+
+
+@key("filter_dim_flag", """
+SELECT port_id, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd FROM t JOIN port USING (port_id)
+WHERE NOT port.is_aggregate AND data_source = 'national' GROUP BY 1""")
+def filter_dim_flag(m):
+    ports = m.port_flags.where(~F.col("is_aggregate")).select("port_id")
+    t = m.trade().where(F.col("data_source") == NAT).join(ports, "port_id")
+    return agg.sum_by(t, ["port_id"], "value_usd", "value_usd")
+
+
+def _month_text(m):
+    """orders with a 'Mon yyyy' period text; every 17th order carries junk."""
+    o = m.table("orders")
+    txt = F.when(F.pmod("o_orderkey", F.lit(17)) == 0, F.concat(F.lit("?? "), F.year("o_orderdate").cast("string"))) \
+        .otherwise(F.date_format("o_orderdate", "MMM yyyy"))
+    return o.select("o_orderkey", txt.alias("period_text"))
+
+
+@key("parse_month_tolerant", """
+SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, count(*) AS n FROM (
+  SELECT CAST(try_strptime(CASE WHEN o_orderkey % 17 = 0 THEN '?? ' || CAST(year(o_orderdate) AS VARCHAR)
+                               ELSE strftime(o_orderdate, '%b %Y') END, '%b %Y') AS DATE) AS d FROM orders)
+GROUP BY 1, 2""")
+def parse_month_tolerant(m):
+    d = dates.parse_month_year("period_text")
+    return _month_text(m).select(d.alias("d")).groupBy(F.year("d").alias("year"), F.month("d").alias("month")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@key("parse_iso_tolerant", """
+SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day, count(*) AS n
+FROM (SELECT TRY_CAST(CASE WHEN event_id % 19 = 0 THEN 'n/a' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS TIMESTAMP) AS ts
+      FROM events) GROUP BY 1, 2, 3""")
+def parse_iso_tolerant(m):
+    e = m.table("events")
+    txt = F.when(F.pmod("event_id", F.lit(19)) == 0, F.lit("n/a")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    ts = dates.parse_iso_timestamp(txt)
+    return e.select(ts.alias("ts")).groupBy(F.year("ts").alias("year"), F.month("ts").alias("month"),
+                                            F.dayofmonth("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@key("date_key", "SELECT DISTINCT date_id FROM c")
+def date_key(m):
+    return m.crossing().select("date_id").distinct()
+
+
+@key("parse_port_code", f"SELECT DISTINCT depe, {O.parse_port_sql('depe')} AS port_code FROM dl")
+def parse_port_code(m):
+    return m.trade_port_text().select("depe", codes.parse_port_code("depe").alias("port_code")).distinct()
+
+
+@key("map_code_label", f"""
+SELECT l_linenumber AS mode_code, {O.case('l_linenumber', catalogs.TRADE_MODE_CODE_TO_MODE)} AS mode_name, count(*) AS n
+FROM lineitem GROUP BY 1, 2""")
+def map_code_label(m):
+    li = m.table("lineitem")
+    return li.groupBy(F.col("l_linenumber").alias("mode_code"),
+                      codes.map_values("l_linenumber", catalogs.TRADE_MODE_CODE_TO_MODE).alias("mode_name")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+_PRIORITY_TO_MEASURE = {"1-URGENT": "Trucks", "2-HIGH": "Personal Vehicles", "3-MEDIUM": "Pedestrians",
+                        "4-NOT SPECIFIED": "Buses", "5-LOW": "Trains"}
+
+
+@key("map_label_canonical", f"""
+SELECT measure, {O.case('measure', catalogs.CROSSING_MEASURE_TO_MODE)} AS mode_name, count(*) AS n
+FROM (SELECT {O.case('o_orderpriority', _PRIORITY_TO_MEASURE)} AS measure FROM orders) GROUP BY 1, 2""")
+def map_label_canonical(m):
+    o = m.table("orders").select(codes.map_values("o_orderpriority", _PRIORITY_TO_MEASURE).alias("measure"))
+    return o.groupBy("measure", codes.map_values("measure", catalogs.CROSSING_MEASURE_TO_MODE).alias("mode_name")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@key("default_sentinel", """
+SELECT COALESCE(CASE l_returnflag WHEN 'A' THEN 'Containerized' WHEN 'N' THEN 'Not Containerized' END, 'Unknown') AS container,
+       COALESCE(CASE WHEN l_discount = 0 THEN NULL WHEN l_discount < 0.05 THEN 'Domestically Produced Goods'
+                     ELSE 'Foreign Produced Goods' END, 'N/A') AS production_location, count(*) AS n
+FROM lineitem GROUP BY 1, 2""")
+def default_sentinel(m):
+    li = m.table("lineitem")
+    cont = codes.map_values(codes.map_values("l_returnflag", {"A": "1", "N": "0"}), catalogs.CONTAINER_CODE_TO_LABEL, "Unknown")
+    flag = F.when(F.col("l_discount") == 0, F.lit(None).cast("double")).when(F.col("l_discount") < 0.05, 1.0).otherwise(2.0)
+    loc = codes.map_values(flag, catalogs.ORIGIN_FLAG_TO_LOCATION, "N/A")
+    return li.groupBy(cont.alias("container"), loc.alias("production_location")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@key("normalize_text", """
+SELECT doc_id, md5(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))) AS norm_md5,
+       length(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))) AS norm_len
+FROM documents""")
+def normalize_text(m):
+    n = codes.normalize_text("text")
+    return m.table("documents").select("doc_id", F.md5(n).alias("norm_md5"), F.length(n).alias("norm_len"))
+
+
+@key("conditional_null", """
+SELECT direction, count(*) - count(weight_kg) AS nulled, count(*) FILTER (WHERE weight_kg = 0) AS zeros, count(*) AS n
+FROM t GROUP BY 1""")
+def conditional_null(m):
+    f = m.trade_feed()
+    direction = codes.map_values("trade_type", catalogs.TRADE_TYPE_TO_DIRECTION)
+    w = conform.nullify_when("weight_raw", (direction == "Export") & (F.col("weight_raw") == 0))
+    x = f.select(direction.alias("direction"), w.alias("weight_kg"))
+    return x.groupBy("direction").agg((F.count(F.lit(1)) - F.count("weight_kg")).alias("nulled"),
+                                      F.count_if(F.col("weight_kg") == 0).alias("zeros"), F.count(F.lit(1)).alias("n"))
+
+
+@key("cast_strict_vs_try", """
+SELECT event_type, SUM(CAST(CAST(value AS VARCHAR) AS DOUBLE)) IS NOT NULL AS strict_ok,
+       count(TRY_CAST(props AS BIGINT)) AS try_props, count(*) AS n
+FROM events GROUP BY 1""")
+def cast_strict_vs_try(m):
+    e = m.table("events")
+    return e.groupBy("event_type").agg(
+        F.sum(F.col("value").cast("string").cast("double")).isNotNull().alias("strict_ok"),
+        F.count(conform.try_long("props")).alias("try_props"), F.count(F.lit(1)).alias("n"))
+
+
+@key("round_ingest", """
+SELECT user_id % 3 AS port_id, event_type, CAST(SUM(CAST(round_even(value, 2) AS DECIMAL(6,2))) AS DECIMAL(38,2)) AS total
+FROM events GROUP BY 1, 2""")
+def round_ingest(m):
+    e = m.table("events")
+    return e.groupBy(F.pmod("user_id", F.lit(3)).alias("port_id"), "event_type") \
+        .agg(F.sum(conform.round_ingest("value")).cast(DEC).alias("total"))
+
+
+@key("rename", """
+SELECT CAST(SUM(l_extendedprice) AS DECIMAL(38,2)) AS value_usd, SUM(l_quantity) AS weight_kg FROM (
+  SELECT CAST(l_extendedprice AS DECIMAL(18,2)) AS l_extendedprice, CAST(l_quantity AS BIGINT) AS l_quantity FROM lineitem)""")
+def rename(m):
+    li = m.table("lineitem").select(F.col("l_extendedprice").cast("decimal(18,2)").alias("l_extendedprice"),
+                                    F.col("l_quantity").cast("long").alias("l_quantity"))
+    r = conform.rename(li, {"l_extendedprice": "value_usd", "l_quantity": "weight_kg"})
+    return r.agg(F.sum("value_usd").cast(DEC).alias("value_usd"), F.sum("weight_kg").alias("weight_kg"))
+
+
+@key("tag_source", "SELECT 'national' AS data_source, count(*) AS n FROM orders")
+def tag_source(m):
+    return conform.tag(m.table("orders"), "data_source", NAT).groupBy("data_source").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _national_conform(m):
+    """Raw-text national rows conformed: port code -> port id via the port
+    dimension (left lookup), plus the reject reasons of each row."""
+    li = m.trade_port_text()
+    code = codes.parse_port_code("depe")
+    ports = m.dim_port().select(F.col("port_code").alias("_code"), "port_id")
+    x = joins.lookup_join(li.select("*", code.alias("_code")), ports, "_code", "left", dim_small=None)
+    mode = codes.map_values("l_linenumber", catalogs.TRADE_MODE_CODE_TO_MODE)
+    return conform.with_reject_reasons(x.withColumn("mode_name", mode),
+                                       {"port_unmapped": F.col("port_id"), "mode_unmapped": F.col("mode_name")})
+
+
+_CONFORM_SQL = f""",
+cf AS (SELECT dl.*, port.port_id, {O.case('l_linenumber', catalogs.TRADE_MODE_CODE_TO_MODE)} AS mode_name
+       FROM dl LEFT JOIN port ON port.port_code = {O.parse_port_sql('dl.depe')})"""
+
+
+@key("reject_split", _CONFORM_SQL + """
+SELECT count(*) FILTER (WHERE port_id IS NOT NULL AND mode_name IS NOT NULL) AS accepted,
+       count(*) FILTER (WHERE port_id IS NULL OR mode_name IS NULL) AS rejected, count(*) AS total FROM cf""")
+def reject_split(m):
+    x = _national_conform(m)
+    return x.agg(F.count_if(F.size("reject_reasons") == 0).alias("accepted"),
+                  F.count_if(F.size("reject_reasons") > 0).alias("rejected"), F.count(F.lit(1)).alias("total"))
+
+
+@key("reject_reasons", _CONFORM_SQL + """
+SELECT 'port_unmapped' AS reason, count(*) AS n FROM cf WHERE port_id IS NULL
+UNION ALL SELECT 'mode_unmapped', count(*) FROM cf WHERE mode_name IS NULL""")
+def reject_reasons(m):
+    _, rej = conform.reject_split(_national_conform(m).drop("reject_reasons"),
+                                  {"port_unmapped": F.col("port_id"), "mode_unmapped": F.col("mode_name")})
+    counts = conform.reject_counts(rej)
+    reasons = m.spark.createDataFrame([("port_unmapped",), ("mode_unmapped",)], "reason string")
+    return reasons.join(counts, "reason", "left").select("reason", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@key("unmapped_codes", f"""
+SELECT DISTINCT depe AS code FROM dl WHERE depe IS NOT NULL
+  AND ({O.parse_port_sql('depe')} IS NULL OR {O.parse_port_sql('depe')} NOT IN (SELECT port_code FROM port))""")
+def unmapped_codes(m):
+    li = m.trade_port_text()
+    known = (li.select("depe").distinct()
+               .join(m.dim_port().select(F.col("port_code").alias("_c")), codes.parse_port_code("depe") == F.col("_c"))
+               .select("depe"))
+    return conform.unmapped_codes(li, "depe", known, "depe")
+
+
+@key("derive_district", f"""
+SELECT DISTINCT port_code, port_code // 100 AS district,
+       COALESCE({O.case('port_code // 100', catalogs.DISTRICT_TO_STATE)}, 'Other') AS state,
+       port_code IN (SELECT port_code FROM port WHERE is_in_corridor) AS is_in_corridor
+FROM (SELECT {O.parse_port_sql('depe')} AS port_code FROM dl) WHERE port_code IS NOT NULL""")
+def derive_district(m):
+    c = m.trade_port_text().select(codes.parse_port_code("depe").alias("port_code")).where("port_code IS NOT NULL").distinct()
+    corr = m.dim_port().where("is_in_corridor").select("port_code", F.lit(True).alias("_corr"))
+    d = codes.district_of("port_code")
+    return c.join(F.broadcast(corr), "port_code", "left").select(
+        "port_code", d.alias("district"), codes.state_of_district(d).alias("state"),
+        F.coalesce("_corr", F.lit(False)).alias("is_in_corridor"))
+
+
+@key("synthetic_names", f"""
+SELECT DISTINCT port_code,
+       CASE WHEN port_code % 100 = 99 THEN 'District ' || lpad(CAST(port_code // 100 AS VARCHAR), 2, '0') || 'XX residual'
+            ELSE 'District ' || CAST(port_code // 100 AS VARCHAR) || ' aggregate (' || CAST(port_code AS VARCHAR) || ')' END AS name
+FROM (SELECT {O.parse_port_sql('depe')} AS port_code FROM dl)
+WHERE port_code IS NOT NULL AND port_code NOT IN (SELECT port_code FROM port)""")
+def synthetic_names(m):
+    new = dims.discover_port_members(m.trade_port_text(), "depe", m.dim_port())
+    return new.select("port_code", F.col("port_canonical_name").alias("name"))
