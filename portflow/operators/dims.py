@@ -44,7 +44,8 @@ def latest_per_key(df: DataFrame, key: str, order_col: str, cols: Sequence[str])
     """Attributes of the latest row per key (``idxmax`` of ``order_col``);
     on equal order values the larger attribute tuple wins deterministically."""
     best = F.max(F.struct(F.col(order_col), *[F.col(c) for c in cols]))
-    return df.groupBy(key).agg(best.alias("_b")).select(key, *[F.col("_b")[c].alias(c) for c in cols])
+    return df.groupBy(key).agg(best.alias("_b")).select(
+        key, F.col("_b")[order_col].alias(order_col), *[F.col("_b")[c].alias(c) for c in cols])
 
 
 def surrogate_ids(members: DataFrame, natural_key: str, out: str = "id",

@@ -693,3 +693,413 @@ WHERE port_code IS NOT NULL AND port_code NOT IN (SELECT port_code FROM port)"""
 def synthetic_names(m):
     new = dims.discover_port_members(m.trade_port_text(), "depe", m.dim_port())
     return new.select("port_code", F.col("port_canonical_name").alias("name"))
+
+
+# ===========================================================================
+# D joins
+# ===========================================================================
+
+@key("join_lookup_left", _CONFORM_SQL + """
+SELECT port_id IS NOT NULL AS matched, count(*) AS n FROM cf GROUP BY 1""")
+def join_lookup_left(m):
+    x = _national_conform(m)
+    return x.groupBy(F.col("port_id").isNotNull().alias("matched")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _mangled_names(m):
+    """lineitem rows carrying the part name as free text: every 3rd row upper
+    case with trailing punctuation, every 5th with doubled spaces."""
+    li = m.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    part = m.table("part").select("p_partkey", "p_name")
+    x = li.join(part, li.l_partkey == part.p_partkey)
+    txt = (F.when(F.pmod("l_orderkey", F.lit(3)) == 0, F.concat(F.upper("p_name"), F.lit(".")))
+            .when(F.pmod("l_orderkey", F.lit(5)) == 0, F.regexp_replace("p_name", " ", "  "))
+            .otherwise(F.col("p_name")))
+    return x.select("l_partkey", txt.alias("commodity_text"))
+
+
+@key("join_normalized_text", """,
+x AS (SELECT l_partkey, CASE WHEN l_orderkey % 3 = 0 THEN upper(p_name) || '.'
+                             WHEN l_orderkey % 5 = 0 THEN replace(p_name, ' ', '  ') ELSE p_name END AS commodity_text
+      FROM lineitem JOIN part ON l_partkey = p_partkey),
+cat AS (SELECT trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS norm, min(p_partkey) AS code
+        FROM part GROUP BY 1)
+SELECT count(*) AS n_rows, count(cat.code) AS n_matched, count(*) FILTER (WHERE cat.code = x.l_partkey) AS n_same_key
+FROM x LEFT JOIN cat ON cat.norm = trim(regexp_replace(lower(x.commodity_text), '[^a-z0-9]+', ' ', 'g'))""")
+def join_normalized_text(m):
+    x = _mangled_names(m).withColumn("norm", codes.normalize_text("commodity_text"))
+    cat = m.table("part").groupBy(codes.normalize_text("p_name").alias("norm")).agg(F.min("p_partkey").alias("code"))
+    j = x.join(cat, "norm", "left")
+    return j.agg(F.count(F.lit(1)).alias("n_rows"), F.count("code").alias("n_matched"),
+                 F.count_if(F.col("code") == F.col("l_partkey")).alias("n_same_key"))
+
+
+@key("join_star1", """
+SELECT port.state, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd FROM t JOIN port USING (port_id) GROUP BY 1""")
+def join_star1(m):
+    t = joins.star_join(m.trade(), [(m.dim_port().select("port_id", "state"), "port_id", None)])
+    return agg.sum_by(t, ["state"], "value_usd", "value_usd")
+
+
+@key("join_star2", """
+SELECT port.state, part.p_type AS sector, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd
+FROM t JOIN port USING (port_id) JOIN part ON t.commodity_id = part.p_partkey GROUP BY 1, 2""")
+def join_star2(m):
+    t = joins.star_join(m.trade(), [(m.dim_port().select("port_id", "state"), "port_id", None),
+                                    (m.dim_commodity().select("commodity_id", F.col("sector_grouping").alias("sector")),
+                                     "commodity_id", None)])
+    return agg.sum_by(t, ["state", "sector"], "value_usd", "value_usd")
+
+
+@key("join_star3", """
+SELECT port.border, part.p_type AS sector, modes.mode_canonical_name AS mode, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd
+FROM t JOIN port USING (port_id) JOIN part ON t.commodity_id = part.p_partkey JOIN modes USING (mode_id) GROUP BY 1, 2, 3""")
+def join_star3(m):
+    t = joins.star_join(m.trade(), [
+        (m.dim_port().select("port_id", "border"), "port_id", None),
+        (m.dim_commodity().select("commodity_id", F.col("sector_grouping").alias("sector")), "commodity_id", None),
+        (m.dim_mode().select("mode_id", F.col("mode_canonical_name").alias("mode")), "mode_id", True)])
+    return agg.sum_by(t, ["border", "sector", "mode"], "value_usd", "value_usd")
+
+
+_VT_ALL = f""",
+fv AS (SELECT date_id, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd FROM t WHERE port_id = {P.focus_port} GROUP BY 1),
+ft AS (SELECT date_id, CAST(SUM(crossing_count) AS BIGINT) AS trucks FROM c
+       WHERE port_id = {P.focus_port} AND mode_id = {O.MODE_ID['Truck']} GROUP BY 1)"""
+
+
+def _vt_all(m):
+    p = m.p
+    v = agg.sum_by(m.trade().where(F.col("port_id") == p.focus_port), ["date_id"], "value_usd", "value_usd")
+    t = m.crossing().where((F.col("port_id") == p.focus_port) & (F.col("mode_id") == catalogs.mode_ids()["Truck"]))
+    return v, agg.sum_by(t, ["date_id"], "crossing_count", "trucks", "long")
+
+
+@key("join_agg_agg_inner", _VT_ALL + "\nSELECT date_id, value_usd, trucks FROM fv JOIN ft USING (date_id)")
+def join_agg_agg_inner(m):
+    v, t = _vt_all(m)
+    return v.join(t, "date_id")
+
+
+@key("join_series_full_outer", _VT_ALL + """
+SELECT COALESCE(fv.date_id, ft.date_id) AS date_id, value_usd, trucks FROM fv FULL OUTER JOIN ft ON fv.date_id = ft.date_id""")
+def join_series_full_outer(m):
+    v, t = _vt_all(m)
+    return joins.full_outer_series(v, t, "date_id")
+
+
+@key("anti_orphans", f"""
+SELECT DISTINCT {O.parse_port_sql('depe')} AS port_code FROM dl
+WHERE {O.parse_port_sql('depe')} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM port WHERE port.port_code = {O.parse_port_sql('dl.depe')})""")
+def anti_orphans(m):
+    c = m.trade_port_text().select(codes.parse_port_code("depe").alias("port_code")).where("port_code IS NOT NULL").distinct()
+    return joins.anti_orphans(c, m.dim_port().select("port_code"), "port_code")
+
+
+@key("semi_catalog_match", f"""
+SELECT p_type AS sector,
+       count(*) FILTER (WHERE EXISTS (SELECT 1 FROM t WHERE t.commodity_id = part.p_partkey AND t.port_id = {P.focus_port})) AS n_matched,
+       count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.commodity_id = part.p_partkey AND t.port_id = {P.focus_port})) AS n_unmatched
+FROM part GROUP BY 1""")
+def semi_catalog_match(m):
+    cat = m.dim_commodity()
+    used = m.trade().where(F.col("port_id") == m.p.focus_port).select("commodity_id")
+    hit = joins.semi_match(cat, used, "commodity_id").groupBy("sector_grouping").agg(F.count(F.lit(1)).alias("n_matched"))
+    miss = cat.join(used, "commodity_id", "left_anti").groupBy("sector_grouping").agg(F.count(F.lit(1)).alias("n_unmatched"))
+    sectors = cat.select("sector_grouping").distinct()
+    return (sectors.join(hit, "sector_grouping", "left").join(miss, "sector_grouping", "left")
+            .select(F.col("sector_grouping").alias("sector"), F.coalesce("n_matched", F.lit(0)).alias("n_matched"),
+                    F.coalesce("n_unmatched", F.lit(0)).alias("n_unmatched")))
+
+
+@key("join_gapfill", f""",
+cm AS (SELECT date_id, SUM(crossing_count) AS crossings FROM c WHERE port_id = 9 GROUP BY 1),
+spine AS (SELECT CAST(unnest(generate_series(DATE '{P.series_start}', (SELECT max({O.kdate('date_id')}) FROM c),
+          INTERVAL 1 MONTH)) AS DATE) AS month_date)
+SELECT s.month_date, cm.crossings FROM spine s LEFT JOIN cm ON {O.kdate('cm.date_id')} = s.month_date""")
+def join_gapfill(m):
+    c = m.crossing()
+    cm = (c.where(F.col("port_id") == 9).groupBy("date_id").agg(F.sum("crossing_count").alias("crossings"))
+           .select(dates.key_to_date("date_id").alias("month_date"), "crossings"))
+    bounds = c.agg(F.max(dates.key_to_date("date_id")).alias("end")).withColumn("start", F.lit(m.p.series_start).cast("date"))
+    return series.gapfill(series.month_spine(bounds, "start", "end"), cm, "month_date")
+
+
+@key("ratio_to_focus", f"""
+SELECT port_id, v AS value_usd,
+       round(CASE WHEN port_id <> {P.focus_port} AND CAST(v AS DOUBLE) <> 0
+             THEN CAST(max(CASE WHEN port_id = {P.focus_port} THEN v END) OVER () AS DOUBLE) / CAST(v AS DOUBLE) END, 1) AS ratio_to_ref
+FROM (SELECT port_id, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS v FROM t JOIN port USING (port_id)
+      WHERE port.is_in_corridor GROUP BY 1)""")
+def ratio_to_focus(m):
+    corr = m.port_flags.where("is_in_corridor").select("port_id")
+    s = agg.sum_by(m.trade().join(corr, "port_id"), ["port_id"], "value_usd", "value_usd")
+    return joins.ratio_to_reference(s, "port_id", "value_usd", m.p.focus_port)
+
+
+@key("cross_scalars", """
+SELECT CAST((SELECT SUM(value_usd) FROM t) AS DECIMAL(38,2)) AS total_value,
+       (SELECT SUM(crossing_count) FROM c) AS total_crossings,
+       round(CAST((SELECT SUM(value_usd) FROM t) AS DOUBLE) / CAST((SELECT SUM(crossing_count) FROM c) AS DOUBLE), 2) AS value_per_crossing""")
+def cross_scalars(m):
+    a = m.trade().agg(F.sum("value_usd").cast(DEC).alias("total_value"))
+    b = m.crossing().agg(F.sum("crossing_count").alias("total_crossings"))
+    j = marts._one_row(a, b)
+    return j.select("total_value", "total_crossings",
+                    F.round(metrics.safe_div("total_value", "total_crossings"), 2).alias("value_per_crossing"))
+
+
+@key("join_calendar", f""",
+cal AS (SELECT {O.dkey('d')} AS date_id, year(d) AS year, monthname(d) AS month_name
+        FROM (SELECT CAST(unnest(generate_series((SELECT min({O.kdate('date_id')}) FROM t),
+                                                 (SELECT max({O.kdate('date_id')}) FROM t), INTERVAL 1 DAY)) AS DATE) AS d))
+SELECT cal.year, cal.month_name, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd
+FROM t JOIN cal USING (date_id) GROUP BY 1, 2""")
+def join_calendar(m):
+    t = m.trade()
+    bounds = t.agg(F.min(dates.key_to_date("date_id")).alias("s"), F.max(dates.key_to_date("date_id")).alias("e"))
+    cal = dims.calendar_attributes(series.day_spine(bounds, "s", "e"), "full_date").select("date_id", "year", "month_name")
+    # the calendar is bounded by the fact's date range (days), so it is broadcast
+    j = t.join(F.broadcast(cal), "date_id")
+    return agg.sum_by(j, ["year", "month_name"], "value_usd", "value_usd")
+
+
+# ===========================================================================
+# E dimension building
+# ===========================================================================
+
+_CAL_SQL = f""",
+days AS (SELECT CAST(unnest(generate_series((SELECT CAST(min(l_shipdate) AS DATE) FROM lineitem),
+                                            (SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem), INTERVAL 1 DAY)) AS DATE) AS d)"""
+
+
+def _calendar(m):
+    li = m.table("lineitem")
+    bounds = li.agg(F.min(F.to_date("l_shipdate")).alias("s"), F.max(F.to_date("l_shipdate")).alias("e"))
+    return dims.calendar_attributes(series.day_spine(bounds, "s", "e"), "full_date")
+
+
+@key("calendar_daily", _CAL_SQL + f"""
+SELECT strftime(d, '%Y-%m') AS year_month, count(*) AS n_days, count(*) FILTER (WHERE isodow(d) >= 6) AS n_weekend
+FROM days GROUP BY 1""")
+def calendar_daily(m):
+    c = _calendar(m)
+    return c.groupBy("year_month").agg(F.count(F.lit(1)).alias("n_days"), F.count_if("is_weekend").alias("n_weekend"))
+
+
+@key("dim_date", _CAL_SQL + f"""
+SELECT {O.dkey('d')} AS date_id, d AS full_date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       monthname(d) AS month_name, CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS day_of_week,
+       dayname(d) AS day_of_week_name, CAST(weekofyear(d) AS INTEGER) AS week_of_year, strftime(d, '%Y-%m') AS year_month,
+       isodow(d) >= 6 AS is_weekend
+FROM days""")
+def dim_date(m):
+    return _calendar(m)
+
+
+@key("latest_per_key", """
+SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC, o_totalprice DESC) AS rn
+  FROM orders) WHERE rn = 1""")
+def latest_per_key(m):
+    return dims.latest_per_key(m.table("orders"), "o_custkey", "o_orderdate", ["o_orderkey", "o_totalprice"]) \
+        .select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+
+
+@key("surrogate_ids", """
+SELECT sector, CAST(row_number() OVER (ORDER BY sector) + 100 AS INTEGER) AS id FROM (SELECT DISTINCT p_type AS sector FROM part)""")
+def surrogate_ids(m):
+    members = m.table("part").select(F.col("p_type").alias("sector")).distinct()
+    return dims.surrogate_ids(members, "sector", "id", start_after=100)
+
+
+@key("insert_if_absent", f"""
+SELECT port_code, port_canonical_name, is_aggregate FROM port
+UNION ALL
+SELECT DISTINCT code, CASE WHEN code % 100 = 99 THEN 'District ' || lpad(CAST(code // 100 AS VARCHAR), 2, '0') || 'XX residual'
+            ELSE 'District ' || CAST(code // 100 AS VARCHAR) || ' aggregate (' || CAST(code AS VARCHAR) || ')' END, TRUE
+FROM (SELECT {O.parse_port_sql('depe')} AS code FROM dl) WHERE code IS NOT NULL AND code NOT IN (SELECT port_code FROM port)""")
+def insert_if_absent(m):
+    existing = m.dim_port().select("port_code", "port_canonical_name", "is_aggregate")
+    new = dims.discover_port_members(m.trade_port_text(), "depe", m.dim_port())
+    return dims.insert_if_absent(new.select("port_code", "port_canonical_name", "is_aggregate"), existing, "port_code")
+
+
+@key("discover_members", f"""
+SELECT DISTINCT code AS port_code,
+       COALESCE({O.case('code // 100', catalogs.DISTRICT_TO_STATE)}, 'Other') AS state, TRUE AS is_aggregate, FALSE AS is_in_corridor
+FROM (SELECT {O.parse_port_sql('depe')} AS code FROM dl) WHERE code IS NOT NULL AND code NOT IN (SELECT port_code FROM port)""")
+def discover_members(m):
+    new = dims.discover_port_members(m.trade_port_text(), "depe", m.dim_port())
+    return new.select("port_code", "state", "is_aggregate", "is_in_corridor")
+
+
+@key("sector_distribution", "SELECT p_type AS sector_grouping, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC")
+def sector_distribution(m):
+    return agg.value_counts(m.dim_commodity(), "sector_grouping").orderBy(F.desc("n"))
+
+
+@key("mode_provenance", f"""
+SELECT COALESCE(a.member, b.member) AS member,
+       CASE WHEN a.member IS NOT NULL AND b.member IS NOT NULL THEN 'both' WHEN a.member IS NOT NULL THEN 'transborder'
+            ELSE 'border_crossing' END AS source_dataset
+FROM (SELECT DISTINCT {O.case('l_linenumber', catalogs.TRADE_MODE_CODE_TO_MODE)} AS member FROM lineitem) a
+FULL OUTER JOIN (SELECT DISTINCT {O.case('o_orderpriority', __import__('portflow.sources.testdata', fromlist=['x']).PRIORITY_TO_MODE)} AS member FROM orders) b
+ON a.member = b.member""")
+def mode_provenance(m):
+    from portflow.sources.testdata import PRIORITY_TO_MODE
+    a = m.table("lineitem").select(codes.map_values("l_linenumber", catalogs.TRADE_MODE_CODE_TO_MODE).alias("member"))
+    b = m.table("orders").select(codes.map_values("o_orderpriority", PRIORITY_TO_MODE).alias("member"))
+    return dims.member_provenance(a, "member", "transborder", b, "member", "border_crossing")
+
+
+# ===========================================================================
+# G windows
+# ===========================================================================
+
+@key("share_total", """
+SELECT port_id, round(CAST(v AS DOUBLE) / CAST(SUM(v) OVER () AS DOUBLE) * 100, 2) AS pct FROM (
+  SELECT port_id, SUM(value_usd) AS v FROM t WHERE data_source = 'national' GROUP BY 1)""")
+def share_total(m):
+    s = m.trade().where(F.col("data_source") == NAT).groupBy("port_id").agg(F.sum("value_usd").alias("v"))
+    return windows.share_of_total(s, "v", "pct").select("port_id", "pct")
+
+
+@key("share_partition", f"""
+SELECT CAST(year AS INTEGER) AS year, container, round(CAST(v AS DOUBLE) / CAST(SUM(v) OVER (PARTITION BY year) AS DOUBLE) * 100, 2) AS pct
+FROM (SELECT {O.yr()} AS year, container, SUM(value_usd) AS v FROM t WHERE data_source = 'national' GROUP BY 1, 2)""")
+def share_partition(m):
+    s = m.trade().where(F.col("data_source") == NAT).groupBy(_yr().alias("year"), "container").agg(F.sum("value_usd").alias("v"))
+    return windows.share_of_total(s, "v", "pct", partition=["year"]).select(F.col("year").cast("int").alias("year"), "container", "pct")
+
+
+@key("ttm_vs_prev", f""",
+nat AS (SELECT * FROM t WHERE data_source = 'national'),
+bb AS (SELECT end_id, {O.shift('end_id', -11)} AS s_id, {O.shift('end_id', -12)} AS pe_id, {O.shift('end_id', -23)} AS ps_id
+       FROM (SELECT max(date_id) AS end_id FROM nat))
+SELECT bb.end_id, CAST(SUM(CASE WHEN date_id BETWEEN s_id AND end_id THEN value_usd END) AS DECIMAL(38,2)) AS ttm,
+       CAST(SUM(CASE WHEN date_id BETWEEN ps_id AND pe_id THEN value_usd END) AS DECIMAL(38,2)) AS prev_ttm
+FROM nat, bb GROUP BY bb.end_id""")
+def ttm_vs_prev(m):
+    nat = agg.sum_by(m.trade().where(F.col("data_source") == NAT), ["date_id"], "value_usd", "v")
+    end = F.max("date_id").over(Window.partitionBy())          # month rows: bounded
+    x = nat.withColumn("end_id", end)
+    d = F.col("date_id")
+    ttm = d.between(dates.shift_month_key("end_id", -11), F.col("end_id"))
+    prev = d.between(dates.shift_month_key("end_id", -23), dates.shift_month_key("end_id", -12))
+    return x.agg(F.max("end_id").alias("end_id"), F.sum(F.when(ttm, F.col("v"))).cast(DEC).alias("ttm"),
+                 F.sum(F.when(prev, F.col("v"))).cast(DEC).alias("prev_ttm"))
+
+
+@key("ttm_rolling", f"""
+SELECT port_id, date_id, CAST(SUM(v) OVER (PARTITION BY port_id ORDER BY mi RANGE BETWEEN 11 PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS ttm
+FROM (SELECT port_id, date_id, ({O.yr()}) * 12 + ((date_id // 100) % 100) - 1 AS mi, SUM(value_usd) AS v
+      FROM t WHERE port_id IN ({O.in_list(P.corridor_ports)}) GROUP BY 1, 2)""")
+def ttm_rolling(m):
+    s = m.trade().where(F.col("port_id").isin(*m.p.corridor_ports)).groupBy("port_id", "date_id") \
+        .agg(F.sum("value_usd").alias("v")).withColumn("month_date", dates.key_to_date("date_id"))
+    r = windows.trailing_months_sum(s, "month_date", "v", "ttm", 12, partition=["port_id"])
+    return r.select("port_id", "date_id", F.col("ttm").cast(DEC).alias("ttm"))
+
+
+@key("trailing_days_avg", f""",
+{O._wait_window(P)}
+SELECT port_id, lane_type_id, {O.mhu('SUM(' + O.cents('waiting_avg_minutes') + ')', 'COUNT(*)')} AS avg_min, COUNT(*) AS n_days
+FROM w, wwin WHERE date_id BETWEEN wwin.start_id AND wwin.end_id GROUP BY 1, 2""")
+def trailing_days_avg(m):
+    w = m.wait()
+    days = w.select("date_id").distinct()
+    end = F.max("date_id").over(Window.partitionBy())           # distinct days: bounded
+    win = days.withColumn("_s", dates.date_key(F.date_sub(dates.key_to_date(end), m.p.wait_window_days))) \
+        .withColumn("_e", end).where(F.col("date_id").between(F.col("_s"), F.col("_e"))).select("date_id")
+    x = w.join(F.broadcast(win), "date_id")
+    return x.groupBy("port_id", "lane_type_id").agg(F.sum(metrics.cents("waiting_avg_minutes")).alias("_c"),
+                                                    F.count(F.lit(1)).alias("n_days")) \
+        .select("port_id", "lane_type_id", metrics.mean_half_up("_c", "n_days").alias("avg_min"), "n_days")
+
+
+@key("recovery_length", f""",
+fm AS (SELECT port_id, date_id, SUM(value_usd) AS v FROM t WHERE port_id IN ({O.in_list(P.corridor_ports)}) GROUP BY 1, 2),
+th AS (SELECT port_id, CAST(SUM(CASE WHEN {O.yr()} = {P.base_year} THEN v END) AS DOUBLE) / 12 AS thr FROM fm GROUP BY 1),
+r AS (SELECT fm.port_id, v, thr, row_number() OVER (PARTITION BY fm.port_id ORDER BY date_id) AS rn FROM fm JOIN th USING (port_id)
+      WHERE date_id BETWEEN {P.shock_year * 10000 + 101} AND {P.recovery_end_year * 10000 + 1231}),
+mn AS (SELECT port_id, arg_min(rn, (v, rn)) AS min_rn FROM r GROUP BY 1)
+SELECT mn.port_id, mn.min_rn AS min_row, MIN(CASE WHEN r.rn > mn.min_rn AND CAST(r.v AS DOUBLE) >= r.thr THEN r.rn END) - mn.min_rn AS recovery_rows
+FROM mn JOIN r USING (port_id) GROUP BY mn.port_id, mn.min_rn""")
+def recovery_length(m):
+    p = m.p
+    fm = m.trade().where(F.col("port_id").isin(*p.corridor_ports)).groupBy("port_id", "date_id").agg(F.sum("value_usd").alias("v"))
+    thr = F.sum(F.when(_yr() == p.base_year, F.col("v"))).over(Window.partitionBy("port_id")).cast("double") / 12
+    lo, _ = dates.year_range(p.shock_year)
+    _, hi = dates.year_range(p.recovery_end_year)
+    x = fm.withColumn("thr", thr).where(F.col("date_id").between(lo, hi))
+    r = windows.argmin_then_recovery(x, "date_id", "v", F.col("thr"), partition=["port_id"])
+    return r.select("port_id", F.col("min_row").cast("long").alias("min_row"), F.col("recovery_rows").cast("long").alias("recovery_rows"))
+
+
+@key("series_index", f"""
+SELECT port_id, date_id, CAST(row_number() OVER (PARTITION BY port_id ORDER BY date_id) - 1 AS INTEGER) AS idx
+FROM (SELECT DISTINCT port_id, date_id FROM t WHERE port_id IN ({O.in_list(P.corridor_ports)}) AND data_source = 'national')""")
+def series_index(m):
+    s = m.trade().where(F.col("port_id").isin(*m.p.corridor_ports) & (F.col("data_source") == NAT)) \
+        .select("port_id", "date_id").distinct()
+    return windows.series_index(s, "date_id", "idx", partition=["port_id"])
+
+
+@key("dup_mark", """
+SELECT is_dup, count(*) AS n FROM (SELECT count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS is_dup FROM lineitem) GROUP BY 1""")
+def dup_mark(m):
+    x = windows.dup_mark(m.table("lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])
+    return x.groupBy("is_dup").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ===========================================================================
+# K series shaping
+# ===========================================================================
+
+@key("gapfill_null", f""",
+f AS (SELECT date_id, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd FROM t
+      WHERE port_id = {P.focus_port} AND data_source = 'national' GROUP BY 1),
+spine AS (SELECT CAST(unnest(generate_series(DATE '{P.series_start}', (SELECT max({O.kdate('date_id')}) FROM t),
+          INTERVAL 1 MONTH)) AS DATE) AS month_date)
+SELECT s.month_date, f.value_usd FROM spine s LEFT JOIN f ON {O.kdate('f.date_id')} = s.month_date""")
+def gapfill_null(m):
+    t = m.trade()
+    f = agg.sum_by(t.where((F.col("port_id") == m.p.focus_port) & (F.col("data_source") == NAT)), ["date_id"],
+                   "value_usd", "value_usd").select(dates.key_to_date("date_id").alias("month_date"), "value_usd")
+    bounds = t.agg(F.max(dates.key_to_date("date_id")).alias("end")).withColumn("start", F.lit(m.p.series_start).cast("date"))
+    return series.gapfill(series.month_spine(bounds, "start", "end"), f, "month_date")
+
+
+register("pivot_zero_fill", lambda spark, d: marts.mart_sector_history(model(spark, d), "brand"),
+         O.mart_sector_history(P, "p_brand"))
+
+
+@key("heatmap_long", f"""
+SELECT port_id, lane_type_id, CAST(weekofyear(d) AS INTEGER) AS iso_week, CAST(isodow(d) AS INTEGER) AS iso_dow,
+       {O.mhu('SUM(' + O.cents('waiting_avg_minutes') + ')', 'COUNT(*)')} AS avg_min, COUNT(*) AS n_days
+FROM (SELECT *, {O.kdate('date_id')} AS d FROM w) GROUP BY 1, 2, 3, 4""")
+def heatmap_long(m):
+    w = m.wait().withColumn("full_date", dates.key_to_date("date_id"))
+    return series.heatmap_long(w, ["port_id", "lane_type_id"], "full_date",
+                               F.sum(metrics.cents("waiting_avg_minutes")).alias("_c"), "n_days") \
+        .select("port_id", "lane_type_id", F.col("iso_week").cast("int").alias("iso_week"),
+                F.col("iso_dow").cast("int").alias("iso_dow"), metrics.mean_half_up("_c", "n_days").alias("avg_min"), "n_days")
+
+
+# FIXED VALUES: timeline annotations (period, label) shown with the national series.
+ANNOTATIONS = [("1997-01-01", "Gap: year missing from the national feed"),
+               ("1998-01-01", "Shock year"),
+               ("2000-11-01", "Last national month")]
+
+
+@key("annotations", f""",
+f AS (SELECT {O.kdate('date_id')} AS month_date, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd FROM t
+      WHERE data_source = 'national' GROUP BY date_id),
+a AS (SELECT CAST(d AS DATE) AS month_date, label FROM (VALUES {', '.join(f"('{d}', {O.q(l)})" for d, l in ANNOTATIONS)}) v(d, label))
+SELECT a.month_date, a.label, f.value_usd FROM a LEFT JOIN f USING (month_date)""")
+def annotations(m):
+    f = agg.sum_by(m.trade().where(F.col("data_source") == NAT), ["date_id"], "value_usd", "value_usd") \
+        .select(dates.key_to_date("date_id").alias("month_date"), "value_usd")
+    a = m.spark.createDataFrame(ANNOTATIONS, "d string, label string").select(F.col("d").cast("date").alias("month_date"), "label")
+    return a.join(f, "month_date", "left").select("month_date", "label", "value_usd")
