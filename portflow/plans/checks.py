@@ -1103,3 +1103,307 @@ def annotations(m):
         .select(dates.key_to_date("date_id").alias("month_date"), "value_usd")
     a = m.spark.createDataFrame(ANNOTATIONS, "d string, label string").select(F.col("d").cast("date").alias("month_date"), "label")
     return a.join(f, "month_date", "left").select("month_date", "label", "value_usd")
+
+
+# ===========================================================================
+# A scans on tables, B sink-side summaries
+# ===========================================================================
+
+@key("scan_filter", f"""
+SELECT * FROM t WHERE data_source = 'national' AND port_id = {P.focus_port} AND date_id {O.yrange(P.base_year)}""")
+def scan_filter(m):
+    lo, hi = dates.year_range(m.p.base_year)
+    return m.trade().where((F.col("data_source") == NAT) & (F.col("port_id") == m.p.focus_port)
+                           & F.col("date_id").between(lo, hi))
+
+
+@key("literal_catalog", """
+SELECT modes.mode_id, modes.mode_canonical_name, modes.source_dataset, count(t.mode_id) AS n_rows
+FROM modes LEFT JOIN t USING (mode_id) GROUP BY 1, 2, 3""")
+def literal_catalog(m):
+    modes = m.dim_mode()
+    used = m.trade().groupBy("mode_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    return F.broadcast(modes).join(used, "mode_id", "left").select(
+        "mode_id", "mode_canonical_name", "source_dataset", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+@key("source_group_count", """
+SELECT port.port_code, port.port_canonical_name, count(*) AS n FROM t JOIN port USING (port_id) GROUP BY 1, 2""")
+def source_group_count(m):
+    t = m.trade().join(m.dim_port().select("port_id", "port_code", "port_canonical_name"), "port_id")
+    return t.groupBy("port_code", "port_canonical_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@key("load_summary", _CONFORM_SQL + f""",
+acc AS (SELECT * FROM cf WHERE port_id IS NOT NULL AND mode_name IS NOT NULL)
+SELECT (SELECT count(*) FROM lineitem) AS raw_rows,
+       (SELECT count(*) FROM cf) AS in_scope_rows,
+       (SELECT count(*) FROM cf WHERE port_id IS NULL OR mode_name IS NULL) AS rejected_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT port_id, l_partkey, l_linenumber, {O.mkey('l_shipdate')} AS m FROM acc)) AS inserted_rows,
+       (SELECT count(DISTINCT {O.mkey('l_shipdate')}) FROM acc) AS months""")
+def load_summary(m):
+    x = _national_conform(m)
+    ok = F.size("reject_reasons") == 0
+    mk = dates.month_key("l_shipdate")
+    s = x.agg(F.count(F.lit(1)).alias("in_scope_rows"), F.count_if(~ok).alias("rejected_rows"),
+              F.count_distinct(F.when(ok, mk)).alias("months"))
+    ins = (x.where(ok).select("port_id", "l_partkey", "l_linenumber", mk.alias("m")).distinct()
+             .agg(F.count(F.lit(1)).alias("inserted_rows")))
+    raw = m.table("lineitem").agg(F.count(F.lit(1)).alias("raw_rows"))
+    return marts._one_row(raw, s, ins).select("raw_rows", "in_scope_rows", "rejected_rows", "inserted_rows", "months")
+
+
+register("audit_column", lambda spark, d: model(spark, d).crossing().withColumn("loaded_at", F.current_timestamp()))
+
+
+# ===========================================================================
+# M data quality
+# ===========================================================================
+
+@key("dq_pk", f"""
+SELECT 'fact_trade' AS "check", count(*) AS dup_groups, COALESCE(SUM(n), 0) AS dup_rows
+FROM (SELECT count(*) AS n FROM t GROUP BY {_TPK} HAVING count(*) > 1)
+UNION ALL SELECT 'fact_crossing', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM c GROUP BY port_id, mode_id, date_id HAVING count(*) > 1)
+UNION ALL SELECT 'fact_wait', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM w GROUP BY port_id, lane_type_id, date_id HAVING count(*) > 1)
+UNION ALL SELECT 'dim_port', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM port GROUP BY port_code HAVING count(*) > 1)""")
+def dq_pk(m):
+    from portflow.schemas import FACT_CROSSING_PK, FACT_TRADE_PK, FACT_WAIT_PK
+    return (quality.pk_violations(m.trade(), FACT_TRADE_PK, "fact_trade")
+            .unionByName(quality.pk_violations(m.crossing(), FACT_CROSSING_PK, "fact_crossing"))
+            .unionByName(quality.pk_violations(m.wait(), FACT_WAIT_PK, "fact_wait"))
+            .unionByName(quality.pk_violations(m.dim_port(), ["port_code"], "dim_port")))
+
+
+@key("dq_fk", """
+SELECT 'trade.port_id' AS "check", count(*) AS orphans FROM t WHERE port_id NOT IN (SELECT port_id FROM port)
+UNION ALL SELECT 'trade.commodity_id', count(*) FROM t WHERE commodity_id NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT 'crossing.port_id', count(*) FROM c WHERE port_id NOT IN (SELECT port_id FROM port)
+UNION ALL SELECT 'wait.lane_type_id', count(*) FROM w WHERE lane_type_id NOT IN (SELECT lane_type_id FROM lanes)""")
+def dq_fk(m):
+    ports = m.dim_port().select("port_id")
+    return (quality.fk_orphans(m.trade(), "port_id", ports, "port_id", "trade.port_id")
+            .unionByName(quality.fk_orphans(m.trade(), "commodity_id", m.dim_commodity(), "commodity_id", "trade.commodity_id"))
+            .unionByName(quality.fk_orphans(m.crossing(), "port_id", ports, "port_id", "crossing.port_id"))
+            .unionByName(quality.fk_orphans(m.wait(), "lane_type_id", m.dim_lane(), "lane_type_id", "wait.lane_type_id")))
+
+
+@key("dq_check", """
+SELECT * FROM (VALUES
+  ('direction', (SELECT count(*) FROM t WHERE NOT (direction IN ('Import', 'Export')))),
+  ('container', (SELECT count(*) FROM t WHERE NOT (container IN ('Containerized', 'Not Containerized', 'Unknown')))),
+  ('value_non_negative', (SELECT count(*) FROM t WHERE NOT (value_usd >= 0))),
+  ('weight_null_or_non_negative', (SELECT count(*) FROM t WHERE NOT (weight_kg IS NULL OR weight_kg >= 0))),
+  ('data_source', (SELECT count(*) FROM t WHERE NOT (data_source IN ('national', 'mirror')))),
+  ('weight_positive', (SELECT count(*) FROM t WHERE NOT (weight_kg > 0)))
+) v("check", violations)""")
+def dq_check(m):
+    c = F.col
+    return quality.check_violations(m.trade(), {
+        "direction": c("direction").isin("Import", "Export"),
+        "container": c("container").isin("Containerized", "Not Containerized", "Unknown"),
+        "value_non_negative": c("value_usd") >= 0,
+        "weight_null_or_non_negative": c("weight_kg").isNull() | (c("weight_kg") >= 0),
+        "data_source": c("data_source").isin(NAT, catalogs.SOURCE_MIRROR),
+        "weight_positive": c("weight_kg") > 0})
+
+
+@key("dq_not_null", """
+SELECT * FROM (VALUES
+  ('not_null:port_canonical_name', (SELECT count(*) FROM port WHERE port_canonical_name IS NULL)),
+  ('not_null:state', (SELECT count(*) FROM port WHERE state IS NULL)),
+  ('max_len:port_canonical_name', (SELECT count(*) FROM port WHERE length(port_canonical_name) > 18)),
+  ('max_len:state', (SELECT count(*) FROM port WHERE length(state) > 8))
+) v("check", violations)""")
+def dq_not_null(m):
+    return quality.not_null_and_length(m.dim_port(), ["port_canonical_name", "state"],
+                                       {"port_canonical_name": 18, "state": 8})
+
+
+@key("dq_count_bands", f""",
+counts AS (SELECT 'corridor_ports' AS "check", (SELECT count(*) FROM port WHERE is_in_corridor) AS n
+  UNION ALL SELECT 'commodity_chapters', (SELECT count(DISTINCT p_type) FROM part)
+  UNION ALL SELECT 'calendar_days', (SELECT count(DISTINCT CAST(l_shipdate AS DATE)) FROM lineitem)
+  UNION ALL SELECT 'modes', (SELECT count(*) FROM modes)
+  UNION ALL SELECT 'lane_types', (SELECT count(*) FROM lanes)),
+bands AS (SELECT * FROM (VALUES {', '.join(f"('{n}', {lo}, {hi})" for n, lo, hi in catalogs.DIM_COUNT_BANDS)}) v("check", low, high))
+SELECT "check", n, low, high, n BETWEEN low AND high AS ok FROM counts JOIN bands USING ("check")""")
+def dq_count_bands(m):
+    def cnt(df, name):
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n")
+    counts = (cnt(m.dim_port().where("is_in_corridor"), "corridor_ports")
+              .unionByName(m.table("part").agg(F.countDistinct("p_type").alias("n")).select(F.lit("commodity_chapters").alias("check"), "n"))
+              .unionByName(m.table("lineitem").agg(F.countDistinct(F.to_date("l_shipdate")).alias("n"))
+                           .select(F.lit("calendar_days").alias("check"), "n"))
+              .unionByName(cnt(m.dim_mode(), "modes")).unionByName(cnt(m.dim_lane(), "lane_types")))
+    bands = m.spark.createDataFrame(catalogs.DIM_COUNT_BANDS, "check string, low int, high int")
+    return quality.count_bands(counts, F.broadcast(bands))
+
+
+@key("dq_source_overlap", f"""
+SELECT count(*) AS overlapping_keys FROM (SELECT {_TPK} FROM t GROUP BY {_TPK} HAVING count(DISTINCT data_source) > 1)""")
+def dq_source_overlap(m):
+    from portflow.schemas import FACT_TRADE_PK
+    return quality.source_overlap(m.trade(), FACT_TRADE_PK, "data_source")
+
+
+@key("dq_v1_v2", """
+SELECT data_source, count(*) AS n_rows, CAST(min(date_id) AS INTEGER) AS first_id, CAST(max(date_id) AS INTEGER) AS last_id
+FROM t GROUP BY 1""")
+def dq_v1_v2(m):
+    return m.trade().groupBy("data_source").agg(F.count(F.lit(1)).alias("n_rows"), F.min("date_id").alias("first_id"),
+                                                F.max("date_id").alias("last_id"))
+
+
+@key("dq_v3_cell", f"""
+SELECT CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd, count(*) AS n FROM t
+WHERE port_id = {P.focus_port} AND mode_id = {O.MODE_ID['Truck']} AND direction = 'Import' AND date_id = 19980301
+  AND data_source = 'national'""")
+def dq_v3_cell(m):
+    c = F.col
+    t = m.trade().where((c("port_id") == m.p.focus_port) & (c("mode_id") == catalogs.mode_ids()["Truck"])
+                        & (c("direction") == "Import") & (c("date_id") == 19980301) & (c("data_source") == NAT))
+    return t.agg(F.sum("value_usd").cast(DEC).alias("value_usd"), F.count(F.lit(1)).alias("n"))
+
+
+@key("dq_v4_v7", f"""
+SELECT 'v4_corridor_ttm' AS "check", CAST(port_id AS VARCHAR) AS item, count(*) AS n, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd
+FROM t WHERE port_id IN ({O.in_list(P.corridor_ports)}) AND date_id BETWEEN 20001101 AND 20011001 GROUP BY port_id
+UNION ALL SELECT 'v5_national_year', '1999', count(*), CAST(SUM(value_usd) AS DECIMAL(38,2)) FROM t
+  WHERE data_source = 'national' AND date_id {O.yrange(1999)}
+UNION ALL SELECT 'v7_mirror_months', CAST(date_id AS VARCHAR), count(*), CAST(SUM(value_usd) AS DECIMAL(38,2)) FROM t
+  WHERE port_id = {P.focus_port} AND data_source = 'mirror' GROUP BY date_id""")
+def dq_v4_v7(m):
+    t, c = m.trade(), F.col
+
+    def g(df, name, item):
+        return df.groupBy(item.alias("item")).agg(F.count(F.lit(1)).alias("n"), F.sum("value_usd").cast(DEC).alias("value_usd")) \
+            .select(F.lit(name).alias("check"), "item", "n", "value_usd")
+    lo, hi = dates.year_range(1999)
+    v4 = g(t.where(c("port_id").isin(*m.p.corridor_ports) & c("date_id").between(20001101, 20011001)), "v4_corridor_ttm",
+           c("port_id").cast("string"))
+    v5 = g(t.where((c("data_source") == NAT) & c("date_id").between(lo, hi)), "v5_national_year", F.lit("1999"))
+    v7 = g(t.where((c("port_id") == m.p.focus_port) & (c("data_source") == catalogs.SOURCE_MIRROR)), "v7_mirror_months",
+           c("date_id").cast("string"))
+    return v4.unionByName(v5).unionByName(v7)
+
+
+@key("dq_month_gaps", f"""
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS period, 'missing' AS status FROM
+  (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2000-11-01', INTERVAL 1 MONTH)) AS DATE) AS d)
+WHERE CAST(strftime(d, '%Y%m%d') AS INTEGER) NOT IN (SELECT date_id FROM t WHERE data_source = 'national')
+UNION ALL SELECT DISTINCT date_id, 'unexpected' FROM t WHERE data_source = 'national'
+  AND date_id NOT BETWEEN 19950101 AND 20001101""")
+def dq_month_gaps(m):
+    nat = m.trade().where(F.col("data_source") == NAT)
+    spine = series.month_spine(m.spark.range(1).select(F.lit("1995-01-01").cast("date").alias("s"),
+                                                       F.lit("2000-11-01").cast("date").alias("e")), "s", "e")
+    spine = spine.select(dates.date_key("month_date").alias("period"))
+    return quality.month_gaps(nat, "date_id", spine, "period")
+
+
+@key("dq_coverage_pct", f"""
+SELECT y.year, 12 AS expected, COALESCE(a.ok, 0) AS ok,
+       CASE WHEN 12 = 0 THEN 0.0 ELSE round(CAST(COALESCE(a.ok, 0) AS DOUBLE) * 100 / 12, 1) END AS coverage_pct
+FROM (SELECT CAST(unnest(generate_series(min(date_id // 10000), max(date_id // 10000))) AS INTEGER) AS year FROM t) y
+LEFT JOIN (SELECT CAST(date_id // 10000 AS INTEGER) AS year, count(DISTINCT date_id) AS ok FROM t WHERE data_source = 'national' GROUP BY 1) a
+USING (year)""")
+def dq_coverage_pct(m):
+    t = m.trade()
+    years = t.agg(F.min(_yr()).alias("a"), F.max(_yr()).alias("b")).select(F.explode(F.sequence(F.col("a").cast("int"), F.col("b").cast("int"))).alias("year"))
+    expected = years.withColumn("expected", F.lit(12))
+    actual = t.where(F.col("data_source") == NAT).groupBy(_yr().cast("int").alias("year")).agg(F.countDistinct("date_id").alias("ok"))
+    return quality.coverage_pct(expected, actual, "year", "expected", "ok")
+
+
+# ===========================================================================
+# N profiling
+# ===========================================================================
+
+_PROFILE_COLS = ["port_id", "date_id", "direction", "container", "production_location", "value_usd", "weight_kg", "data_source"]
+_TYPES = {"port_id": "bigint", "date_id": "int", "direction": "string", "container": "string",
+          "production_location": "string", "value_usd": "decimal(18,2)", "weight_kg": "bigint", "data_source": "string"}
+
+
+@key("profile_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{_TYPES[c]}' AS type, count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+    f"round(CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*) END, 2) AS null_pct, "
+    f"min(CAST({c} AS VARCHAR)) AS example FROM t" for c in _PROFILE_COLS))
+def profile_columns(m):
+    return profile.profile_columns(m.trade().select(*_PROFILE_COLS))
+
+
+@key("profile_distinct", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM t" for c in _PROFILE_COLS))
+def profile_distinct(m):
+    return profile.profile_distinct(m.trade(), _PROFILE_COLS)
+
+
+_DESC_COLS = ["l_quantity", "l_discount", "l_tax"]
+
+
+@key("profile_describe", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+    f"min({c}) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
+    f"round(quantile_cont({c}, 0.75), 6) AS p75, max({c}) AS max FROM lineitem" for c in _DESC_COLS))
+def profile_describe(m):
+    d = profile.describe(m.table("lineitem"), _DESC_COLS)
+    return d.select("column", "count", *[F.round(c, 6).alias(c) for c in ("mean", "std")], "min",
+                    *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")], "max")
+
+
+def _profile_by_name(spark, d):
+    mm = model(spark, d)
+    t = mm.trade()
+    return profile.profile_distinct(t, profile.columns_by_keyword(t, ["port", "date", "source"]))
+
+
+register("profile_by_name", _profile_by_name)
+
+
+# ===========================================================================
+# O link discovery and manifest reconciliation
+# ===========================================================================
+
+_LINKS_SQL = """,
+pl AS (SELECT page_id, CASE WHEN starts_with(l, '/') AND NOT starts_with(l, '//')
+                            THEN regexp_extract(url, '^(https?://[^/?#]+)', 1) || l ELSE l END AS link
+       FROM (SELECT page_id, url, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS l FROM pages))"""
+
+
+@key("extract_links", _LINKS_SQL + "\nSELECT link, count(*) AS n_refs FROM pl GROUP BY 1")
+def extract_links(m):
+    return links.link_counts(links.extract_links(m.table("pages")))
+
+
+_MANIFEST_PRIORITY = ["not_archived", "corrupt", "failed"]
+
+
+def _manifest(m):
+    """Links as a download manifest: the citing page decides the category
+    (page_id mod 3) and the year (2000 + page_id mod 12)."""
+    pg = m.table("pages")
+    host = F.regexp_extract(F.col("url"), r"^(https?://[^/?#]+)", 1)
+    x = pg.select("page_id", host.alias("_host"), F.explode(F.regexp_extract_all("html", F.lit(links.HREF), 1)).alias("_l"))
+    link = F.when(F.col("_l").startswith("/") & ~F.col("_l").startswith("//"), F.concat("_host", "_l")).otherwise(F.col("_l"))
+    cat = codes.map_values(F.pmod("page_id", F.lit(3)), {0: "not_archived", 1: "corrupt", 2: "failed"})
+    return x.select(link.alias("url"), cat.alias("category"), (F.pmod("page_id", F.lit(12)) + 2000).cast("int").alias("year"))
+
+
+@key("manifest_retry", _LINKS_SQL + """,
+mf AS (SELECT link AS url, CASE page_id % 3 WHEN 0 THEN 'not_archived' WHEN 1 THEN 'corrupt' ELSE 'failed' END AS category,
+              CAST(page_id % 12 + 2000 AS INTEGER) AS year, page_id % 3 AS prio FROM pl),
+r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY prio, year) AS rn FROM mf)
+SELECT url, category, year FROM r WHERE rn = 1 AND year >= 2006 ORDER BY year, url""")
+def manifest_retry(m):
+    return links.reconcile_manifest(_manifest(m), _MANIFEST_PRIORITY, 2006)
+
+
+@key("outcome_stats", """
+SELECT CASE WHEN contains(html, '</html>') THEN 'ok' ELSE 'corrupt' END AS status,
+       CASE page_id % 3 WHEN 0 THEN 'not_archived' WHEN 1 THEN 'corrupt' ELSE 'failed' END AS category, count(*) AS n
+FROM pages GROUP BY 1, 2""")
+def outcome_stats(m):
+    pg = m.table("pages")
+    x = pg.select(F.when(F.col("html").contains("</html>"), "ok").otherwise("corrupt").alias("status"),
+                  codes.map_values(F.pmod("page_id", F.lit(3)), {0: "not_archived", 1: "corrupt", 2: "failed"}).alias("category"))
+    return links.outcome_stats(x)
