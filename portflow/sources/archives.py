@@ -54,7 +54,8 @@ def _expand(batches: Iterator[pd.DataFrame], member_regex: str, max_depth: int,
         for path, content in zip(pdf["path"], pdf["content"]):
             for member, status, payload in _walk(bytes(content), path, "", 0, max_depth):
                 base = member.rsplit("/", 1)[-1].rsplit("!", 1)[-1]
-                if not keep.search(base):
+                # damaged archives are always reported; members only when in scope
+                if status != "bad_archive" and not keep.search(base):
                     continue
                 if payload is None:
                     yield pd.DataFrame({"archive": [path], "member": [member], "status": [status],

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from portflow import schemas
 from portflow.functions import dates, metrics
@@ -59,7 +58,9 @@ def daily_wait_stream(events: DataFrame, port: F.Column, lane: F.Column, ts: str
     ``events`` is a streaming DataFrame; the watermark bounds the state kept
     per open day and drops readings that arrive later than ``lateness``.
     """
-    x = events.select(port.alias("port_id"), lane.alias("lane_type_id"), F.col(ts).alias("ts"),
+    # event-time watermarks need TIMESTAMP; under the UTC session zone the
+    # cast keeps the wall-clock day of a TIMESTAMP_NTZ reading
+    x = events.select(port.alias("port_id"), lane.alias("lane_type_id"), F.col(ts).cast("timestamp").alias("ts"),
                       F.col(value).cast("decimal(6,2)").alias("minutes"))
     g = (x.withWatermark("ts", lateness)
           .groupBy(F.window("ts", "1 day").alias("w"), "port_id", "lane_type_id")
