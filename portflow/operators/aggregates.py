@@ -2,8 +2,8 @@
 
 Every aggregate here is planned by Catalyst as partial (map-side) + final
 hash aggregation, so a hot key is pre-combined inside each task before the
-shuffle; no operator collects a group's rows.  Exact percentiles are the one
-exception that buffers values per group — see ``percentiles``.
+shuffle; no operator collects a group's rows or sorts a raw group in one
+task (exact percentiles work on per-group value counts).
 """
 
 from __future__ import annotations
@@ -116,44 +116,42 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[flo
                 names: Sequence[str], exact: bool = True) -> DataFrame:
     """Continuous percentiles per group.
 
-    ``exact`` uses ``percentile`` (linear interpolation, PERCENTILE_CONT);
-    it buffers the values of a group, fine for per port x lane x year groups.
-    For unbounded groups use ``exact=False`` (``percentile_approx``, bounded
-    memory sketch).
+    ``exact`` -> ``percentile_exact`` (value counts, skew-proof, decimal);
+    ``exact=False`` -> ``percentile_approx`` (bounded-memory sketch) for
+    value domains too large to enumerate.
     """
+    if exact:
+        return percentile_exact(df, keys, value, qs, names, digits=9)
     v = F.col(value).cast("double")
-    fn = (lambda q: F.percentile(v, F.lit(q))) if exact else (lambda q: F.percentile_approx(v, q, 10000))
-    return df.groupBy(*keys).agg(*[fn(q).alias(n) for q, n in zip(qs, names)])
+    return df.groupBy(*keys).agg(*[F.percentile_approx(v, q, 10000).alias(n) for q, n in zip(qs, names)])
 
 
 def percentile_exact(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float],
                      names: Sequence[str], digits: int = 2) -> DataFrame:
     """PERCENTILE_CONT computed exactly in DECIMAL, rounded half up.
 
-    The two order statistics around ``q * (n - 1)`` are located with a
-    sort-based window (rows of a group are sorted, spilling if needed, never
-    buffered whole in memory) and interpolated in decimal arithmetic, so the
-    result does not depend on floating-point evaluation order.
+    Skew-proof: rows are first reduced to (group, value, count) — a map-side
+    combined aggregate, so a group holding a third of the data costs no more
+    than any other — and the order statistics around ``q * (n - 1)`` are found
+    with a cumulative count over the *distinct values* of each group (bounded
+    by the value domain, e.g. 1e6 for decimal(6,2) minutes).  Interpolation
+    is decimal arithmetic, so the result does not depend on floating-point
+    evaluation order.
     """
     v = F.col(value).cast("decimal(18,4)")
-    w = Window.partitionBy(*keys).orderBy(v)
-    x = df.select(*keys, v.alias("_v"), F.row_number().over(w).alias("_rn"),
-                  F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("_n"))
-    aggs, keep = [], []
+    vc = df.where(F.col(value).isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    grp = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    cum = F.sum("_c").over(grp.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = vc.select(*keys, "_v", (cum - 1).alias("_last"), F.sum("_c").over(grp).alias("_n"))
+    aggs = []
     for q, name in zip(qs, names):
-        pos = F.lit(q).cast("decimal(10,6)") * (F.col("_n") - 1)
-        lo = F.floor(pos).cast("long") + 1
-        frac = pos - F.floor(pos)
-        x = x.withColumn(f"_lo_{name}", lo).withColumn(f"_fr_{name}", frac)
-        keep.append((F.col("_rn") == F.col(f"_lo_{name}")) | (F.col("_rn") == F.col(f"_lo_{name}") + 1))
-        lo_v = F.max(F.when(F.col("_rn") == F.col(f"_lo_{name}"), F.col("_v")))
-        hi_v = F.max(F.when(F.col("_rn") == F.col(f"_lo_{name}") + 1, F.col("_v")))
-        fr = F.max(F.col(f"_fr_{name}"))
+        pos = F.lit(q).cast("decimal(10,6)") * (F.col("_n") - 1)       # 0-based fractional rank
+        lo = F.floor(pos)
+        lo_v = F.min(F.when(F.col("_last") >= lo, F.col("_v")))          # value holding rank lo
+        hi_v = F.min(F.when(F.col("_last") >= lo + 1, F.col("_v")))      # ... and rank lo + 1
+        fr = F.max(pos - lo)
         aggs.append(F.round(lo_v + (F.coalesce(hi_v, lo_v) - lo_v) * fr, digits).cast("double").alias(name))
-    cond = keep[0]
-    for k in keep[1:]:
-        cond = cond | k
-    return x.where(cond).groupBy(*keys).agg(*aggs)
+    return x.groupBy(*keys).agg(*aggs) if keys else x.agg(*aggs)
 
 
 def first_last(df: DataFrame, keys: Sequence[str], date_col: str, measure: str) -> DataFrame:

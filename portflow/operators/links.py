@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 HREF = r'href="([^"]+)"'
 
@@ -45,8 +44,11 @@ def reconcile_manifest(manifest: DataFrame, priority: list[str], min_year: int,
     """One row per URL: the first category in ``priority`` order wins; rows
     before ``min_year`` or without a year are dropped; sorted by (year, url)."""
     prio = F.create_map(*[x for i, c in enumerate(priority) for x in (F.lit(c), F.lit(i))])
-    w = Window.partitionBy(url).orderBy(prio[F.col(category)], F.col(year))
-    first = (manifest.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn"))
+    # min of (priority, year, category) per URL: a map-side combined aggregate,
+    # so a URL listed millions of times never lands whole in one task
+    best = F.min(F.struct(prio[F.col(category)].alias("p"), F.col(year).alias("y"), F.col(category).alias("c")))
+    first = manifest.groupBy(url).agg(best.alias("_b")).select(
+        url, F.col("_b.c").alias(category), F.col("_b.y").alias(year))
     return first.where(F.col(year) >= min_year).orderBy(year, url)
 
 

@@ -7,6 +7,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from portflow.operators.aggregates import percentiles
+
 
 def _stack(wide: DataFrame, names: Sequence[str], fields: Sequence[str], key: str = "column") -> DataFrame:
     """Turn ``{name}__{field}`` columns of a one-row frame into one row per name."""
@@ -44,16 +46,24 @@ def profile_distinct(df: DataFrame, cols: Sequence[str], approx: bool = False) -
     return _stack(wide, cols, ["n_distinct"])
 
 
-def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count, mean, std (sample), min, quartiles (exact), max per numeric column."""
+def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
+    """count, mean, std (sample), min, quartiles, max per numeric column.
+
+    Moments come from one aggregate; quartiles from ``percentiles`` (exact via
+    value counts, or a sketch with ``exact=False`` for huge value domains),
+    one small frame per column joined on the column name."""
     aggs = []
     for c in cols:
         v = F.col(c).cast("double")
         aggs += [F.count(v).alias(f"{c}__count"), F.avg(v).alias(f"{c}__mean"),
-                 F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"),
-                 F.percentile(v, F.lit(0.25)).alias(f"{c}__p25"), F.percentile(v, F.lit(0.5)).alias(f"{c}__p50"),
-                 F.percentile(v, F.lit(0.75)).alias(f"{c}__p75"), F.max(v).alias(f"{c}__max")]
-    return _stack(df.agg(*aggs), cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+                 F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"), F.max(v).alias(f"{c}__max")]
+    moments = _stack(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    qs = None
+    for c in cols:
+        q = percentiles(df.select(c), [], c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], exact=exact) \
+            .select(F.lit(c).alias("column"), *[F.col(n).cast("double").alias(n) for n in ("p25", "p50", "p75")])
+        qs = q if qs is None else qs.unionByName(q)
+    return moments.join(qs, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def columns_by_keyword(df: DataFrame, keywords: Sequence[str]) -> list[str]:

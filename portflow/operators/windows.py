@@ -40,8 +40,17 @@ def series_index(df: DataFrame, order: str, out: str = "idx", partition: Sequenc
 
 
 def dup_mark(df: DataFrame, pk: Sequence[str], out: str = "is_dup") -> DataFrame:
-    """Flag every member of a duplicated key group (keep=False semantics)."""
-    return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*pk)) > 1)
+    """Flag every member of a duplicated key group (keep=False semantics).
+
+    Counts per key come from a map-side combined aggregate and are joined
+    back null-safely; a hot key is then a skewed *join* partition, which AQE
+    splits, instead of a window partition sorted in one task."""
+    counts = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"))
+    cond = None
+    for k in pk:
+        c = df[k].eqNullSafe(counts[k])
+        cond = c if cond is None else cond & c
+    return df.join(counts, cond, "left").select(df["*"], (F.col("_n") > 1).alias(out))
 
 
 def month_index(date_col) -> Column:

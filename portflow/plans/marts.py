@@ -82,7 +82,12 @@ def trade_monthly(m: Model) -> DataFrame:
     """
     p = m.p
     t = m.trade().select("port_id", "date_id", "data_source", "value_usd")
-    t = t.join(m.port_flags.select("port_id", "is_in_corridor"), "port_id", "left")
+    flags = m.port_flags.select("port_id", "is_in_corridor")
+    if not m.port_is_small:
+        # large dimension: shrink the fact to (port, month, source) first, so
+        # the shuffle join sees one row per port-month instead of raw rows
+        t = t.groupBy("port_id", "date_id", "data_source").agg(F.sum("value_usd").alias("value_usd"))
+    t = t.join(flags, "port_id", "left")
     small = (t.groupBy("date_id", "data_source",
                        F.col("port_id").isin(*p.focus_ports).alias("is_focus"),
                        F.coalesce(F.col("is_in_corridor"), F.lit(False)).alias("is_corr"))
@@ -109,7 +114,10 @@ def crossing_monthly(m: Model) -> DataFrame:
     """Crossings per month: total rows present, corridor sum, focus trucks."""
     p = m.p
     truck = catalogs.mode_ids()[p.truck_mode]
-    c = m.crossing().join(m.port_flags.select("port_id", "is_in_corridor"), "port_id", "left")
+    c = m.crossing()
+    if not m.port_is_small:
+        c = c.groupBy("port_id", "mode_id", "date_id").agg(F.sum("crossing_count").alias("crossing_count"))
+    c = c.join(m.port_flags.select("port_id", "is_in_corridor"), "port_id", "left")
     corr = F.coalesce(F.col("is_in_corridor"), F.lit(False))
     focus_truck = F.col("port_id").isin(*p.focus_ports) & (F.col("mode_id") == truck)
     return (c.groupBy("date_id").agg(
@@ -365,7 +373,7 @@ def _focus_year_sector(m: Model, sector_col: str = "sector_grouping") -> DataFra
     f = m.trade().where(F.col("port_id").isin(*p.focus_ports)).select("commodity_id", "date_id", "value_usd")
     fm = f.groupBy("commodity_id", "date_id").agg(F.sum("value_usd").alias("v"))
     com = bounded_broadcast(m.dim_commodity().select("commodity_id", F.col(sector_col).alias("sector")),
-                            cache_key=m._key("part") + (sector_col,))
+                            m.max_broadcast_rows, cache_key=m._key("part") + (sector_col,))
     return (fm.join(com, "commodity_id")
               .withColumn("year", key_year("date_id"))
               .groupBy("year", "sector").agg(F.sum("v").cast(DEC).alias("v"))

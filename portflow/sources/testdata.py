@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from portflow import catalogs
 from portflow.functions import codes, dates, metrics
-from portflow.operators.joins import bounded_broadcast
+from portflow.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, fits
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -83,6 +83,7 @@ class Model:
     spark: SparkSession
     sf_dir: str
     p: Params = field(default_factory=Params)
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS   # proven bound for broadcasting a dimension
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
@@ -100,14 +101,14 @@ class Model:
     @cached_property
     def _geo(self) -> DataFrame:
         n, r = self.table("nation"), self.table("region")
-        return (n.join(bounded_broadcast(r, cache_key=self._key("region")), n.n_regionkey == r.r_regionkey)
+        return (n.join(bounded_broadcast(r, self.max_broadcast_rows, cache_key=self._key("region")), n.n_regionkey == r.r_regionkey)
                  .select("n_nationkey", F.col("n_name").alias("state"), F.col("r_name").alias("border")))
 
     def dim_port(self) -> DataFrame:
         p = self.p
         s = self.table("supplier")
         sid = F.col("s_suppkey")
-        return (s.join(bounded_broadcast(self._geo, cache_key=self._key("nation", "region")),
+        return (s.join(bounded_broadcast(self._geo, self.max_broadcast_rows, cache_key=self._key("nation", "region")),
                        s.s_nationkey == F.col("n_nationkey"))
                  .select(sid.alias("port_id"),
                          F.col("s_name").alias("port_canonical_name"),
@@ -122,12 +123,18 @@ class Model:
                                          F.col("p_type").alias("sector_grouping"),
                                          F.col("p_brand").alias("brand"))
 
+    @cached_property
+    def port_is_small(self) -> bool:
+        """Proven bound on the port dimension (decided once per session)."""
+        return fits(self.dim_port().select("port_id"), self.max_broadcast_rows,
+                    cache_key=self._key("supplier", "nation", "region"))
+
     @cached_property
     def port_flags(self) -> DataFrame:
-        """Narrow port dimension for fact joins, broadcast only when bounded."""
-        return bounded_broadcast(self.dim_port().select(
-            "port_id", "port_canonical_name", "state", "border", "is_in_corridor", "is_aggregate"),
-            cache_key=self._key("supplier", "nation", "region"))
+        """Narrow port dimension for fact joins, broadcast only when bounded;
+        otherwise callers pre-aggregate the fact before joining it."""
+        d = self.dim_port().select("port_id", "port_canonical_name", "state", "border", "is_in_corridor", "is_aggregate")
+        return F.broadcast(d) if self.port_is_small else d
 
     def _key(self, *tables: str) -> tuple:
         return tuple(f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in tables)

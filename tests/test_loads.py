@@ -200,3 +200,18 @@ def test_sinks_idempotent_and_json_nulls(spark, workdir):
     assert got == [("mirror", 30), ("national", 1), ("national", 2)]
     doc = to_document(spark.createDataFrame([(1, None)], "a int, b string")).first().value
     assert json.loads(doc) == {"data": [{"a": 1, "b": None}]}
+
+
+def test_scan_csv_glob_concat_by_name(spark, workdir):
+    """Two eras with different column orders (and one missing column) are
+    concatenated by name, not by position."""
+    _write(f"{workdir}/a/dot3_0124.csv", NAT_HEADER + "\n" + NAT_ROWS[0] + "\n")
+    cols = NAT_HEADER.split(",")
+    vals = NAT_ROWS[2].split(",")
+    order = list(reversed(range(len(cols))))
+    keep = [i for i in order if cols[i] != "FREIGHT_CHARGES"]
+    _write(f"{workdir}/b/dot3_0224.csv", ",".join(cols[i] for i in keep) + "\n" + ",".join(vals[i] for i in keep) + "\n")
+    df = files.read_csv_by_name(spark, [f"{workdir}/a/*.csv", f"{workdir}/b/*.csv"], schemas.NATIONAL_CSV)
+    got = sorted((r.DEPE, r.VALUE, r.FREIGHT_CHARGES, r.YEAR) for r in df.collect())
+    assert got == [("2501", 7, None, 2024), ("2504", 100, None, 2024)]
+    assert df.where(F.col("_file").endswith("dot3_0224.csv")).count() == 1
