@@ -20,6 +20,23 @@ def month_spine(bounds: DataFrame, start: str, end: str, out: str = "month_date"
     return bounds.select(F.explode(F.sequence(F.col(start), F.col(end), F.expr("interval 1 month"))).alias(out))
 
 
+def gapfill_months(series: DataFrame, month_col: str, values: list[str], start: str,
+                   end: str | None = None, out: str = "month_date") -> DataFrame:
+    """Month spine from ``start`` to the last month of the series (or
+    ``end``), with the series' values or NULL.
+
+    One pass: the (monthly, hence calendar-bounded) series is folded into a
+    single row holding a month -> values map and its last month; the spine is
+    exploded from that row and looked up in the map.  The series plan is
+    evaluated once and no join is planned."""
+    pts = F.map_from_entries(F.collect_list(F.struct(F.col(month_col), F.struct(*[F.col(v) for v in values]))))
+    last = F.lit(end).cast("date") if end else F.max(month_col)
+    one = series.agg(pts.alias("_m"), last.alias("_e"))
+    x = one.select("_m", F.explode(F.sequence(F.lit(start).cast("date"), F.col("_e"),
+                                              F.expr("interval 1 month"))).alias(out))
+    return x.select(out, *[F.col("_m")[F.col(out)][v].alias(v) for v in values])
+
+
 def day_spine(bounds: DataFrame, start: str, end: str, out: str = "full_date") -> DataFrame:
     return bounds.select(F.explode(F.sequence(F.col(start), F.col(end), F.expr("interval 1 day"))).alias(out))
 
@@ -33,16 +50,17 @@ def gapfill(spine: DataFrame, series: DataFrame, key: str) -> DataFrame:
 def grid_zero_fill(df: DataFrame, row: str, col: str, value: str, out: str | None = None) -> DataFrame:
     """Every (row, col) pair of the values present, missing cells -> 0.
 
-    The two domains are gathered by one aggregate (bounded by the number of
-    distinct rows and columns, e.g. years x sectors) and exploded into the
-    grid; the values join back on the pair.
+    One pass over ``df``: cells are folded into one map per row key (bounded
+    by the number of columns, e.g. sectors), the column domain is gathered
+    with a window over those per-row records (bounded by rows x columns, e.g.
+    years), and the grid is exploded from it — no self-join, so the input
+    plan is evaluated once.
     """
-    dom = df.agg(F.array_sort(F.collect_set(row)).alias("_r"), F.array_sort(F.collect_set(col)).alias("_c"))
-    grid = (dom.select(F.explode("_r").alias(row), "_c")
-               .select(row, F.explode("_c").alias(col)))
-    return (grid.join(df.select(row, col, value), [row, col], "left")
-                .select(row, col, F.coalesce(F.col(value), F.lit(0)).cast(df.schema[value].dataType)
-                        .alias(out or value)))
+    dtype = df.schema[value].dataType
+    per_row = df.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct(F.col(col), F.col(value)))).alias("_m"))
+    dom = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("_m")).over(Window.partitionBy()))))
+    g = per_row.withColumn("_dom", dom).select(row, "_m", F.explode("_dom").alias(col))
+    return g.select(row, col, F.coalesce(F.col("_m")[F.col(col)], F.lit(0)).cast(dtype).alias(out or value))
 
 
 def heatmap_long(df: DataFrame, keys: Sequence[str], day: str, value_expr: Column, n_name: str = "n") -> DataFrame:

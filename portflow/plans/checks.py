@@ -270,7 +270,7 @@ SELECT code FROM (SELECT {O.parse_port_sql('depe')} AS code FROM dl) WHERE code
 EXCEPT SELECT port_code FROM port""")
 def set_difference(m):
     feed = m.trade_port_text().select(codes.parse_port_code("depe").alias("code")).where("code IS NOT NULL")
-    return feed.subtract(m.dim_port().select(F.col("port_code").alias("code")))
+    return feed.subtract(m.port_codes().select(F.col("port_code").alias("code")))
 
 
 @key("set_intersect", f"""
@@ -278,7 +278,7 @@ SELECT code FROM (SELECT {O.parse_port_sql('depe')} AS code FROM dl) WHERE code
 INTERSECT SELECT port_code FROM port""")
 def set_intersect(m):
     feed = m.trade_port_text().select(codes.parse_port_code("depe").alias("code")).where("code IS NOT NULL")
-    return feed.intersect(m.dim_port().select(F.col("port_code").alias("code")))
+    return feed.intersect(m.port_codes().select(F.col("port_code").alias("code")))
 
 
 @key("union_distinct", """
@@ -656,7 +656,8 @@ def reject_reasons(m):
                                   {"port_unmapped": F.col("port_id"), "mode_unmapped": F.col("mode_name")})
     counts = conform.reject_counts(rej)
     reasons = m.spark.createDataFrame([("port_unmapped",), ("mode_unmapped",)], "reason string")
-    return reasons.join(counts, "reason", "left").select("reason", F.coalesce("n", F.lit(0)).alias("n"))
+    # counts has one row per reason: a proven bound
+    return reasons.join(F.broadcast(counts), "reason", "left").select("reason", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @key("unmapped_codes", f"""
@@ -665,7 +666,7 @@ SELECT DISTINCT depe AS code FROM dl WHERE depe IS NOT NULL
 def unmapped_codes(m):
     li = m.trade_port_text()
     known = (li.select("depe").distinct()
-               .join(m.dim_port().select(F.col("port_code").alias("_c")), codes.parse_port_code("depe") == F.col("_c"))
+               .join(m.port_codes().select(F.col("port_code").alias("_c")), codes.parse_port_code("depe") == F.col("_c"))
                .select("depe"))
     return conform.unmapped_codes(li, "depe", known, "depe")
 
@@ -691,7 +692,7 @@ SELECT DISTINCT port_code,
 FROM (SELECT {O.parse_port_sql('depe')} AS port_code FROM dl)
 WHERE port_code IS NOT NULL AND port_code NOT IN (SELECT port_code FROM port)""")
 def synthetic_names(m):
-    new = dims.discover_port_members(m.trade_port_text(), "depe", m.dim_port())
+    new = dims.discover_port_members(m.trade_port_text(), "depe", m.port_codes())
     return new.select("port_code", F.col("port_canonical_name").alias("name"))
 
 
@@ -793,7 +794,7 @@ SELECT DISTINCT {O.parse_port_sql('depe')} AS port_code FROM dl
 WHERE {O.parse_port_sql('depe')} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM port WHERE port.port_code = {O.parse_port_sql('dl.depe')})""")
 def anti_orphans(m):
     c = m.trade_port_text().select(codes.parse_port_code("depe").alias("port_code")).where("port_code IS NOT NULL").distinct()
-    return joins.anti_orphans(c, m.dim_port().select("port_code"), "port_code")
+    return joins.anti_orphans(c, m.port_codes(), "port_code")
 
 
 @key("semi_catalog_match", f"""
@@ -921,7 +922,7 @@ SELECT DISTINCT code, CASE WHEN code % 100 = 99 THEN 'District ' || lpad(CAST(co
 FROM (SELECT {O.parse_port_sql('depe')} AS code FROM dl) WHERE code IS NOT NULL AND code NOT IN (SELECT port_code FROM port)""")
 def insert_if_absent(m):
     existing = m.dim_port().select("port_code", "port_canonical_name", "is_aggregate")
-    new = dims.discover_port_members(m.trade_port_text(), "depe", m.dim_port())
+    new = dims.discover_port_members(m.trade_port_text(), "depe", m.port_codes())
     return dims.insert_if_absent(new.select("port_code", "port_canonical_name", "is_aggregate"), existing, "port_code")
 
 
@@ -930,7 +931,7 @@ SELECT DISTINCT code AS port_code,
        COALESCE({O.case('code // 100', catalogs.DISTRICT_TO_STATE)}, 'Other') AS state, TRUE AS is_aggregate, FALSE AS is_in_corridor
 FROM (SELECT {O.parse_port_sql('depe')} AS code FROM dl) WHERE code IS NOT NULL AND code NOT IN (SELECT port_code FROM port)""")
 def discover_members(m):
-    new = dims.discover_port_members(m.trade_port_text(), "depe", m.dim_port())
+    new = dims.discover_port_members(m.trade_port_text(), "depe", m.port_codes())
     return new.select("port_code", "state", "is_aggregate", "is_in_corridor")
 
 
@@ -1065,10 +1066,11 @@ spine AS (SELECT CAST(unnest(generate_series(DATE '{P.series_start}', (SELECT ma
 SELECT s.month_date, f.value_usd FROM spine s LEFT JOIN f ON {O.kdate('f.date_id')} = s.month_date""")
 def gapfill_null(m):
     t = m.trade()
-    f = agg.sum_by(t.where((F.col("port_id") == m.p.focus_port) & (F.col("data_source") == NAT)), ["date_id"],
-                   "value_usd", "value_usd").select(dates.key_to_date("date_id").alias("month_date"), "value_usd")
-    bounds = t.agg(F.max(dates.key_to_date("date_id")).alias("end")).withColumn("start", F.lit(m.p.series_start).cast("date"))
-    return series.gapfill(series.month_spine(bounds, "start", "end"), f, "month_date")
+    # the spine ends at the last month of the whole fact: one scan carries both
+    x = t.groupBy("date_id").agg(F.sum(F.when((F.col("port_id") == m.p.focus_port) & (F.col("data_source") == NAT),
+                                              F.col("value_usd"))).cast(DEC).alias("value_usd"))
+    x = x.withColumn("month_date", dates.key_to_date("date_id"))
+    return series.gapfill_months(x, "month_date", ["value_usd"], m.p.series_start)
 
 
 register("pivot_zero_fill", lambda spark, d: marts.mart_sector_history(model(spark, d), "brand"),
@@ -1180,11 +1182,13 @@ UNION ALL SELECT 'trade.commodity_id', count(*) FROM t WHERE commodity_id NOT IN
 UNION ALL SELECT 'crossing.port_id', count(*) FROM c WHERE port_id NOT IN (SELECT port_id FROM port)
 UNION ALL SELECT 'wait.lane_type_id', count(*) FROM w WHERE lane_type_id NOT IN (SELECT lane_type_id FROM lanes)""")
 def dq_fk(m):
-    ports = m.dim_port().select("port_id")
+    ports = m.port_flags.select("port_id")
+    com = joins.bounded_broadcast(m.dim_commodity().select("commodity_id"), m.max_broadcast_rows, cache_key=m._key("part"))
     return (quality.fk_orphans(m.trade(), "port_id", ports, "port_id", "trade.port_id")
-            .unionByName(quality.fk_orphans(m.trade(), "commodity_id", m.dim_commodity(), "commodity_id", "trade.commodity_id"))
+            .unionByName(quality.fk_orphans(m.trade(), "commodity_id", com, "commodity_id", "trade.commodity_id"))
             .unionByName(quality.fk_orphans(m.crossing(), "port_id", ports, "port_id", "crossing.port_id"))
-            .unionByName(quality.fk_orphans(m.wait(), "lane_type_id", m.dim_lane(), "lane_type_id", "wait.lane_type_id")))
+            .unionByName(quality.fk_orphans(m.wait(), "lane_type_id", F.broadcast(m.dim_lane()), "lane_type_id",
+                                            "wait.lane_type_id")))
 
 
 @key("dq_check", """

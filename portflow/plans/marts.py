@@ -182,7 +182,8 @@ def _wait_window_avg(m: Model, combos: list[tuple[int, str]]) -> DataFrame:
             .groupBy("port_id", "lane_type_id")
             .agg(F.sum(metrics.cents("waiting_avg_minutes")).alias("_c"), F.count(F.lit(1)).alias("_n")))
     end_row = win.agg(F.max("end_id").alias("end_id"))
-    out = (req.join(hit, ["port_id", "lane_type_id"], "left")
+    # ``hit`` has at most one row per requested combo: a proven bound
+    out = (req.join(F.broadcast(hit), ["port_id", "lane_type_id"], "left")
               .select("ord", "port_id", "lane", metrics.mean_half_up("_c", "_n").alias("avg_min")))
     return out, end_row
 
@@ -243,9 +244,7 @@ def mart_value_timeline(m: Model) -> DataFrame:
     nat = (m.trade().where(F.col("data_source") == NAT)
            .groupBy("date_id").agg(F.sum("value_usd").cast(DEC).alias("value_usd"))
            .withColumn("month_date", key_to_date("date_id")))
-    bounds = nat.agg(F.max("month_date").alias("end")).withColumn("start", F.lit(p.series_start).cast("date"))
-    spine = series.month_spine(bounds, "start", "end")
-    return series.gapfill(spine, nat.select("month_date", "value_usd"), "month_date")
+    return series.gapfill_months(nat, "month_date", ["value_usd"], p.series_start)
 
 
 def mart_crossings_timeline(m: Model) -> DataFrame:
@@ -342,9 +341,7 @@ def mart_focus_monthly(m: Model) -> DataFrame:
          .groupBy("date_id").agg(F.sum("value_usd").cast(DEC).alias("value_usd"),
                                  F.min("data_source").alias("data_source"))
          .withColumn("month_date", key_to_date("date_id")))
-    bounds = f.agg(F.max("month_date").alias("end")).withColumn("start", F.lit(p.series_start).cast("date"))
-    spine = series.month_spine(bounds, "start", "end")
-    return series.gapfill(spine, f.select("month_date", "value_usd", "data_source"), "month_date")
+    return series.gapfill_months(f, "month_date", ["value_usd", "data_source"], p.series_start)
 
 
 def mart_focus_yearly(m: Model) -> DataFrame:
@@ -543,26 +540,40 @@ def series_map(m: Model) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def mart_recovery_kpis(m: Model) -> DataFrame:
+    """Growth current vs base year (value and trucks), worst shock-year month
+    vs the base-year monthly average, and the recovery length in rows.
+
+    All value scalars come from windows over one monthly frame (one scan of
+    the fact); the recovery search is restricted to [shock, end] by a
+    predicate, not by filtering rows away."""
     p = m.p
     tm = trade_monthly(m).where(F.col("has_focus").isNotNull()).select("date_id", "focus_v")
     y = key_year("date_id")
-    v = tm.agg(
-        F.coalesce(F.sum(F.when(y == p.current_year, F.col("focus_v"))), F.lit(0)).cast(DEC).alias("vc"),
-        F.coalesce(F.sum(F.when(y == p.base_year, F.col("focus_v"))), F.lit(0)).cast(DEC).alias("vb"),
-        F.min(F.when(y == p.shock_year, F.col("focus_v"))).alias("min_shock"))
-    cm = crossing_monthly(m)
-    cy = key_year("date_id")
-    t = cm.agg(F.coalesce(F.sum(F.when(cy == p.current_year, F.col("focus_trucks"))), F.lit(0)).alias("tc"),
-               F.coalesce(F.sum(F.when(cy == p.base_year, F.col("focus_trucks"))), F.lit(0)).alias("tb"))
-    # recovery: rows between the worst month of [shock, end] and the first
-    # later month back at the base-year monthly average
     lo, _ = year_range(p.shock_year)
     _, hi = year_range(p.recovery_end_year)
-    base_avg = F.sum(F.when(y == p.base_year, F.col("focus_v"))).over(_all()).cast("double") / 12
-    rng = tm.withColumn("base_avg", base_avg).where(F.col("date_id").between(lo, hi))
-    rec = windows.argmin_then_recovery(rng, "date_id", "focus_v", F.col("base_avg"))
-    rec = rec.select("recovery_rows")
-    j = _one_row(v, t, rec).withColumn("base_avg", F.col("vb").cast("double") / 12)
+    fv = F.col("focus_v")
+
+    def tot(pred):
+        return F.sum(F.when(pred, fv)).over(_all())
+
+    x = (tm.withColumn("vc", F.coalesce(tot(y == p.current_year), F.lit(0)).cast(DEC))
+           .withColumn("vb", F.coalesce(tot(y == p.base_year), F.lit(0)).cast(DEC))
+           .withColumn("min_shock", F.min(F.when(y == p.shock_year, fv)).over(_all()))
+           .withColumn("base_avg", F.col("vb").cast("double") / 12)
+           .withColumn("in_range", F.col("date_id").between(lo, hi)))
+    # rows of the search range numbered 1..n in month order; others NULL
+    rn = F.when(F.col("in_range"), F.row_number().over(Window.partitionBy("in_range").orderBy("date_id")))
+    x = x.withColumn("_rn", rn)
+    best = F.min(F.when(F.col("in_range"), F.struct(fv.alias("v"), F.col("_rn").alias("rn")))).over(_all())
+    x = x.withColumn("_min_rn", best["rn"])
+    rec = F.min(F.when((F.col("_rn") > F.col("_min_rn")) & (fv.cast("double") >= F.col("base_avg")), F.col("_rn")))
+    v = x.agg(F.max("vc").alias("vc"), F.max("vb").alias("vb"), F.max("min_shock").alias("min_shock"),
+              (rec - F.max("_min_rn")).alias("recovery_rows"))
+    cy = key_year("date_id")
+    t = crossing_monthly(m).agg(
+        F.coalesce(F.sum(F.when(cy == p.current_year, F.col("focus_trucks"))), F.lit(0)).alias("tc"),
+        F.coalesce(F.sum(F.when(cy == p.base_year, F.col("focus_trucks"))), F.lit(0)).alias("tb"))
+    j = _one_row(v, t).withColumn("base_avg", F.col("vb").cast("double") / 12)
     vg = metrics.growth_pct("vc", "vb", None)
     tg = metrics.growth_pct("tc", "tb", None)
     return j.select(
@@ -596,7 +607,8 @@ def mart_density_trend(m: Model) -> DataFrame:
     """USD per truck per month (months with both measures) and its linear
     trend over the row index: slope per year and R^2."""
     v, t = _focus_value_trucks(m)
-    j = (v.join(t, "date_id")
+    # t holds at most one row per month of the requested range: a proven bound
+    j = (v.join(F.broadcast(t), "date_id")
           .select("date_id", F.round(metrics.safe_div("value_usd", "trucks"), 2).alias("usd_per_truck"))
           .where(F.col("usd_per_truck").isNotNull()))
     j = windows.series_index(j, "date_id", "idx")

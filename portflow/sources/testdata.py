@@ -136,6 +136,11 @@ class Model:
         d = self.dim_port().select("port_id", "port_canonical_name", "state", "border", "is_in_corridor", "is_aggregate")
         return F.broadcast(d) if self.port_is_small else d
 
+    def port_codes(self) -> DataFrame:
+        """port_code column of the port dimension, broadcast when bounded."""
+        d = self.dim_port().select("port_code")
+        return F.broadcast(d) if self.port_is_small else d
+
     def _key(self, *tables: str) -> tuple:
         return tuple(f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in tables)
 
