@@ -51,19 +51,19 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFram
 
     Moments come from one aggregate; quartiles from ``percentiles`` (exact via
     value counts, or a sketch with ``exact=False`` for huge value domains),
-    one small frame per column joined on the column name."""
+    joined on the column name (one row per column on each side)."""
     aggs = []
     for c in cols:
         v = F.col(c).cast("double")
         aggs += [F.count(v).alias(f"{c}__count"), F.avg(v).alias(f"{c}__mean"),
                  F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"), F.max(v).alias(f"{c}__max")]
     moments = _stack(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
-    qs = None
-    for c in cols:
-        q = percentiles(df.select(c), [], c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], exact=exact) \
-            .select(F.lit(c).alias("column"), *[F.col(n).cast("double").alias(n) for n in ("p25", "p50", "p75")])
-        qs = q if qs is None else qs.unionByName(q)
-    return moments.join(qs, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    # all columns melted to (column, value): one value-count pass for every quartile
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column, value)")
+    qs = percentiles(long, ["column"], "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], exact=exact)
+    qs = qs.select("column", *[F.col(n).cast("double").alias(n) for n in ("p25", "p50", "p75")])
+    return moments.join(F.broadcast(qs), "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def columns_by_keyword(df: DataFrame, keywords: Sequence[str]) -> list[str]:
