@@ -215,3 +215,20 @@ def test_scan_csv_glob_concat_by_name(spark, workdir):
     got = sorted((r.DEPE, r.VALUE, r.FREIGHT_CHARGES, r.YEAR) for r in df.collect())
     assert got == [("2501", 7, None, 2024), ("2504", 100, None, 2024)]
     assert df.where(F.col("_file").endswith("dot3_0224.csv")).count() == 1
+
+
+def test_export_documents_keep_nulls(spark, workdir):
+    import glob
+    from portflow.plans.documents import export_documents
+    from portflow.sources.testdata import model
+    names = export_documents(model(spark, "/root/testdata/sf0.001"), f"{workdir}/docs",
+                             ["mart_value_timeline", "heatmap_matrix", "mart_wait_kpis"])
+    docs = {}
+    for n in names:
+        (path,) = [p for p in glob.glob(f"{workdir}/docs/{n}/part-*") if not p.endswith(".crc")]
+        docs[n] = json.loads(open(path).read())["data"]
+    timeline = docs["mart_value_timeline"]
+    gap = [r for r in timeline if r["month_date"].startswith("1997-")]
+    assert len(gap) == 12 and all(r["value_usd"] is None for r in gap)     # gap year stays null
+    assert all(len(r["week_values"]) == 7 for r in docs["heatmap_matrix"])
+    assert any(r["avg_min"] is None for r in docs["mart_wait_kpis"])        # port without data -> null
