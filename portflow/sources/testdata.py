@@ -41,6 +41,28 @@ EVENT_TYPE_TO_LANE = {"click": "Commercial Fast", "view": "Commercial Standard",
                       "error": "Pedestrian Standard"}
 
 
+_READS: dict[tuple, DataFrame] = {}
+_DERIVED: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    """Reuse a derived (lazy) DataFrame of the model within the application.
+
+    Keyed by application, class, source folder, parameters and method, so a
+    different model or parameter set never sees another's plan.  Only the
+    plan is reused; no data is cached."""
+    def wrapper(self):
+        key = (self.spark.sparkContext.applicationId, type(self).__name__, self.sf_dir, self.p,
+               self.max_broadcast_rows, fn.__name__)
+        df = _DERIVED.get(key)
+        if df is None:
+            df = _DERIVED[key] = fn(self)
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 @dataclass(frozen=True)
 class Params:
     """Parameters of the marts (the reference hard-codes these)."""
@@ -86,7 +108,15 @@ class Model:
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS   # proven bound for broadcasting a dimension
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+        """The driver table as a DataFrame.  The tables are read-only inputs,
+        so the (lazy) DataFrame is reused within the application: the file
+        listing and footer schema are resolved once, not once per query."""
+        path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        df = _READS.get(key)
+        if df is None:
+            df = _READS[key] = self.spark.read.parquet(path)
+        return df
 
     # ---- dimensions -----------------------------------------------------
     def dim_mode(self) -> DataFrame:
@@ -104,6 +134,7 @@ class Model:
         return (n.join(bounded_broadcast(r, self.max_broadcast_rows, cache_key=self._key("region")), n.n_regionkey == r.r_regionkey)
                  .select("n_nationkey", F.col("n_name").alias("state"), F.col("r_name").alias("border")))
 
+    @_memo
     def dim_port(self) -> DataFrame:
         p = self.p
         s = self.table("supplier")
@@ -118,6 +149,7 @@ class Model:
                          sid.isin(*p.corridor_ports).alias("is_in_corridor"),
                          (F.pmod(sid, F.lit(p.aggregate_mod)) == p.aggregate_rem).alias("is_aggregate")))
 
+    @_memo
     def dim_commodity(self) -> DataFrame:
         return self.table("part").select(F.col("p_partkey").alias("commodity_id"),
                                          F.col("p_type").alias("sector_grouping"),
@@ -145,6 +177,7 @@ class Model:
         return tuple(f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in tables)
 
     # ---- trade ------------------------------------------------------------
+    @_memo
     def trade_feed(self) -> DataFrame:
         """lineitem re-coded as national-feed codes (before conforming)."""
         p = self.p
@@ -170,6 +203,7 @@ class Model:
              .otherwise(F.lit(catalogs.SOURCE_NATIONAL)).alias("data_source"),
         )
 
+    @_memo
     def trade(self) -> DataFrame:
         """Conformed trade rows (one per feed row; duplicates of the PK are
         collapsed by the load job, sums over them are unaffected)."""
@@ -189,6 +223,7 @@ class Model:
             "data_source",
         )
 
+    @_memo
     def trade_port_text(self) -> DataFrame:
         """lineitem with the raw port code *text* of the national feed.
 
@@ -208,6 +243,7 @@ class Model:
         return self.table("lineitem").select("*", depe.alias("depe"))
 
     # ---- crossings --------------------------------------------------------
+    @_memo
     def crossing(self) -> DataFrame:
         p = self.p
         mode_id = {k: catalogs.mode_ids()[v] for k, v in PRIORITY_TO_MODE.items()}
@@ -219,6 +255,7 @@ class Model:
         )
 
     # ---- waits --------------------------------------------------------------
+    @_memo
     def wait_events(self) -> DataFrame:
         p = self.p
         lane_id = {k: catalogs.lane_ids()[v] for k, v in EVENT_TYPE_TO_LANE.items()}
@@ -230,6 +267,7 @@ class Model:
             F.col("value").cast("decimal(6,2)").alias("minutes"),
         )
 
+    @_memo
     def wait(self) -> DataFrame:
         """Daily wait fact: mean of the raw readings per port x lane x day,
         rounded half up to 2 decimals (exact integer arithmetic)."""
