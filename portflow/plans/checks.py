@@ -19,7 +19,7 @@ from portflow.operators import conform, dims, joins, links, profile, quality, se
 from portflow.plans import marts
 from portflow.plans import oracle as O
 from portflow.plans.registry import register
-from portflow.sources.testdata import Model, model
+from portflow.sources.testdata import PRIORITY_TO_MODE, Model, model
 
 P = O.P
 DEC = "decimal(38,2)"
@@ -945,10 +945,9 @@ SELECT COALESCE(a.member, b.member) AS member,
        CASE WHEN a.member IS NOT NULL AND b.member IS NOT NULL THEN 'both' WHEN a.member IS NOT NULL THEN 'transborder'
             ELSE 'border_crossing' END AS source_dataset
 FROM (SELECT DISTINCT {O.case('l_linenumber', catalogs.TRADE_MODE_CODE_TO_MODE)} AS member FROM lineitem) a
-FULL OUTER JOIN (SELECT DISTINCT {O.case('o_orderpriority', __import__('portflow.sources.testdata', fromlist=['x']).PRIORITY_TO_MODE)} AS member FROM orders) b
+FULL OUTER JOIN (SELECT DISTINCT {O.case('o_orderpriority', PRIORITY_TO_MODE)} AS member FROM orders) b
 ON a.member = b.member""")
 def mode_provenance(m):
-    from portflow.sources.testdata import PRIORITY_TO_MODE
     a = m.table("lineitem").select(codes.map_values("l_linenumber", catalogs.TRADE_MODE_CODE_TO_MODE).alias("member"))
     b = m.table("orders").select(codes.map_values("o_orderpriority", PRIORITY_TO_MODE).alias("member"))
     return dims.member_provenance(a, "member", "transborder", b, "member", "border_crossing")

@@ -40,11 +40,6 @@ def _all():
 DEC = "decimal(38,2)"
 
 
-def _between_year(col: str, year: int):
-    lo, hi = year_range(year)
-    return F.col(col).between(lo, hi)
-
-
 def _ym(col):
     """yyyymmdd key -> 'yyyy-MM'."""
     s = F.col(col).cast("string") if isinstance(col, str) else col.cast("string")
@@ -188,7 +183,7 @@ def _wait_window_avg(m: Model, combos: list[tuple[int, str]]) -> DataFrame:
     return out, end_row
 
 
-def _attach_scalar(rows: DataFrame, one_row: DataFrame, key: str) -> DataFrame:
+def _attach_scalar(rows: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame to a few rows (no join): stack
     both and spread the scalar with a window over the (bounded) rows."""
     u = rows.withColumn("_row", F.lit(True)).unionByName(one_row, allowMissingColumns=True)
@@ -458,7 +453,7 @@ def mart_wait_kpis(m: Model) -> DataFrame:
     p = m.p
     wa, wend = _wait_window_avg(m, list(p.wait_kpis))
     e = wend.select(_ymd("end_id").alias("window_end"))
-    return _attach_scalar(wa, e, "window_end").select("port_id", "lane", "avg_min", "window_end")
+    return _attach_scalar(wa, e).select("port_id", "lane", "avg_min", "window_end")
 
 
 def _corridor_waits(m: Model) -> DataFrame:

@@ -52,7 +52,7 @@ def _memo(fn):
     different model or parameter set never sees another's plan.  Only the
     plan is reused; no data is cached."""
     def wrapper(self):
-        key = (self.spark.sparkContext.applicationId, type(self).__name__, self.sf_dir, self.p,
+        key = (self.spark.sparkContext.applicationId, id(self.spark), type(self).__name__, self.sf_dir, self.p,
                self.max_broadcast_rows, fn.__name__)
         df = _DERIVED.get(key)
         if df is None:
@@ -112,7 +112,7 @@ class Model:
         so the (lazy) DataFrame is reused within the application: the file
         listing and footer schema are resolved once, not once per query."""
         path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
-        key = (self.spark.sparkContext.applicationId, path)
+        key = (self.spark.sparkContext.applicationId, id(self.spark), path)
         df = _READS.get(key)
         if df is None:
             df = _READS[key] = self.spark.read.parquet(path)
