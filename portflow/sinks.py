@@ -50,7 +50,8 @@ def to_document(df: DataFrame, name: str = "data") -> DataFrame:
     NULL fields are written as ``null`` (not dropped), decimals as numbers,
     dates as ISO text.  Only for mart outputs, which are bounded by months x
     ports; never for fact rows."""
-    rows = F.collect_list(F.struct(*df.columns))
+    # sorted, so a retried task or a re-run writes byte-identical documents
+    rows = F.array_sort(F.collect_list(F.struct(*df.columns)))
     return df.agg(F.to_json(F.struct(rows.alias(name)), {"ignoreNullFields": "false"}).alias("value"))
 
 

@@ -29,7 +29,13 @@ from portflow.sources.files import national_file_period
 def incremental_national_load(spark: SparkSession, source_glob: str, dims: loads.Dims, out_path: str,
                               name: str = "national_load", rejects_path: str | None = None) -> int:
     """Process all new national CSV files once (availableNow) and return the
-    number of micro-batches run."""
+    number of micro-batches run.
+
+    Each national file holds exactly one month, so a micro-batch carries whole
+    months and replacing their (source, month) partitions is exact; a
+    re-delivered (corrected) month file replaces that month.  A task or
+    executor lost mid-batch is retried by Spark; a driver restart resumes from
+    the checkpoint and the replayed batch overwrites the same partitions."""
     stream = (spark.readStream.schema(schemas.NATIONAL_CSV).option("header", True)
               .option("maxFilesPerTrigger", 16).csv(source_glob)
               .withColumn("_file", F.input_file_name()))
