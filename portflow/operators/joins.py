@@ -97,8 +97,12 @@ def ratio_to_reference(df: DataFrame, key: str, value: str, ref_key_value,
 
 
 def cross_scalars(*one_row_frames: DataFrame) -> DataFrame:
-    """Combine one-row aggregates into one row (each input is exactly one row)."""
-    out = one_row_frames[0]
+    """Side-by-side combine of global aggregates (each exactly one row).
+
+    The frames are stacked with ``unionByName`` (each row fills only its own
+    columns) and folded with ``max`` per column: one tiny aggregate and no
+    join at all, so no cross product can ever be planned."""
+    u = one_row_frames[0]
     for f in one_row_frames[1:]:
-        out = out.crossJoin(f)
-    return out
+        u = u.unionByName(f, allowMissingColumns=True)
+    return u.agg(*[F.max(c).alias(c) for c in u.columns])

@@ -28,7 +28,7 @@ from portflow.functions import dates, metrics
 from portflow.functions.dates import key_to_date, key_year, shift_month_key, year_range
 from portflow.operators import aggregates as agg
 from portflow.operators import series, windows
-from portflow.operators.joins import bounded_broadcast
+from portflow.operators.joins import bounded_broadcast, cross_scalars
 from portflow.sources.testdata import Model
 
 NAT = catalogs.SOURCE_NATIONAL
@@ -52,15 +52,8 @@ def _ymd(col):
 
 
 def _one_row(*frames: DataFrame) -> DataFrame:
-    """Side-by-side combine of global aggregates (each exactly one row).
-
-    The frames are stacked with ``unionByName`` (each row fills only its own
-    columns) and folded with ``max`` per column: one tiny aggregate, no join.
-    """
-    u = frames[0]
-    for f in frames[1:]:
-        u = u.unionByName(f, allowMissingColumns=True)
-    return u.agg(*[F.max(c).alias(c) for c in u.columns])
+    """Combine one-row aggregates without a join (``joins.cross_scalars``)."""
+    return cross_scalars(*frames)
 
 
 # ---------------------------------------------------------------------------
