@@ -61,6 +61,12 @@ def _one_row(*frames: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def trade_monthly(m: Model) -> DataFrame:
+    """Monthly trade reduction, shared by the marts of one model (persisted:
+    one row per month)."""
+    return m.bounded_frame("trade_monthly", _trade_monthly)
+
+
+def _trade_monthly(m: Model) -> DataFrame:
     """Trade value per month with the partial sums every mart needs.
 
     One scan of the fact.  Fact rows are first reduced to (month, source,
@@ -99,6 +105,11 @@ def trade_monthly(m: Model) -> DataFrame:
 
 
 def crossing_monthly(m: Model) -> DataFrame:
+    """Monthly crossing reduction, shared by the marts of one model."""
+    return m.bounded_frame("crossing_monthly", _crossing_monthly)
+
+
+def _crossing_monthly(m: Model) -> DataFrame:
     """Crossings per month: total rows present, corridor sum, focus trucks."""
     p = m.p
     truck = catalogs.mode_ids()[p.truck_mode]

@@ -20,6 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,6 +169,20 @@ class Model:
         d = self.dim_port().select("port_id", "port_canonical_name", "state", "border", "is_in_corridor", "is_aggregate")
         return F.broadcast(d) if self.port_is_small else d
 
+    def bounded_frame(self, name: str, build) -> DataFrame:
+        """Persist a frame whose size is bounded by the calendar (one row per
+        month or day), computed once per application and model.
+
+        Several marts share the same monthly reduction of a fact; keeping that
+        small result (memory, spilling to disk) saves one full fact scan per
+        mart.  Lost cached blocks are recomputed from lineage by Spark."""
+        key = (self.spark.sparkContext.applicationId, id(self.spark), type(self).__name__, self.sf_dir, self.p,
+               self.max_broadcast_rows, "bounded:" + name)
+        df = _DERIVED.get(key)
+        if df is None:
+            df = _DERIVED[key] = build(self).persist(StorageLevel.MEMORY_AND_DISK)
+        return df
+
     def port_codes(self) -> DataFrame:
         """port_code column of the port dimension, broadcast when bounded."""
         d = self.dim_port().select("port_code")
