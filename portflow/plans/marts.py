@@ -32,12 +32,12 @@ from portflow.operators.joins import bounded_broadcast, cross_scalars
 from portflow.sources.testdata import Model
 
 NAT = catalogs.SOURCE_NATIONAL
+DEC = "decimal(38,2)"
 
 
 def _all():
     """Unpartitioned window: used only on calendar-grain frames (bounded)."""
     return Window.partitionBy()
-DEC = "decimal(38,2)"
 
 
 def _ym(col):
@@ -134,6 +134,15 @@ def _with_year_flags(monthly: DataFrame, present=None) -> DataFrame:
     return x.withColumn("lcy", F.max(F.when(F.col("_months") == 12, F.col("year"))).over(_all()))
 
 
+def _year_bounds(m: Model, national_only: bool = False) -> DataFrame:
+    """(year, lcy) per year with data, from the persisted monthly frame: the
+    last complete year costs no extra scan of the fact."""
+    tm = trade_monthly(m).select("date_id", "has_nat")
+    if national_only:
+        tm = tm.where(F.col("has_nat").isNotNull())
+    return _with_year_flags(tm).select("year", "lcy")
+
+
 # ---------------------------------------------------------------------------
 # L1 meta
 # ---------------------------------------------------------------------------
@@ -161,11 +170,11 @@ def mart_meta(m: Model) -> DataFrame:
 # L2 panorama KPIs
 # ---------------------------------------------------------------------------
 
-def _wait_window_avg(m: Model, combos: list[tuple[int, str]]) -> DataFrame:
+def _wait_window_avg(m: Model, combos: list[tuple[int, str]]) -> tuple[DataFrame, DataFrame]:
     """Trailing-window average per requested (port, lane); NULL when no data.
 
     The window end is the last day of the whole wait fact; the window's days
-    (N + 1 of them) join the fact by key."""
+    (N + 1 of them) join the fact by key.  Returns (averages, one-row end)."""
     p = m.p
     lanes = catalogs.lane_ids()
     w = m.wait()
@@ -263,9 +272,10 @@ def mart_top_ports(m: Model) -> DataFrame:
     p = m.p
     nat = m.trade().where(F.col("data_source") == NAT).select("port_id", "date_id", "value_usd")
     by_port_month = nat.groupBy("port_id", "date_id").agg(F.sum("value_usd").alias("v"))
-    lcy = agg.last_complete_year(by_port_month.select("date_id"))
+    # the bound comes from the persisted monthly frame (one row per year here)
+    lcy = _year_bounds(m, national_only=True).where(F.col("year") == F.col("lcy")).select("year").distinct()
     per_port = (by_port_month.withColumn("year", key_year("date_id"))
-                .join(lcy, "year")
+                .join(F.broadcast(lcy), "year")
                 .groupBy("year", "port_id").agg(F.sum("v").cast(DEC).alias("v")))
     ports = m.port_flags.where(~F.col("is_aggregate"))
     ranked = (per_port.join(ports, "port_id")
@@ -365,7 +375,7 @@ def _focus_year_sector(m: Model, sector_col: str = "sector_grouping") -> DataFra
     """Focus value per (year, sector) for years up to the last complete year,
     joined to the per-year completeness frame by key."""
     p = m.p
-    years = _with_year_flags(m.trade().select("date_id").distinct()).select("year", "lcy").distinct()
+    years = _year_bounds(m).distinct()
     f = m.trade().where(F.col("port_id").isin(*p.focus_ports)).select("commodity_id", "date_id", "value_usd")
     fm = f.groupBy("commodity_id", "date_id").agg(F.sum("value_usd").alias("v"))
     com = bounded_broadcast(m.dim_commodity().select("commodity_id", F.col(sector_col).alias("sector")),
@@ -435,7 +445,7 @@ def mart_asymmetry(m: Model) -> DataFrame:
     p = m.p
     t = m.trade().select("port_id", "date_id", "value_usd")
     pm = t.groupBy("port_id", "date_id").agg(F.sum("value_usd").alias("v"))
-    years = _with_year_flags(pm.select("date_id").distinct()).select("year", "lcy").distinct()
+    years = _year_bounds(m).distinct()
     corr = m.port_flags.where("is_in_corridor").select("port_id", "port_canonical_name")
     y = (pm.join(corr, "port_id").withColumn("year", key_year("date_id"))
            .join(F.broadcast(years), "year").where(F.col("year") == F.col("lcy"))
