@@ -178,7 +178,8 @@ def _wait_window_avg(m: Model, combos: list[tuple[int, str]]) -> tuple[DataFrame
     p = m.p
     lanes = catalogs.lane_ids()
     w = m.wait()
-    days = w.select("date_id").distinct()
+    # days with wait data: bounded by the calendar, persisted per model
+    days = m.bounded_frame("wait_days", lambda mm: mm.wait().select("date_id").distinct())
     end = F.max("date_id").over(_all())
     start = dates.date_key(F.date_sub(key_to_date(end), p.wait_window_days))
     win = (days.withColumn("end_id", end).withColumn("start_id", start)
