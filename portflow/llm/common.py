@@ -55,6 +55,19 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
+def portions(values: list[bytes | None], most: int = 4 << 20) -> Iterator[list[bytes | None]]:
+    """Consecutive parts of about ``most`` bytes (a longer text is a part of its own)."""
+    part, size = [], 0
+    for x in values:
+        if part and size + len(x or b"") > most:
+            yield part
+            part, size = [], 0
+        part.append(x)
+        size += len(x or b"")
+    if part:
+        yield part
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict] | dict | None], schema: T.StructType) -> DataFrame:
     """``mapInArrow`` for functions that turn a batch into columns (a dict, or an iterator of dicts)."""
     bounded_batches(df.sparkSession)

@@ -7,23 +7,26 @@ the entropy of its tokens.  A band per language or script says which values a cl
 from __future__ import annotations
 
 
+import base64
+from itertools import chain
+
 import numpy as np
 import public_tokenizers
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from portflow.llm.common import CONTINUATION, WHITE, free_name, with_measures
-from portflow.llm.tokens import word_bpe
+from portflow.llm.common import CONTINUATION, WHITE, free_name, portions, with_measures
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 SYMBOLS = b"#*$%&|<>"
 
-#: (least, most) characters per token of the piece vocabulary and of the word vocabulary, most byte-fallback tokens
+#: (least, most) characters per token of the piece vocabulary and of the byte vocabulary, most byte-fallback tokens
 #: per token, least entropy in bits (of texts with ENTROPY_TOKENS tokens or more); by language, else by script.
 BANDS: dict[str, tuple[float, float, float, float, float, float]] = {
     "en": (1.6, 6.0, 1.5, 6.5, 0.05, 4.0),
@@ -37,7 +40,7 @@ ENTROPY_TOKENS = 64
 
 MEASURES = T.StructType([
     *(T.StructField(c, T.LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
-    *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_fallback", "n_word_tokens", "n_ascii")),
+    *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_fallback", "n_merged", "n_ascii")),
     T.StructField("token_entropy", T.DoubleType()),
 ])
 
@@ -78,60 +81,71 @@ def repeated_words(codes: np.ndarray, window: int = WINDOW) -> int:
 class Fertility:
     """Measures of texts; what the vocabularies say of a word is kept for the next time."""
 
-    def __init__(self, pieces: str, words: str):
+    def __init__(self, pieces: str, ranks: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        self.bytes_from = [i for i in range(self.model.get_piece_size()) if self.model.is_byte(i)]
-        self.is_byte = np.zeros(self.model.get_piece_size(), np.int64)
-        self.is_byte[self.bytes_from] = 1
-        self.bpe = word_bpe(words)
+        self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())], np.int64)
+        with open(ranks, "rb") as f:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.merge = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})._core_bpe.encode_single_piece
         self.clear()
 
     def clear(self) -> None:
         self.code: dict[bytes, int] = {}
-        self.ids: list[bytes] = []
-        self.sizes = np.zeros((CACHE_WORDS * 2, 3), np.int64)
-
-    def learn(self, words: set[bytes]) -> None:
-        new = list(words)
-        for w, ids in zip(new, self.model.encode([w.decode() for w in new], num_threads=1)):
-            k = len(self.ids)
-            if k >= len(self.sizes):
-                self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            self.code[w] = k
-            self.ids.append(np.array(ids, np.uint16).tobytes())
-            self.sizes[k] = len(ids), int(self.is_byte[ids].sum()) if ids else 0, len(self.bpe.ids(w)) // 4
-
-    def measure(self, text: bytes | None) -> tuple:
-        text = text or b""
-        words = text.split()
-        if len(self.ids) > CACHE_WORDS:
+        self.n_pieces = self.n_fallback = self.n_merged = self.at = np.empty(0, np.int64)
+        self.flat = np.empty(0, np.uint16)
+
+    def learn(self, new: list[bytes]) -> None:
+        """Words are encoded as after a space: pieces with their word mark, merges with the space itself."""
+        ids = self.model.encode([w.decode() for w in new], num_threads=1)
+        size = np.fromiter(map(len, ids), np.int64, len(new))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint16, int(size.sum()))
+        ends = np.cumsum(size)
+        fallback = np.diff(np.r_[0, np.r_[0, np.cumsum(self.is_byte[flat])][ends]])
+        self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
+        self.at = np.r_[self.at, len(self.flat) + ends - size]
+        self.flat = np.r_[self.flat, flat]
+        self.n_pieces, self.n_fallback = np.r_[self.n_pieces, size], np.r_[self.n_fallback, fallback]
+        merge = self.merge
+        self.n_merged = np.r_[self.n_merged, np.fromiter((len(merge(b" " + w)) for w in new), np.int64, len(new))]
+
+    def entropy(self, codes: np.ndarray) -> float:
+        """Of the pieces' distribution in the text, in bits."""
+        size = self.n_pieces[codes]
+        total = int(size.sum())
+        if not total:
+            return 0.0
+        shift = np.repeat(self.at[codes] - np.cumsum(size) + size, size)
+        ids = np.sort(self.flat[shift + np.arange(total)])
+        runs = np.diff(np.r_[np.nonzero(np.r_[True, ids[1:] != ids[:-1]])[0], total])
+        return max(0.0, float(np.log2(total) - (runs * np.log2(runs)).sum() / total))
+
+    def measure(self, texts: list[bytes | None]) -> list[tuple]:
+        if len(self.code) > CACHE_WORDS:
             self.clear()
-        if new := set(words).difference(self.code):
-            self.learn(new)
-        code = self.code
-        codes = np.array([code[w] for w in words], np.int64)
-        lines = [x for x in text.split(b"\n") if x.strip()]
-        flat = np.sort(np.frombuffer(b"".join([self.ids[c] for c in codes.tolist()]), np.uint16))
-        entropy = 0.0
-        if len(flat):
-            runs = np.diff(np.r_[np.nonzero(np.r_[True, flat[1:] != flat[:-1]])[0], len(flat)])
-            entropy = float(np.log2(len(flat)) - (runs * np.log2(runs)).sum() / len(flat))
-        tokens, fallback, word_tokens = self.sizes[codes].sum(0).tolist() if len(codes) else (0, 0, 0)
-        return (len(words), len(text.translate(None, _DROP)), len(text) - len(text.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
-                repeated_words(codes), tokens, fallback, word_tokens, len(text.translate(None, _NOT_ASCII + WHITE)), max(0.0, entropy))
+        texts = [x or b"" for x in texts]
+        words = [x.split() for x in texts]
+        self.learn(list(set().union(*words).difference(self.code)))
+        code, out = self.code, []
+        for text, own in zip(texts, words):
+            codes = np.array([code[w] for w in own], np.int64)
+            lines = [x for x in text.split(b"\n") if x.strip()]
+            out.append((len(own), len(text.translate(None, _DROP)), len(text) - len(text.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
+                        repeated_words(codes), int(self.n_pieces[codes].sum()), int(self.n_fallback[codes].sum()), int(self.n_merged[codes].sum()),
+                        len(text.translate(None, _NOT_ASCII + WHITE)), self.entropy(codes)))
+        return out
 
 
 _LOADED: dict[tuple[str, str], Fertility] = {}
 
 
-def fertility(docs: DataFrame, name: str, pieces: str | None = None, words: str | None = None) -> DataFrame:
+def fertility(docs: DataFrame, name: str, pieces: str | None = None, ranks: str | None = None) -> DataFrame:
     """``docs`` with a struct column ``name`` of MEASURES (null text: all zero)."""
-    paths = pieces or public_tokenizers.path("piece_bpe_32k.model"), words or public_tokenizers.path("word_bpe_49k.json")
+    paths = pieces or public_tokenizers.path("piece_bpe_32k.model"), ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
     def measure(batch: list[bytes | None]) -> list[tuple]:
         if paths not in _LOADED:
             _LOADED[paths] = Fertility(*paths)
-        return [_LOADED[paths].measure(x) for x in batch]
+        return [row for part in portions(batch) for row in _LOADED[paths].measure(part)]
 
     return with_measures(docs, MEASURES, measure, name)
 
@@ -141,17 +155,17 @@ def verdict(m: str, lang: F.Column | None, bands: dict[str, tuple] | None = None
     bands = bands or BANDS
     of = lambda c: F.col(f"{m}.{c}")
     per_piece = F.try_divide(of("word_chars").cast("double"), of("n_tokens"))
-    per_word = F.try_divide(of("word_chars").cast("double"), of("n_word_tokens"))
+    per_merged = F.try_divide(of("word_chars").cast("double"), of("n_merged"))
     share = F.try_divide(of("n_fallback").cast("double"), of("n_tokens"))
     script = F.when(2 * of("n_ascii") >= of("word_chars"), "latin").otherwise("other")
     band = F.coalesce(F.when(lang.isin(*[k for k in bands if k not in ("latin", "other")]), lang), script) if lang is not None else script
     inside = F.lit(False)
-    for k, (low, high, low_word, high_word, most, least) in bands.items():
-        inside = inside | ((band == k) & per_piece.between(low, high) & per_word.between(low_word, high_word) & (share <= most)
+    for k, (low, high, low_merged, high_merged, most, least) in bands.items():
+        inside = inside | ((band == k) & per_piece.between(low, high) & per_merged.between(low_merged, high_merged) & (share <= most)
                            & ((of("token_entropy") >= least) | (of("n_tokens") < ENTROPY_TOKENS)))
     base = (of("n_words") < MIN_WORDS) | (100 * of("n_repeat_words") > MAX_REPEAT_PERCENT * of("n_words"))
     return {"base_failed": base, "kept": ~base & F.coalesce(inside, F.lit(False)), "chars_per_token": per_piece,
-            "chars_per_word_token": per_word, "fallback_share": share, "token_entropy": of("token_entropy"), "band": band}
+            "chars_per_merged": per_merged, "fallback_share": share, "token_entropy": of("token_entropy"), "band": band}
 
 
 def quality_rules(docs: DataFrame, bands: dict[str, tuple] | None = None) -> DataFrame:

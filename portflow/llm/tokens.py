@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import json
 import re
-import struct
+import sys
+from array import array
 
 import tiktoken
 from tokenizers import Tokenizer
@@ -21,8 +22,9 @@ from portflow.llm.common import LOWER
 #: stands for the vocabulary's end-of-word mark; this byte is in no UTF-8 text
 END = b"\xff"
 CACHE_WORDS = 300_000
-_SPLIT = re.compile(r"[a-zß-öø-ÿÀ-ÖØ-Þ]+|[0-9]|[!-&(-/:-@\[-`{-~]+|[^a-zß-öø-ÿÀ-ÖØ-Þ0-9!-&(-/:-@\[-`{-~]+")
-_PLAIN = re.compile(r"(?:[a-zß-öø-ÿÀ-ÖØ-Þ]+|[0-9]|[!-&(-/:-@\[-`{-~]+)+")
+#: pieces of lower-cased chunks: letters of ASCII and Latin-1, single digits, punctuation other than the apostrophe
+_PIECE = re.compile(r"[a-zß-öø-ÿÀ-ÖØ-Þ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+_PLAIN = re.compile(r"[a-zß-öø-ÿÀ-ÖØ-Þ0-9!-&(-/:-@\[-`{-~]+")
 
 
 def _byte_of() -> dict[str, int]:
@@ -32,6 +34,14 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 class WordBpe:
     """ids of whole texts as little-endian unsigned 32-bit integers."""
 
@@ -52,36 +62,40 @@ class WordBpe:
         top = max(vocab.values()) + 1
         for b in range(256):  # the merge needs every byte; those that are missing occur in no UTF-8 text
             ranks.setdefault(bytes([b]), top + b)
-        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
+        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         self.kept: dict[bytes, bytes] = {}
 
     def library(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def chunk(self, chunk: bytes) -> bytes:
         """ids of a chunk without ASCII white space and A-Z."""
+        if chunk.isalpha():  # of bytes: ASCII letters only
+            return packed(self.merge(chunk + END))
         text = chunk.decode()
         if not _PLAIN.fullmatch(text):
             return self.library(text)
-        ids: list[int] = []
-        for piece in _SPLIT.findall(text):
-            ids += self.merge._encode_single_piece(piece.lower().encode() + END)
-        return struct.pack(f"<{len(ids)}I", *ids)
+        pieces, kept = [p.lower().encode() for p in _PIECE.findall(text)], self.kept
+        if len(pieces) == 1:
+            return packed(self.merge(pieces[0] + END))
+        for p in pieces:
+            if p not in kept:
+                kept[p] = packed(self.merge(p + END))
+        return b"".join([kept[p] for p in pieces])
 
     def ids(self, text: bytes) -> bytes:
-        if any(s in text for s in self.specials):
+        if b"<|" in text and any(s in text for s in self.specials):
             return self.library(text.decode())
         words, kept = text.translate(LOWER).split(), self.kept
-        try:
-            return b"".join([kept[w] for w in words])
-        except KeyError:
-            pass
-        if len(kept) > CACHE_WORDS:
-            kept.clear()
-        for w in set(words).difference(kept):
-            kept[w] = self.chunk(w)
-        return b"".join([kept[w] for w in words])
+        parts = list(map(kept.get, words))
+        if None in parts:
+            if len(kept) > CACHE_WORDS:
+                kept.clear()
+                parts = [None] * len(words)
+            for w in {w for w, p in zip(words, parts) if p is None}:
+                kept[w] = self.chunk(w)
+            parts = [kept[w] for w in words]
+        return b"".join(parts)
 
 
 _LOADED: dict[str, WordBpe] = {}
