@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from portflow.llm import decontamination, line_dedup, packing, quality_rules, simhash
+from portflow.llm import context_mixing, decontamination, line_dedup, packing, quality_rules, simhash, suffix_dedup
 from portflow.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op7_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,6 +35,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_fertility, op2_differencing, op7_wu_manber, op8_site_lines, op9_simhash)}
+    op1_fertility, op2_differencing, op3_context_mixing, op7_wu_manber, op8_site_lines, op9_simhash, op10_suffixes)}
 ORACLE: dict[str, str] = {"op8_site_lines": line_dedup.oracle()}
