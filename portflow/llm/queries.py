@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from portflow.llm import context_mixing, decontamination, line_dedup, packing, quality_rules, simhash, suffix_dedup
+from portflow.llm import context_mixing, decontamination, html_region, line_dedup, neighbours, packing, quality_rules, simhash, suffix_dedup
 from portflow.llm.common import table
 
 
@@ -22,6 +22,14 @@ def op3_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_max_subsequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_region.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,5 +48,5 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_fertility, op2_differencing, op3_context_mixing, op7_wu_manber, op8_site_lines, op9_simhash, op10_suffixes)}
+    op1_fertility, op2_differencing, op3_context_mixing, op4_neighbours, op6_max_subsequence, op7_wu_manber, op8_site_lines, op9_simhash, op10_suffixes)}
 ORACLE: dict[str, str] = {"op8_site_lines": line_dedup.oracle()}
