@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from portflow.llm import context_mixing, decontamination, html_region, line_dedup, neighbours, packing, quality_rules, simhash, suffix_dedup
+from portflow.llm import context_mixing, decontamination, html_region, line_dedup, neighbours, packing, pii, quality_rules, simhash, suffix_dedup
 from portflow.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op6_max_subsequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_region.extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -48,5 +52,5 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_fertility, op2_differencing, op3_context_mixing, op4_neighbours, op6_max_subsequence, op7_wu_manber, op8_site_lines, op9_simhash, op10_suffixes)}
+    op1_fertility, op2_differencing, op3_context_mixing, op4_neighbours, op5_weak_supervision, op6_max_subsequence, op7_wu_manber, op8_site_lines, op9_simhash, op10_suffixes)}
 ORACLE: dict[str, str] = {"op8_site_lines": line_dedup.oracle()}
