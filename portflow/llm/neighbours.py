@@ -22,7 +22,7 @@ from portflow.llm.common import map_arrow, portions, texts
 
 FOLDS, HELD_OUT = 5, 0
 #: bound on the labelled training rows that are fitted and broadcast
-SAMPLE = 8000
+SAMPLE = 4000
 TERMS = 4096
 RANK = 48
 NEIGHBOURS = 24
@@ -112,6 +112,15 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
+def right_vectors(x: np.ndarray, rank: int, rounds: int = 12) -> np.ndarray:
+    """The leading right singular vectors by subspace iteration: memory for the rows and a thin basis only."""
+    basis = np.linalg.qr(np.random.default_rng(0).standard_normal((x.shape[1], rank + 8)).astype(np.float32))[0]
+    for _ in range(rounds if len(x) else 0):
+        basis = np.linalg.qr(x.T @ (x @ basis))[0]
+    _, _, turn = np.linalg.svd(x @ basis, full_matrices=False) if len(x) > rank + 8 else (0, 0, np.eye(rank + 8, dtype=np.float32))
+    return np.ascontiguousarray((basis @ turn.T)[:, :rank]).astype(np.float32)
+
+
 class Model:
     """Weights of terms, the projection, and the labelled vectors."""
 
@@ -122,8 +131,7 @@ class Model:
             df[at] += 1
         self.idf = np.log((n + 1) / (df + 1)).astype(np.float32) + 1
         x = dense(rows, self.idf)
-        values, vectors = np.linalg.eigh(x.T @ x) if len(rows) else (np.zeros(TERMS), np.eye(TERMS, dtype=np.float32))
-        self.project = np.ascontiguousarray(vectors[:, ::-1][:, :rank]).astype(np.float32)
+        self.project = right_vectors(x, rank)
         self.vectors = unit(x @ self.project)
         self.labels = labels.astype(np.float32)
 
@@ -149,12 +157,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", sa
     known = labels.where(F.col("doc_id").isNotNull() & F.col(f"`{label}`").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
     known = known.groupBy("doc_id").agg(F.avg(F.col(f"`{label}`").cast("double")).alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     picked = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("at", T.ArrayType(T.LongType())),
-                           T.StructField("x", T.ArrayType(T.FloatType())), T.StructField("y", T.DoubleType())])
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("at", T.BinaryType()),
+                           T.StructField("x", T.BinaryType()), T.StructField("y", T.DoubleType())])
 
     def per_batch(batch: pa.RecordBatch) -> dict:
         rows = [r for part in portions(texts(batch, "text")) for r in _TERMS.counts(part)]
-        return {"doc_id": batch.column("doc_id"), "at": [a for a, _ in rows], "x": [x for _, x in rows], "y": batch.column("y")}
+        return {"doc_id": batch.column("doc_id"), "at": [a.astype(np.int16).tobytes() for a, _ in rows], "x": [x.tobytes() for _, x in rows], "y": batch.column("y")}
 
     return map_arrow(picked, per_batch, schema)
 
@@ -169,7 +177,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sa
     """
     spark = docs.sparkSession
     rows = sorted(training_rows(docs, labels, label, sample).collect(), key=lambda r: r["doc_id"])
-    model = spark.sparkContext.broadcast(Model([(np.array(r["at"], np.int64), np.array(r["x"], np.float32)) for r in rows], np.array([r["y"] for r in rows])))
+    model = spark.sparkContext.broadcast(Model([(np.frombuffer(r["at"], np.int16).astype(np.int64), np.frombuffer(r["x"], np.float32)) for r in rows], np.array([r["y"] for r in rows])))
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("score", T.DoubleType())])
 
     def per_batch(batch: pa.RecordBatch) -> dict:
