@@ -140,3 +140,20 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     s = free_name(docs, "_search")
     found = search(docs, benchmark, s, window, block_bytes)
     return found.where(~contaminated(F.col(f"{s}.n_words"), F.col(f"{s}.n_hit"))).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def oracle(window: int = WINDOW) -> str:
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+WITH d AS (SELECT doc_id, {words} AS ws FROM documents),
+item AS (SELECT item_id, ws, least({window}, len(ws)) AS m FROM (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {words} AS ws FROM benchmark) WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT item_id, m, array_to_string(ws[i:i + m - 1], ' ') AS k FROM (SELECT item_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM item)),
+dw AS (SELECT doc_id, m, i, array_to_string(ws[i:i + m - 1], ' ') AS k
+    FROM (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM iw) WHERE len(ws) >= m)),
+occ AS (SELECT doc_id, i, m, item_id FROM dw JOIN iw USING (m, k)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM occ) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS s FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items, coalesce(s, sha256('')) AS items_sha256,
+    coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+"""

@@ -70,8 +70,9 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
 
 def oracle(ratio: float = RATIO, min_pages: int = MIN_PAGES) -> str:
     return f"""
-WITH line AS (SELECT doc_id, source, text, x.pos AS pos, x.line AS line, regexp_matches(x.line, '[^\\x20\\x09-\\x0D]') AS counted
-    FROM (SELECT doc_id, source, text, unnest(list_transform(string_split(text, chr(10)), (l, i) -> {{'pos': i, 'line': l}})) AS x FROM documents WHERE text IS NOT NULL)),
+WITH line AS (SELECT doc_id, source, text, pos, line, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS counted
+    FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+        FROM documents WHERE text IS NOT NULL)),
 total AS (SELECT source, count(DISTINCT text) AS pages FROM documents WHERE text IS NOT NULL GROUP BY source),
 freq AS (SELECT source, line, count(DISTINCT text) AS n FROM line WHERE counted GROUP BY source, line),
 bad AS (SELECT f.source, f.line FROM freq f JOIN total t ON f.source IS NOT DISTINCT FROM t.source WHERE f.n >= {min_pages} AND f.n > {ratio} * t.pages),

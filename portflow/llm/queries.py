@@ -53,4 +53,4 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_fertility, op2_differencing, op3_context_mixing, op4_neighbours, op5_weak_supervision, op6_max_subsequence, op7_wu_manber, op8_site_lines, op9_simhash, op10_suffixes)}
-ORACLE: dict[str, str] = {"op8_site_lines": line_dedup.oracle()}
+ORACLE: dict[str, str] = {"op7_wu_manber": decontamination.oracle(), "op8_site_lines": line_dedup.oracle()}
