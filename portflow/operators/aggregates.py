@@ -12,6 +12,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from portflow.functions import dates, metrics
@@ -134,11 +135,12 @@ def percentile_exact(df: DataFrame, keys: Sequence[str], value: str, qs: Sequenc
     combined aggregate, so a group holding a third of the data costs no more
     than any other — and the order statistics around ``q * (n - 1)`` are found
     with a cumulative count over the *distinct values* of each group (bounded
-    by the value domain, e.g. 1e6 for decimal(6,2) minutes).  Interpolation
-    is decimal arithmetic, so the result does not depend on floating-point
-    evaluation order.
+    by the value domain, e.g. 1e6 for decimal(6,2) minutes).  Values keep their
+    own type: decimals are interpolated in decimal arithmetic, so the result does
+    not depend on floating-point evaluation order; other numbers as doubles.
     """
-    v = F.col(value).cast("decimal(18,4)")
+    exact = isinstance(df.schema[value].dataType, T.DecimalType)
+    v = F.col(value) if exact else F.col(value).cast("double")
     vc = df.where(F.col(value).isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     grp = Window.partitionBy(*keys) if keys else Window.partitionBy()
     cum = F.sum("_c").over(grp.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -149,7 +151,7 @@ def percentile_exact(df: DataFrame, keys: Sequence[str], value: str, qs: Sequenc
         lo = F.floor(pos)
         lo_v = F.min(F.when(F.col("_last") >= lo, F.col("_v")))          # value holding rank lo
         hi_v = F.min(F.when(F.col("_last") >= lo + 1, F.col("_v")))      # ... and rank lo + 1
-        fr = F.max(pos - lo)
+        fr = F.max(pos - lo).cast("decimal(10,6)" if exact else "double")
         aggs.append(F.round(lo_v + (F.coalesce(hi_v, lo_v) - lo_v) * fr, digits).cast("double").alias(name))
     return x.groupBy(*keys).agg(*aggs) if keys else x.agg(*aggs)
 

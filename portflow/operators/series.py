@@ -29,7 +29,8 @@ def gapfill_months(series: DataFrame, month_col: str, values: list[str], start:
     single row holding a month -> values map and its last month; the spine is
     exploded from that row and looked up in the map.  The series plan is
     evaluated once and no join is planned."""
-    pts = F.map_from_entries(F.collect_list(F.struct(F.col(month_col), F.struct(*[F.col(v) for v in values]))))
+    # a row without a month belongs to no month of the spine
+    pts = F.map_from_entries(F.collect_list(F.when(F.col(month_col).isNotNull(), F.struct(F.col(month_col), F.struct(*[F.col(v) for v in values])))))
     last = F.lit(end).cast("date") if end else F.max(month_col)
     one = series.agg(pts.alias("_m"), last.alias("_e"))
     x = one.select("_m", F.explode(F.sequence(F.lit(start).cast("date"), F.col("_e"),

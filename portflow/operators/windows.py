@@ -25,7 +25,8 @@ def share_of_total(df: DataFrame, value: str, out: str, partition: Sequence[str]
     ``zero_total_as_one`` divides by 1 when the partition total is 0 (the
     sector-history convention), otherwise such shares are NULL.
     """
-    tot = F.sum(value).over(_w(partition)).cast("double")
+    # the total of all rows is a scalar subquery: a window without partitions would put every row into one task
+    tot = (F.sum(value).over(_w(partition)) if partition else df.agg(F.sum(value)).scalar()).cast("double")
     if zero_total_as_one:
         tot = F.when(tot == 0, F.lit(1.0)).otherwise(tot)
         share = F.col(value).cast("double") / tot * 100

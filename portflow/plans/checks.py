@@ -599,11 +599,11 @@ def cast_strict_vs_try(m):
 
 
 @key("round_ingest", """
-SELECT user_id % 3 AS port_id, event_type, CAST(SUM(CAST(round_even(value, 2) AS DECIMAL(6,2))) AS DECIMAL(38,2)) AS total
+SELECT user_id % 3 + 1 AS port_id, event_type, CAST(SUM(CAST(round_even(value, 2) AS DECIMAL(6,2))) AS DECIMAL(38,2)) AS total
 FROM events GROUP BY 1, 2""")
 def round_ingest(m):
     e = m.table("events")
-    return e.groupBy(F.pmod("user_id", F.lit(3)).alias("port_id"), "event_type") \
+    return e.groupBy((F.pmod("user_id", F.lit(3)) + 1).alias("port_id"), "event_type") \
         .agg(F.sum(conform.round_ingest("value")).cast(DEC).alias("total"))
 
 
@@ -627,7 +627,7 @@ def _national_conform(m):
     dimension (left lookup), plus the reject reasons of each row."""
     li = m.trade_port_text()
     code = codes.parse_port_code("depe")
-    ports = m.dim_port().select(F.col("port_code").alias("_code"), "port_id")
+    ports = m.port_by_code().select(F.col("port_code").alias("_code"), "port_id")
     x = joins.lookup_join(li.select("*", code.alias("_code")), ports, "_code", "left", dim_small=None)
     mode = codes.map_values("l_linenumber", catalogs.TRADE_MODE_CODE_TO_MODE)
     return conform.with_reject_reasons(x.withColumn("mode_name", mode),
@@ -636,7 +636,7 @@ def _national_conform(m):
 
 _CONFORM_SQL = f""",
 cf AS (SELECT dl.*, port.port_id, {O.case('l_linenumber', catalogs.TRADE_MODE_CODE_TO_MODE)} AS mode_name
-       FROM dl LEFT JOIN port ON port.port_code = {O.parse_port_sql('dl.depe')})"""
+       FROM dl LEFT JOIN (SELECT port_code, min(port_id) AS port_id FROM port GROUP BY 1) port ON port.port_code = {O.parse_port_sql('dl.depe')})"""
 
 
 @key("reject_split", _CONFORM_SQL + """
@@ -678,7 +678,7 @@ SELECT DISTINCT port_code, port_code // 100 AS district,
 FROM (SELECT {O.parse_port_sql('depe')} AS port_code FROM dl) WHERE port_code IS NOT NULL""")
 def derive_district(m):
     c = m.trade_port_text().select(codes.parse_port_code("depe").alias("port_code")).where("port_code IS NOT NULL").distinct()
-    corr = m.dim_port().where("is_in_corridor").select("port_code", F.lit(True).alias("_corr"))
+    corr = m.port_by_code().where("is_in_corridor").select("port_code", F.lit(True).alias("_corr"))
     d = codes.district_of("port_code")
     return c.join(F.broadcast(corr), "port_code", "left").select(
         "port_code", d.alias("district"), codes.state_of_district(d).alias("state"),
@@ -915,13 +915,13 @@ def surrogate_ids(m):
 
 
 @key("insert_if_absent", f"""
-SELECT port_code, port_canonical_name, is_aggregate FROM port
+SELECT port_code, arg_min(port_canonical_name, port_id) AS port_canonical_name, arg_min(is_aggregate, port_id) AS is_aggregate FROM port GROUP BY 1
 UNION ALL
 SELECT DISTINCT code, CASE WHEN code % 100 = 99 THEN 'District ' || lpad(CAST(code // 100 AS VARCHAR), 2, '0') || 'XX residual'
             ELSE 'District ' || CAST(code // 100 AS VARCHAR) || ' aggregate (' || CAST(code AS VARCHAR) || ')' END, TRUE
 FROM (SELECT {O.parse_port_sql('depe')} AS code FROM dl) WHERE code IS NOT NULL AND code NOT IN (SELECT port_code FROM port)""")
 def insert_if_absent(m):
-    existing = m.dim_port().select("port_code", "port_canonical_name", "is_aggregate")
+    existing = m.port_by_code().select("port_code", "port_canonical_name", "is_aggregate")
     new = dims.discover_port_members(m.trade_port_text(), "depe", m.port_codes())
     return dims.insert_if_absent(new.select("port_code", "port_canonical_name", "is_aggregate"), existing, "port_code")
 
@@ -1058,13 +1058,14 @@ def dup_mark(m):
 # ===========================================================================
 
 @key("gapfill_null", f""",
-f AS (SELECT date_id, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd FROM t
+g AS (SELECT * FROM t WHERE date_id NOT {O.yrange(P.gap_year)}),
+f AS (SELECT date_id, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd FROM g
       WHERE port_id = {P.focus_port} AND data_source = 'national' GROUP BY 1),
-spine AS (SELECT CAST(unnest(generate_series(DATE '{P.series_start}', (SELECT max({O.kdate('date_id')}) FROM t),
+spine AS (SELECT CAST(unnest(generate_series(DATE '{P.series_start}', (SELECT max({O.kdate('date_id')}) FROM g),
           INTERVAL 1 MONTH)) AS DATE) AS month_date)
 SELECT s.month_date, f.value_usd FROM spine s LEFT JOIN f ON {O.kdate('f.date_id')} = s.month_date""")
 def gapfill_null(m):
-    t = m.trade()
+    t = m.trade_with_gap()
     # the spine ends at the last month of the whole fact: one scan carries both
     x = t.groupBy("date_id").agg(F.sum(F.when((F.col("port_id") == m.p.focus_port) & (F.col("data_source") == NAT),
                                               F.col("value_usd"))).cast(DEC).alias("value_usd"))
@@ -1166,19 +1167,20 @@ SELECT 'fact_trade' AS "check", count(*) AS dup_groups, COALESCE(SUM(n), 0) AS d
 FROM (SELECT count(*) AS n FROM t GROUP BY {_TPK} HAVING count(*) > 1)
 UNION ALL SELECT 'fact_crossing', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM c GROUP BY port_id, mode_id, date_id HAVING count(*) > 1)
 UNION ALL SELECT 'fact_wait', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM w GROUP BY port_id, lane_type_id, date_id HAVING count(*) > 1)
-UNION ALL SELECT 'dim_port', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM port GROUP BY port_code HAVING count(*) > 1)""")
+UNION ALL SELECT 'dim_port', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM port GROUP BY port_id HAVING count(*) > 1)""")
 def dq_pk(m):
     from portflow.schemas import FACT_CROSSING_PK, FACT_TRADE_PK, FACT_WAIT_PK
     return (quality.pk_violations(m.trade(), FACT_TRADE_PK, "fact_trade")
             .unionByName(quality.pk_violations(m.crossing(), FACT_CROSSING_PK, "fact_crossing"))
             .unionByName(quality.pk_violations(m.wait(), FACT_WAIT_PK, "fact_wait"))
-            .unionByName(quality.pk_violations(m.dim_port(), ["port_code"], "dim_port")))
+            .unionByName(quality.pk_violations(m.dim_port(), ["port_id"], "dim_port")))
 
 
 @key("dq_fk", """
 SELECT 'trade.port_id' AS "check", count(*) AS orphans FROM t WHERE port_id NOT IN (SELECT port_id FROM port)
 UNION ALL SELECT 'trade.commodity_id', count(*) FROM t WHERE commodity_id NOT IN (SELECT p_partkey FROM part)
 UNION ALL SELECT 'crossing.port_id', count(*) FROM c WHERE port_id NOT IN (SELECT port_id FROM port)
+UNION ALL SELECT 'wait.port_id', count(*) FROM w WHERE port_id NOT IN (SELECT port_id FROM port)
 UNION ALL SELECT 'wait.lane_type_id', count(*) FROM w WHERE lane_type_id NOT IN (SELECT lane_type_id FROM lanes)""")
 def dq_fk(m):
     ports = m.port_flags.select("port_id")
@@ -1186,6 +1188,7 @@ def dq_fk(m):
     return (quality.fk_orphans(m.trade(), "port_id", ports, "port_id", "trade.port_id")
             .unionByName(quality.fk_orphans(m.trade(), "commodity_id", com, "commodity_id", "trade.commodity_id"))
             .unionByName(quality.fk_orphans(m.crossing(), "port_id", ports, "port_id", "crossing.port_id"))
+            .unionByName(quality.fk_orphans(m.wait(), "port_id", ports, "port_id", "wait.port_id"))
             .unionByName(quality.fk_orphans(m.wait(), "lane_type_id", F.broadcast(m.dim_lane()), "lane_type_id",
                                             "wait.lane_type_id")))
 
@@ -1293,11 +1296,11 @@ def dq_v4_v7(m):
 @key("dq_month_gaps", f"""
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS period, 'missing' AS status FROM
   (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2000-11-01', INTERVAL 1 MONTH)) AS DATE) AS d)
-WHERE CAST(strftime(d, '%Y%m%d') AS INTEGER) NOT IN (SELECT date_id FROM t WHERE data_source = 'national')
+WHERE CAST(strftime(d, '%Y%m%d') AS INTEGER) NOT IN (SELECT date_id FROM t WHERE data_source = 'national' AND date_id NOT {O.yrange(P.gap_year)})
 UNION ALL SELECT DISTINCT date_id, 'unexpected' FROM t WHERE data_source = 'national'
-  AND date_id NOT BETWEEN 19950101 AND 20001101""")
+  AND date_id NOT {O.yrange(P.gap_year)} AND date_id NOT BETWEEN 19950101 AND 20001101""")
 def dq_month_gaps(m):
-    nat = m.trade().where(F.col("data_source") == NAT)
+    nat = m.trade_with_gap().where(F.col("data_source") == NAT)
     spine = series.month_spine(m.spark.range(1).select(F.lit("1995-01-01").cast("date").alias("s"),
                                                        F.lit("2000-11-01").cast("date").alias("e")), "s", "e")
     spine = spine.select(dates.date_key("month_date").alias("period"))
@@ -1308,13 +1311,13 @@ def dq_month_gaps(m):
 SELECT y.year, 12 AS expected, COALESCE(a.ok, 0) AS ok,
        CASE WHEN 12 = 0 THEN 0.0 ELSE round(CAST(COALESCE(a.ok, 0) AS DOUBLE) * 100 / 12, 1) END AS coverage_pct
 FROM (SELECT CAST(unnest(generate_series(min(date_id // 10000), max(date_id // 10000))) AS INTEGER) AS year FROM t) y
-LEFT JOIN (SELECT CAST(date_id // 10000 AS INTEGER) AS year, count(DISTINCT date_id) AS ok FROM t WHERE data_source = 'national' GROUP BY 1) a
+LEFT JOIN (SELECT CAST(date_id // 10000 AS INTEGER) AS year, count(DISTINCT date_id) AS ok FROM t WHERE data_source = 'national' AND date_id NOT {O.yrange(P.gap_year)} GROUP BY 1) a
 USING (year)""")
 def dq_coverage_pct(m):
     t = m.trade()
     years = t.agg(F.min(_yr()).alias("a"), F.max(_yr()).alias("b")).select(F.explode(F.sequence(F.col("a").cast("int"), F.col("b").cast("int"))).alias("year"))
     expected = years.withColumn("expected", F.lit(12))
-    actual = t.where(F.col("data_source") == NAT).groupBy(_yr().cast("int").alias("year")).agg(F.countDistinct("date_id").alias("ok"))
+    actual = m.trade_with_gap().where(F.col("data_source") == NAT).groupBy(_yr().cast("int").alias("year")).agg(F.countDistinct("date_id").alias("ok"))
     return quality.coverage_pct(expected, actual, "year", "expected", "ok")
 
 

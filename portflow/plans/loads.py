@@ -38,7 +38,8 @@ class Dims:
 
 
 def _lookup(df: DataFrame, dim: DataFrame, left_key: Column, dim_key: str, value: str, out: str) -> DataFrame:
-    d = dim.select(F.col(dim_key).alias("_lk"), F.col(value).alias(out))
+    # one row per key: a key that two members share must not double the fact's rows
+    d = dim.groupBy(F.col(dim_key).alias("_lk")).agg(F.min(value).alias(out))
     return joins.lookup_join(df.withColumn("_lk", left_key), d, "_lk", "left").drop("_lk")
 
 
@@ -46,7 +47,8 @@ def _trade_tail(x: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """Reject split -> nullify export zero weights -> tag -> columns."""
     acc, rej = conform.reject_split(x, {"port_unmapped": F.col("port_id"), "mode_unmapped": F.col("mode_id"),
                                         "commodity_unmapped": F.col("commodity_id"),
-                                        "direction_unmapped": F.col("direction")})
+                                        "direction_unmapped": F.col("direction"),
+                                        "bad_value": F.col("value_usd"), "bad_date": F.col("date_id")})
     acc = (acc.withColumn("weight_kg", conform.nullify_when("weight_kg", (F.col("direction") == "Export")
                                                               & (F.col("weight_kg") == 0)))
               .withColumn("data_source", F.lit(source)))
@@ -65,7 +67,8 @@ def conform_national(raw: DataFrame, d: Dims, country: int = catalogs.TRADE_COUN
         codes.map_values("TRDTYPE", catalogs.TRADE_TYPE_TO_DIRECTION).alias("direction"),
         codes.map_values("CONTCODE", catalogs.CONTAINER_CODE_TO_LABEL, "Unknown").alias("container"),
         codes.map_values("DF", catalogs.ORIGIN_FLAG_TO_LOCATION, "N/A").alias("production_location"),
-        (F.col("YEAR") * 10000 + F.col("MONTH") * 100 + 1).cast("int").alias("date_id"),
+        F.when(F.col("MONTH").between(1, 12) & F.col("YEAR").between(1900, 2999),
+               F.col("YEAR") * 10000 + F.col("MONTH") * 100 + 1).cast("int").alias("date_id"),
         F.col("VALUE").alias("value_usd"), F.col("SHIPWT").alias("weight_kg"),
         F.col("FREIGHT_CHARGES").alias("freight_charge_usd"))
     return _trade_tail(x, catalogs.SOURCE_NATIONAL)
@@ -129,7 +132,7 @@ def conform_crossing(raw: DataFrame, d: Dims) -> tuple[DataFrame, DataFrame]:
     x = _lookup(x, d.mode, codes.map_values("Measure", catalogs.CROSSING_MEASURE_TO_MODE), "mode_canonical_name",
                 "mode_id", "mode_id")
     acc, rej = conform.reject_split(x, {"bad_date": F.col("_month"), "port_unmapped": F.col("port_id"),
-                                        "mode_unmapped": F.col("mode_id")})
+                                        "mode_unmapped": F.col("mode_id"), "bad_value": F.col("Value")})
     fact = agg.dedup_sum(acc.withColumnRenamed("Value", "crossing_count"), FACT_CROSSING_PK, ["crossing_count"])
     return fact, rej
 

@@ -109,15 +109,13 @@ SELECT l_suppkey AS port_id,
        CAST(l_extendedprice AS DECIMAL(18,2)) AS value_usd,
        CASE WHEN l_tax = 0 AND l_linestatus = 'O' THEN NULL WHEN l_tax = 0 THEN 0
             ELSE CAST(l_quantity AS BIGINT) END AS weight_kg,
-       CASE WHEN l_shipdate >= TIMESTAMP '{p.mirror_start}' THEN 'mirror' ELSE 'national' END AS data_source
-FROM lineitem
-WHERE year(l_shipdate) <> {p.gap_year}
-  AND (l_shipdate < TIMESTAMP '{p.mirror_start}' OR l_suppkey IN ({in_list(p.corridor_ports)}))"""
+       CASE WHEN l_shipdate >= TIMESTAMP '{p.mirror_start}' AND l_suppkey IN ({in_list(p.corridor_ports)}) THEN 'mirror' ELSE 'national' END AS data_source
+FROM lineitem"""
 
 
 def port_cte(p: Params = P) -> str:
     return f"""
-SELECT s_suppkey AS port_id, s_name AS port_canonical_name, CAST(s_suppkey + 2000 AS INTEGER) AS port_code,
+SELECT s_suppkey AS port_id, s_name AS port_canonical_name, CAST(s_suppkey % 3000 + 2000 AS INTEGER) AS port_code,
        'Mexico' AS country, r_name AS border, n_name AS state,
        s_suppkey IN ({in_list(p.corridor_ports)}) AS is_in_corridor,
        (s_suppkey % {p.aggregate_mod}) = {p.aggregate_rem} AS is_aggregate
@@ -137,7 +135,7 @@ FROM orders"""
 def wait_events_cte(p: Params = P) -> str:
     lane_id = {k: LANE_ID[v] for k, v in EVENT_TYPE_TO_LANE.items()}
     return f"""
-SELECT user_id % {p.wait_port_mod} AS port_id,
+SELECT user_id % {p.wait_port_mod} + 1 AS port_id,
        {case('event_type', lane_id)} AS lane_type_id,
        {dkey('ts')} AS date_id,
        CAST(value AS DECIMAL(6,2)) AS minutes
@@ -158,8 +156,8 @@ def depe_cte() -> str:
 SELECT *, CASE WHEN l_suppkey % 7 = 0
                  THEN lpad(CAST(l_suppkey % 90 + 10 AS VARCHAR), 2, '0') || CASE WHEN l_suppkey % 2 = 0 THEN 'XX' ELSE 'xx' END
                WHEN l_suppkey % 11 = 0 THEN ''
-               WHEN l_suppkey % 13 = 0 THEN CAST(l_suppkey + 5000 AS VARCHAR)
-               ELSE CAST(l_suppkey + 2000 AS VARCHAR) END AS depe
+               WHEN l_suppkey % 13 = 0 THEN CAST(l_suppkey % 3000 + 5000 AS VARCHAR)
+               ELSE CAST(l_suppkey % 3000 + 2000 AS VARCHAR) END AS depe
 FROM lineitem"""
 
 

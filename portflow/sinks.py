@@ -16,13 +16,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def write_full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                        fmt: str = "parquet") -> None:
     w = df
     if partition_by:
-        # cluster rows of a partition value into few files
-        w = df.repartition(*[F.col(c) for c in partition_by])
-    writer = w.write.mode("overwrite").format(fmt)
+        # cluster rows of a partition value into few files; a large value is split over tasks and files
+        w = df.hint("rebalance", *partition_by)
+    writer = w.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -34,8 +37,8 @@ def write_source_partitions(df: DataFrame, path: str, partition_by: Sequence[str
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (df.repartition(*[F.col(c) for c in partition_by])
-           .write.mode("overwrite").partitionBy(*partition_by).parquet(path))
+        (df.hint("rebalance", *partition_by).write.mode("overwrite")
+           .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*partition_by).parquet(path))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 

@@ -23,6 +23,18 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return df.withColumn(file_col, F.input_file_name()) if file_col else df
 
 
+def csv_header_groups(spark: SparkSession, path: str | Sequence[str]) -> list[list[str]]:
+    """Files grouped by their header line (one row per file reaches the driver)."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    heads = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header")).collect()
+    groups: dict[str, list[str]] = {}
+    for r in sorted(heads, key=lambda r: r["file"]):
+        groups.setdefault(r["header"], []).append(r["file"])
+    return list(groups.values())
+
+
 def read_csv_by_name(spark: SparkSession, groups: Iterable[str | Sequence[str]], schema: T.StructType,
                      file_col: str | None = "_file") -> DataFrame:
     """Concatenate CSV groups *by column name*.

@@ -36,12 +36,22 @@ LINESTATUS_TO_TRADE_TYPE = {"F": 2, "O": 1}
 RETURNFLAG_TO_CONTAINER_CODE = {"A": "1", "N": "0", "R": "X"}
 PRIORITY_TO_MODE = {"1-URGENT": "Truck", "2-HIGH": "Personal Vehicle", "3-MEDIUM": "Pedestrian",
                     "4-NOT SPECIFIED": "Bus", "5-LOW": "Rail"}
-PORT_CODE_BASE = 2000              # port code of supplier k is 2000 + k
+# Port codes have four digits, whatever the number of suppliers: many suppliers
+# share a code once there are more of them than codes.  Known codes are
+# 2000-4999, codes that the dimension doesn't know are 5000-7999.
+PORT_CODE_BASE = 2000
+UNKNOWN_CODE_BASE = 5000
+PORT_CODES = 3000
 EVENT_TYPE_TO_LANE = {"click": "Commercial Fast", "view": "Commercial Standard",
                       "purchase": "POV Standard", "signup": "POV NEXUS/SENTRI",
                       "error": "Pedestrian Standard"}
 
 
+def port_code_of(supplier, base: int):
+    """Four-digit code of a supplier key, the same at any number of suppliers."""
+    return F.pmod(supplier, F.lit(PORT_CODES)) + base
+
+
 _READS: dict[tuple, DataFrame] = {}
 _DERIVED: dict[tuple, DataFrame] = {}
 
@@ -71,7 +81,7 @@ class Params:
     corridor_ports: tuple = (1, 2, 3)
     aggregate_mod: int = 10          # port is an aggregate member when id % mod == rem
     aggregate_rem: int = 9
-    gap_year: int = 1997             # a year missing from the national feed
+    gap_year: int = 1997             # the year that gap checks take out of the national feed
     mirror_start: str = "2000-12-01"  # first month served by the mirror source
     current_year: int = 2000
     base_year: int = 1995
@@ -144,7 +154,7 @@ class Model:
                        s.s_nationkey == F.col("n_nationkey"))
                  .select(sid.alias("port_id"),
                          F.col("s_name").alias("port_canonical_name"),
-                         (sid + PORT_CODE_BASE).cast("int").alias("port_code"),
+                         port_code_of(sid, PORT_CODE_BASE).cast("int").alias("port_code"),
                          F.lit("Mexico").alias("country"),
                          "border", "state",
                          sid.isin(*p.corridor_ports).alias("is_in_corridor"),
@@ -184,9 +194,17 @@ class Model:
         return df
 
     def port_codes(self) -> DataFrame:
-        """port_code column of the port dimension, broadcast when bounded."""
-        d = self.dim_port().select("port_code")
-        return F.broadcast(d) if self.port_is_small else d
+        """port_code column of the port dimension, each code once."""
+        return self.port_by_code().select("port_code")
+
+    @_memo
+    def port_by_code(self) -> DataFrame:
+        """The dimension as the feeds see it, one row per code: the port with
+        the least id of those that share it.  At most PORT_CODES rows."""
+        first = lambda c: F.min_by(c, "port_id").alias(c)
+        return self.dim_port().groupBy("port_code").agg(
+            F.min("port_id").alias("port_id"), first("port_canonical_name"), first("is_aggregate"),
+            F.max("is_in_corridor").alias("is_in_corridor"))
 
     def _key(self, *tables: str) -> tuple:
         return tuple(f"{self.sf_dir.rstrip('/')}/{t}.parquet" for t in tables)
@@ -194,15 +212,13 @@ class Model:
     # ---- trade ------------------------------------------------------------
     @_memo
     def trade_feed(self) -> DataFrame:
-        """lineitem re-coded as national-feed codes (before conforming)."""
+        """Every lineitem row re-coded as national-feed codes (before conforming).
+
+        Rows of the corridor ports from ``mirror_start`` on come from the
+        mirror, all others from the national feed."""
         p = self.p
-        ship = F.col("l_shipdate")
-        gap_lo = F.lit(f"{p.gap_year}-01-01").cast("timestamp_ntz")
-        gap_hi = F.lit(f"{p.gap_year + 1}-01-01").cast("timestamp_ntz")
-        mirror = F.lit(p.mirror_start).cast("timestamp_ntz")
-        li = (self.table("lineitem")
-              .where((ship < gap_lo) | (ship >= gap_hi))
-              .where((ship < mirror) | F.col("l_suppkey").isin(*p.corridor_ports)))
+        ship, li = F.col("l_shipdate"), self.table("lineitem")
+        mirror = (ship >= F.lit(p.mirror_start).cast("timestamp_ntz")) & F.col("l_suppkey").isin(*p.corridor_ports)
         return li.select(
             F.col("l_suppkey").alias("port_id"),
             F.col("l_linenumber").alias("mode_code"),
@@ -214,7 +230,7 @@ class Model:
              .when(F.col("l_discount") < 0.05, F.lit(1.0)).otherwise(F.lit(2.0)).alias("origin_flag"),
             F.col("l_extendedprice").cast("decimal(18,2)").alias("value_usd"),
             F.when(F.col("l_tax") == 0, F.lit(0)).otherwise(F.col("l_quantity")).cast("long").alias("weight_raw"),
-            F.when(ship >= mirror, F.lit(catalogs.SOURCE_MIRROR))
+            F.when(mirror, F.lit(catalogs.SOURCE_MIRROR))
              .otherwise(F.lit(catalogs.SOURCE_NATIONAL)).alias("data_source"),
         )
 
@@ -238,6 +254,12 @@ class Model:
             "data_source",
         )
 
+    def trade_with_gap(self) -> DataFrame:
+        """trade() as a feed with a missing year would give it; for the checks
+        that look for gaps, and for nothing else."""
+        lo, hi = dates.year_range(self.p.gap_year)
+        return self.trade().where(~F.col("date_id").between(lo, hi))
+
     @_memo
     def trade_port_text(self) -> DataFrame:
         """lineitem with the raw port code *text* of the national feed.
@@ -253,8 +275,8 @@ class Model:
         depe = (F.when(F.pmod(k, F.lit(7)) == 0,
                        F.concat(dd, F.when(F.pmod(k, F.lit(2)) == 0, F.lit("XX")).otherwise(F.lit("xx"))))
                  .when(F.pmod(k, F.lit(11)) == 0, F.lit(""))
-                 .when(F.pmod(k, F.lit(13)) == 0, (k + 5000).cast("string"))
-                 .otherwise((k + PORT_CODE_BASE).cast("string")))
+                 .when(F.pmod(k, F.lit(13)) == 0, port_code_of(k, UNKNOWN_CODE_BASE).cast("string"))
+                 .otherwise(port_code_of(k, PORT_CODE_BASE).cast("string")))
         return self.table("lineitem").select("*", depe.alias("depe"))
 
     # ---- crossings --------------------------------------------------------
@@ -276,7 +298,7 @@ class Model:
         lane_id = {k: catalogs.lane_ids()[v] for k, v in EVENT_TYPE_TO_LANE.items()}
         day = F.to_date("ts")
         return self.table("events").select(
-            F.pmod(F.col("user_id"), F.lit(p.wait_port_mod)).alias("port_id"),
+            (F.pmod(F.col("user_id"), F.lit(p.wait_port_mod)) + 1).alias("port_id"),
             codes.map_values("event_type", lane_id).alias("lane_type_id"),
             dates.date_key(day).alias("date_id"),
             F.col("value").cast("decimal(6,2)").alias("minutes"),
@@ -293,5 +315,11 @@ class Model:
                         metrics.mean_half_up("_c", "_n").cast("decimal(6,2)").alias("waiting_avg_minutes")))
 
 
+def release_bounded_frames() -> None:
+    """Forget every frame that bounded_frame() persisted."""
+    for key in [k for k in _DERIVED if str(k[-1]).startswith("bounded:")]:
+        _DERIVED.pop(key).unpersist()
+
+
 def model(spark: SparkSession, sf_dir: str, p: Params | None = None) -> Model:
     return Model(spark, sf_dir, p or Params())

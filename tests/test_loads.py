@@ -220,15 +220,16 @@ def test_scan_csv_glob_concat_by_name(spark, workdir):
 def test_export_documents_keep_nulls(spark, workdir):
     import glob
     from portflow.plans.documents import export_documents
-    from portflow.sources.testdata import model
-    names = export_documents(model(spark, "/root/testdata/sf0.001"), f"{workdir}/docs",
+    from portflow.sources.testdata import Params, model
+    early = Params(series_start="1990-01-01")                               # two years before the first month
+    names = export_documents(model(spark, "/root/testdata/sf0.001", early), f"{workdir}/docs",
                              ["mart_value_timeline", "heatmap_matrix", "mart_wait_kpis"])
     docs = {}
     for n in names:
         (path,) = [p for p in glob.glob(f"{workdir}/docs/{n}/part-*") if not p.endswith(".crc")]
         docs[n] = json.loads(open(path).read())["data"]
     timeline = docs["mart_value_timeline"]
-    gap = [r for r in timeline if r["month_date"].startswith("1997-")]
-    assert len(gap) == 12 and all(r["value_usd"] is None for r in gap)     # gap year stays null
+    gap = [r for r in timeline if r["month_date"].startswith("1990-")]
+    assert len(gap) == 12 and all(r["value_usd"] is None for r in gap)     # months without rows stay null
     assert all(len(r["week_values"]) == 7 for r in docs["heatmap_matrix"])
-    assert any(r["avg_min"] is None for r in docs["mart_wait_kpis"])        # port without data -> null
+    assert all(r["avg_min"] is not None for r in docs["mart_wait_kpis"])    # every KPI port has events

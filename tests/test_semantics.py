@@ -45,8 +45,8 @@ def _ev(i, user, day, etype, value):
 
 
 def test_trailing_window_is_n_plus_one_days_and_missing_lane_gives_null_savings(spark, workdir):
-    # focus port 1 = user 1; standard lane = 'view'; days 1..10 with value = day
-    ev = [_ev(d, 1, d, "view", d) for d in range(1, 11)]
+    # focus port 1 = user 0; standard lane = 'view'; days 1..10 with value = day
+    ev = [_ev(d, 0, d, "view", d) for d in range(1, 11)]
     root = _tables(spark, workdir, events=ev)
     m = Model(spark, root, Params(wait_window_days=7, wait_year=2024))
     k = {(r.port_id, r.lane): r for r in marts.mart_wait_kpis(m).collect()}
