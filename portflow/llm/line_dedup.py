@@ -14,6 +14,8 @@ from portflow.llm.common import free_name, written
 
 RATIO = 0.05
 MIN_PAGES = 5
+#: bytes of boilerplate lists that are broadcast; larger ones meet the documents in a shuffle join
+BROADCAST_BYTES = 8 << 20
 #: what a line must contain to count: a character that isn't ASCII white space
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -48,8 +50,16 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min
     return over.groupBy("host").agg(F.collect_list("line").alias("bad"))
 
 
+def _checked(bad: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """The lists written once, with a broadcast hint if they are measured to be small: then no document is shuffled."""
+    bad = written(bad, "boilerplate")
+    row = F.octet_length(F.coalesce(F.col("host").cast("string"), F.lit(""))) + 40 * F.size("bad") + 64
+    size = bad.agg(F.sum(row.cast("long"))).first()[0] or 0
+    return F.broadcast(bad) if size <= broadcast_bytes else bad
+
+
 def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     n_lines: str | None = None, n_dropped: str | None = None) -> DataFrame:
+                     n_lines: str | None = None, n_dropped: str | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` without boilerplate lines; ``n_lines`` and ``n_dropped``, if named, are added as columns.
 
     Lines are separated by \\n.  Blank lines are never boilerplate; null hosts are one host; null texts stay null, and
@@ -57,7 +67,7 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
     rows.  Other columns stay as they are, whatever their names.
     """
     b, h = free_name(docs, "_bad"), free_name(docs, "_host")
-    bad = boilerplate(docs, host, ratio, min_pages).select(F.col("host").alias(h), F.col("bad").alias(b))
+    bad = _checked(boilerplate(docs, host, ratio, min_pages), broadcast_bytes).select(F.col("host").alias(h), F.col("bad").alias(b))
     joined = docs.join(bad, F.col(f"`{host}`").eqNullSafe(F.col(h)), "left")
     kept = F.filter(_lines(F.col("text")), lambda x: ~(_counted(x) & F.array_contains(F.col(b), _key(x))))
     cleaned = F.when(F.col(b).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))

@@ -311,6 +311,12 @@ def test_line_dedup(spark):
     assert line_dedup.drop_boilerplate(df).columns == df.columns and line_dedup.drop_boilerplate(df.limit(0)).count() == 0
 
 
+def test_line_dedup_with_and_without_broadcast(docs, odd):
+    for df, ratio in ((docs, line_dedup.RATIO), (odd, 0.3)):
+        both = [line_dedup.drop_boilerplate(df, ratio=ratio, n_dropped="gone", broadcast_bytes=most) for most in (line_dedup.BROADCAST_BYTES, -1)]
+        assert rows(both[0]) == rows(both[1])
+
+
 # 9 -------------------------------------------------------------------------------------------------------------------
 
 def fingerprint(text):
