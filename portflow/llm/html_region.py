@@ -177,9 +177,17 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
 
 
 def learn_weights(pages: DataFrame, sample: int = SAMPLE) -> dict[str, float]:
-    """From a bounded sample of labelled pages: those whose texts have the least hashes."""
-    labelled = pages.where(F.contains(F.lower("html"), F.lit("<article")) & (F.length("html") <= SAMPLE_CHARS))
-    return learn([r["html"] for r in labelled.select("html").orderBy(F.xxhash64("html"), "html").limit(sample).collect()])
+    """From a bounded sample of labelled pages: the distinct ones whose texts have the least hashes.
+
+    The hashes are chosen first, so only the sample's pages leave their tasks.
+    """
+    key = F.xxhash64("html")
+    labelled = pages.where(F.contains(F.lower("html"), F.lit("<article")) & (F.length("html") <= SAMPLE_CHARS)).select("html", key.alias("key"))
+    most = labelled.groupBy("key").agg(F.lit(1)).orderBy("key").limit(sample).agg(F.max("key")).first()[0]
+    if most is None:
+        return learn([])
+    chosen = labelled.where(F.col("key") <= most).groupBy("key").agg(F.min("html").alias("html")).collect()
+    return learn([r["html"] for r in sorted(chosen, key=lambda r: r["key"])])
 
 
 def extract_main_text(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
