@@ -4,14 +4,18 @@
 ``mapInPandas`` task opens it with ``zipfile`` (recursing into archives
 nested inside archives) and emits one row per *line* of every in-scope CSV
 member, so a large member is spread over many rows and never travels as one
-value.  Damaged members (truncated, bad CRC) are reported with a status row
-instead of failing the job.
+value.  Damaged members (truncated, bad CRC, corrupt data, encrypted, unknown
+compression method) are reported with a status row instead of failing the job.
+Members that are out of scope are never opened.
 """
 
 from __future__ import annotations
 
 import io
+import re
 import zipfile
+import zlib
+from itertools import islice
 from typing import Iterator
 
 import pandas as pd
@@ -23,50 +27,78 @@ from portflow.sources.files import national_file_period
 LINE_SCHEMA = ("archive string, member string, status string, line_no long, line string, size long")
 
 
-def _walk(data: bytes, archive: str, prefix: str, depth: int, max_depth: int):
-    """Yield (member_path, status, bytes|None) for every file in the archive."""
+#: what zipfile and zlib raise for damaged data, encrypted members and unknown compression methods
+_DAMAGE = (zipfile.BadZipFile, zlib.error, EOFError, OSError, ValueError, RuntimeError, NotImplementedError)
+_STEP = 1 << 20
+
+
+def _in_scope(keep: re.Pattern, name: str) -> bool:
+    return bool(keep.search(name.rsplit("/", 1)[-1]))
+
+
+def _sound(zf: zipfile.ZipFile, info: zipfile.ZipInfo) -> bool:
+    """The member can be read to its end (its check sum included)."""
     try:
-        zf = zipfile.ZipFile(io.BytesIO(data))
+        with zf.open(info) as f:
+            while f.read(_STEP):
+                pass
+    except _DAMAGE:
+        return False
+    return True
+
+
+def _walk(source, archive: str, prefix: str, depth: int, max_depth: int, keep: re.Pattern):
+    """Yield (member_path, status, open archive or None, info or None) for every in-scope member of the archive.
+
+    Only in-scope members and nested archives are opened.  A nested archive is read whole; other members are not.
+    """
+    try:
+        zf = zipfile.ZipFile(source)
         infos = zf.infolist()
-    except (zipfile.BadZipFile, EOFError, OSError):
-        yield prefix or archive, "bad_archive", None
+    except _DAMAGE:
+        yield prefix or archive, "bad_archive", None, None
         return
     for info in infos:
         if info.is_dir():
             continue
         name = f"{prefix}{info.filename}"
-        try:
-            payload = zf.read(info)
-        except (zipfile.BadZipFile, EOFError, OSError, ValueError):
-            yield name, "damaged", None
-            continue
         if info.filename.lower().endswith(".zip") and depth < max_depth:
-            yield from _walk(payload, archive, name + "!/", depth + 1, max_depth)
-        else:
-            yield name, "ok", payload
+            try:
+                inner = io.BytesIO(zf.read(info))
+            except _DAMAGE:
+                yield name, "damaged", None, None
+                continue
+            yield from _walk(inner, archive, name + "!/", depth + 1, max_depth, keep)
+        elif _in_scope(keep, info.filename):
+            if _sound(zf, info):
+                yield name, "ok", zf, info
+            else:
+                yield name, "damaged", None, None
+
+
+def _lines(zf: zipfile.ZipFile, info: zipfile.ZipInfo, chunk: int) -> Iterator[tuple[int, list[str]]]:
+    """A member's lines, ``chunk`` at a time, with the number of the first."""
+    with zf.open(info) as f:
+        lines, start = io.TextIOWrapper(f, "utf-8", errors="replace"), 0
+        while part := [x.rstrip("\n") for x in islice(lines, chunk)]:
+            yield start, part
+            start += len(part)
 
 
 def _expand(batches: Iterator[pd.DataFrame], member_regex: str, max_depth: int,
             chunk: int = 50_000) -> Iterator[pd.DataFrame]:
-    import re
     keep = re.compile(member_regex, re.IGNORECASE)
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
-            for member, status, payload in _walk(bytes(content), path, "", 0, max_depth):
-                base = member.rsplit("/", 1)[-1].rsplit("!", 1)[-1]
-                # damaged archives are always reported; members only when in scope
-                if status != "bad_archive" and not keep.search(base):
-                    continue
-                if payload is None:
+            for member, status, zf, info in _walk(io.BytesIO(bytes(content)), path, "", 0, max_depth, keep):
+                if zf is None or not info.file_size:  # a member without lines still gives a row
                     yield pd.DataFrame({"archive": [path], "member": [member], "status": [status],
                                         "line_no": [None], "line": [None], "size": [None]})
                     continue
-                text = payload.decode("utf-8", errors="replace").splitlines()
-                for start in range(0, max(len(text), 1), chunk):
-                    part = text[start:start + chunk]
+                for start, part in _lines(zf, info, chunk):
                     yield pd.DataFrame({"archive": path, "member": member, "status": status,
                                         "line_no": range(start, start + len(part)), "line": part,
-                                        "size": len(payload)})
+                                        "size": info.file_size})
 
 
 def expand_archives(spark: SparkSession, path: str, member_regex: str = r"\.csv$",

@@ -188,6 +188,40 @@ def test_archive_expansion(spark, workdir):
     assert rep["2024_trunc.zip"].members_damaged == 1 and rep["2024_03.zip"].members_ok == 1
 
 
+def test_archive_damage_of_every_kind(spark, workdir):
+    """Encrypted, corrupt and unknown-method members give a row each; members out of scope are never opened."""
+    csv = "A,B\n" + "".join(f"{k},{k * 7919 % 1009}\n" for k in range(2000))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for name in ("good.csv", "crypt.csv", "method.csv", "corrupt.csv", "notes.pdf"):
+            z.writestr(name, csv)
+        z.writestr("none.csv", "")
+    with zipfile.ZipFile(buf) as z:
+        start = {i.filename: i.header_offset for i in z.infolist()}
+    data = bytearray(buf.getvalue())
+    central = data.index(b"PK\x01\x02")
+
+    def mark(name, flags=None, method=None):
+        for at, flag, how in ((start[name], 6, 8), (data.index(b"PK\x01\x02", data.rindex(name.encode(), central) - 46), 8, 10)):
+            if flags is not None:
+                data[at + flag] |= flags
+            if method is not None:
+                data[at + how] = method
+
+    mark("crypt.csv", flags=1)
+    mark("notes.pdf", flags=1)
+    mark("method.csv", method=99)
+    body = start["corrupt.csv"] + 30 + len("corrupt.csv")
+    data[body:body + 200] = b"\xff" * 200
+    os.makedirs(f"{workdir}/zips")
+    with open(f"{workdir}/zips/mixed.zip", "wb") as f:
+        f.write(data)
+    lines = archives.expand_archives(spark, f"{workdir}/zips/*.zip")
+    got = {r.member: (r.status, r.n) for r in lines.groupBy("member", "status").agg(F.count("line").alias("n")).collect()}
+    assert got == {"good.csv": ("ok", 2001), "crypt.csv": ("damaged", 0), "method.csv": ("damaged", 0), "corrupt.csv": ("damaged", 0),
+                   "none.csv": ("ok", 0)}
+
+
 def test_sinks_idempotent_and_json_nulls(spark, workdir):
     df = spark.createDataFrame([("national", 20240101, 1), ("national", 20240201, 2), ("mirror", 20241201, 3)],
                                "data_source string, date_id int, v long")
