@@ -27,15 +27,15 @@ BASE = (
     r"\+[0-9][ ().0-9-]+[0-9]",
 )
 #: what a text must contain for its pattern to match at all
-NEEDS = ("@", r"[0-9]\.[0-9]", "[0-9]{2}", r"\+[0-9]")
-#: looser candidates of each kind, and what they need
+NEEDS = ("@", r"[0-9]\.[0-9]", "[0-9][ -]?[0-9]", r"\+[0-9]")
+#: looser candidates of each kind, and what they need; a group is named, as ``_parts`` puts one more around the pattern
 LOOSE = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|\[at\]|\(at\)|\{at\}) ?[A-Za-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}) ?[A-Za-z0-9-]++)++",
     r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
-    r"(?<![0-9.])[0-9]{4}([ .-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])",
+    r"(?<![0-9.])[0-9]{4}(?<sep>[ .-])[0-9]{4}\k<sep>[0-9]{4}\k<sep>[0-9]{4}(?![0-9])",
     r"(?<![0-9+(.-])(?:00[0-9]{1,3}[ .-]?|\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
 )
-LOOSE_NEEDS = (r"(?:\[at\]|\(at\)|\{at\}| @|@ )", "[0-9A-Fa-f]:[0-9A-Fa-f]", "[0-9][ .-][0-9]{4}", "[0-9][ .-][0-9]{4}")
+LOOSE_NEEDS = (r"@|\[at\]|\(at\)|\{at\}", "[0-9A-Fa-f]:[0-9A-Fa-f]", "[0-9][ .-][0-9]{4}", "[0-9][ .-][0-9]{4}")
 #: gazetteers: common top-level domains, first digits of card networks, country calling codes
 DOMAINS = "com|org|net|edu|gov|int|mil|info|biz|io|co|de|fr|es|uk|us|eu|it|nl|ch|at|be|pl|pt|ca|au|jp|cn|in|br|mx|ru|se|no|dk|fi"
 NETWORKS = "4|5[1-5]|2[2-7]|3[47]|6"
