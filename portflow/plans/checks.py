@@ -1176,6 +1176,27 @@ def dq_pk(m):
             .unionByName(quality.pk_violations(m.dim_port(), ["port_id"], "dim_port")))
 
 
+@key("dq_unique", _CAL_SQL + f"""
+SELECT 'dim_port.port_code' AS "check", count(*) AS dup_groups, COALESCE(SUM(n), 0) AS dup_rows
+FROM (SELECT count(*) AS n FROM port GROUP BY port_code HAVING count(*) > 1)
+UNION ALL SELECT 'dim_port.port_canonical_name', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM port GROUP BY port_canonical_name HAVING count(*) > 1)
+UNION ALL SELECT 'dim_mode.mode_canonical_name', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM modes GROUP BY mode_canonical_name HAVING count(*) > 1)
+UNION ALL SELECT 'dim_lane.lane_canonical_name', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM lanes GROUP BY lane_canonical_name HAVING count(*) > 1)
+UNION ALL SELECT 'dim_date.full_date', count(*), COALESCE(SUM(n), 0) FROM (SELECT count(*) AS n FROM days GROUP BY d HAVING count(*) > 1)
+UNION ALL SELECT 'dim_commodity.hs2_code', count(*), COALESCE(SUM(n), 0)
+FROM (SELECT count(*) AS n FROM (VALUES {', '.join(f'({c[0]})' for c in catalogs.HS2_CHAPTERS)}) v(hs2_code) GROUP BY hs2_code HAVING count(*) > 1)""")
+def dq_unique(m):
+    """M2: natural keys of the dimensions.  Suppliers beyond 3,000 share port codes, and that shows here."""
+    from portflow.plans.jobs import commodity_dimension
+    port = m.dim_port()
+    return (quality.pk_violations(port, ["port_code"], "dim_port.port_code")
+            .unionByName(quality.pk_violations(port, ["port_canonical_name"], "dim_port.port_canonical_name"))
+            .unionByName(quality.pk_violations(m.dim_mode(), ["mode_canonical_name"], "dim_mode.mode_canonical_name"))
+            .unionByName(quality.pk_violations(m.dim_lane(), ["lane_canonical_name"], "dim_lane.lane_canonical_name"))
+            .unionByName(quality.pk_violations(_calendar(m), ["full_date"], "dim_date.full_date"))
+            .unionByName(quality.pk_violations(commodity_dimension(m.spark), ["hs2_code"], "dim_commodity.hs2_code")))
+
+
 @key("dq_fk", """
 SELECT 'trade.port_id' AS "check", count(*) AS orphans FROM t WHERE port_id NOT IN (SELECT port_id FROM port)
 UNION ALL SELECT 'trade.commodity_id', count(*) FROM t WHERE commodity_id NOT IN (SELECT p_partkey FROM part)
