@@ -116,3 +116,11 @@ def with_measures(docs: DataFrame, measures: T.StructType, fn: Callable[[list[by
         return {c: batch.column(c) for c in batch.schema.names} | {name: struct}
 
     return map_arrow(docs, per_batch, schema)
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of an ASCII string."""
+    bit = "lambda z, i: CASE WHEN z & 1 = 1 THEN xor(z >> 1, 3988292384::BIGINT) ELSE z >> 1 END"
+    byte = f"lambda c, b: list_reduce([xor(c, b), 0::BIGINT, 0, 0, 0, 0, 0, 0, 0], {bit})"
+    signs = f"list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {signs}), {byte}), 4294967295::BIGINT)"
