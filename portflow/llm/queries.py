@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from portflow.llm import context_mixing, decontamination, html_region, line_dedup, merkle, neighbours, packing, pii, prefix_trie, quality_rules, simhash, suffix_dedup
+from portflow.llm import context_mixing, decontamination, html_region, line_dedup, merkle, neighbours, packing, pii, prefix_trie, quality_rules, simhash, suffix_dedup, toxicity
 from portflow.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents")))
 
 
+def op11_block_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_octopus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,6 @@ def op13_peeling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_fertility, op2_differencing, op3_context_mixing, op4_neighbours, op5_weak_supervision, op6_max_subsequence, op7_wu_manber, op8_site_lines, op9_simhash, op10_suffixes, op12_octopus, op13_peeling)}
+    op1_fertility, op2_differencing, op3_context_mixing, op4_neighbours, op5_weak_supervision, op6_max_subsequence, op7_wu_manber, op8_site_lines, op9_simhash, op10_suffixes, op11_block_max, op12_octopus, op13_peeling)}
 ORACLE: dict[str, str] = {"op7_wu_manber": decontamination.oracle(), "op8_site_lines": line_dedup.oracle(), "op12_octopus": merkle.oracle(),
                           "op13_peeling": prefix_trie.oracle()}
