@@ -11,9 +11,9 @@ the labelled examples, each without its own.  The nearest examples and the leadi
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections import Counter
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +27,16 @@ FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 #: bound on the labelled training rows that teach; the ones with the least hashes of their ids
 SAMPLE = 8000
-#: bound on the vocabulary; terms need so many labelled texts and this G-squared (chi-square's 0.0001 point)
-TERMS, MIN_TEXTS, MIN_G2 = 2048, 4, 15.1
+#: bound on the vocabulary; terms need so many labelled texts
+TERMS, MIN_TEXTS = 2048, 4
+#: chance that any term at all gets in by luck alone (G-squared's bound follows from it and from the number of terms)
+LUCK = 0.05
 STEM = 5
 NEIGHBOURS = 24
-SHARPNESS = 12.0
+SHARPNESS = 24.0
 BLOCK = 64
+#: texts that are compared at once
+QUERIES = 256
 EVIDENCE = 3
 CACHE_WORDS = 300_000
 
@@ -76,33 +80,34 @@ class Vocabulary:
 
 
 class Index:
-    """Examples in blocks of ``block`` and postings cut at the blocks' borders, each with its largest weight."""
+    """Examples in blocks of ``block``: each block's postings (its terms by its examples) and each term's largest weight in it."""
 
     def __init__(self, idf: np.ndarray, rows: list[tuple[list[int], list[int], int]], y: np.ndarray, ids: np.ndarray, block: int = BLOCK):
         self.idf, self.block = idf, block
         merged: dict[tuple, list] = {}
         for row, label, i in zip(rows, y, ids):
             at, x = self.vector(*row)
-            merged.setdefault((at.tobytes(), np.round(x, 9).tobytes()), [at, x, 0.0, 0, int(i)])
-            own = merged[at.tobytes(), np.round(x, 9).tobytes()]
+            own = merged.setdefault(self.name(at, x), [at, x, 0.0, 0, int(i)])
             own[2], own[3], own[4] = own[2] + float(label), own[3] + 1, min(own[4], int(i))
         # neighbours in the index share their heaviest term, which makes the blocks' bounds tight
         examples = sorted(merged.values(), key=lambda e: (int(e[0][np.argmax(e[1])]) if len(e[0]) else -1, -float(e[1].max()) if len(e[0]) else 0.0, e[4]))
-        self.where = {(e[0].tobytes(), np.round(e[1], 9).tobytes()): k for k, e in enumerate(examples)}
+        self.where = {self.name(e[0], e[1]): k for k, e in enumerate(examples)}
         self.label = np.array([e[2] for e in examples], float)
         self.many = np.array([e[3] for e in examples], float)
         self.id = np.array([e[4] for e in examples], np.int64)
-        n_blocks = max(1, -(-len(examples) // block))
-        term = np.concatenate([e[0] for e in examples]) if examples else np.empty(0, np.int64)
-        own = np.repeat(np.arange(len(examples)), [len(e[0]) for e in examples])
-        weight = np.concatenate([e[1] for e in examples]) if examples else np.empty(0)
-        order = np.lexsort((own, term))
-        term, self.posting, self.weight = term[order], own[order], weight[order]
-        cell = term * n_blocks + self.posting // block
-        self.start = np.searchsorted(cell, np.arange(len(idf) * n_blocks + 1)).reshape(-1)
-        self.most = np.zeros((len(idf), n_blocks))
-        np.maximum.at(self.most.reshape(-1), cell, self.weight)
-        self.n_blocks = n_blocks
+        self.postings, self.most = [], np.zeros((len(idf), -(-len(examples) // block)))
+        for b in range(self.most.shape[1]):
+            part = examples[b * block:(b + 1) * block]
+            codes = np.unique(np.concatenate([e[0] for e in part]))
+            weights = np.zeros((len(codes), len(part)))
+            for k, e in enumerate(part):
+                weights[np.searchsorted(codes, e[0]), k] = e[1]
+            self.postings.append((codes, weights))
+            self.most[codes, b] = weights.max(1) if len(part) else 0
+
+    @staticmethod
+    def name(at: np.ndarray, x: np.ndarray) -> tuple[bytes, bytes]:
+        return at.tobytes(), np.round(x, 9).tobytes()
 
     def vector(self, at, count, other: int) -> tuple[np.ndarray, np.ndarray]:
         """Codes and weights of length one; the last code stands for all other words."""
@@ -110,26 +115,32 @@ class Index:
         x = (1 + np.log(np.asarray(list(count) + [other] * (other > 0), float))) * self.idf[at]
         return at, x / (np.linalg.norm(x) or 1.0)
 
-    def nearest(self, at: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of the largest cosines (equal ones: those first in the index), best first; zero cosines too."""
-        n = len(self.id)
-        k = min(k, n)
-        bound = x @ self.most[at] if len(at) else np.zeros(self.n_blocks)
-        best, best_at, least = np.empty(0), np.empty(0, np.int64), -1.0
-        for b in np.argsort(-bound, kind="stable"):
-            if len(best) == k and bound[b] < least - 1e-12:
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each vector the ``k`` examples of the largest cosines, best first; equal ones: those first in the index.
+
+        A vector visits the blocks by falling bounds and stops at the first bound below its k-th best cosine.
+        """
+        n, k = len(vectors), min(k, len(self.id))
+        query = np.zeros((n, len(self.idf)))
+        for q, (at, x) in enumerate(vectors):
+            query[q, at] = x
+        bound = query @ self.most
+        order = np.argsort(-bound, axis=1, kind="stable")
+        best, best_at = np.full((n, k), -1.0), np.full((n, k), len(self.id))
+        alive = np.arange(n)
+        for turn in range(self.most.shape[1]):
+            alive = alive[bound[alive, order[alive, turn]] >= best[alive, -1] - 1e-9]
+            if not len(alive):
                 break
-            low = b * self.block
-            cosine = np.zeros(min(self.block, n - low))
-            for t, w in zip(at, x):
-                cell = t * self.n_blocks + b
-                s, e = self.start[cell], self.start[cell + 1]
-                if s < e:
-                    cosine[self.posting[s:e] - low] += w * self.weight[s:e]
-            best, best_at = np.concatenate([best, cosine]), np.concatenate([best_at, np.arange(low, low + len(cosine))])
-            keep = np.lexsort((best_at, -np.round(best, 12)))[:k]
-            best, best_at = best[keep], best_at[keep]
-            least = best[-1] if len(best) == k else -1.0
+            for b in np.unique(order[alive, turn]):
+                own = alive[order[alive, turn] == b]
+                codes, weights = self.postings[b]
+                cosine = np.round(query[np.ix_(own, codes)] @ weights, 10)
+                at = np.broadcast_to(np.arange(b * self.block, b * self.block + cosine.shape[1]), cosine.shape)
+                both, both_at = np.hstack([best[own], cosine]), np.hstack([best_at[own], at])
+                first = np.argsort(both_at, axis=1, kind="stable")
+                keep = np.take_along_axis(first, np.argsort(-np.take_along_axis(both, first, 1), axis=1, kind="stable")[:, :k], 1)
+                best[own], best_at[own] = np.take_along_axis(both, keep, 1), np.take_along_axis(both_at, keep, 1)
         return best_at, best
 
     def vote(self, near: np.ndarray, cosine: np.ndarray, without: int | None = None, label: float = 0.0) -> float:
@@ -162,30 +173,29 @@ class Model:
 
     def __init__(self, idf: np.ndarray, rows: list[tuple[list[int], list[int], int]], y: np.ndarray, ids: np.ndarray, neighbours: int = NEIGHBOURS):
         self.index, self.neighbours = Index(idf, rows, y, ids), neighbours
-        self.kept: dict[bytes, tuple] = {}
-        votes = np.array([self._own_vote(row, label) for row, label in zip(rows, y)])
-        self.votes, self.chances = isotonic(votes, np.asarray(y, float)) if len(rows) else (np.array([0.5]), np.array([0.5]))
-
-    def _own_vote(self, row: tuple, label: float) -> float:
-        at, x = self.index.vector(*row)
-        near, cosine = self.index.nearest(at, x, self.neighbours + 1)
-        return self.index.vote(near, cosine, self.index.where[at.tobytes(), np.round(x, 9).tobytes()], float(label))
-
-    def score(self, row: tuple) -> tuple[float, list[tuple[int, float, float, int]], list[int]]:
-        """Calibrated chance, (doc_id, cosine, label, texts) of the nearest examples, and codes of the leading shared terms."""
-        at, x = self.index.vector(*row)
+        self.kept: dict[bool, tuple] = {}
+        votes = [self.index.vote(near, cosine, self.index.where[self.index.name(*vector)], float(label))
+                 for (vector, near, cosine), label in zip(self._near(rows, neighbours + 1), y)]
+        self.votes, self.chances = isotonic(np.array(votes), np.asarray(y, float)) if len(rows) else (np.array([0.5]), np.array([0.5]))
+
+    def _near(self, rows: list[tuple], k: int):
+        for s in range(0, len(rows), QUERIES):
+            vectors = [self.index.vector(*r) for r in rows[s:s + QUERIES]]
+            yield from zip(vectors, *self.index.nearest(vectors, k))
+
+    def score(self, rows: list[tuple]) -> list[tuple[float, list[tuple[int, float, float, int]], list[int]]]:
+        """Calibrated chance, (doc_id, cosine, label, texts) of the nearest examples, and codes of the leading terms."""
         if not len(self.index.id):
-            return 0.5, [], []
-        key = at.tobytes() if len(at) < 2 else b""
-        if key in self.kept and key:
-            return self.kept[key]
-        near, cosine = self.index.nearest(at, x, self.neighbours)
-        chance = float(np.interp(self.index.vote(near, cosine), self.votes, self.chances))
-        shown = [(int(self.index.id[k]), float(c), float(self.index.label[k] / self.index.many[k]), int(self.index.many[k])) for k, c in zip(near[:EVIDENCE], cosine)]
-        leading = [int(t) for t in at[np.argsort(-x, kind="stable")] if t < len(self.index.idf) - 1][:EVIDENCE]
-        out = min(1.0, max(0.0, chance)), shown, leading
-        if key:
-            self.kept[key] = out
+            return [(0.5, [], [])] * len(rows)
+        out: list = [self.kept.get(r[2] > 0) if not r[0] else None for r in rows]  # texts without a term are all alike
+        todo = [k for k, x in enumerate(out) if x is None]
+        for k, ((at, x), near, cosine) in zip(todo, self._near([rows[k] for k in todo], self.neighbours)):
+            chance = float(np.interp(self.index.vote(near, cosine), self.votes, self.chances))
+            shown = [(int(self.index.id[e]), float(c), float(self.index.label[e] / self.index.many[e]), int(self.index.many[e])) for e, c in zip(near[:EVIDENCE], cosine)]
+            leading = [int(t) for t in at[np.argsort(-x, kind="stable")] if t < len(self.index.idf) - 1][:EVIDENCE]
+            out[k] = min(1.0, max(0.0, chance)), shown, leading
+            if not rows[k][0]:
+                self.kept[rows[k][2] > 0] = out[k]
         return out
 
 
@@ -216,8 +226,10 @@ def vocabulary(docs: DataFrame, known: DataFrame, most: int = TERMS) -> list[str
                     pos[t] += y
         return {"term": list(n), "n": list(n.values()), "pos": [float(pos[t]) for t in n]}
 
-    texts_known = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    counts = map_arrow(texts_known, per_batch, schema).groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= MIN_TEXTS)
+    # copies of one text count once
+    texts_known = written(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("text").agg(F.avg("y").alias("y")), "labelled_texts")
+    counts = written(map_arrow(texts_known, per_batch, schema).groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where(F.col("n") >= MIN_TEXTS), "terms")
+    least = NormalDist().inv_cdf(1 - LUCK / 2 / max(1, counts.count())) ** 2
     size = texts_known.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0.0)).alias("pos")).first()
 
     def part(seen, expected):
@@ -229,7 +241,7 @@ def vocabulary(docs: DataFrame, known: DataFrame, most: int = TERMS) -> list[str
     n, pos = F.col("n").cast("double"), F.col("pos")
     rest_n, rest_pos = size["n"] - n, size["pos"] - pos
     g2 = 2 * (part(pos, n * share) + part(n - pos, n * (1 - share)) + part(rest_pos, rest_n * share) + part(rest_n - rest_pos, rest_n * (1 - share)))
-    return [r["term"] for r in counts.select("term", g2.alias("g2")).where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "term").limit(most).collect()]
+    return [r["term"] for r in counts.select("term", g2.alias("g2")).where(F.col("g2") >= least).orderBy(F.desc("g2"), "term").limit(most).collect()]
 
 
 def counted(docs: DataFrame, terms: list[str]) -> DataFrame:
@@ -277,8 +289,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sam
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("score", T.DoubleType()), T.StructField("neighbours", shown), T.StructField("terms", T.ArrayType(T.StringType()))])
 
     def per_batch(batch: pa.RecordBatch) -> dict:
-        scored = [shared.value.score(row) for row in zip(*(batch.column(c).to_pylist() for c in ("at", "n", "other")))]
-        chances, near, leading = zip(*scored)
+        chances, near, leading = zip(*shared.value.score(list(zip(*(batch.column(c).to_pylist() for c in ("at", "n", "other"))))))
         return {"doc_id": batch.column("doc_id"), "score": chances, "terms": [[terms[t] for t in x] for x in leading],
                 "neighbours": [[dict(zip(("doc_id", "cosine", "label", "texts"), e)) for e in x] for x in near]}
 
