@@ -258,14 +258,26 @@ def counted(docs: DataFrame, terms: list[str]) -> DataFrame:
     return written(map_arrow(docs.select("doc_id", "text"), per_batch, schema), "counts")
 
 
+def frequencies(vectors: DataFrame, n_terms: int) -> np.ndarray:
+    """In how many documents each term occurs (the last: any other word), summed up batch by batch before the shuffle."""
+    schema = T.StructType([T.StructField("term", T.IntegerType()), T.StructField("n", T.LongType())])
+
+    def per_batch(batch: pa.RecordBatch) -> dict:
+        n = np.bincount(batch.column("at").flatten().to_numpy(zero_copy_only=False).astype(np.int64), minlength=n_terms + 1)
+        n[n_terms] = np.count_nonzero(batch.column("other").to_numpy(zero_copy_only=False) > 0)
+        seen = np.nonzero(n)[0]
+        return {"term": seen.astype(np.int32), "n": n[seen]}
+
+    out = np.zeros(n_terms + 1)
+    for r in map_arrow(vectors.select("at", "other"), per_batch, schema).groupBy("term").agg(F.sum("n").alias("n")).collect():
+        out[r["term"]] = r["n"]
+    return out
+
+
 def fit(vectors: DataFrame, known: DataFrame, n_terms: int, neighbours: int = NEIGHBOURS) -> Model:
     """Document frequencies of all documents; the labelled rows (bounded) come to the driver."""
     n_docs = vectors.count()
-    df = np.zeros(n_terms + 1)
-    for r in vectors.select(F.explode("at").alias("t")).groupBy("t").count().collect():
-        df[r["t"]] = r["count"]
-    df[n_terms] = vectors.where("other > 0").count()
-    idf = np.log((n_docs + 1) / (df + 1)) + 1
+    idf = np.log((n_docs + 1) / (frequencies(vectors, n_terms) + 1)) + 1
     sample = vectors.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.min(F.struct("at", "n", "other")).alias("v"), F.first("y").alias("y")).collect()
     sample.sort(key=lambda r: r["doc_id"])
     ids = np.array([r["doc_id"] if isinstance(r["doc_id"], int) else zlib.crc32(str(r["doc_id"]).encode()) for r in sample], np.int64)
