@@ -66,8 +66,8 @@ def load_feeds(spark: SparkSession, feeds: FeedPaths, root: str,
                chapters: list[tuple[int, str, str]] | None = None) -> dict[str, int]:
     """Run the whole load; returns row counts per written table."""
     # columns are taken by name: files may order or lack columns as they like
-    cross_raw = files.read_csv_by_name(spark, files.csv_header_groups(spark, feeds.crossing), schemas.CROSSING_CSV)
-    nat_raw = files.read_csv_by_name(spark, files.csv_header_groups(spark, feeds.national), schemas.NATIONAL_CSV)
+    cross_raw = files.read_csv_by_name(spark, feeds.crossing, schemas.CROSSING_CSV)
+    nat_raw = files.read_csv_by_name(spark, feeds.national, schemas.NATIONAL_CSV)
     nat_raw = nat_raw.where(files.national_file_period("_file").isNotNull())     # in-scope monthly files only
 
     ports = loads.build_port_dimension(cross_raw, catalogs.CORRIDOR_PORTS)

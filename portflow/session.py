@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -57,6 +60,19 @@ def subdir(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/")] + [p.strip("/") for p in parts])
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared folder and read back: lineage ends there.
+
+    Where no shared folder is set, a temporary one is made only if driver and
+    executors are one process; on a cluster that is an error.
+    """
+    spark = df.sparkSession
+    one_process = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+    path = subdir(checkpoint_root(spark, fallback=tempfile.mkdtemp(prefix="portflow-") if one_process else None), "staged", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

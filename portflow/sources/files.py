@@ -8,12 +8,19 @@ derived without listing files on the driver.
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+import csv
+from functools import reduce
+from typing import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from portflow.operators.joins import bounded_broadcast
+from portflow.session import staged
+from portflow.sources import ranged
+
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
              file_col: str | None = "_file") -> DataFrame:
@@ -23,39 +30,108 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return df.withColumn(file_col, F.input_file_name()) if file_col else df
 
 
-def csv_header_groups(spark: SparkSession, path: str | Sequence[str]) -> list[list[str]]:
-    """Files grouped by their header line (one row per file reaches the driver)."""
-    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("at"))
-    heads = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header")).collect()
-    groups: dict[str, list[str]] = {}
-    for r in sorted(heads, key=lambda r: r["file"]):
-        groups.setdefault(r["header"], []).append(r["file"])
-    return list(groups.values())
+#: files whose headers one job asks for where only Spark's readers reach the store
+HEADS_PER_JOB = 64
+
+
+def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file, header): the first line with content of every file, whatever the files' sizes.
+
+    Tasks open the listed files and read their first kilobytes.  Where only
+    Spark's readers reach the store, jobs of a few files each stop at the first
+    line of every one.  Empty files give no row.  Eager; the rows are written
+    to the shared folder.
+    """
+    found = ranged.list_files(spark, _paths(path))
+    schema = T.StructType([T.StructField("file", T.StringType()), T.StructField("header", T.StringType())])
+    if found.where(~F.regexp_extract("path", "^([a-z0-9]*):", 1).isin(*ranged.SCHEMES)).limit(1).count():
+        names = [(r["path"], r["file"]) for r in found.select("path", "file").collect()]
+        out = spark.createDataFrame([], schema)
+        for k in range(0, len(names), HEADS_PER_JOB):
+            lines = [spark.read.text(x).where(F.trim("value", F.lit("\ufeff \t\r")) != "").limit(1).select(F.lit(file).alias("file"), F.col("value").alias("header"))
+                     for x, file in names[k:k + HEADS_PER_JOB]]
+            out = out.unionByName(staged(reduce(DataFrame.unionByName, lines), "headers"))
+        return out
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path, file in zip(batch.column("path").to_pylist(), batch.column("file").to_pylist()):
+                with ranged.open_ranged(path) as f:
+                    rows.append({"file": file, "header": ranged.first_line(f).decode("utf-8", "replace")})
+            yield pa.RecordBatch.from_pylist([r for r in rows if r["header"]], schema=pa.schema([("file", pa.string()), ("header", pa.string())]))
+
+    spread = found.repartition(max(1, min(spark.sparkContext.defaultParallelism * 4, found.count() // 8 + 1)))
+    return staged(spread.mapInArrow(heads, schema), "headers")
+
+
+def _paths(path: str | Iterable[str | Sequence[str]]) -> list[str]:
+    return [path] if isinstance(path, str) else [x for p in path for x in _paths(p)]
+
+
+def header_names(header: str) -> list[str]:
+    """Column names of a header line: quotes and a byte-order mark removed, lower case."""
+    return [c.strip().lower() for c in next(csv.reader([header.lstrip("\ufeff").strip("\r")]), [])]
+
+
+#: header layouts of one feed; more than that are no eras of a feed but a wrong path
+MAX_LAYOUTS = 1000
+
+
+def by_header(rows: DataFrame, heads: DataFrame, layouts: Sequence[str], schema: T.StructType, key: str) -> DataFrame:
+    """Positional text columns ``_c0 ...`` of ``rows`` -> the declared columns by name.
+
+    ``heads`` (file, header) says which layout a file has; ``layouts`` are the
+    distinct headers.  A declared column that a layout lacks, and a value that
+    does not parse, become NULL; names compare without case, the first of
+    equal names counts.
+    """
+    files = heads.select(F.col("file").alias(key), F.array_position(F.array(*map(F.lit, layouts)), F.col("header")).alias("_layout"))
+    named = rows.join(bounded_broadcast(files), key)
+    positions = [header_names(h) for h in layouts]
+
+    def column(f: T.StructField) -> Column:
+        places: dict[int, list[int]] = {}
+        for k, names in enumerate(positions, 1):
+            if f.name.lower() in names:
+                places.setdefault(names.index(f.name.lower()), []).append(k)
+        out = F.lit(None).cast("string")
+        for at, which in places.items():
+            out = F.when(F.col("_layout").isin(which), F.col(f"_c{at}")).otherwise(out)
+        return (out if f.dataType == T.StringType() else F.trim(out).try_cast(f.dataType)).alias(f.name)
+
+    return named.select(*[column(f) for f in schema.fields], key)
+
+
+def text_columns(layouts: Sequence[str]) -> T.StructType:
+    """``_c0 ...``: as many text columns as the widest layout has."""
+    return T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max(len(header_names(h)) for h in layouts))])
+
+
+def distinct_layouts(heads: DataFrame) -> list[str]:
+    found = sorted(r["header"] for r in heads.select("header").distinct().limit(MAX_LAYOUTS + 1).collect())
+    if len(found) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} header layouts")
+    return found
 
 
-def read_csv_by_name(spark: SparkSession, groups: Iterable[str | Sequence[str]], schema: T.StructType,
+def read_csv_by_name(spark: SparkSession, path: str | Iterable[str | Sequence[str]], schema: T.StructType,
                      file_col: str | None = "_file") -> DataFrame:
-    """Concatenate CSV groups *by column name*.
+    """CSV files of any header layouts *by column name*, in one scan.
 
-    Each group (a glob or list of paths sharing one header layout) is read
-    with its own header as text columns; the declared columns are then cast
-    by name, missing ones become NULL (``unionByName(allowMissingColumns)``).
+    Headers are found with one small read per file; the rows of all files are
+    then read once as text columns by position, and each file's layout says
+    which position a declared column has.
     """
-    out = None
-    for g in groups:
-        raw = spark.read.option("header", True).csv(g if isinstance(g, str) else list(g))
-        have = {c.lower(): c for c in raw.columns}
-        cols = [(F.col(f"`{have[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in have
-                 else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
-        part = raw.select(*cols)
-        if file_col:
-            part = part.withColumn(file_col, F.input_file_name())
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
-        raise ValueError("no CSV groups given")
-    return out
+    heads = csv_headers(spark, path)
+    layouts = distinct_layouts(heads)
+    if not layouts:
+        raise ValueError("no CSV file with a header given")
+    key = file_col or "_file"
+    raw = (spark.read.schema(text_columns(layouts)).option("header", True).option("mode", "PERMISSIVE").csv(_paths(path))
+           .select("*", F.col("_metadata.file_path").alias(key)))
+    out = by_header(raw, heads, layouts, schema, key)
+    return out if file_col else out.drop(key)
 
 
 def read_json_pages(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,

@@ -52,6 +52,11 @@ def port_code_of(supplier, base: int):
     return F.pmod(supplier, F.lit(PORT_CODES)) + base
 
 
+def wait_port_of(user, p: "Params"):
+    """Port of a wait reading: ports 1 to ``wait_port_mod``."""
+    return F.pmod(user, F.lit(p.wait_port_mod)) + 1
+
+
 _READS: dict[tuple, DataFrame] = {}
 _DERIVED: dict[tuple, DataFrame] = {}
 
@@ -298,7 +303,7 @@ class Model:
         lane_id = {k: catalogs.lane_ids()[v] for k, v in EVENT_TYPE_TO_LANE.items()}
         day = F.to_date("ts")
         return self.table("events").select(
-            (F.pmod(F.col("user_id"), F.lit(p.wait_port_mod)) + 1).alias("port_id"),
+            wait_port_of(F.col("user_id"), p).alias("port_id"),
             codes.map_values("event_type", lane_id).alias("lane_type_id"),
             dates.date_key(day).alias("date_id"),
             F.col("value").cast("decimal(6,2)").alias("minutes"),

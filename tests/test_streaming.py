@@ -6,7 +6,7 @@ import shutil
 
 from pyspark.sql import functions as F
 
-from portflow.sources.testdata import EVENT_TYPE_TO_LANE, model
+from portflow.sources.testdata import EVENT_TYPE_TO_LANE, Params, model, wait_port_of
 from portflow import catalogs
 from portflow.functions import codes
 from portflow.streaming.incremental import daily_wait_stream, incremental_national_load
@@ -41,7 +41,7 @@ def test_streaming_daily_wait_equals_batch(spark, workdir):
     schema = spark.read.parquet(src).schema
     stream = spark.readStream.schema(schema).parquet(src)
     lanes = {k: catalogs.lane_ids()[v] for k, v in EVENT_TYPE_TO_LANE.items()}
-    out = daily_wait_stream(stream, F.pmod("user_id", F.lit(3)), codes.map_values("event_type", lanes))
+    out = daily_wait_stream(stream, wait_port_of(F.col("user_id"), Params()), codes.map_values("event_type", lanes))
     name = "wait_" + os.path.basename(workdir).replace("-", "_")
     q = (out.writeStream.outputMode("update").format("memory").queryName(name)
          .option("checkpointLocation", f"{workdir}/ckpt").trigger(availableNow=True).start())

@@ -33,13 +33,13 @@ ROW = {"TRDTYPE": 1, "DEPE": "2501", "COMMODITY2": 87, "DISAGMOT": 5, "COUNTRY":
 def test_columns_are_taken_by_name(spark, workdir):
     _national(workdir, [ROW])
     _national(workdir, [ROW], list(reversed(NAMES)))
-    raw = files.read_csv_by_name(spark, files.csv_header_groups(spark, f"{workdir}/*.csv"), schemas.NATIONAL_CSV)
+    raw = files.read_csv_by_name(spark, f"{workdir}/*.csv", schemas.NATIONAL_CSV)
     assert {(r["VALUE"], r["SHIPWT"], r["DEPE"]) for r in raw.collect()} == {(100, 7, "2501")} and raw.count() == 2
 
 
 def test_bad_required_values_are_rejected(spark, workdir):
     _national(workdir, [ROW, ROW | {"VALUE": "junk"}, ROW | {"MONTH": "x"}, ROW | {"MONTH": 13}])
-    raw = files.read_csv_by_name(spark, files.csv_header_groups(spark, f"{workdir}/*.csv"), schemas.NATIONAL_CSV)
+    raw = files.read_csv_by_name(spark, f"{workdir}/*.csv", schemas.NATIONAL_CSV)
     d = loads.Dims(port=spark.createDataFrame([(1, 2501, "A"), (2, 2501, "B")], "port_id long, port_code int, port_canonical_name string"),
                    mode=spark.createDataFrame([(k + 1, m) for k, m in enumerate(("Truck", "Rail", "Pedestrian"))], "mode_id int, mode_canonical_name string"),
                    commodity=spark.createDataFrame([(1, 87)], "commodity_id int, hs2_code int"), lane=spark.createDataFrame([], "lane_type_id int, lane_canonical_name string"))
