@@ -26,15 +26,17 @@ from portflow.operators import dims as dimops
 from portflow.plans import loads
 from portflow.session import subdir
 from portflow.sinks import with_audit, write_full_refresh, write_source_partitions
-from portflow.sources import files
+from portflow.sources import archives, files, ranged
 
 
 @dataclass
 class FeedPaths:
-    national: str | list          # CSV glob(s) of the monthly national files
+    national: str | list | None   # CSV glob(s) of the monthly national files
     crossing: str                 # crossing CSV
     wait: str | None = None       # wait JSON pages
     mirror: str | None = None     # mirror JSON pages
+    archives: str | None = None   # archives of national files; months that ``national`` has are left to it
+    calendar: tuple = ("1996-01-01", None)   # first and last day of dim_date (None: the day of the load)
 
 
 def mode_dimension(spark: SparkSession) -> DataFrame:
@@ -62,13 +64,29 @@ def _write(df: DataFrame, root: str, name: str, partition_by=()) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def national_rows(spark: SparkSession, feeds: FeedPaths) -> DataFrame:
+    """In-scope monthly files, loose ones and those in archives; a month comes from its first copy, loose files first."""
+    rows, taken = [], None
+    if feeds.national:
+        loose = files.read_csv_by_name(spark, feeds.national, schemas.NATIONAL_CSV)
+        period = files.national_file_period
+        rows.append(loose.where(period("_file").isNotNull()))
+        names = ranged.list_files(spark, [feeds.national] if isinstance(feeds.national, str) else feeds.national)
+        taken = names.select(period("path").alias("period")).where("period IS NOT NULL")
+    if feeds.archives:
+        report = archives.member_report(archives.member_directory(spark, feeds.archives))
+        rows.append(archives.read_archived_csv(archives.first_copies(report, taken), schemas.NATIONAL_CSV))
+    if not rows:
+        raise ValueError("no national feed given")
+    return rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+
+
 def load_feeds(spark: SparkSession, feeds: FeedPaths, root: str,
                chapters: list[tuple[int, str, str]] | None = None) -> dict[str, int]:
     """Run the whole load; returns row counts per written table."""
     # columns are taken by name: files may order or lack columns as they like
     cross_raw = files.read_csv_by_name(spark, feeds.crossing, schemas.CROSSING_CSV)
-    nat_raw = files.read_csv_by_name(spark, feeds.national, schemas.NATIONAL_CSV)
-    nat_raw = nat_raw.where(files.national_file_period("_file").isNotNull())     # in-scope monthly files only
+    nat_raw = national_rows(spark, feeds)
 
     ports = loads.build_port_dimension(cross_raw, catalogs.CORRIDOR_PORTS)
     ports = _write(loads.extend_port_dimension(ports, nat_raw), root, "dim_port")

@@ -2,13 +2,16 @@
 
 import io
 import os
+import zipfile
+import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from portflow import schemas
-from portflow.sources import files, ranged
+from portflow.sources import archives, files, ranged
 
-from tests.test_loads import NAT_HEADER, NAT_ROWS, _write
+from tests.test_loads import NAT_HEADER, NAT_ROWS, _write, _zip
 
 COLS = NAT_HEADER.split(",")
 
@@ -78,3 +81,88 @@ def test_values_that_do_not_parse_are_null(spark, workdir):
     _write(f"{workdir}/v/a.csv", "VALUE,DEPE,YEAR\n12.5,0404, 2024 \nabc,25XX\n7,2504,2024,extra\n")
     rows = files.read_csv_by_name(spark, f"{workdir}/v/a.csv", schemas.NATIONAL_CSV).select("VALUE", "DEPE", "YEAR").orderBy(F.col("DEPE")).collect()
     assert [tuple(r) for r in rows] == [(None, "0404", 2024), (7, "2504", 2024), (None, "25XX", None)]
+
+
+def _archive(path, entries, method=zipfile.ZIP_DEFLATED):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with zipfile.ZipFile(path, "w", method) as z:
+        for name, data in entries:
+            z.writestr(name, data)
+
+
+def _month(k, rows=3, value=None):
+    return NAT_HEADER + "\n" + "".join(f"2,2504,84,5,2010,{value or k},10,,1.0,1,{k},2024\n" for _ in range(rows))
+
+
+def test_one_archive_is_read_by_many_tasks(spark, workdir):
+    _archive(f"{workdir}/z/year.zip", [(f"dot3_{k:02d}24.csv", _month(k)) for k in range(1, 13)] + [("notes.txt", "x" * 10)])
+    directory = archives.member_directory(spark, f"{workdir}/z/*.zip")
+    assert directory.count() == 12
+    lines = archives.member_lines(archives.member_report(directory))
+    assert lines.select(F.spark_partition_id()).distinct().count() >= 6 and lines.count() == 12 * 4
+
+
+def test_first_sound_copy_of_a_month_counts(spark, workdir):
+    d = f"{workdir}/z"
+    inner = _zip([("dot3_0424.csv", _month(4)), ("dot3_ytd_0424.csv", _month(4))])
+    _archive(f"{d}/2024_a.zip", [("dot3_0124.csv", _month(1, value=11)), ("dot3_0224.csv", _month(2, value=21)), ("x/inner.zip", inner)])
+    _archive(f"{d}/2024_b.zip", [("dot3_0124.csv", _month(1, value=12)), ("dot3_0224.csv", _month(2, value=22)), ("DOT3_0324.CSV", _month(3, 1)), ("dot3_0524.csv", ",".join(COLS[::-1]) + "\n" + ",".join(NAT_ROWS[0].split(",")[::-1]))])
+    _archive(f"{d}/2024_c.zip", [("stored.zip", _zip([("dot3_0624.csv", _month(6))])), ("dot3_2009.csv", _month(9))], zipfile.ZIP_STORED)
+    data = bytearray(open(f"{d}/2024_a.zip", "rb").read())
+    with zipfile.ZipFile(f"{d}/2024_a.zip") as z:
+        at = z.getinfo("dot3_0224.csv").header_offset + 30 + len("dot3_0224.csv")
+    data[at + 5] ^= 255
+    open(f"{d}/2024_a.zip", "wb").write(data)
+    report = archives.member_report(archives.member_directory(spark, f"{d}/*.zip"))
+    first = archives.first_copies(report)
+    got = {(r["_file"].rsplit("/", 1)[-1].lower(), r["VALUE"]): r["n"] for r in archives.read_archived_csv(first, schemas.NATIONAL_CSV).groupBy("_file", "VALUE").agg(F.count("*").alias("n")).collect()}
+    assert got == {("dot3_0124.csv", 11): 3, ("dot3_0224.csv", 22): 3, ("dot3_0324.csv", 3): 1, ("dot3_0424.csv", 4): 3, ("dot3_0524.csv", 100): 1, ("dot3_0624.csv", 6): 3}
+    taken = spark.createDataFrame([("2024-01",), ("2024-01",), ("2024-03",)], "period string")
+    assert sorted(r["period"] for r in archives.first_copies(report, taken).collect()) == ["2024-02", "2024-04", "2024-05", "2024-06"]
+    (year,) = archives.archive_years(report).collect()
+    assert (year["year"], year["months"], year["further_copies"], year["damaged"], year["lines"]) == (2024, 6, 1, 1, 4 + 4 + 2 + 4 + 2 + 4)
+
+
+class Sparse:
+    """A file whose long runs of zeros are holes."""
+
+    def __init__(self, path):
+        self.f = open(path, "wb+")
+
+    def write(self, data):
+        if len(data) > 1 << 20 and not any(memoryview(data)[:64]):
+            self.f.seek(len(data), 1)
+            return len(data)
+        return self.f.write(data)
+
+    def __getattr__(self, name):
+        return getattr(self.f, name)
+
+
+def test_archive_above_two_gigabytes(spark, workdir):
+    os.makedirs(f"{workdir}/z")
+    sparse, block = Sparse(f"{workdir}/z/huge.zip"), bytes(1 << 24)
+    with zipfile.ZipFile(sparse, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("dot3_0124.csv", _month(1))
+        with z.open("padding.bin", "w", force_zip64=True) as f:
+            for _ in range(136):
+                f.write(block)
+        z.writestr("dot3_0224.csv", _month(2))
+    sparse.close()
+    path = f"{workdir}/z/huge.zip"
+    assert os.path.getsize(path) > 2 ** 31 and os.stat(path).st_blocks * 512 < 1 << 22
+    report = archives.member_report(archives.member_directory(spark, path))
+    assert {(r["member"], r["status"], r["lines"]) for r in report.collect()} == {("dot3_0124.csv", "ok", 4), ("dot3_0224.csv", "ok", 4)}
+
+
+def test_members_are_checked_to_their_end():
+    data = _zip([("a.csv", "1,2\n" * 1000)])
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        i = z.infolist()[0]
+    hop = {"offset": i.header_offset, "packed": i.compress_size, "size": i.file_size, "method": i.compress_type, "flags": 0, "crc": i.CRC}
+    assert zlib.crc32(b"".join(archives.data_of(io.BytesIO(data), hop))) == i.CRC
+    for wrong in ({"crc": 1}, {"size": 3}, {"offset": 5}, {"method": 99}, {"flags": 1}):
+        with pytest.raises(archives.DAMAGE):
+            list(archives.data_of(io.BytesIO(data), hop | wrong))
+    with pytest.raises(archives.DAMAGE):
+        list(archives.data_of(io.BytesIO(data[:50]), hop))

@@ -181,10 +181,11 @@ def test_archive_expansion(spark, workdir):
     assert periods == ["2024-03", "2024-04"]
     bad = lines.where("status <> 'ok'").count()
     assert bad == 1
-    parsed = archives.parse_csv_lines(lines.where("period IS NOT NULL"), ["DEPE", "VALUE", "YEAR"])
+    report = archives.member_report(archives.member_directory(spark, f"{d}/*.zip"))
+    parsed = archives.read_archived_csv(archives.first_copies(report), schemas.NATIONAL_CSV)
     vals = sorted((r.DEPE, r.VALUE) for r in parsed.collect())
-    assert vals == [("2501", "7"), ("2501", "7"), ("2504", "100"), ("2504", "100")]
-    rep = {r.archive.rsplit("/", 1)[-1]: r for r in archives.archive_report(lines).collect()}
+    assert vals == [("2501", 7), ("2501", 7), ("2504", 100), ("2504", 100)]
+    rep = {r.archive.rsplit("/", 1)[-1]: r for r in archives.archive_report(report).collect()}
     assert rep["2024_trunc.zip"].members_damaged == 1 and rep["2024_03.zip"].members_ok == 1
 
 
