@@ -15,8 +15,8 @@ from pyspark.sql.window import Window
 from portflow import catalogs
 from portflow.functions import codes, dates, metrics
 from portflow.operators import aggregates as agg
-from portflow.operators import conform, dims, joins, links, profile, quality, series, windows
-from portflow.plans import marts
+from portflow.operators import conform, dims, joins, links, profile, quality, rules, series, windows
+from portflow.plans import constraints, marts
 from portflow.plans import oracle as O
 from portflow.plans.registry import register
 from portflow.sources.testdata import PRIORITY_TO_MODE, Model, model
@@ -1197,53 +1197,66 @@ def dq_unique(m):
             .unionByName(quality.pk_violations(commodity_dimension(m.spark), ["hs2_code"], "dim_commodity.hs2_code")))
 
 
-@key("dq_fk", """
-SELECT 'trade.port_id' AS "check", count(*) AS orphans FROM t WHERE port_id NOT IN (SELECT port_id FROM port)
-UNION ALL SELECT 'trade.commodity_id', count(*) FROM t WHERE commodity_id NOT IN (SELECT p_partkey FROM part)
-UNION ALL SELECT 'crossing.port_id', count(*) FROM c WHERE port_id NOT IN (SELECT port_id FROM port)
-UNION ALL SELECT 'wait.port_id', count(*) FROM w WHERE port_id NOT IN (SELECT port_id FROM port)
-UNION ALL SELECT 'wait.lane_type_id', count(*) FROM w WHERE lane_type_id NOT IN (SELECT lane_type_id FROM lanes)""")
+_STAR = constraints.star_schema(P.borders)
+#: the star schema's tables in SQL, named as the rules name them
+_STAR_SQL = f""",
+dim_port AS (SELECT * FROM port), dim_mode AS (SELECT * FROM modes), dim_lane AS (SELECT * FROM lanes), members AS (SELECT p_partkey AS commodity_id FROM part),
+dim_commodity AS (SELECT row_number() OVER (ORDER BY hs2_code) AS commodity_id, *, trim(regexp_split_to_array(hs2_description_full, '[;,]')[1]) AS hs2_description_short
+  FROM (VALUES {', '.join(f"({code}, {O.q(text)}, {O.q(sector)})" for code, text, sector in catalogs.HS2_CHAPTERS)}) v(hs2_code, hs2_description_full, sector_grouping)),
+dim_date AS (SELECT {O.dkey('d')} AS date_id, d AS full_date, year(d) AS year, month(d) AS month, monthname(d) AS month_name, day(d) AS day, isodow(d) AS day_of_week,
+  dayname(d) AS day_of_week_name, weekofyear(d) AS week_of_year, strftime(d, '%Y-%m') AS year_month
+  FROM (SELECT CAST(unnest(generate_series(DATE '{P.calendar_start}', DATE '{P.calendar_end}', INTERVAL 1 DAY)) AS DATE) AS d)),
+fact_trade AS (SELECT *, now() AS loaded_at FROM t), fact_crossing AS (SELECT *, now() AS loaded_at FROM c), fact_wait AS (SELECT *, now() AS loaded_at FROM w)
+"""
+
+
+def _rules_sql(*kinds: str) -> str:
+    """One counting SELECT per rule of these kinds."""
+    found = []
+    for table, r in _STAR.items():
+        wrong = [("not_null", c, f"{c} IS NULL") for c in r.not_null] + [("max_len", c, f"length({c}) > {n}") for c, n in r.max_len.items()]
+        wrong += [("check", name, f"NOT ({sql})") for name, sql in r.checks.items()]
+        wrong += [("foreign", c, f"{c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM {dim})") for c, (dim, k) in r.foreign.items()]
+        found += [f"""SELECT '{table}' AS "table", '{kind}' AS kind, '{rule}' AS rule, count(*) AS violations FROM {table} WHERE {sql}""" for kind, rule, sql in wrong if kind in kinds]
+        found += [f"""SELECT '{table}', 'unique', '{','.join(u)}', CAST(COALESCE(SUM(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {table}
+            WHERE {' AND '.join(f'{c} IS NOT NULL' for c in u)} GROUP BY {', '.join(u)} HAVING count(*) > 1)""" for u in r.unique if "unique" in kinds]
+    return _STAR_SQL + "\nUNION ALL ".join(found)
+
+
+def _rules(m, *kinds):
+    return rules.schema_violations(_STAR, constraints.model_frames(m), kinds, m.max_broadcast_rows)
+
+
+@key("dq_fk", _rules_sql("foreign"))
 def dq_fk(m):
-    ports = m.port_flags.select("port_id")
-    com = joins.bounded_broadcast(m.dim_commodity().select("commodity_id"), m.max_broadcast_rows, cache_key=m._key("part"))
-    return (quality.fk_orphans(m.trade(), "port_id", ports, "port_id", "trade.port_id")
-            .unionByName(quality.fk_orphans(m.trade(), "commodity_id", com, "commodity_id", "trade.commodity_id"))
-            .unionByName(quality.fk_orphans(m.crossing(), "port_id", ports, "port_id", "crossing.port_id"))
-            .unionByName(quality.fk_orphans(m.wait(), "port_id", ports, "port_id", "wait.port_id"))
-            .unionByName(quality.fk_orphans(m.wait(), "lane_type_id", F.broadcast(m.dim_lane()), "lane_type_id",
-                                            "wait.lane_type_id")))
-
-
-@key("dq_check", """
-SELECT * FROM (VALUES
-  ('direction', (SELECT count(*) FROM t WHERE NOT (direction IN ('Import', 'Export')))),
-  ('container', (SELECT count(*) FROM t WHERE NOT (container IN ('Containerized', 'Not Containerized', 'Unknown')))),
-  ('value_non_negative', (SELECT count(*) FROM t WHERE NOT (value_usd >= 0))),
-  ('weight_null_or_non_negative', (SELECT count(*) FROM t WHERE NOT (weight_kg IS NULL OR weight_kg >= 0))),
-  ('data_source', (SELECT count(*) FROM t WHERE NOT (data_source IN ('national', 'mirror')))),
-  ('weight_positive', (SELECT count(*) FROM t WHERE NOT (weight_kg > 0)))
-) v("check", violations)""")
+    """M3: all ten foreign keys, one scan per fact."""
+    return _rules(m, "foreign")
+
+
+@key("dq_check", _rules_sql("check"))
 def dq_check(m):
-    c = F.col
-    return quality.check_violations(m.trade(), {
-        "direction": c("direction").isin("Import", "Export"),
-        "container": c("container").isin("Containerized", "Not Containerized", "Unknown"),
-        "value_non_negative": c("value_usd") >= 0,
-        "weight_null_or_non_negative": c("weight_kg").isNull() | (c("weight_kg") >= 0),
-        "data_source": c("data_source").isin(NAT, catalogs.SOURCE_MIRROR),
-        "weight_positive": c("weight_kg") > 0})
-
-
-@key("dq_not_null", """
-SELECT * FROM (VALUES
-  ('not_null:port_canonical_name', (SELECT count(*) FROM port WHERE port_canonical_name IS NULL)),
-  ('not_null:state', (SELECT count(*) FROM port WHERE state IS NULL)),
-  ('max_len:port_canonical_name', (SELECT count(*) FROM port WHERE length(port_canonical_name) > 18)),
-  ('max_len:state', (SELECT count(*) FROM port WHERE length(state) > 8))
-) v("check", violations)""")
+    """M4: every CHECK of dimensions and facts, one scan per table."""
+    return _rules(m, "check")
+
+
+@key("dq_not_null", _rules_sql("not_null", "max_len"))
 def dq_not_null(m):
-    return quality.not_null_and_length(m.dim_port(), ["port_canonical_name", "state"],
-                                       {"port_canonical_name": 18, "state": 8})
+    """M5: every NOT NULL and length, one scan per table."""
+    return _rules(m, "not_null", "max_len")
+
+
+@key("dq_schema", _rules_sql(*rules.KINDS))
+def dq_schema(m):
+    """M2-M5 together: row rules and foreign keys of a fact in one aggregate over one scan."""
+    return _rules(m, *rules.KINDS)
+
+
+@key("dq_weight", """
+SELECT count(*) AS n_rows, count(weight_kg) AS with_weight, count(*) FILTER (WHERE weight_kg > 0) AS positive, count(*) FILTER (WHERE NOT (weight_kg > 0)) AS zero_or_less FROM t""")
+def dq_weight(m):
+    """Three-valued logic of a CHECK: a NULL weight neither passes nor fails a comparison."""
+    w = F.col("weight_kg")
+    return m.trade().agg(F.count("*").alias("n_rows"), F.count(w).alias("with_weight"), F.count_if(w > 0).alias("positive"), F.count_if(~(w > 0)).alias("zero_or_less"))
 
 
 @key("dq_count_bands", f""",

@@ -93,6 +93,8 @@ def load_feeds(spark: SparkSession, feeds: FeedPaths, root: str,
     mode = _write(mode_dimension(spark), root, "dim_mode")
     com = _write(commodity_dimension(spark, chapters), root, "dim_commodity")
     lane = _write(lane_dimension(spark), root, "dim_lane")
+    first, last = feeds.calendar
+    _write(dimops.calendar(spark, first, last or F.current_date()), root, "dim_date")
     d = loads.Dims(port=ports, mode=mode, commodity=com, lane=lane)
 
     nat, nat_rej = loads.conform_national(nat_raw, d)

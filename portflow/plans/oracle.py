@@ -109,6 +109,7 @@ SELECT l_suppkey AS port_id,
        CAST(l_extendedprice AS DECIMAL(18,2)) AS value_usd,
        CASE WHEN l_tax = 0 AND l_linestatus = 'O' THEN NULL WHEN l_tax = 0 THEN 0
             ELSE CAST(l_quantity AS BIGINT) END AS weight_kg,
+       CASE WHEN l_tax <> 0 THEN CAST(floor(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2))) AS BIGINT) END AS freight_charge_usd,
        CASE WHEN l_shipdate >= TIMESTAMP '{p.mirror_start}' AND l_suppkey IN ({in_list(p.corridor_ports)}) THEN 'mirror' ELSE 'national' END AS data_source
 FROM lineitem"""
 

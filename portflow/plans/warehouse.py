@@ -38,7 +38,7 @@ def default_root(spark: SparkSession, name: str = "warehouse") -> str:
 
 def build_warehouse(m: Model, root: str) -> str:
     """Conform the bound tables and write the star model under ``root``."""
-    trade = agg.dedup_sum(m.trade(), FACT_TRADE_PK + ["data_source"], ["value_usd", "weight_kg"])
+    trade = agg.dedup_sum(m.trade(), FACT_TRADE_PK + ["data_source"], ["value_usd", "weight_kg", "freight_charge_usd"])
     write_full_refresh(trade, subdir(root, "fact_trade"), ["data_source", "date_id"])
     cross = agg.dedup_sum(m.crossing(), FACT_CROSSING_PK, ["crossing_count"])
     write_full_refresh(cross, subdir(root, "fact_crossing"), ["date_id"])

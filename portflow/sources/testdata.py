@@ -109,6 +109,9 @@ class Params:
     dual_start_year: int = 1995
     dual_end_year: int = 2001
     top_k: int = 10
+    calendar_start: str = "1992-01-01"   # first and last day of dim_date
+    calendar_end: str = "2025-12-31"
+    borders: tuple = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")  # what the binding has as borders
 
     @property
     def focus_ports(self) -> tuple:
@@ -235,6 +238,8 @@ class Model:
              .when(F.col("l_discount") < 0.05, F.lit(1.0)).otherwise(F.lit(2.0)).alias("origin_flag"),
             F.col("l_extendedprice").cast("decimal(18,2)").alias("value_usd"),
             F.when(F.col("l_tax") == 0, F.lit(0)).otherwise(F.col("l_quantity")).cast("long").alias("weight_raw"),
+            F.when(F.col("l_tax") != 0, F.floor(F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(4,2)")))
+             .cast("long").alias("freight_charge_usd"),
             F.when(mirror, F.lit(catalogs.SOURCE_MIRROR))
              .otherwise(F.lit(catalogs.SOURCE_NATIONAL)).alias("data_source"),
         )
@@ -256,7 +261,7 @@ class Model:
             "value_usd",
             F.when((direction == "Export") & (F.col("weight_raw") == 0), F.lit(None).cast("long"))
              .otherwise(F.col("weight_raw")).alias("weight_kg"),
-            "data_source",
+            "freight_charge_usd", "data_source",
         )
 
     def trade_with_gap(self) -> DataFrame:
