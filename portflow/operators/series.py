@@ -7,12 +7,19 @@ then attached with an equi-join on the series key.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
+from portflow.operators.joins import bounded_broadcast
+from portflow.session import staged
+
 
 def month_spine(bounds: DataFrame, start: str, end: str, out: str = "month_date") -> DataFrame:
     """One row per month from ``start`` to ``end`` (date columns of a one-row
@@ -48,20 +55,47 @@ def gapfill(spine: DataFrame, series: DataFrame, key: str) -> DataFrame:
     return spine.join(series, key, "left")
 
 
+#: column values that travel together when a grid is built
+DOMAIN_CHUNK = 1000
+
+
+def domain_chunks(values: DataFrame, size: int = DOMAIN_CHUNK) -> DataFrame:
+    """(chunk, values): the distinct values of a one-column frame in arrays of at most ``size``, written."""
+    (name,) = values.columns
+    schema = T.StructType([T.StructField("chunk", T.StringType()), T.StructField("values", T.ArrayType(values.schema[name].dataType))])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            column = batch.column(0)
+            for k in range(0, len(column), size):
+                piece = column.slice(k, size)
+                array = pa.ListArray.from_arrays(pa.array([0, len(piece)], pa.int32()), piece)
+                yield pa.RecordBatch.from_arrays([pa.array([f"{part}-{n}"]), array.cast(arrow.field("values").type)], schema=arrow)
+                n += 1
+
+    return staged(values.distinct().mapInArrow(run, schema), "domain")
+
+
 def grid_zero_fill(df: DataFrame, row: str, col: str, value: str, out: str | None = None) -> DataFrame:
-    """Every (row, col) pair of the values present, missing cells -> 0.
+    """Every (row, col) pair of the values present, missing cells -> 0; one cell at most per pair in ``df``.
 
-    One pass over ``df``: cells are folded into one map per row key (bounded
-    by the number of columns, e.g. sectors), the column domain is gathered
-    with a window over those per-row records (bounded by rows x columns, e.g.
-    years), and the grid is exploded from it — no self-join, so the input
-    plan is evaluated once.
+    The cells and the distinct columns are written; columns are packed in
+    chunks.  Each row key gets every chunk by an equi-join (the chunks are
+    broadcast if they are few) and is exploded where it lies, and the cells
+    are joined to the grid by their pair.  No step gathers the columns or the
+    rows in one task.
     """
     dtype = df.schema[value].dataType
-    per_row = df.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct(F.col(col), F.col(value)))).alias("_m"))
-    dom = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("_m")).over(Window.partitionBy()))))
-    g = per_row.withColumn("_dom", dom).select(row, "_m", F.explode("_dom").alias(col))
-    return g.select(row, col, F.coalesce(F.col("_m")[F.col(col)], F.lit(0)).cast(dtype).alias(out or value))
+    cells = staged(df.select(row, col, F.col(value).alias("_v")), "cells")
+    chunks = domain_chunks(cells.select(col))
+    names = chunks.agg(F.collect_list("chunk")).scalar()  # one name per DOMAIN_CHUNK columns
+    rows = cells.select(row).distinct().withColumn("chunk", F.explode(names))
+    grid = rows.join(bounded_broadcast(chunks, DOMAIN_CHUNK), "chunk").select(row, F.explode("values").alias(col))
+    cells = cells.select(F.col(row).alias("_r"), F.col(col).alias("_c"), "_v")
+    same = F.col(row).eqNullSafe(F.col("_r")) & F.col(col).eqNullSafe(F.col("_c"))  # NULL is a row or column of its own
+    return grid.join(cells, same, "left").select(row, col, F.coalesce("_v", F.lit(0)).cast(dtype).alias(out or value))
 
 
 def heatmap_long(df: DataFrame, keys: Sequence[str], day: str, value_expr: Column, n_name: str = "n") -> DataFrame:

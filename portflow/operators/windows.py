@@ -7,12 +7,16 @@ by months x series, never to raw fact rows.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from portflow.operators.joins import DEFAULT_BROADCAST_ROWS, fits
+from portflow.session import staged
+
 
 def _w(partition: Sequence[str]):
     return Window.partitionBy(*partition) if partition else Window.partitionBy()
@@ -40,18 +44,28 @@ def series_index(df: DataFrame, order: str, out: str = "idx", partition: Sequenc
     return df.withColumn(out, (F.row_number().over(_w(partition).orderBy(order)) - 1).cast("int"))
 
 
-def dup_mark(df: DataFrame, pk: Sequence[str], out: str = "is_dup") -> DataFrame:
-    """Flag every member of a duplicated key group (keep=False semantics).
+#: parts that a hot key's rows are dealt into where duplicates are too many to broadcast
+SALTS = 32
+
+
+def dup_mark(df: DataFrame, pk: Sequence[str], out: str = "is_dup", max_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+    """Flag every member of a duplicated key group (keep=False semantics); NULL keys are equal.
 
-    Counts per key come from a map-side combined aggregate and are joined
-    back null-safely; a hot key is then a skewed *join* partition, which AQE
-    splits, instead of a window partition sorted in one task."""
-    counts = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"))
-    cond = None
-    for k in pk:
-        c = df[k].eqNullSafe(counts[k])
-        cond = c if cond is None else cond & c
-    return df.join(counts, cond, "left").select(df["*"], (F.col("_n") > 1).alias(out))
+    The duplicated keys come from a map-side combined aggregate and are
+    written.  Few of them are broadcast, so no row of ``df`` is shuffled; many
+    are joined with rows dealt into ``salts`` parts per key, so a key with a
+    third of the rows makes no long task.
+    """
+    names = {k: f"_k{i}" for i, k in enumerate(pk)}
+    dups = staged(df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(n) for k, n in names.items()], F.lit(True).alias("_dup")), "duplicates")
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in names.items()])
+    if fits(dups, max_rows):
+        x = df.join(F.broadcast(dups), same, "left")
+    else:
+        dealt = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+        spread = dups.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        x = dealt.join(spread, same & (F.col("_salt") == F.col("_part")), "left")
+    return x.select(*df.columns, F.coalesce("_dup", F.lit(False)).alias(out))
 
 
 def month_index(date_col) -> Column:

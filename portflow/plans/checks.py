@@ -85,8 +85,8 @@ SELECT 'national' AS scope, CAST({O.lcy_sql("(SELECT * FROM t WHERE data_source
 UNION ALL SELECT 'mixed', CAST({O.lcy_sql('t')} AS INTEGER)
 UNION ALL SELECT 'crossing', CAST({O.lcy_sql('c')} AS INTEGER)""")
 def last_complete_year(m):
-    t = m.trade()
-    return (agg.last_complete_year(t.where(F.col("data_source") == NAT)).select(F.lit("national").alias("scope"), "year")
+    t = marts.trade_monthly(m)   # one row per month: one scan of the fact for both bounds
+    return (agg.last_complete_year(t.where(F.col("has_nat").isNotNull())).select(F.lit("national").alias("scope"), "year")
             .unionByName(agg.last_complete_year(t).select(F.lit("mixed").alias("scope"), "year"))
             .unionByName(agg.last_complete_year(m.crossing()).select(F.lit("crossing").alias("scope"), "year")))
 
@@ -857,11 +857,12 @@ cal AS (SELECT {O.dkey('d')} AS date_id, year(d) AS year, monthname(d) AS month_
 SELECT cal.year, cal.month_name, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd
 FROM t JOIN cal USING (date_id) GROUP BY 1, 2""")
 def join_calendar(m):
-    t = m.trade()
-    bounds = t.agg(F.min(dates.key_to_date("date_id")).alias("s"), F.max(dates.key_to_date("date_id")).alias("e"))
+    # the fact is reduced to its months once; bounds and sums both come from them
+    months = m.bounded_frame("trade_months", lambda x: agg.sum_by(x.trade(), ["date_id"], "value_usd", "value_usd"))
+    bounds = months.agg(F.min(dates.key_to_date("date_id")).alias("s"), F.max(dates.key_to_date("date_id")).alias("e"))
     cal = dims.calendar_attributes(series.day_spine(bounds, "s", "e"), "full_date").select("date_id", "year", "month_name")
     # the calendar is bounded by the fact's date range (days), so it is broadcast
-    j = t.join(F.broadcast(cal), "date_id")
+    j = months.join(F.broadcast(cal), "date_id")
     return agg.sum_by(j, ["year", "month_name"], "value_usd", "value_usd")
 
 
@@ -1049,7 +1050,7 @@ def series_index(m):
 @key("dup_mark", """
 SELECT is_dup, count(*) AS n FROM (SELECT count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS is_dup FROM lineitem) GROUP BY 1""")
 def dup_mark(m):
-    x = windows.dup_mark(m.table("lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])
+    x = windows.dup_mark(m.table("lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], max_rows=m.max_broadcast_rows)
     return x.groupBy("is_dup").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -1327,6 +1328,12 @@ def dq_v4_v7(m):
     return v4.unionByName(v5).unionByName(v7)
 
 
+def _national_months_with_gap(m):
+    """Months of the national feed as a feed with a missing year would give them: one row per month, one scan of the fact."""
+    lo, hi = dates.year_range(m.p.gap_year)
+    return marts.trade_monthly(m).where(F.col("has_nat").isNotNull() & ~F.col("date_id").between(lo, hi)).select("date_id")
+
+
 @key("dq_month_gaps", f"""
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS period, 'missing' AS status FROM
   (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2000-11-01', INTERVAL 1 MONTH)) AS DATE) AS d)
@@ -1334,7 +1341,7 @@ WHERE CAST(strftime(d, '%Y%m%d') AS INTEGER) NOT IN (SELECT date_id FROM t WHERE
 UNION ALL SELECT DISTINCT date_id, 'unexpected' FROM t WHERE data_source = 'national'
   AND date_id NOT {O.yrange(P.gap_year)} AND date_id NOT BETWEEN 19950101 AND 20001101""")
 def dq_month_gaps(m):
-    nat = m.trade_with_gap().where(F.col("data_source") == NAT)
+    nat = _national_months_with_gap(m)
     spine = series.month_spine(m.spark.range(1).select(F.lit("1995-01-01").cast("date").alias("s"),
                                                        F.lit("2000-11-01").cast("date").alias("e")), "s", "e")
     spine = spine.select(dates.date_key("month_date").alias("period"))
@@ -1348,10 +1355,10 @@ FROM (SELECT CAST(unnest(generate_series(min(date_id // 10000), max(date_id // 1
 LEFT JOIN (SELECT CAST(date_id // 10000 AS INTEGER) AS year, count(DISTINCT date_id) AS ok FROM t WHERE data_source = 'national' AND date_id NOT {O.yrange(P.gap_year)} GROUP BY 1) a
 USING (year)""")
 def dq_coverage_pct(m):
-    t = m.trade()
+    t = marts.trade_monthly(m)
     years = t.agg(F.min(_yr()).alias("a"), F.max(_yr()).alias("b")).select(F.explode(F.sequence(F.col("a").cast("int"), F.col("b").cast("int"))).alias("year"))
     expected = years.withColumn("expected", F.lit(12))
-    actual = m.trade_with_gap().where(F.col("data_source") == NAT).groupBy(_yr().cast("int").alias("year")).agg(F.countDistinct("date_id").alias("ok"))
+    actual = _national_months_with_gap(m).groupBy(_yr().cast("int").alias("year")).agg(F.countDistinct("date_id").alias("ok"))
     return quality.coverage_pct(expected, actual, "year", "expected", "ok")
 
 
@@ -1378,26 +1385,40 @@ def profile_distinct(m):
     return profile.profile_distinct(m.trade(), _PROFILE_COLS)
 
 
-_DESC_COLS = ["l_quantity", "l_discount", "l_tax"]
+_DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_TEXT_COLS = ["text", "source", "lang"]
+
 
+def _describe_sql(table: str, cols: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({v}) AS count, round(avg({v}), 6) AS mean, round(stddev_samp({v}), 6) AS std, "
+        f"CAST(min({v}) AS DOUBLE) AS min, round(quantile_cont(CAST({v} AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST({v} AS DOUBLE), 0.5), 6) AS p50, "
+        f"round(quantile_cont(CAST({v} AS DOUBLE), 0.75), 6) AS p75, CAST(max({v}) AS DOUBLE) AS max FROM {table}" for c, v in cols.items())
 
-@key("profile_describe", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
-    f"min({c}) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
-    f"round(quantile_cont({c}, 0.75), 6) AS p75, max({c}) AS max FROM lineitem" for c in _DESC_COLS))
+
+@key("profile_lengths", _describe_sql("documents", {c: f"length({c})" for c in _TEXT_COLS}))
+def profile_lengths(m):
+    """N4 for text: how long the texts of each column are."""
+    return _described(profile.describe(m.table("documents"), _TEXT_COLS))
+
+
+@key("profile_describe", _describe_sql("lineitem", {c: c for c in _DESC_COLS}))
 def profile_describe(m):
-    d = profile.describe(m.table("lineitem"), _DESC_COLS)
+    return _described(profile.describe(m.table("lineitem"), _DESC_COLS))
+
+
+def _described(d):
     return d.select("column", "count", *[F.round(c, 6).alias(c) for c in ("mean", "std")], "min",
                     *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")], "max")
 
 
-def _profile_by_name(spark, d):
-    mm = model(spark, d)
-    t = mm.trade()
-    return profile.profile_distinct(t, profile.columns_by_keyword(t, ["port", "date", "source"]))
+_KEYWORDS = ["port", "date", "source"]
 
 
-register("profile_by_name", _profile_by_name)
+@key("profile_by_name", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM t" for c in ("port_id", "date_id", "data_source")))
+def profile_by_name(m):
+    t = m.trade()
+    return profile.profile_distinct(t, profile.columns_by_keyword(t, _KEYWORDS))
 
 
 # ===========================================================================

@@ -143,6 +143,11 @@ def _year_bounds(m: Model, national_only: bool = False) -> DataFrame:
     return _with_year_flags(tm).select("year", "lcy")
 
 
+def _last_year(m: Model, national_only: bool = False) -> DataFrame:
+    """(year): the last complete year as one row; NULL if there is none."""
+    return _year_bounds(m, national_only).agg(F.max("lcy").cast("int").alias("year"))
+
+
 # ---------------------------------------------------------------------------
 # L1 meta
 # ---------------------------------------------------------------------------
@@ -271,16 +276,13 @@ def mart_crossings_timeline(m: Model) -> DataFrame:
 def mart_top_ports(m: Model) -> DataFrame:
     """Top-k physical ports by national value in the last complete national year."""
     p = m.p
-    nat = m.trade().where(F.col("data_source") == NAT).select("port_id", "date_id", "value_usd")
-    by_port_month = nat.groupBy("port_id", "date_id").agg(F.sum("value_usd").alias("v"))
-    # the bound comes from the persisted monthly frame (one row per year here)
-    lcy = _year_bounds(m, national_only=True).where(F.col("year") == F.col("lcy")).select("year").distinct()
-    per_port = (by_port_month.withColumn("year", key_year("date_id"))
-                .join(F.broadcast(lcy), "year")
-                .groupBy("year", "port_id").agg(F.sum("v").cast(DEC).alias("v")))
+    # first phase: the year, from the persisted monthly frame; second phase: a scan of that year alone
+    year = _last_year(m, national_only=True)
+    nat = m.trade_in_year(year).where(F.col("data_source") == NAT)
+    per_port = nat.groupBy("port_id").agg(F.sum("value_usd").cast(DEC).alias("v"))
     ports = m.port_flags.where(~F.col("is_aggregate"))
     ranked = (per_port.join(ports, "port_id")
-              .select("year", F.col("port_canonical_name").alias("port"), "state",
+              .select(year.scalar().cast("long").alias("year"), F.col("port_canonical_name").alias("port"), "state",
                       metrics.scaled("v", p.unit_scale, 2).alias("value_m")))
     return ranked.orderBy(F.desc("value_m"), F.asc("port")).limit(p.top_k)
 
@@ -390,7 +392,11 @@ def _focus_year_sector(m: Model, sector_col: str = "sector_grouping") -> DataFra
 def mart_sector_mix(m: Model) -> DataFrame:
     """Focus port value by sector in the last complete (mixed) year, with share."""
     p = m.p
-    cur = _focus_year_sector(m).where(F.col("year") == F.col("lcy"))
+    year = _last_year(m)
+    f = m.trade_in_year(year).where(F.col("port_id").isin(*p.focus_ports)).groupBy("commodity_id").agg(F.sum("value_usd").alias("v"))
+    com = bounded_broadcast(m.dim_commodity().select("commodity_id", F.col("sector_grouping").alias("sector")),
+                            m.max_broadcast_rows, cache_key=m._key("part") + ("sector_grouping",))
+    cur = f.join(com, "commodity_id").groupBy("sector").agg(F.sum("v").cast(DEC).alias("v")).withColumn("year", year.scalar())
     cur = windows.share_of_total(cur, "v", "pct")
     return cur.select(F.col("year").cast("int").alias("year"), "sector",
                       metrics.scaled("v", p.unit_scale, 3).alias("value_m"), "pct")
@@ -444,13 +450,10 @@ def mart_asymmetry(m: Model) -> DataFrame:
     """Corridor ports in the last complete (mixed) year: value, share of the
     corridor, and how many times the focus port's value each one is."""
     p = m.p
-    t = m.trade().select("port_id", "date_id", "value_usd")
-    pm = t.groupBy("port_id", "date_id").agg(F.sum("value_usd").alias("v"))
-    years = _year_bounds(m).distinct()
+    year = _last_year(m)
+    per_port = m.trade_in_year(year).groupBy("port_id").agg(F.sum("value_usd").alias("v"))
     corr = m.port_flags.where("is_in_corridor").select("port_id", "port_canonical_name")
-    y = (pm.join(corr, "port_id").withColumn("year", key_year("date_id"))
-           .join(F.broadcast(years), "year").where(F.col("year") == F.col("lcy"))
-           .groupBy("year", "port_id", "port_canonical_name").agg(F.sum("v").cast(DEC).alias("v")))
+    y = per_port.join(corr, "port_id").select("port_id", "port_canonical_name", F.col("v").cast(DEC).alias("v"), year.scalar().alias("year"))
     y = windows.share_of_total(y, "v", "pct_corridor")
     focus_v = F.max(F.when(F.col("port_id") == p.focus_port, F.col("v"))).over(_all())
     vv = F.col("v").cast("double")

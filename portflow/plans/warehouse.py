@@ -62,6 +62,11 @@ class WarehouseModel(Model):
     def trade(self) -> DataFrame:
         return self._read("fact_trade").withColumn("date_id", F.col("date_id").cast("int"))
 
+    def trade_in_year(self, year: DataFrame) -> DataFrame:
+        """One year, known when the query runs: only its monthly partitions are read."""
+        lo, hi = (year.select((F.col("year") * 10000 + k).cast("int")).scalar() for k in (101, 1231))
+        return self._read("fact_trade").where(F.col("date_id").between(lo, hi)).withColumn("date_id", F.col("date_id").cast("int"))
+
     def crossing(self) -> DataFrame:
         return self._read("fact_crossing").withColumn("date_id", F.col("date_id").cast("int"))
 

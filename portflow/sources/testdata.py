@@ -224,8 +224,10 @@ class Model:
 
         Rows of the corridor ports from ``mirror_start`` on come from the
         mirror, all others from the national feed."""
-        p = self.p
-        ship, li = F.col("l_shipdate"), self.table("lineitem")
+        return self._as_feed(self.table("lineitem"))
+
+    def _as_feed(self, li: DataFrame) -> DataFrame:
+        p, ship = self.p, F.col("l_shipdate")
         mirror = (ship >= F.lit(p.mirror_start).cast("timestamp_ntz")) & F.col("l_suppkey").isin(*p.corridor_ports)
         return li.select(
             F.col("l_suppkey").alias("port_id"),
@@ -248,7 +250,18 @@ class Model:
     def trade(self) -> DataFrame:
         """Conformed trade rows (one per feed row; duplicates of the PK are
         collapsed by the load job, sums over them are unaffected)."""
-        f = self.trade_feed()
+        return self._conformed(self.trade_feed())
+
+    def trade_in_year(self, year: DataFrame) -> DataFrame:
+        """trade() of one year, known only when the query runs: ``year`` is a one-row frame.
+
+        The bounds are scalar subqueries on the stored column, so the scan
+        gets them as pushed filters once they are known."""
+        first = [year.select(F.make_timestamp_ntz(F.col("year") + k, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))).scalar() for k in (0, 1)]
+        ship = F.col("l_shipdate")
+        return self._conformed(self._as_feed(self.table("lineitem").where((ship >= first[0]) & (ship < first[1]))))
+
+    def _conformed(self, f: DataFrame) -> DataFrame:
         mode_id = {code: catalogs.mode_ids()[name] for code, name in catalogs.TRADE_MODE_CODE_TO_MODE.items()}
         direction = codes.map_values("trade_type", catalogs.TRADE_TYPE_TO_DIRECTION)
         return f.select(
