@@ -19,6 +19,8 @@ from portflow.operators import conform, dims, joins, links, profile, quality, ru
 from portflow.plans import constraints, marts
 from portflow.plans import oracle as O
 from portflow.plans.registry import register
+from portflow.session import staged
+from portflow.sinks import with_audit
 from portflow.sources.testdata import PRIORITY_TO_MODE, Model, model
 
 P = O.P
@@ -1156,7 +1158,12 @@ def load_summary(m):
     return marts._one_row(raw, s, ins).select("raw_rows", "in_scope_rows", "rejected_rows", "inserted_rows", "months")
 
 
-register("audit_column", lambda spark, d: model(spark, d).crossing().withColumn("loaded_at", F.current_timestamp()))
+@key("audit_column", "SELECT port_id, mode_id, date_id, crossing_count, TRUE AS stamped, TRUE AS one_load FROM c")
+def audit_column(m):
+    """B6: the load stamp; one statement has one, the same in every row."""
+    x = with_audit(m.crossing())
+    now = F.current_timestamp()
+    return x.select("port_id", "mode_id", "date_id", "crossing_count", F.col("loaded_at").isNotNull().alias("stamped"), (F.col("loaded_at") == now).alias("one_load"))
 
 
 # ===========================================================================
@@ -1295,37 +1302,47 @@ def dq_v1_v2(m):
                                                 F.max("date_id").alias("last_id"))
 
 
+_CELL_MODE, _CELL_DIRECTION, _CELL_MONTH = P.check_cell
+
+
 @key("dq_v3_cell", f"""
-SELECT CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd, count(*) AS n FROM t
-WHERE port_id = {P.focus_port} AND mode_id = {O.MODE_ID['Truck']} AND direction = 'Import' AND date_id = 19980301
+SELECT CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd, count(*) AS n, CAST(NULL AS DOUBLE) AS expected, CAST(NULL AS BOOLEAN) AS as_expected FROM t
+WHERE port_id = {P.focus_port} AND mode_id = {O.MODE_ID[_CELL_MODE]} AND direction = '{_CELL_DIRECTION}' AND date_id = {_CELL_MONTH}
   AND data_source = 'national'""")
 def dq_v3_cell(m):
-    c = F.col
-    t = m.trade().where((c("port_id") == m.p.focus_port) & (c("mode_id") == catalogs.mode_ids()["Truck"])
-                        & (c("direction") == "Import") & (c("date_id") == 19980301) & (c("data_source") == NAT))
-    return t.agg(F.sum("value_usd").cast(DEC).alias("value_usd"), F.count(F.lit(1)).alias("n"))
+    """M10: one cell of the fact against its known value (``Params.check_cell_value``; NULL where none is known)."""
+    c, (mode, direction, month) = F.col, m.p.check_cell
+    t = m.trade().where((c("port_id") == m.p.focus_port) & (c("mode_id") == catalogs.mode_ids()[mode])
+                        & (c("direction") == direction) & (c("date_id") == month) & (c("data_source") == NAT))
+    value = F.sum("value_usd").cast(DEC)
+    expected = F.lit(m.p.check_cell_value).cast("double")
+    return t.agg(value.alias("value_usd"), F.count(F.lit(1)).alias("n"), expected.alias("expected"), (value.cast("double") == expected).alias("as_expected"))
 
 
 @key("dq_v4_v7", f"""
 SELECT 'v4_corridor_ttm' AS "check", CAST(port_id AS VARCHAR) AS item, count(*) AS n, CAST(SUM(value_usd) AS DECIMAL(38,2)) AS value_usd
-FROM t WHERE port_id IN ({O.in_list(P.corridor_ports)}) AND date_id BETWEEN 20001101 AND 20011001 GROUP BY port_id
-UNION ALL SELECT 'v5_national_year', '1999', count(*), CAST(SUM(value_usd) AS DECIMAL(38,2)) FROM t
-  WHERE data_source = 'national' AND date_id {O.yrange(1999)}
+FROM t WHERE port_id IN ({O.in_list(P.corridor_ports)}) AND date_id BETWEEN {P.check_window[0]} AND {P.check_window[1]} GROUP BY port_id
+UNION ALL SELECT 'v5_national_year', '{P.check_year}', count(*), CAST(SUM(value_usd) AS DECIMAL(38,2)) FROM t
+  WHERE data_source = 'national' AND date_id {O.yrange(P.check_year)}
+UNION ALL SELECT * FROM (SELECT 'v6_top_ports', CAST(port_id AS VARCHAR), count(*), CAST(SUM(value_usd) AS DECIMAL(38,2)) AS v FROM t JOIN port USING (port_id)
+  WHERE NOT is_aggregate AND data_source = 'national' AND date_id {O.yrange(P.check_year)} GROUP BY port_id ORDER BY v DESC, port_id LIMIT {P.check_top})
 UNION ALL SELECT 'v7_mirror_months', CAST(date_id AS VARCHAR), count(*), CAST(SUM(value_usd) AS DECIMAL(38,2)) FROM t
   WHERE port_id = {P.focus_port} AND data_source = 'mirror' GROUP BY date_id""")
 def dq_v4_v7(m):
-    t, c = m.trade(), F.col
-
-    def g(df, name, item):
-        return df.groupBy(item.alias("item")).agg(F.count(F.lit(1)).alias("n"), F.sum("value_usd").cast(DEC).alias("value_usd")) \
-            .select(F.lit(name).alias("check"), "item", "n", "value_usd")
-    lo, hi = dates.year_range(1999)
-    v4 = g(t.where(c("port_id").isin(*m.p.corridor_ports) & c("date_id").between(20001101, 20011001)), "v4_corridor_ttm",
-           c("port_id").cast("string"))
-    v5 = g(t.where((c("data_source") == NAT) & c("date_id").between(lo, hi)), "v5_national_year", F.lit("1999"))
-    v7 = g(t.where((c("port_id") == m.p.focus_port) & (c("data_source") == catalogs.SOURCE_MIRROR)), "v7_mirror_months",
-           c("date_id").cast("string"))
-    return v4.unionByName(v5).unionByName(v7)
+    """M11: the four checks from one scan: the fact is reduced to port, month and source, and written."""
+    p, c = m.p, F.col
+    t = staged(m.trade().groupBy("port_id", "date_id", "data_source").agg(F.count(F.lit(1)).alias("n"), F.sum("value_usd").alias("value_usd")), "port_months")
+
+    def g(df, name, *item):
+        return df.groupBy(*item).agg(F.sum("n").alias("n"), F.sum("value_usd").cast(DEC).alias("value_usd")) \
+            .select(F.lit(name).alias("check"), *([c(item[0]).cast("string").alias("item")] if item else [F.lit(str(p.check_year)).alias("item")]), F.coalesce("n", F.lit(0)).alias("n"), "value_usd")
+    lo, hi = dates.year_range(p.check_year)
+    year = t.where((c("data_source") == NAT) & c("date_id").between(lo, hi))
+    v4 = g(t.where(c("port_id").isin(*p.corridor_ports) & c("date_id").between(*p.check_window)), "v4_corridor_ttm", "port_id")
+    v6 = g(year.join(m.port_flags.where(~c("is_aggregate")).select("port_id"), "port_id"), "v6_top_ports", "port_id") \
+        .orderBy(F.desc("value_usd"), c("item").cast("long")).limit(p.check_top)
+    v7 = g(t.where((c("port_id") == p.focus_port) & (c("data_source") == catalogs.SOURCE_MIRROR)), "v7_mirror_months", "date_id")
+    return v4.unionByName(g(year, "v5_national_year")).unionByName(v6).unionByName(v7)
 
 
 def _national_months_with_gap(m):

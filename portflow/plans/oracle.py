@@ -507,3 +507,29 @@ SELECT {kdate('date_id')} AS month_date, idx, upt AS usd_per_truck,
        round(CASE WHEN n < 2 THEN NULL WHEN vx = 0 THEN 0.0 ELSE sl END * 12, 2) AS slope_per_year,
        round(CASE WHEN n < 2 THEN NULL WHEN vy = 0 OR vx = 0 THEN 0.0 ELSE r2 END, 3) AS r_squared
 FROM s, g""", p)
+
+
+# --- nested results as text: arrays joined, values with two decimals -----------------
+
+def _two(x: str) -> str:
+    return f"COALESCE(CAST(CAST({x} AS DECIMAL(10,2)) AS VARCHAR), 'null')"
+
+
+def heatmap_matrix(p: Params = P) -> str:
+    slots = " || ',' || ".join(_two(f"max(CASE WHEN iso_dow = {i} THEN avg_min END)") for i in range(1, 8))
+    return f"""SELECT port_id, lane, iso_week, {slots} AS week_values, CAST(port_id AS VARCHAR) || '|' || lane AS series_key
+FROM ({mart_wait_heatmap(p)}) GROUP BY port_id, lane, iso_week"""
+
+
+def series_map(p: Params = P) -> str:
+    point = f"year_month || ':' || {_two('avg_min')} || ':' || n_days"
+    return f"""SELECT CAST(port_id AS VARCHAR) || '|' || lane AS series_key, string_agg({point}, ',' ORDER BY year_month) AS series
+FROM ({mart_wait_trend(p)}) GROUP BY port_id, lane"""
+
+
+def combos_default(p: Params = P) -> str:
+    return with_model(f""",
+{_corridor_waits(p)},
+combos AS (SELECT DISTINCT port_id, lane FROM cw),
+best AS (SELECT port_id, lane FROM combos ORDER BY (port_id = {p.focus_port} AND lane = {q(p.default_lane)}) DESC, port_id, lane LIMIT 1)
+SELECT port_id, lane, (SELECT port_id FROM best) AS default_port_id, (SELECT lane FROM best) AS default_lane FROM combos""", p)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from portflow.plans import marts, oracle
 from portflow.sources.testdata import model
@@ -31,10 +32,22 @@ def _mart(name: str) -> Query:
 QUERIES: dict[str, Query] = {name: _mart(name) for name in _MARTS}
 ORACLE: dict[str, str] = {name: getattr(oracle, name)() for name in _MARTS}
 
-# marts whose output nests arrays/maps: rows-only check
-QUERIES["heatmap_matrix"] = lambda spark, d: marts.heatmap_matrix(model(spark, d))
-QUERIES["series_map"] = lambda spark, d: marts.series_map(model(spark, d))
-QUERIES["combos_default"] = lambda spark, d: marts.combos_default(model(spark, d))
+
+def _heatmap_text(m) -> DataFrame:
+    values = F.transform("week_values", lambda v: F.when(v.isNull(), F.lit("null")).otherwise(v.cast("decimal(10,2)").cast("string")))
+    return marts.heatmap_matrix(m).withColumn("week_values", F.array_join(values, ","))
+
+
+def _series_text(m) -> DataFrame:
+    def point(x):
+        return F.concat_ws(":", x["year_month"], F.coalesce(x["avg_min"].cast("decimal(10,2)").cast("string"), F.lit("null")), x["n_days"].cast("string"))
+    return marts.series_map(m).withColumn("series", F.array_join(F.transform("series", point), ","))
+
+
+# marts whose output nests arrays: compared as text
+for _name, _fn in (("heatmap_matrix", _heatmap_text), ("series_map", _series_text), ("combos_default", marts.combos_default)):
+    QUERIES[_name] = lambda spark, d, fn=_fn: fn(model(spark, d))
+    ORACLE[_name] = getattr(oracle, _name)()
 
 
 def register(key: str, query: Query, sql: str | None = None) -> None:

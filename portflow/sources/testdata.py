@@ -109,6 +109,11 @@ class Params:
     dual_start_year: int = 1995
     dual_end_year: int = 2001
     top_k: int = 10
+    check_window: tuple = (20001101, 20011001)   # months of the corridor check
+    check_year: int = 1999           # year of the national checks
+    check_top: int = 5
+    check_cell: tuple = ("Truck", "Import", 19980301)  # mode, direction and month of the focus port's cell
+    check_cell_value: float | None = None        # its known value, where there is one
     calendar_start: str = "1992-01-01"   # first and last day of dim_date
     calendar_end: str = "2025-12-31"
     borders: tuple = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")  # what the binding has as borders

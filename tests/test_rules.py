@@ -84,3 +84,17 @@ def test_loose_files_and_archives_load_alike_and_clean(spark, workdir):
     found = rules.schema_violations(constraints.star_schema(), constraints.warehouse_frames(spark, f"{workdir}/wh"))
     assert [tuple(r) for r in found.where("violations > 0").collect()] == []
     assert spark.read.parquet(f"{workdir}/wh/dim_date").agg(F.min("date_id")).first()[0] == 19960101
+
+
+def test_cell_against_its_known_value(spark):
+    from dataclasses import replace
+
+    from portflow.plans.checks import dq_v3_cell
+    from portflow.sources.testdata import Params
+
+    sf = "/root/testdata/sf0.01"
+    r = dq_v3_cell(model(spark, sf)).first()
+    assert r["n"] > 0 and r["expected"] is None and r["as_expected"] is None
+    known = replace(Params(), check_cell_value=float(r["value_usd"]))
+    assert dq_v3_cell(model(spark, sf, known)).first()["as_expected"] is True
+    assert dq_v3_cell(model(spark, sf, replace(known, check_cell_value=1.0))).first()["as_expected"] is False
