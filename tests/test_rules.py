@@ -93,8 +93,11 @@ def test_cell_against_its_known_value(spark):
     from portflow.sources.testdata import Params
 
     sf = "/root/testdata/sf0.01"
-    r = dq_v3_cell(model(spark, sf)).first()
+    month = model(spark, sf).trade().where("port_id = 1 AND direction = 'Import' AND data_source = 'national'") \
+        .join(model(spark, sf).dim_mode().where("mode_canonical_name = 'Truck'"), "mode_id").agg(F.min("date_id")).first()[0]
+    cell = replace(Params(), check_cell=("Truck", "Import", month))
+    r = dq_v3_cell(model(spark, sf, cell)).first()
     assert r["n"] > 0 and r["expected"] is None and r["as_expected"] is None
-    known = replace(Params(), check_cell_value=float(r["value_usd"]))
+    known = replace(cell, check_cell_value=float(r["value_usd"]))
     assert dq_v3_cell(model(spark, sf, known)).first()["as_expected"] is True
     assert dq_v3_cell(model(spark, sf, replace(known, check_cell_value=1.0))).first()["as_expected"] is False
