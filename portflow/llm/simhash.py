@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from portflow.llm.common import LOWER, map_arrow, texts, written
+from portflow.llm.common import LOWER, free_name, map_arrow, texts, written
 from portflow.llm.components import connected_components
 
 SHINGLE = 3
@@ -47,15 +47,16 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> bytes:
     return np.packbits(2 * bits.sum(0, dtype=np.int64) > len(bits)).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) of whole texts."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("fp", T.LongType())])
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: str | None = None) -> DataFrame:
+    """doc_id, the long column ``carried`` if one is named, fp (the fingerprint as a signed long) of whole texts."""
+    own = [T.StructField(carried, T.LongType())] if carried else []
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *own, T.StructField("fp", T.LongType())])
 
     def per_batch(batch: pa.RecordBatch) -> dict:
         flat = b"".join([fingerprint(x, shingle) for x in texts(batch, "text")])
-        return {"doc_id": batch.column("doc_id"), "fp": pa.array(np.frombuffer(flat, ">i8").astype(np.int64))}
+        return {f.name: batch.column(f.name) for f in schema[:-1]} | {"fp": pa.array(np.frombuffer(flat, ">i8").astype(np.int64))}
 
-    return map_arrow(docs.select("doc_id", "text"), per_batch, schema)
+    return map_arrow(docs.select(*(f.name for f in schema[:-1]), "text"), per_batch, schema)
 
 
 def _forest(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +135,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """One document of each component, the one with the least doc_id; rows without doc_id can't be named and all stay."""
-    keep = near_duplicates(docs, shingle, radius, tile).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    """One row of each component of linked texts; rows without doc_id can't be named and all stay.
+
+    The row with the least doc_id stays; of several such rows of one doc_id that with the least hash of its text, and of
+    rows equal in doc_id and text that with the least hash of all its columns.  Unlike texts of one doc_id are in
+    components of their own, and each of them can stay.
+    """
+    key = free_name(docs, "text_key")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    of = written(fingerprints(keyed.where("doc_id is not null"), shingle, key), "fingerprints")
+    fps = written(of.select("fp").distinct(), "distinct_fingerprints")
+    roots = connected_components(links(fps, radius, tile))
+    rows = of.groupBy("doc_id", key, "fp").agg(F.count("*").alias("n")).join(roots, F.col("fp") == F.col("node"), "left")
+    kept = rows.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(F.struct("doc_id", key, "n")).alias("r"))
+    kept = written(kept.select("r.doc_id", F.col("r")[key].alias(key), F.col("r.n").alias("n")), "kept")
+    out = keyed.join(kept.where("n = 1"), ["doc_id", key], "left_semi").select(docs.columns)
+    if kept.where("n > 1").limit(1).count():
+        whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+        twins = keyed.join(kept.where("n > 1"), ["doc_id", key], "left_semi").groupBy("doc_id", key)
+        out = out.unionByName(twins.agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("row")).select("row.*"))
+    return out.unionByName(docs.where("doc_id is null")).select(*(F.col(f"`{c}`") for c in docs.columns))

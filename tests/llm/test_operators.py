@@ -352,7 +352,25 @@ def test_simhash(request, which):
     assert rows(simhash.near_duplicates(df, tile=3)) == want
     kept = simhash.keep_one(df)
     assert kept.columns == df.columns
-    assert rows(kept.select("doc_id").where("doc_id is not null")) == sorted({(x[0],) for x in want if x[0] is not None and x[0] == x[2]}, key=str)
+    # one row per component of the rows that have an id, with the least id
+    named = [(d, fingerprint(t)) for d, t in texts(df) if d is not None]
+    groups = {}
+    for d, f in named:
+        linked = [g for g in groups if any((f ^ x).bit_count() <= 2 for x in groups[g][0])]
+        members = [groups.pop(g) for g in linked]
+        groups[f] = (set().union({f}, *(m[0] for m in members)), min([d, *(m[1] for m in members)]))
+    assert rows(kept.select("doc_id").where("doc_id is not null")) == sorted(((least,) for _, least in groups.values()), key=str)
+    assert kept.where("doc_id is null").count() == df.where("doc_id is null").count()
+
+
+def test_unlike_texts_of_one_id_both_stay(spark):
+    texts_ = [(1, "alpha beta gamma delta", "b"), (1, "quite other words stand here", "x"), (2, "alpha beta gamma delta", "x"), (1, "alpha beta gamma delta", "a")]
+    df = spark.createDataFrame([(*t, 1) for t in texts_], "doc_id long, text string, source string, text_key int").repartition(3)
+    kept = simhash.keep_one(df).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, "alpha beta gamma delta"), (1, "quite other words stand here")]
+    again = simhash.keep_one(df.repartition(2)).collect()
+    assert sorted(map(tuple, kept)) == sorted(map(tuple, again)) and kept[0].asDict().keys() == {"doc_id", "text", "source", "text_key"}
+    assert simhash.keep_one(df.limit(0)).collect() == []
 
 
 def test_simhash_links_chains(spark):

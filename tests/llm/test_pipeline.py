@@ -40,7 +40,7 @@ def test_run_equals_its_stages(spark):
 @pytest.mark.parametrize("key", sorted(queries.ORACLE))
 def test_oracles(spark, key):
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "pages", "labels"):
+    for name in ("documents", "benchmark", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     got = queries.QUERIES[key](spark, SF)
     cur = con.execute(queries.ORACLE[key])
