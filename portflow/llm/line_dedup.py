@@ -1,8 +1,9 @@
 """Line dedup by site-relative frequency.
 
-Pages are grouped by host; a line's frequency is the number of the host's pages that contain it, divided by the
-number of the host's pages.  A page is a distinct text: copies of a page count once, so that a copied article is not
-taken for boilerplate.  Lines above the ratio, and on at least ``min_pages`` pages, go.
+Pages are grouped by host; a line's frequency is the number of the host's pages that contain it beside one of them,
+divided by the number of the host's pages.  So a line of a single page has frequency zero on a host of any size, and a
+notice on all pages of a host with two has one half.  A page is a distinct text: copies of a page count once, so that a
+copied article is not taken for boilerplate.  Lines above the ratio go.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from portflow.llm.common import free_name, written
 
 RATIO = 0.05
-MIN_PAGES = 5
 #: bytes of boilerplate lists that are broadcast; larger ones meet the documents in a shuffle join
 BROADCAST_BYTES = 8 << 20
 #: what a line must contain to count: a character that isn't ASCII white space
@@ -33,7 +33,7 @@ def _counted(line: F.Column) -> F.Column:
     return F.rlike(line, F.lit(WORD))
 
 
-def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO) -> DataFrame:
     """host, bad: the keys of the host's boilerplate lines.
 
     A host's lines above the ratio are at most its mean number of lines per page divided by the ratio, whatever its
@@ -44,9 +44,9 @@ def boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min
     pages = pages.groupBy("host", "page").agg(F.first("lines").alias("lines"))
     # a null line stands for the page itself: its count is the host's number of pages
     counts = pages.select("host", F.explode(F.array_append("lines", F.lit(None).cast("struct<x:bigint,y:bigint>"))).alias("line"))
-    counts = written(counts.groupBy("host", "line").count().where((F.col("count") >= min_pages) | F.col("line").isNull()), "line_counts")
+    counts = written(counts.groupBy("host", "line").count().where((F.col("count") > 1) | F.col("line").isNull()), "line_counts")
     totals = counts.where("line is null").select(F.col("host").alias("h"), F.col("count").alias("pages"))
-    over = counts.where("line is not null").join(totals, F.col("host").eqNullSafe(F.col("h"))).where(F.col("count") > ratio * F.col("pages"))
+    over = counts.where("line is not null").join(totals, F.col("host").eqNullSafe(F.col("h"))).where(F.col("count") - 1 > ratio * F.col("pages"))
     return over.groupBy("host").agg(F.collect_list("line").alias("bad"))
 
 
@@ -58,7 +58,7 @@ def _checked(bad: DataFrame, broadcast_bytes: int) -> DataFrame:
     return F.broadcast(bad) if size <= broadcast_bytes else bad
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO,
                      n_lines: str | None = None, n_dropped: str | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` without boilerplate lines; ``n_lines`` and ``n_dropped``, if named, are added as columns.
 
@@ -67,7 +67,7 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
     rows.  Other columns stay as they are, whatever their names.
     """
     b, h = free_name(docs, "_bad"), free_name(docs, "_host")
-    bad = _checked(boilerplate(docs, host, ratio, min_pages), broadcast_bytes).select(F.col("host").alias(h), F.col("bad").alias(b))
+    bad = _checked(boilerplate(docs, host, ratio), broadcast_bytes).select(F.col("host").alias(h), F.col("bad").alias(b))
     joined = docs.join(bad, F.col(f"`{host}`").eqNullSafe(F.col(h)), "left")
     kept = F.filter(_lines(F.col("text")), lambda x: ~(_counted(x) & F.array_contains(F.col(b), _key(x))))
     cleaned = F.when(F.col(b).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
@@ -78,14 +78,14 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", ratio: float = RATIO
                          *([total.alias(n_lines)] if n_lines else []), *([dropped.alias(n_dropped)] if n_dropped else []))
 
 
-def oracle(ratio: float = RATIO, min_pages: int = MIN_PAGES) -> str:
+def oracle(ratio: float = RATIO) -> str:
     return f"""
 WITH line AS (SELECT doc_id, source, text, pos, line, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS counted
     FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
         FROM documents WHERE text IS NOT NULL)),
 total AS (SELECT source, count(DISTINCT text) AS pages FROM documents WHERE text IS NOT NULL GROUP BY source),
 freq AS (SELECT source, line, count(DISTINCT text) AS n FROM line WHERE counted GROUP BY source, line),
-bad AS (SELECT f.source, f.line FROM freq f JOIN total t ON f.source IS NOT DISTINCT FROM t.source WHERE f.n >= {min_pages} AND f.n > {ratio} * t.pages),
+bad AS (SELECT f.source, f.line FROM freq f JOIN total t ON f.source IS NOT DISTINCT FROM t.source WHERE f.n - 1 > {ratio} * t.pages),
 cleaned AS (SELECT l.doc_id, count(*) AS n_lines, count(b.line) AS n_dropped,
         coalesce(string_agg(CASE WHEN b.line IS NULL THEN l.line END, chr(10) ORDER BY l.pos), '') AS text
     FROM line l LEFT JOIN bad b ON l.counted AND l.line = b.line AND l.source IS NOT DISTINCT FROM b.source GROUP BY l.doc_id)

@@ -311,6 +311,15 @@ def test_line_dedup(spark):
     assert line_dedup.drop_boilerplate(df).columns == df.columns and line_dedup.drop_boilerplate(df.limit(0)).count() == 0
 
 
+def test_small_hosts_lose_their_notices(spark):
+    """The ratio holds on hosts of any size: all pages of a host with two or four, but no line of a single page."""
+    rows_ = [(10 * n + k, f"notice\nown line {k}", f"h{n}") for n in (1, 2, 4) for k in range(n)] + [(1000 + k, f"{'pair' if k < 2 else 'six' if k < 8 else 'own'}{k if k >= 8 else ''}\nline {k}", "big") for k in range(100)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_boilerplate(df).collect()}
+    assert got[10] == "notice\nown line 0" and got[20] == "own line 0" and [got[40 + k] for k in range(4)] == [f"own line {k}" for k in range(4)]
+    assert got[1000] == "pair\nline 0" and got[1002] == "six\nline 2"   # beside one of them 1 and 5 of 100 pages: not above 5 %
+
+
 def test_line_dedup_with_and_without_broadcast(docs, odd):
     for df, ratio in ((docs, line_dedup.RATIO), (odd, 0.3)):
         both = [line_dedup.drop_boilerplate(df, ratio=ratio, n_dropped="gone", broadcast_bytes=most) for most in (line_dedup.BROADCAST_BYTES, -1)]
