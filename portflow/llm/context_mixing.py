@@ -1,21 +1,28 @@
-"""Language-model scoring by online logistic context mixing.
-
-A text is a run of tokens: its words, lower-cased, and one end.  A word is coded byte by byte, then a space; the end is
-one byte.  Each bit is predicted from several contexts inside the word (its place, the last one to four bytes, all
-bytes so far); a context's counts of zeros and ones over all training text lie in a hashed table of fixed size.  The
-predictions are combined in the logistic domain by weights that a gate selects (how often the longer contexts were
-seen); the weights are trained online, bit after bit, in every task on the counts without the word's own occurrence,
-and averaged.  A word's probability is refined adaptively as the text goes on: mixtures of the bit model, the word's
-shares of the training tokens of one language and of all, and its share of the text's own earlier tokens compete, and
-their weights follow how well each has predicted the text so far.  Which language that is, the text alone decides, and
-its prior probability is part of the score.
-
-Counts of words grow with the corpus, so they are never gathered in one place: blocks of documents send the hashes of
-their distinct words, packed by bucket, and get the words' counts back.
+"""Language-model scoring by online logistic context mixing over the running text.
+
+A text is a run of tokens: its words, lower-cased, and one end.  Every token is a run of binary decisions, each predicted
+from several hashed contexts that reach across words:
+
+* whether it is the word that most often follows the two words before it in all other training texts;
+* whether it is the word that followed them last time in this text;
+* else its Huffman code over the training corpus's frequent words (``VOCABULARY``), bit by bit, where an escape leads to
+* whether the rare word has stood in this text already, and if not its spelling, byte by byte.
+
+Contexts of a decision are the last one and two of the most frequent words, the word before, the two words before, and
+for the first two decisions how sure the corpus is and how the last decisions came out.  A context's counts of zeros and
+ones over all training text lie in a hashed table whose size follows the training bytes up to a bound.  The predictions are
+combined in the logistic domain by weights that a gate selects (the decision's kind, how often its longer contexts were
+seen); the weights are trained online in every task over all its training text, on counts without the token's own
+occurrence, and averaged.  A last stage refines the mixture adaptively: how decisions that got such a prediction came out.
+
+What grows with the corpus is never gathered in one place: blocks of documents send their distinct words, and their
+distinct runs of three words, packed by hash bucket, and get back the words' counts and spelling, and what follows two words
+elsewhere.  A rare word is spelled once for the whole corpus, in its bucket.  A text's own occurrences never predict it.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import uuid
 import zlib
@@ -39,24 +46,28 @@ BLOCK_BYTES = 8 << 20
 #: stands for the end of a text among the words; no word is white space
 END = b"\n"
 FOLDS, HELD_OUT = 7, 2
-#: contexts: last so many bytes of the word (PLACE: only the place in the word; PREFIX: all its bytes so far)
+#: words with a code of their own: those seen most often, at least twice; all others are spelled
+VOCABULARY = 1 << 16
+#: words whose last occurrences are a context of their own
+FUNCTION_WORDS = 64
+#: most slots of the tables over running text, as powers of two
+RUNNING_BITS = (17, 18, 19, 19)
+#: spelling contexts: last so many bytes of the word (PLACE: only the place in the word; PREFIX: all its bytes so far)
 PLACE, PREFIX = 0, -1
 ORDERS = (PLACE, 1, 2, 3, 4, PREFIX)
-#: slots of each context's table, as powers of two
-TABLE_BITS = (16, 16, 18, 19, 19, 19)
+#: slots of each spelling context's table, as powers of two
+TABLE_BITS = (16, 16, 17, 18, 18, 18)
 CHUNK = 1 << 16
-#: tables, or words in a bucket, that one task adds up
+#: tables that one task adds up
 FAN_IN = 32
-WORDS_PER_BUCKET = 1_000_000
+WORDS_PER_BUCKET = 125_000
+RUNS_PER_BUCKET = 1_000_000
 SLICE = 1 << 18
+#: decisions that are mixed, and learnt from, at a time
+STEP = 1 << 15
 GATES = 25
 PRIOR = 0.4
 RATE = 0.03
-#: languages that get counts of their own, the most frequent ones; all others share one more class
-CLASSES = 7
-#: mixtures that compete in a text: shares of the bit model, the language's words, all words and the text's own words
-MIXTURES = ((0.85, 0.10, 0.04, 0.01), (0.45, 0.46, 0.05, 0.04), (0.13, 0.80, 0.05, 0.02), (0.04, 0.90, 0.05, 0.01), (0.13, 0.62, 0.10, 0.15),
-            (0.25, 0.20, 0.05, 0.50), (0.04, 0.02, 0.01, 0.93))
 _M = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * j + 1, 1 << 64)) for j in range(10)]
 
 
@@ -74,34 +85,30 @@ def documents(row: dict) -> list[list[bytes]]:
     return docs
 
 
-class Words:
-    """A block's distinct tokens by rising hash; ``counts`` has a column for each class of training texts."""
+def hashed(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
-    def __init__(self, row: dict, classes: list[str]):
-        place = {name: k for k, name in enumerate(classes)}
-        train, ends, seen = [Counter() for _ in range(len(classes) + 1)], np.zeros(len(classes) + 1, np.int64), {END}
-        for own, i, name in zip(documents(row), row["ids"], row["labels"]):
-            if held_out(i):
-                seen.update(own)
-            else:
-                k = place.get(name, len(classes))
-                train[k].update(own)
-                ends[k] += 1
-        words = list(seen.union(*train))
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter(map(digest, words), np.uint64, len(words))
-        order = np.argsort(hashes, kind="stable")
-        self.words = [words[k] for k in order.tolist()]
-        self.hashes = hashes[order]
-        self.counts = np.zeros((len(words), len(train)), np.int32)
-        for k, t in enumerate(train):
-            if t:
-                self.counts[:, k] = np.fromiter(map(t.get, self.words, repeat(0)), np.int32, len(words))
-        self.counts[self.words.index(END)] = ends
-        self.count = self.counts.sum(1, dtype=np.int64)
+
+def _press(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+
+
+def _press_planes(x: np.ndarray) -> bytes:
+    """Numbers with their bytes sorted by significance."""
+    return _press(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T)
 
 
-# --- the bit model ----------------------------------------------------------------------------------------------------
+def _planes(body: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(np.ascontiguousarray(np.frombuffer(unpacked(body), np.uint8).reshape(size, -1).T).tobytes(), kind)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x * _M[3]
+    return (x ^ (x >> np.uint64(31))) * _M[4]
+
+
+# --- spelling of rare words: the bit model ----------------------------------------------------------------------------------------------------
 
 def coded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of the words' codes laid end to end, and where each code ends."""
@@ -228,103 +235,177 @@ def log_probability(tables: Stretched, weights: np.ndarray, words: list[bytes])
     return out
 
 
-# --- exchanges --------------------------------------------------------------------------------------------------------
+# --- exchange of words: counts, vocabulary, spelling -----------------------------------------------------------------
 
-WORDS, CONTEXTS, LEXICON = 0, 1, 2
-_COUNTS = T.StructType([T.StructField("kind", T.LongType()), T.StructField("key", T.LongType()), T.StructField("block", T.StringType()), T.StructField("part", T.LongType()),
-                        T.StructField("hashes", T.BinaryType()), T.StructField("body", T.BinaryType())])
+_WORDS = T.StructType([T.StructField("key", T.LongType()), T.StructField("block", T.StringType()), T.StructField("words", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+_LEXICON = T.StructType([*_WORDS.fields, T.StructField("tokens", T.LongType()), T.StructField("distinct", T.LongType()), T.StructField("bins", T.ArrayType(T.LongType()))])
+_FREQUENT = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
 _TABLES = T.StructType([T.StructField("key", T.LongType()), T.StructField("part", T.LongType()), T.StructField("body", T.BinaryType())])
-_REPLY = T.StructType([T.StructField("key", T.LongType()), T.StructField("block", T.StringType()), T.StructField("body", T.BinaryType()),
-                       T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("distinct", T.LongType())])
+_WORD_REPLY = T.StructType([T.StructField("key", T.LongType()), T.StructField("block", T.StringType()), T.StructField("counts", T.BinaryType()), T.StructField("spelled", T.BinaryType())])
+#: counts of words are sorted into so many bins per doubling
+BINS = 16
 
 
-def _press(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
+def _split(words: bytes) -> list[bytes]:
+    return unpacked(words).split(b" ")
 
 
-def _count_pass(bits: int, classes: list[str]):
-    """Rows of three kinds: a block's words; their hashes and counts by bucket; the context counts of the task's blocks."""
+def _word_pass(bits: int):
+    """A block's distinct words with their training counts, by rising hash, a row for each bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        from pyspark import TaskContext
-        tables, any_ = empty_tables(), False
         for row in rows(batches):
-            own, any_ = Words(row, classes), True
-            has = np.nonzero(own.count)[0]
-            add_counts(tables, [own.words[k] for k in has.tolist()], own.count[has])
-            yield {"kind": [LEXICON], "key": [0], "block": [row["block"]], "part": [0], "hashes": [_press(own.count)], "body": [_press(np.frombuffer(b" ".join(own.words), np.uint8))]}
-            bucket = (own.hashes >> np.uint64(64 - bits)).astype(np.int64)
+            train, seen = Counter(), {END}
+            for own, i in zip(documents(row), row["ids"]):
+                if held_out(i):
+                    seen.update(own)
+                else:
+                    train.update(own)
+                    train[END] += 1
+            words = list(seen.union(train))
+            hashes = hashed(words)
+            order = np.argsort(hashes, kind="stable")
+            words = [words[k] for k in order.tolist()]
+            counts = np.fromiter(map(train.get, words, repeat(0)), np.int64, len(words))
+            bucket = (hashes[order] >> np.uint64(64 - bits)).astype(np.int64)
             cut = np.r_[np.nonzero(np.r_[True, bucket[1:] != bucket[:-1]])[0], len(bucket)].tolist()
-            parts = len(cut) - 1
-            yield {"kind": [WORDS] * parts, "key": bucket[cut[:-1]], "block": [row["block"]] * parts, "part": [0] * parts,
-                   "hashes": [own.hashes[s:e].tobytes() for s, e in zip(cut, cut[1:])], "body": [_press(own.counts[s:e]) for s, e in zip(cut, cut[1:])]}
-        if any_:
-            flat, part = np.concatenate([t.ravel() for t in tables]), TaskContext.get().partitionId()
-            for k in range(0, len(flat), CHUNK):
-                yield {"kind": [CONTEXTS], "key": [k // CHUNK], "block": [""], "part": [part], "hashes": [b""], "body": [_press(flat[k:k + CHUNK])]}
+            yield {"key": bucket[cut[:-1]], "block": [row["block"]] * (len(cut) - 1), "words": [_press(np.frombuffer(b" ".join(words[s:e]), np.uint8)) for s, e in zip(cut, cut[1:])],
+                   "counts": [_press_planes(counts[s:e]) for s, e in zip(cut, cut[1:])]}
     return run
 
 
+def _merge(part: pa.Table) -> pa.Table:
+    """A bucket's distinct words of all blocks, by rising hash, with their training counts."""
+    words = [w for x in part.column("words").to_pylist() for w in _split(x)]
+    counts, hashes = np.concatenate([_planes(x, np.int64) for x in part.column("counts").to_pylist()]), hashed(words)
+    order = np.argsort(hashes, kind="stable")
+    first = np.nonzero(np.r_[True, hashes[order[1:]] != hashes[order[:-1]]])[0]
+    total = np.add.reduceat(counts[order], first)
+    bins = np.bincount((np.log2(total[total > 0]) * BINS).astype(np.int64), minlength=1).tolist()
+    return pa.table({"key": part.column("key")[:1], "block": pa.array([""]), "words": pa.array([_press(np.frombuffer(b" ".join(words[k] for k in order[first].tolist()), np.uint8))], pa.binary()),
+                     "counts": pa.array([_press_planes(total)], pa.binary()), "tokens": pa.array([int(total.sum())]), "distinct": pa.array([int((total > 0).sum())]),
+                     "bins": pa.array([bins], pa.list_(pa.int64()))}, schema=to_arrow_schema(_LEXICON))
+
+
+def _frequent_pass(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for row in rows(batches):
+            words, counts = _split(row["words"]), _planes(row["counts"], np.int64)
+            keep = [k for k in np.nonzero(counts)[0].tolist() if words[k] == END or int(np.log2(counts[k]) * BINS) >= least]
+            yield {"word": [words[k] for k in keep], "n": counts[keep]}
+    return run
+
+
+class Code:
+    """Huffman code of the frequent words and the escape, symbol 0; more frequent words have smaller symbols."""
+
+    def __init__(self, counts: dict[bytes, int], tokens: int):
+        words = sorted(counts, key=lambda w: (-counts[w], w))
+        hashes = hashed(words)
+        order = np.argsort(hashes)
+        self.hashes, self.symbol = hashes[order], (order + 1).astype(np.int64)
+        weight = [max(1, tokens - sum(counts.values())), *(counts[w] for w in words)]
+        heap, below = [(n, k) for k, n in enumerate(weight)], {}
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            a, b = heapq.heappop(heap), heapq.heappop(heap)
+            k = len(weight) + len(below)
+            below[k] = (a[1], b[1])
+            heapq.heappush(heap, (a[0] + b[0], k))
+        paths, todo = [()] * len(weight), [(heap[0][1], ())]
+        while todo:
+            k, path = todo.pop()
+            if k in below:
+                todo += [(child, (*path, 2 * (k - len(weight)) + bit)) for bit, child in enumerate(below[k])]
+            else:
+                paths[k] = path
+        self.size = np.fromiter(map(len, paths), np.int64, len(paths))
+        self.start = np.cumsum(self.size) - self.size
+        flat = np.fromiter((x for path in paths for x in path), np.int64, int(self.size.sum()))
+        self.node, self.bit, self.nodes = (flat >> 1).astype(np.uint64), (flat & 1).astype(np.uint8), len(below)
+
+    def symbols(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.symbol[at], 0)
+
+
+def vocabulary(lexicon: DataFrame, tokens: int) -> Code:
+    """At most VOCABULARY words (and the end) reach the driver: whole bins of counts, from the largest down."""
+    bins = {r["k"]: r["n"] for r in lexicon.select(F.posexplode("bins").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect()}
+    least, room = max(bins, default=0) + 1, VOCABULARY
+    while least > BINS and bins.get(least - 1, 0) <= room:
+        least -= 1
+        room -= bins.get(least, 0)
+    found = passed(lexicon.select("words", "counts"), _frequent_pass(least), _FREQUENT).collect()
+    return Code({bytes(r["word"]): r["n"] for r in found}, tokens)
+
+
+def _chunks(tables: list[np.ndarray]) -> Iterator[dict]:
+    from pyspark import TaskContext
+    flat, part = np.concatenate([t.ravel() for t in tables]), TaskContext.get().partitionId()
+    for k in range(0, len(flat), CHUNK):
+        yield {"key": [k // CHUNK], "part": [part], "body": [_press_planes(flat[k:k + CHUNK])]}
+
+
 def _add_chunks(part: pa.Table) -> pa.Table:
     total = np.zeros(CHUNK)
     for body in part.column("body").to_pylist():
-        x = np.frombuffer(unpacked(body), np.float64)
+        x = _planes(body, np.float64)
         total[:len(x)] += x
         n = len(x)
-    return pa.table({"key": part.column("key")[:1], "part": part.column("part")[:1], "body": pa.array([_press(total[:n])])}, schema=to_arrow_schema(_TABLES))
+    return pa.table({"key": part.column("key")[:1], "part": part.column("part")[:1], "body": pa.array([_press_planes(total[:n])])}, schema=to_arrow_schema(_TABLES))
 
 
-def context_tables(partial: DataFrame) -> list[np.ndarray]:
-    """Counts over all training text.  Their size is fixed by TABLE_BITS; the tasks' tables are added FAN_IN at a time."""
+def context_tables(partial: DataFrame, bits: tuple[int, ...]) -> list[np.ndarray]:
+    """Counts over all training text.  The tables' size is bounded; the tasks' tables are added FAN_IN at a time."""
     while True:
         groups = math.ceil(partial.agg(F.countDistinct("part")).first()[0] / FAN_IN)
         partial = partial.withColumn("part", F.pmod(F.xxhash64("part"), F.lit(max(1, groups))))
         partial = written(partial.groupBy("key", "part").applyInArrow(_add_chunks, _TABLES), "context_counts")
         if groups <= 1:
             break
-    flat = [np.frombuffer(unpacked(bytes(r["body"])), np.float64) for r in sorted(partial.collect(), key=lambda r: r["key"])]
+    flat = [_planes(bytes(r["body"]), np.float64) for r in sorted(partial.collect(), key=lambda r: r["key"])]
     if not flat:
-        return [t.astype(np.float32) for t in empty_tables()]
-    cut = np.cumsum([2 << b for b in TABLE_BITS])
+        return [np.zeros((1 << b, 2), np.float32) for b in bits]
+    cut = np.cumsum([2 << b for b in bits])
     return [t.reshape(-1, 2).astype(np.float32) for t in np.split(np.concatenate(flat), cut[:-1])]
 
 
-_READY: dict[str, Stretched] = {}
-
-
-def _stretched(tables) -> Stretched:
-    """From the broadcast counts, once per worker."""
-    if tables.id not in _READY:
-        _READY.clear()
-        _READY[tables.id] = Stretched(tables.value)
-    return _READY[tables.id]
+_READY: dict[str, object] = {}
 
 
 class Shared:
-    """A broadcast with a name of its own."""
+    """A broadcast that each worker makes ready once."""
 
-    def __init__(self, spark, value):
-        self.id, self.broadcast = uuid.uuid4().hex, spark.sparkContext.broadcast(value)
+    def __init__(self, spark, value, ready=None):
+        self.id, self.broadcast, self.ready = uuid.uuid4().hex, spark.sparkContext.broadcast(value), ready
 
     @property
     def value(self):
-        return self.broadcast.value
+        if self.id not in _READY:
+            if len(_READY) > 3:
+                _READY.clear()
+            _READY[self.id] = self.ready(self.broadcast.value) if self.ready else self.broadcast.value
+        return _READY[self.id]
 
 
-def _lexicon(body: bytes) -> list[bytes]:
-    return unpacked(body).split(b" ")
+def _rare(row: dict, code: Code) -> tuple[list[bytes], np.ndarray]:
+    """A bucket's words that training texts have and the vocabulary hasn't, and their counts."""
+    words, counts = _split(row["words"]), _planes(row["counts"], np.int64)
+    rare = np.nonzero((code.symbols(hashed(words)) == 0) & (counts > 0))[0]
+    return [words[k] for k in rare.tolist()], counts[rare]
 
 
-def _train_pass(tables):
+def _spelling_pass(code: Shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        weights, scale, seen = np.full((GATES, len(ORDERS)), 0.3), np.zeros((GATES, len(ORDERS))), 0
+        tables, any_ = empty_tables(), False
         for row in rows(batches):
-            words, count = _lexicon(row["body"]), np.frombuffer(unpacked(row["hashes"]), np.int64)
-            has = np.nonzero(count)[0]
-            train(_stretched(tables), [words[k] for k in has.tolist()], count[has], weights, scale)
-            seen += int(count.sum())
-        if seen:
-            yield {"gate": np.repeat(np.arange(GATES), len(ORDERS)), "input": np.tile(np.arange(len(ORDERS)), GATES), "weight": weights.ravel(),
-                   "used": scale.ravel() > 0, "seen": np.full(weights.size, seen)}
+            words, counts = _rare(row, code.value)
+            add_counts(tables, words, counts)
+            any_ = any_ or bool(words)
+        if any_:
+            yield from _chunks(tables)
     return run
 
 
@@ -332,87 +413,408 @@ _WEIGHTS = T.StructType([T.StructField("gate", T.LongType()), T.StructField("inp
                          T.StructField("used", T.BooleanType()), T.StructField("seen", T.LongType())])
 
 
-def mixing_weights(lexicons: DataFrame, tables) -> np.ndarray:
-    """Weights trained online in every task over all its blocks, averaged by the tokens seen."""
+def _weight_rows(weights: np.ndarray, scale: np.ndarray, seen: int) -> dict:
+    gates, inputs = weights.shape
+    return {"gate": np.repeat(np.arange(gates), inputs), "input": np.tile(np.arange(inputs), gates), "weight": weights.ravel(), "used": scale.ravel() > 0,
+            "seen": np.full(weights.size, seen)}
+
+
+def _spelling_train_pass(code: Shared, tables: Shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        weights, scale, seen = np.full((GATES, len(ORDERS)), 0.3), np.zeros((GATES, len(ORDERS))), 0
+        for row in rows(batches):
+            words, counts = _rare(row, code.value)
+            train(tables.value, words, counts, weights, scale)
+            seen += int(counts.sum())
+        if seen:
+            yield _weight_rows(weights, scale, seen)
+    return run
+
+
+def averaged(found: DataFrame, gates: int, inputs: int) -> np.ndarray:
+    """Weights trained online in every task over all its text, averaged by what the tasks have seen."""
     mean = F.sum(F.col("weight") * F.col("seen")) / F.sum("seen")
-    out = np.full((GATES, len(ORDERS)), 0.3)
-    for r in passed(lexicons, _train_pass(tables), _WEIGHTS).where("used").groupBy("gate", "input").agg(mean.alias("w")).collect():
+    out = np.full((gates, inputs), 0.3)
+    for r in found.where("used").groupBy("gate", "input").agg(mean.alias("w")).collect():
         out[r["gate"], r["input"]] = r["w"]
     return out
 
 
-def _answer(width: int):
+def _answer_words(code: Shared, tables: Shared, weights: np.ndarray):
+    """Each block's words get their training counts and the log probabilities of the rare ones' spelling."""
     def run(part: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(x, np.uint64) for x in part.column("hashes").to_pylist()]
-        flat = np.concatenate(hashes)
-        counts = np.concatenate([np.frombuffer(unpacked(x), np.int32).reshape(-1, width) for x in part.column("body").to_pylist()])
-        order = np.argsort(flat, kind="stable")
-        new = np.r_[True, flat[order[1:]] != flat[order[:-1]]]
-        total = np.add.reduceat(counts[order], np.nonzero(new)[0], axis=0, dtype=np.int64)
-        back = np.empty((len(flat), width), np.int64)
-        back[order] = total[np.cumsum(new) - 1]
-        cut, first = np.cumsum([0, *map(len, hashes)]).tolist(), [1] + [0] * (len(hashes) - 1)
-        return pa.table({"key": part.column("key"), "block": part.column("block"), "body": pa.array([_press(back[s:e]) for s, e in zip(cut, cut[1:])]),
-                         "tokens": pa.array([(total.sum(0) * x).tolist() for x in first], pa.list_(pa.int64())),
-                         "distinct": pa.array([int((total.sum(1) > 0).sum()) * x for x in first], pa.int64())}, schema=to_arrow_schema(_REPLY))
+        blocks, bodies = part.column("block").to_pylist(), part.column("words").to_pylist()
+        own = blocks.index("")
+        words, counts = _split(bodies[own]), _planes(part.column("counts")[own].as_py(), np.int64)
+        hashes = hashed(words)
+        rare = np.nonzero(code.value.symbols(hashes) == 0)[0]
+        spelled = np.zeros(len(words), np.float32)
+        spelled[rare] = log_probability(tables.value, weights, [words[k] for k in rare.tolist()])
+        out = {"key": [], "block": [], "counts": [], "spelled": []}
+        for block, body in zip(blocks, bodies):
+            if block:
+                at = np.searchsorted(hashes, hashed(_split(body)))
+                out["key"].append(part.column("key")[0].as_py())
+                out["block"].append(block)
+                out["counts"].append(_press_planes(counts[at]))
+                out["spelled"].append(_press_planes(spelled[at]))
+        return pa.table(out, schema=to_arrow_schema(_WORD_REPLY))
     return run
 
 
-# --- scores -----------------------------------------------------------------------------------------------------------
+# --- exchange of runs of three words ----------------------------------------------------------------------------------
 
-_SCORES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
-                        T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
-                        T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
+_RUNS = T.StructType([T.StructField("key", T.LongType()), T.StructField("block", T.StringType()), T.StructField("before", T.BinaryType()), T.StructField("word", T.BinaryType()),
+                      T.StructField("own", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+_RUN_REPLY = T.StructType([T.StructField("key", T.LongType()), T.StructField("block", T.StringType()), T.StructField("body", T.BinaryType())])
+
+
+class Tokens:
+    """A block's tokens: ``words`` by rising hash, ``at`` (which word each token is), ``doc`` and ``starts`` of the texts."""
+
+    def __init__(self, row: dict):
+        docs = documents(row)
+        words = list({END}.union(*docs))
+        hashes = hashed(words)
+        order = np.argsort(hashes, kind="stable")
+        self.words, self.hashes = [words[k] for k in order.tolist()], hashes[order]
+        place = dict(zip(self.words, range(len(words))))
+        end, flat = [END], []
+        for own in docs:
+            flat += map(place.__getitem__, own + end)
+        self.at = np.array(flat, np.int64)
+        self.size = np.fromiter((len(own) + 1 for own in docs), np.int64, len(docs))
+        self.starts = np.cumsum(self.size) - self.size
+        self.doc = np.repeat(np.arange(len(docs)), self.size)
+        self.train = ~np.fromiter(map(held_out, row["ids"]), bool, len(docs))
+        self.token = self.hashes[self.at]
+        self.before = _mixed(back(self.token, self.starts, 1) + back(self.token, self.starts, 2) * _M[5])
+
+
+def back(x: np.ndarray, starts: np.ndarray, by: int) -> np.ndarray:
+    """``x`` of the position ``by`` earlier in the same text, else 0."""
+    out = np.r_[np.zeros(by, x.dtype), x[:-by]][:len(x)]
+    for j in range(by):
+        out[np.minimum(starts + j, len(x) - 1)[starts + j < len(x)]] = 0
+    return out
+
+
+def runs(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (two words before, word, how often this text trains on it), by rising hash of the two words.
+
+    Returns a position of each, the text's own count, how many training positions there are in the block, and for each
+    position which of them it is.
+    """
+    pair = _mixed(t.before ^ (t.token * _M[6]))
+    order = np.argsort(pair, kind="stable")
+    p, d = pair[order], t.doc[order]
+    first = np.nonzero(np.r_[True, (p[1:] != p[:-1]) | (d[1:] != d[:-1])])[0]
+    times = np.diff(np.r_[first, len(p)])
+    own = np.empty(len(p), np.int64)
+    own[order] = np.repeat(times, times)
+    own[~t.train[t.doc]] = 0
+    _, at, which, n = np.unique(pair + own.astype(np.uint64) * _M[7], return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(t.before[at], kind="stable")
+    back_ = np.empty(len(order), np.int64)
+    back_[order] = np.arange(len(order))
+    at = at[order]
+    return at, own[at], np.where(own[at] > 0, n[order], 0), back_[which]
+
+
+def _run_pass(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for row in rows(batches):
+            t = Tokens(row)
+            at, own, n, _ = runs(t)
+            before, word = t.before[at], (t.token[at] >> np.uint64(32)).astype(np.uint32)
+            bucket, low = (before >> np.uint64(64 - bits)).astype(np.int64), ((before << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+            cut = np.r_[np.nonzero(np.r_[True, bucket[1:] != bucket[:-1]])[0], len(bucket)].tolist()
+            spans = list(zip(cut, cut[1:]))
+            yield {"key": bucket[cut[:-1]], "block": [row["block"]] * len(spans), "before": [_press_planes(np.diff(low[s:e], prepend=np.uint32(0))) for s, e in spans],
+                   "word": [word[s:e].tobytes() for s, e in spans], "own": [_press_planes(own[s:e]) for s, e in spans], "counts": [_press_planes(n[s:e]) for s, e in spans]}
+    return run
+
+
+#: least counts of the levels of how often the word expected was seen, and how often another one
+SURE, UNSURE = (1, 2, 3, 5, 9, 17, 65), (1, 3, 9)
 
 
-def text_score(codes: np.ndarray, word: np.ndarray) -> float:
-    """log10 probability of a text; ``word`` has each word's log probability, without the text's own words, by mixture."""
-    n = len(codes)
-    order = np.argsort(codes, kind="stable")
-    new = np.r_[True, codes[order[1:]] != codes[order[:-1]]]
-    at = np.arange(n)
-    before = np.empty(n, np.int64)
-    before[order] = at - np.maximum.accumulate(np.where(new, at, 0))
-    again = before > 0
-    own = np.log(before[again] / at[again])
-    lp = word[codes]
-    lp[again] = np.logaddexp(lp[again], _OWN_SHARES + own[:, None])
-    return float(np.logaddexp.reduce(lp.sum(0)) - np.log(len(MIXTURES))) / math.log(10)
+def expected(before: np.ndarray, word: np.ndarray, own: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether each run ends in the word expected elsewhere (bit 0), levels of its count (bits 1-3) and of the others' (4-5).
 
+    Expected is the word seen most often after the two words in all training texts but the run's own; the smaller hash
+    wins a tie.  0: nothing was seen.
+    """
+    both = before.astype(np.uint64) << np.uint64(32) | word
+    pairs, pair = np.unique(both, return_inverse=True)
+    total = np.bincount(pair, n, len(pairs)).astype(np.int64)
+    context = pairs >> np.uint64(32)
+    order = np.lexsort((pairs, -total, context))
+    first = np.nonzero(np.r_[True, context[order[1:]] != context[order[:-1]]])[0]
+    size = np.diff(np.r_[first, len(pairs)])
+    group = np.empty(len(pairs), np.int64)
+    group[order] = np.repeat(np.arange(len(first)), size)
+    sums, best = np.add.reduceat(total[order], first), order[first]
+    second = np.where(size > 1, order[np.minimum(first + 1, len(order) - 1)], -1)
+    g = group[pair]
+    rival = np.where(best[g] == pair, second[g], best[g])
+    rivals, mine = np.where(rival >= 0, total[rival], 0), total[pair] - own
+    hit = (mine > rivals) | ((mine == rivals) & (mine > 0) & (pair < rival))
+    most = np.maximum(mine, rivals)
+    out = hit | np.searchsorted(SURE, most, "right") << 1 | np.searchsorted(UNSURE, sums[g] - own - most, "right") << 4
+    return np.where(most > 0, out, 0).astype(np.uint8)
+
+
+def _answer_runs(part: pa.Table) -> pa.Table:
+    before = [np.cumsum(_planes(x, np.uint32), dtype=np.uint32) for x in part.column("before").to_pylist()]
+    word = np.frombuffer(b"".join(part.column("word").to_pylist()), np.uint32)
+    own, n = (np.concatenate([_planes(x, np.int64) for x in part.column(c).to_pylist()]) for c in ("own", "counts"))
+    out, cut = expected(np.concatenate(before), word, own, n), np.cumsum([0, *map(len, before)]).tolist()
+    return pa.table({"key": part.column("key"), "block": part.column("block"), "body": pa.array([_press(out[s:e]) for s, e in zip(cut, cut[1:])], pa.binary())}, schema=to_arrow_schema(_RUN_REPLY))
+
+
+# --- the running text -------------------------------------------------------------------------------------------------
+
+_STREAM = T.StructType([T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("n_tokens", T.ArrayType(T.LongType())),
+                        T.StructField("n_known", T.ArrayType(T.LongType())), T.StructField("base_score", T.ArrayType(T.DoubleType())),
+                        *(T.StructField(c, T.BinaryType()) for c in ("at", "word", "symbol", "spelled", "flags"))])
+
+
+def repeated(key: np.ndarray) -> np.ndarray:
+    """The last earlier position with the same key, else -1."""
+    order = np.argsort(key, kind="stable")
+    out = np.full(len(key), -1)
+    same = np.nonzero(key[order[1:]] == key[order[:-1]])[0]
+    out[order[same + 1]] = order[same]
+    return out
+
+
+def _stream_pass(code: Shared, tokens: int, v: int):
+    """Blocks as arrays: which word each token is, the words' hashes, symbols and spelling, and what was expected."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for row in rows(batches):
+            t = Tokens(row)
+            replies = sorted(row["word_replies"], key=lambda r: r["key"])
+            count = np.concatenate([_planes(r["counts"], np.int64) for r in replies])
+            spelled = np.concatenate([_planes(r["spelled"], np.float32) for r in replies])
+            flags = np.concatenate([np.frombuffer(unpacked(r["body"]), np.uint8) for r in sorted(row["run_replies"], key=lambda r: r["key"])])[runs(t)[3]]
+            last = repeated(_mixed(t.before + t.doc.astype(np.uint64) * _M[8]))
+            again = np.where(last >= 0, 1 + (t.at[last] == t.at), 0).astype(np.uint8)
+            base = np.log10((count + 1) / (tokens + v + 1))[t.at]
+            yield {"ids": [row["ids"]], "sizes": [row["sizes"]], "n_tokens": [t.size], "n_known": [np.add.reduceat((count > 0)[t.at].astype(np.int64), t.starts)],
+                   "base_score": [np.add.reduceat(base, t.starts)], "at": [_press_planes(t.at.astype(np.uint32))],
+                   "word": [_press((t.hashes >> np.uint64(32)).astype(np.uint32))], "symbol": [_press_planes(code.value.symbols(t.hashes).astype(np.uint32))],
+                   "spelled": [_press_planes(spelled)], "flags": [_press(flags | again << 6)]}
+    return run
 
-_OWN_SHARES = np.log([m[-1] for m in MIXTURES])
 
+TREE, CORPUS, OWN, AGAIN = range(4)
+KINDS = 4
+
+
+class Stream:
+    """A block's decisions.  ``base``: natural log probability of what isn't decided by bits, by token."""
+
+    def __init__(self, row: dict, code: Code):
+        self.code, self.size = code, np.array(row["n_tokens"], np.int64)
+        self.starts = np.cumsum(self.size) - self.size
+        starts = self.starts
+        doc = np.repeat(np.arange(len(self.size)), self.size)
+        self.train = np.repeat(~np.fromiter(map(held_out, row["ids"]), bool, len(self.size)), self.size)
+        at, flags = _planes(row["at"], np.uint32).astype(np.int64), np.frombuffer(unpacked(row["flags"]), np.uint8)
+        word = np.frombuffer(unpacked(row["word"]), np.uint32).astype(np.uint64)[at]
+        self.symbol = _planes(row["symbol"], np.uint32).astype(np.int64)[at]
+        n = len(at)
+        sure, hit, own = flags & 62, (flags & 1).astype(bool), flags >> 6
+        outcome = np.where(hit, 1, np.where(own == 2, 2, np.where((sure > 0) | (own == 1), 3, 0))).astype(np.uint64)
+        short = sum(back(outcome, starts, j) << np.uint64(2 * j) for j in (1, 2, 3, 4))
+        long = short + sum(back(outcome, starts, j) << np.uint64(2 * j) for j in (5, 6, 7, 8))
+        before = back(word, starts, 1)
+        frequent = np.where((self.symbol > 0) & (self.symbol <= FUNCTION_WORDS), np.arange(n), -1)
+        near = np.r_[-1, np.maximum.accumulate(frequent)[:-1]] if n else frequent
+        near = np.where(near >= starts[doc], near, -1)
+        f1 = np.where(near >= 0, self.symbol[near], 0).astype(np.uint64)
+        f2 = np.where(near >= 0, f1[near], np.uint64(0))
+        two = _mixed(before + back(word, starts, 2) * _M[5])
+        contexts = [_mixed(f1 + np.uint64(1)), _mixed(f1 * np.uint64(FUNCTION_WORDS + 1) + f2 + np.uint64(977)), _mixed(before + np.uint64(3)), two]
+        sure64 = sure.astype(np.uint64)
+        flagged = [_mixed(sure64 + np.uint64(5)), _mixed(short + np.uint64(7)), _mixed((long << np.uint64(8)) + sure64 + np.uint64(11)), contexts[2]]
+        todo = np.ones(n, bool)
+        self.parts = []
+        asked = np.nonzero(sure > 0)[0]
+        self.parts.append((CORPUS, asked, hit[asked], flagged))
+        todo &= ~(hit & (sure > 0))
+        asked = np.nonzero(todo & (own > 0))[0]
+        self.parts.append((OWN, asked, own[asked] == 2, flagged))
+        todo &= own != 2
+        self.tree = todo
+        rare = np.nonzero(todo & (self.symbol == 0))[0]
+        self.base = np.zeros(n)
+        if len(rare):
+            spelled = _planes(row["spelled"], np.float32)[at[rare]].astype(np.float64)
+            d = doc[rare]
+            earlier = np.arange(len(rare)) - np.searchsorted(d, d)
+            known = repeated(_mixed(at[rare].astype(np.uint64) + d.astype(np.uint64) * _M[8])) >= 0
+            self.base[rare] = np.where(known, -np.log(np.maximum(earlier, 1)), spelled)
+            level = np.zeros(n, np.uint64)
+            level[rare] = np.log2(earlier + 1).astype(np.uint64)
+            asked = rare[earlier > 0]
+            self.parts.append((AGAIN, asked, known[earlier > 0], [_mixed(level + np.uint64(13)), flagged[1], _mixed(level * np.uint64(97) + f1 + np.uint64(17)), contexts[2]]))
+        self.contexts = contexts
+
+    def decisions(self, which: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
+        """Kind, tokens, bits and hashed contexts of STEP or a little more decisions at a time, of the tokens in ``which``."""
+        code = self.code
+        for kind, asked, bit, contexts in self.parts:
+            keep = which[asked]
+            asked, bit = asked[keep], bit[keep].astype(np.uint8)
+            node = np.array([code.nodes + kind], np.uint64) * _M[9]
+            for s in range(0, len(asked), STEP):
+                at = asked[s:s + STEP]
+                yield kind, at, bit[s:s + STEP], [(c[at] + node) * _M[1] for c in contexts]
+        tokens = np.nonzero(which & self.tree)[0]
+        size = code.size[self.symbol[tokens]]
+        reach = np.cumsum(size)
+        s = 0
+        while s < len(tokens):
+            e = max(s + 1, int(np.searchsorted(reach, (reach[s - 1] if s else 0) + STEP)))
+            own, k = tokens[s:e], size[s:e]
+            at = np.repeat(own, k)
+            path = np.arange(len(at)) + np.repeat(code.start[self.symbol[own]] - (np.cumsum(k) - k), k)
+            node = code.node[path] * _M[9]
+            yield TREE, at, code.bit[path], [(c[at] + node) * _M[1] for c in self.contexts]
+            s = e
+
+
+class Mixer:
+    """Stretched predictions of the tables over running text: of all counts, and without a training token's own."""
+
+    def __init__(self, tables: list[np.ndarray]):
+        self.shift = [np.uint64(64 - (len(t).bit_length() - 1)) for t in tables]
+        self.look, self.seen = [], []
+        for t in tables:
+            zero, one = t[:, 0], t[:, 1]
+            less0, less1 = np.maximum(zero - 1, 0), np.maximum(one - 1, 0)
+            self.look.append(np.log(np.stack([(one + PRIOR) / (less0 + PRIOR), (less1 + PRIOR) / (zero + PRIOR), (one + PRIOR) / (zero + PRIOR)], 1)).astype(np.float32).ravel())
+        for t in tables[-2:]:
+            n = t.sum(1)
+            self.seen.append(np.stack([np.searchsorted([0.5, 3.5, 15.5, 127.5], x) for x in (n, n - 1)], 1).astype(np.int16).ravel())
+
+    def inputs(self, kind: int, hashes: list[np.ndarray], bit: np.ndarray, train: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        where = [(h >> s).astype(np.int64) for h, s in zip(hashes, self.shift)]
+        column, own = np.where(train, bit, np.uint8(2)), train.astype(np.int64)
+        gate = self.seen[0][2 * where[-2] + own] * 5 + self.seen[1][2 * where[-1] + own] + GATES * kind
+        return [t[3 * w + column] for t, w in zip(self.look, where)], gate
+
+
+#: steps of the last stage between stretched predictions -8 and 8
+STEPS = 33
+
+
+def _refine_place(z: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    return gate.astype(np.int64) * STEPS + np.clip(np.rint((z + 8) * 2), 0, STEPS - 1).astype(np.int64)
+
+
+def learn(mixer: Mixer, stream: Stream, weights: np.ndarray, scale: np.ndarray, came: np.ndarray) -> None:
+    """Online steps over the training tokens' decisions; ``weights``, ``scale`` and ``came`` (outcomes by the last stage's place) change."""
+    gates = len(weights)
+    for kind, at, bit, hashes in stream.decisions(stream.train):
+        x, gate = mixer.inputs(kind, hashes, bit, np.ones(len(at), bool))
+        z = sum(weights[:, k].astype(np.float32)[gate] * x[k] for k in range(len(x)))
+        came += np.bincount(2 * _refine_place(z, gate) + bit, minlength=came.size).reshape(came.shape)
+        step = bit - 1 / (1 + np.exp(-np.clip(z, -20, 20)))
+        total = np.bincount(gate, minlength=gates) + 1
+        for k in range(len(x)):
+            g = np.bincount(gate, step * x[k], gates) / total
+            scale[:, k] += g * g
+            weights[:, k] += RATE * g / np.sqrt(scale[:, k] + 1e-8)
+
+
+def refined(came: np.ndarray) -> np.ndarray:
+    """Share of ones at each place of the last stage; where little was seen it stays near the prediction itself."""
+    centre = 1 / (1 + np.exp(8 - np.arange(STEPS) / 2))
+    centre = np.tile(centre, len(came) // STEPS)
+    return (came[:, 1] + 16 * centre) / (came.sum(1) + 16)
+
+
+def log_probabilities(mixer: Mixer, stream: Stream, weights: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Natural log probability of each token; training tokens are predicted without their own occurrence."""
+    out, w = stream.base.copy(), weights.astype(np.float32)
+    for kind, at, bit, hashes in stream.decisions(np.ones(len(out), bool)):
+        x, gate = mixer.inputs(kind, hashes, bit, stream.train[at])
+        z = np.clip(sum(w[:, k][gate] * x[k] for k in range(len(x))), -12, 12)
+        one = 0.5 / (1 + np.exp(-z)) + 0.5 * last[_refine_place(z, gate)]
+        out += np.bincount(at, np.log(np.where(bit > 0, one, 1 - one)), len(out))
+    return out
+
+
+def _table_pass(code: Shared, bits: tuple[int, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        tables, any_ = [np.zeros(2 << b) for b in bits], False
+        for row in rows(batches):
+            stream, any_ = Stream(row, code.value), True
+            held, n = [[] for _ in bits], 0
+            for _, _, bit, hashes in stream.decisions(stream.train):
+                for k, b in enumerate(bits):
+                    held[k].append(2 * (hashes[k] >> np.uint64(64 - b)).astype(np.int64) + bit)
+                n += len(bit)
+                if n > 1 << 20:
+                    _add(tables, held)
+                    held, n = [[] for _ in bits], 0
+            _add(tables, held)
+        if any_:
+            yield from _chunks(tables)
+    return run
+
+
+def _add(tables: list[np.ndarray], held: list[list[np.ndarray]]) -> None:
+    for t, slots in zip(tables, held):
+        if slots:
+            t += np.bincount(np.concatenate(slots), minlength=len(t))
+
+
+_LEARNT = T.StructType([T.StructField("learnt", T.ArrayType(_WEIGHTS)), T.StructField("came", T.ArrayType(T.LongType()))])
+
+
+def _learn_pass(code: Shared, mixer: Shared, inputs: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        gates = GATES * KINDS
+        weights, scale, came, seen = np.full((gates, inputs), 0.3), np.zeros((gates, inputs)), np.zeros((gates * STEPS, 2), np.int64), 0
+        for row in rows(batches):
+            stream = Stream(row, code.value)
+            learn(mixer.value, stream, weights, scale, came)
+            seen += int(stream.train.sum())
+        if seen:
+            cols = _weight_rows(weights, scale, seen)
+            yield {"learnt": [[dict(zip(cols, r)) for r in zip(*(np.asarray(c).tolist() for c in cols.values()))]], "came": [came.ravel()]}
+    return run
+
+
+def mixing(stream: DataFrame, code: Shared, mixer: Shared, inputs: int) -> tuple[np.ndarray, np.ndarray]:
+    """The mixer's weights and the last stage; one row of fixed size per task is written and added up."""
+    found = written(passed(stream, _learn_pass(code, mixer, inputs), _LEARNT), "learnt")
+    weights = averaged(found.select(F.explode("learnt").alias("r")).select("r.*"), GATES * KINDS, inputs)
+    came = np.zeros(GATES * KINDS * STEPS * 2)
+    for r in found.select(F.posexplode("came").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect():
+        came[r["k"]] = r["n"]
+    return weights, refined(came.reshape(-1, 2))
+
+
+# --- scores -----------------------------------------------------------------------------------------------------------
+
+_SCORES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
+                        T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
+                        T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
 
-def _score_pass(tables, weights: np.ndarray, tokens: np.ndarray, v: int):
-    n = int(tokens.sum())
 
+def _score_pass(code: Shared, mixer: Shared, weights: np.ndarray, last: np.ndarray, tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for row in rows(batches):
-            words = _lexicon(row["words"])
-            counts = np.concatenate([np.frombuffer(unpacked(r["body"]), np.int64).reshape(-1, len(tokens)) for r in sorted(row["replies"], key=lambda r: r["key"])])
-            count = counts.sum(1)
-            lp = log_probability(_stretched(tables), weights, words)
-            with np.errstate(divide="ignore"):
-                share, shares = np.log(count / max(1, n)), np.log(counts / np.maximum(1, tokens))
-                prior = np.log(tokens / max(1, n))
-            smooth = np.log((counts + 0.5) / (tokens + 0.5 * (v + 1)))
-            base = np.log10((count + 1) / (n + v + 1))
-            known, score = count > 0, [0.0] * len(row["ids"])
-            code = dict(zip(words, range(len(words))))
-            codes = [np.array([*map(code.__getitem__, own), code[END]], np.int64) for own in documents(row)]
-            of = [int(np.argmax(smooth[c].sum(0) + prior)) if n else 0 for c in codes]
-            word = np.empty((len(count), len(MIXTURES)))
-            for k in set(of):
-                docs = [j for j, x in enumerate(of) if x == k]
-                used = np.unique(np.concatenate([codes[j] for j in docs]))
-                bits, one, all_ = lp[used], shares[used, k], share[used]
-                for j, (a, b, d, _) in enumerate(MIXTURES):
-                    word[used, j] = np.logaddexp(np.logaddexp(math.log(a) + bits, math.log(b) + one), math.log(d) + all_)
-                for j in docs:
-                    score[j] = text_score(codes[j], word) + (float(prior[k]) / math.log(10) if n else 0.0)
-            yield {"doc_id": row["ids"], "held_out": [held_out(i) for i in row["ids"]], "n_tokens": list(map(len, codes)), "n_known": [int(known[c].sum()) for c in codes],
-                   "train_tokens": [n] * len(codes), "base_score": [float(base[c].sum()) for c in codes], "score": score,
-                   "bits_per_byte": [-s * math.log2(10) / max(1, b) for s, b in zip(score, row["sizes"])]}
+            stream = Stream(row, code.value)
+            score = np.add.reduceat(log_probabilities(mixer.value, stream, weights, last), stream.starts) / math.log(10)
+            yield {"doc_id": row["ids"], "held_out": [held_out(i) for i in row["ids"]], "n_tokens": row["n_tokens"], "n_known": row["n_known"],
+                   "train_tokens": [tokens] * len(score), "base_score": row["base_score"], "score": score,
+                   "bits_per_byte": -score * math.log2(10) / np.maximum(1, np.array(row["sizes"]))}
     return run
 
 
@@ -420,28 +822,29 @@ def score_texts(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Null and empty texts are one end token.  A null doc_id counts as an empty string for the fold.  Repeated rows are
-    scored each on its own, and each trains.  ``lang``, where there is one, only sorts the training counts.  Words of any length are coded whole.  Other columns are ignored; an
-    empty table gives no rows, and without training text every word is unknown.
+    scored each on its own, and each trains: a row's copies predict it, its own occurrences don't.  Words of any length are
+    coded whole.  Other columns are ignored; an empty table gives no rows, and without training text every word is unknown.
     """
     spark = docs.sparkSession
-    label = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
-    docs = docs.select("doc_id", "text", label.alias("lang"))
-    top = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(CLASSES).collect()
-    classes = [r["lang"] for r in top]
-    blocks = pack_blocks(docs, BLOCK_BYTES, "lang")
+    blocks = pack_blocks(docs.select("doc_id", "text"), BLOCK_BYTES)
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
-    text = blocks.select("block", "ids", "sizes", "labels", "body")
-    bits = max(4, min(20, (total // 40 // WORDS_PER_BUCKET).bit_length()))
-    counts = written(passed(text, _count_pass(bits, classes), _COUNTS), "counts")
-    tables = Shared(spark, context_tables(counts.where(F.col("kind") == CONTEXTS).select("key", "part", "body")))
-    lexicons = counts.where(F.col("kind") == LEXICON)
-    weights = mixing_weights(lexicons.select("body", "hashes"), tables)
-    replies = counts.where(F.col("kind") == WORDS).select("key", "block", "hashes", "body").groupBy("key").applyInArrow(_answer(len(classes) + 1), _REPLY)
-    replies = written(replies, "word_counts")
-    v = replies.agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
-    tokens = np.zeros(len(classes) + 1, np.int64)
-    for r in replies.select(F.posexplode("tokens").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect():
-        tokens[r["k"]] = r["n"]
-    asked = text.join(replies.groupBy("block").agg(F.collect_list(F.struct("key", "body")).alias("replies")), "block")
-    asked = asked.join(lexicons.select("block", F.col("body").alias("words")), "block")
-    return passed(asked, _score_pass(tables, weights, tokens, int(v)), _SCORES)
+    text = blocks.select("block", "ids", "sizes", "body")
+    bits = max(4, (total // 40 // WORDS_PER_BUCKET).bit_length())
+    asked = written(passed(text, _word_pass(bits), _WORDS), "words")
+    lexicon = written(asked.groupBy("key").applyInArrow(_merge, _LEXICON), "lexicon")
+    sums = lexicon.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("v")).first()
+    code = Shared(spark, vocabulary(lexicon, sums["n"]))
+    words = lexicon.select("words", "counts")
+    tables = Shared(spark, context_tables(passed(words, _spelling_pass(code), _TABLES), TABLE_BITS), Stretched)
+    weights = averaged(passed(words, _spelling_train_pass(code, tables), _WEIGHTS), GATES, len(ORDERS))
+    both = asked.unionByName(lexicon.select(*asked.columns))
+    word_replies = both.groupBy("key").applyInArrow(_answer_words(code, tables, weights), _WORD_REPLY)
+    bits = max(3, (total // 7 // RUNS_PER_BUCKET).bit_length())
+    run_replies = passed(text, _run_pass(bits), _RUNS).groupBy("key").applyInArrow(_answer_runs, _RUN_REPLY)
+    answered = text.join(word_replies.groupBy("block").agg(F.collect_list(F.struct("key", "counts", "spelled")).alias("word_replies")), "block")
+    answered = answered.join(run_replies.groupBy("block").agg(F.collect_list(F.struct("key", "body")).alias("run_replies")), "block")
+    stream = written(passed(answered, _stream_pass(code, sums["n"], sums["v"]), _STREAM), "stream")
+    sizes = tuple(min(b, max(12, (total // 64).bit_length())) for b in RUNNING_BITS)
+    mixer = Shared(spark, context_tables(passed(stream, _table_pass(code, sizes), _TABLES), sizes), Mixer)
+    weights, last = mixing(stream, code, mixer, len(sizes))
+    return passed(stream, _score_pass(code, mixer, weights, last, sums["n"]), _SCORES)
