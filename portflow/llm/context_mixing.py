@@ -8,8 +8,8 @@ from several hashed contexts that reach across words:
 * else its Huffman code over the training corpus's frequent words (``VOCABULARY``), bit by bit, where an escape leads to
 * whether the rare word has stood in this text already, and if not its spelling, byte by byte.
 
-Contexts of a decision are the last one and two of the most frequent words, the word before, the two words before, and
-for the first two decisions how sure the corpus is and how the last decisions came out.  A context's counts of zeros and
+Contexts of a decision are the last one and two of the most frequent words and the word before, and for the first two
+decisions how sure the corpus is and how the last decisions came out.  A context's counts of zeros and
 ones over all training text lie in a hashed table whose size follows the training bytes up to a bound.  The predictions are
 combined in the logistic domain by weights that a gate selects (the decision's kind, how often its longer contexts were
 seen); the weights are trained online in every task over all its training text, on counts without the token's own
@@ -26,13 +26,10 @@ import heapq
 import math
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from portflow.llm.blocks import pack_blocks, passed, rows, unpacked
-from portflow.llm.common import LOWER, written
+from portflow.llm.common import LOWER, WHITE, written
 
 BLOCK_BYTES = 8 << 20
 #: stands for the end of a text among the words; no word is white space
@@ -51,12 +48,12 @@ VOCABULARY = 1 << 16
 #: words whose last occurrences are a context of their own
 FUNCTION_WORDS = 64
 #: most slots of the tables over running text, as powers of two
-RUNNING_BITS = (17, 18, 19, 19)
-#: spelling contexts: last so many bytes of the word (PLACE: only the place in the word; PREFIX: all its bytes so far)
-PLACE, PREFIX = 0, -1
-ORDERS = (PLACE, 1, 2, 3, 4, PREFIX)
+RUNNING_BITS = (17, 18, 19)
+#: spelling contexts: last so many bytes of the word (PREFIX: all its bytes so far)
+PREFIX = -1
+ORDERS = (1, 2, 3, PREFIX)
 #: slots of each spelling context's table, as powers of two
-TABLE_BITS = (16, 16, 17, 18, 18, 18)
+TABLE_BITS = (16, 17, 18, 18)
 CHUNK = 1 << 16
 #: tables that one task adds up
 FAN_IN = 32
@@ -76,17 +73,45 @@ def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS == HELD_OUT
 
 
-def documents(row: dict) -> list[list[bytes]]:
-    """The words of each of a block's texts."""
-    text, at, docs = unpacked(row["body"]).translate(LOWER), 0, []
-    for n in row["sizes"]:
-        docs.append(text[at:at + n].split())
-        at += n
-    return docs
+_WHITE = np.isin(np.arange(256), list(WHITE))
+_PRIME = 0x9E3779B97F4A7C15
+_POWERS, _INVERSES = (np.multiply.accumulate(np.full(SLICE, p, np.uint64)) for p in (_PRIME, pow(_PRIME, -1, 1 << 64)))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x * _M[3]
+    return (x ^ (x >> np.uint64(31))) * _M[4]
+
+
+_BYTES = _mixed(np.arange(1, 257, dtype=np.uint64))
+END_HASH = np.uint64(0x5851F42D4C957F2D)
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of ``data`` start and end, and a hash of each.
+
+    Sums of bytes times powers, taken over SLICE bytes or one longer word at a time.
+    """
+    x = np.frombuffer(data, np.uint8)
+    edges = np.nonzero(np.diff(np.r_[True, _WHITE[x], True].view(np.int8)))[0]
+    start, end = edges[::2], edges[1::2]
+    out, a = np.empty(len(start), np.uint64), 0
+    while a < len(start):
+        lo = start[a]
+        b = max(a + 1, int(np.searchsorted(end, lo + SLICE, "right")))
+        n = int(end[b - 1] - lo)
+        powers, inverses = (p[:n] if n <= SLICE else np.multiply.accumulate(np.full(n, p[0])) for p in (_POWERS, _INVERSES))
+        total = np.r_[np.uint64(0), np.cumsum(_BYTES[x[lo:lo + n]] * powers)]
+        s, e = start[a:b] - lo, end[a:b] - lo
+        out[a:b] = _mixed((total[e] - total[s]) * inverses[s] + (e - s).astype(np.uint64) * _M[5])
+        a = b
+    return start, end, out
 
 
 def hashed(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    """Hashes of words and, at most once among them, the end."""
+    out = word_hashes(b" ".join(words))[2]
+    return np.insert(out, words.index(END), END_HASH) if len(out) < len(words) else out
 
 
 def _press(x: np.ndarray) -> bytes:
@@ -103,11 +128,6 @@ def _planes(body: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(np.ascontiguousarray(np.frombuffer(unpacked(body), np.uint8).reshape(size, -1).T).tobytes(), kind)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x * _M[3]
-    return (x ^ (x >> np.uint64(31))) * _M[4]
-
-
 # --- spelling of rare words: the bit model ----------------------------------------------------------------------------------------------------
 
 def coded(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -135,9 +155,7 @@ class Nodes:
         self.byte, place = flat[first], place[first]
         self.contexts = []
         for k, order in enumerate(ORDERS):
-            if order == PLACE:
-                h = np.minimum(place, 15).astype(np.uint64)
-            elif order == PREFIX:
+            if order == PREFIX:
                 h = (before - base)[first] + place.astype(np.uint64)
             else:
                 h = np.zeros(len(first), np.uint64)
@@ -235,6 +253,45 @@ def log_probability(tables: Stretched, weights: np.ndarray, words: list[bytes])
     return out
 
 
+# --- tokens -----------------------------------------------------------------------------------------------------------
+
+class Tokens:
+    """A block's tokens: ``hashes`` of the distinct words, rising, ``at`` (which word each token is), ``doc`` and ``starts`` of the texts."""
+
+    def __init__(self, row: dict):
+        text, at, docs = unpacked(row["body"]).translate(LOWER), 0, []
+        for n in row["sizes"]:
+            docs.append(text[at:at + n])
+            at += n
+        self.data = b" ".join(docs)
+        begin = np.cumsum([0, *(n + 1 for n in row["sizes"][:-1])])
+        self.start, self.end, hashes = word_hashes(self.data)
+        doc = np.searchsorted(begin, self.start, "right") - 1
+        self.size = np.bincount(doc, minlength=len(docs)) + 1
+        self.starts = np.cumsum(self.size) - self.size
+        self.doc = np.repeat(np.arange(len(docs)), self.size)
+        self.token = np.full(len(self.doc), END_HASH)
+        self.token[np.arange(len(hashes)) + doc] = hashes
+        self.hashes, self.first, self.at = np.unique(self.token, return_index=True, return_inverse=True)
+        self.train = ~np.fromiter(map(held_out, row["ids"]), bool, len(docs))
+        self.before = _mixed(back(self.token, self.starts, 1) + back(self.token, self.starts, 2) * _M[5])
+
+    def words(self) -> list[bytes]:
+        """The distinct words by rising hash."""
+        k = self.first - self.doc[self.first]
+        k[self.token[self.first] == END_HASH] = -1
+        data, start, end = self.data, np.r_[self.start, 0], np.r_[self.end, 0]
+        return [data[s:e] or END for s, e in zip(start[k].tolist(), end[k].tolist())]
+
+
+def back(x: np.ndarray, starts: np.ndarray, by: int) -> np.ndarray:
+    """``x`` of the position ``by`` earlier in the same text, else 0."""
+    out = np.r_[np.zeros(by, x.dtype), x[:-by]][:len(x)]
+    for j in range(by):
+        out[np.minimum(starts + j, len(x) - 1)[starts + j < len(x)]] = 0
+    return out
+
+
 # --- exchange of words: counts, vocabulary, spelling -----------------------------------------------------------------
 
 _WORDS = T.StructType([T.StructField("key", T.LongType()), T.StructField("block", T.StringType()), T.StructField("words", T.BinaryType()), T.StructField("counts", T.BinaryType())])
@@ -254,19 +311,9 @@ def _word_pass(bits: int):
     """A block's distinct words with their training counts, by rising hash, a row for each bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for row in rows(batches):
-            train, seen = Counter(), {END}
-            for own, i in zip(documents(row), row["ids"]):
-                if held_out(i):
-                    seen.update(own)
-                else:
-                    train.update(own)
-                    train[END] += 1
-            words = list(seen.union(train))
-            hashes = hashed(words)
-            order = np.argsort(hashes, kind="stable")
-            words = [words[k] for k in order.tolist()]
-            counts = np.fromiter(map(train.get, words, repeat(0)), np.int64, len(words))
-            bucket = (hashes[order] >> np.uint64(64 - bits)).astype(np.int64)
+            t = Tokens(row)
+            words, counts = t.words(), np.bincount(t.at[t.train[t.doc]], minlength=len(t.hashes))
+            bucket = (t.hashes >> np.uint64(64 - bits)).astype(np.int64)
             cut = np.r_[np.nonzero(np.r_[True, bucket[1:] != bucket[:-1]])[0], len(bucket)].tolist()
             yield {"key": bucket[cut[:-1]], "block": [row["block"]] * (len(cut) - 1), "words": [_press(np.frombuffer(b" ".join(words[s:e]), np.uint8)) for s, e in zip(cut, cut[1:])],
                    "counts": [_press_planes(counts[s:e]) for s, e in zip(cut, cut[1:])]}
@@ -275,8 +322,9 @@ def _word_pass(bits: int):
 
 def _merge(part: pa.Table) -> pa.Table:
     """A bucket's distinct words of all blocks, by rising hash, with their training counts."""
-    words = [w for x in part.column("words").to_pylist() for w in _split(x)]
-    counts, hashes = np.concatenate([_planes(x, np.int64) for x in part.column("counts").to_pylist()]), hashed(words)
+    bodies = [_split(x) for x in part.column("words").to_pylist()]
+    words, hashes = [w for body in bodies for w in body], np.concatenate([hashed(body) for body in bodies])
+    counts = np.concatenate([_planes(x, np.int64) for x in part.column("counts").to_pylist()])
     order = np.argsort(hashes, kind="stable")
     first = np.nonzero(np.r_[True, hashes[order[1:]] != hashes[order[:-1]]])[0]
     total = np.add.reduceat(counts[order], first)
@@ -449,7 +497,7 @@ def _answer_words(code: Shared, tables: Shared, weights: np.ndarray):
         hashes = hashed(words)
         rare = np.nonzero(code.value.symbols(hashes) == 0)[0]
         spelled = np.zeros(len(words), np.float32)
-        spelled[rare] = log_probability(tables.value, weights, [words[k] for k in rare.tolist()])
+        spelled[rare] = np.rint(64 * log_probability(tables.value, weights, [words[k] for k in rare.tolist()])) / 64
         out = {"key": [], "block": [], "counts": [], "spelled": []}
         for block, body in zip(blocks, bodies):
             if block:
@@ -469,56 +517,33 @@ _RUNS = T.StructType([T.StructField("key", T.LongType()), T.StructField("block",
 _RUN_REPLY = T.StructType([T.StructField("key", T.LongType()), T.StructField("block", T.StringType()), T.StructField("body", T.BinaryType())])
 
 
-class Tokens:
-    """A block's tokens: ``words`` by rising hash, ``at`` (which word each token is), ``doc`` and ``starts`` of the texts."""
+def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions by rising hash, equal ones in order, and where a hash differs from the one before.
 
-    def __init__(self, row: dict):
-        docs = documents(row)
-        words = list({END}.union(*docs))
-        hashes = hashed(words)
-        order = np.argsort(hashes, kind="stable")
-        self.words, self.hashes = [words[k] for k in order.tolist()], hashes[order]
-        place = dict(zip(self.words, range(len(words))))
-        end, flat = [END], []
-        for own in docs:
-            flat += map(place.__getitem__, own + end)
-        self.at = np.array(flat, np.int64)
-        self.size = np.fromiter((len(own) + 1 for own in docs), np.int64, len(docs))
-        self.starts = np.cumsum(self.size) - self.size
-        self.doc = np.repeat(np.arange(len(docs)), self.size)
-        self.train = ~np.fromiter(map(held_out, row["ids"]), bool, len(docs))
-        self.token = self.hashes[self.at]
-        self.before = _mixed(back(self.token, self.starts, 1) + back(self.token, self.starts, 2) * _M[5])
-
-
-def back(x: np.ndarray, starts: np.ndarray, by: int) -> np.ndarray:
-    """``x`` of the position ``by`` earlier in the same text, else 0."""
-    out = np.r_[np.zeros(by, x.dtype), x[:-by]][:len(x)]
-    for j in range(by):
-        out[np.minimum(starts + j, len(x) - 1)[starts + j < len(x)]] = 0
-    return out
+    Hash and position are sorted as one number, so the hash's lowest bits give way to the position.
+    """
+    bits = np.uint64(max(1, len(key).bit_length()))
+    both = np.sort((key >> bits << bits) | np.arange(len(key), dtype=np.uint64))
+    upper = both >> bits
+    return (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), np.r_[True, upper[1:] != upper[:-1]]
 
 
 def runs(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct (two words before, word, how often this text trains on it), by rising hash of the two words.
+    """The runs (two words before, word, how often this text trains on it) of a block, by rising hash of the two words.
 
-    Returns a position of each, the text's own count, how many training positions there are in the block, and for each
-    position which of them it is.
+    Returns a position of each, the text's own count, how many training positions there are, and for each position which
+    run it is.  Neighbouring texts with the same count share one.
     """
-    pair = _mixed(t.before ^ (t.token * _M[6]))
-    order = np.argsort(pair, kind="stable")
-    p, d = pair[order], t.doc[order]
-    first = np.nonzero(np.r_[True, (p[1:] != p[:-1]) | (d[1:] != d[:-1])])[0]
-    times = np.diff(np.r_[first, len(p)])
-    own = np.empty(len(p), np.int64)
-    own[order] = np.repeat(times, times)
-    own[~t.train[t.doc]] = 0
-    _, at, which, n = np.unique(pair + own.astype(np.uint64) * _M[7], return_index=True, return_inverse=True, return_counts=True)
-    order = np.argsort(t.before[at], kind="stable")
-    back_ = np.empty(len(order), np.int64)
-    back_[order] = np.arange(len(order))
-    at = at[order]
-    return at, own[at], np.where(own[at] > 0, n[order], 0), back_[which]
+    order, new = grouped((t.before >> np.uint64(34) << np.uint64(34)) | (_mixed(t.before ^ (t.token * _M[6])) >> np.uint64(30)))
+    doc = t.doc[order]
+    first = np.nonzero(new | np.r_[True, doc[1:] != doc[:-1]])[0]
+    times = np.diff(np.r_[first, len(order)])
+    own = np.where(t.train[doc[first]], times, 0)
+    begin = new[first] | np.r_[True, own[1:] != own[:-1]]
+    at = np.nonzero(begin)[0]
+    which = np.empty(len(order), np.int64)
+    which[order] = np.repeat(np.cumsum(begin) - 1, times)
+    return order[first[at]], own[at], np.add.reduceat(own, at), which
 
 
 def _run_pass(bits: int):
@@ -546,17 +571,20 @@ def expected(before: np.ndarray, word: np.ndarray, own: np.ndarray, n: np.ndarra
     wins a tie.  0: nothing was seen.
     """
     both = before.astype(np.uint64) << np.uint64(32) | word
-    pairs, pair = np.unique(both, return_inverse=True)
-    total = np.bincount(pair, n, len(pairs)).astype(np.int64)
-    context = pairs >> np.uint64(32)
-    order = np.lexsort((pairs, -total, context))
-    first = np.nonzero(np.r_[True, context[order[1:]] != context[order[:-1]]])[0]
-    size = np.diff(np.r_[first, len(pairs)])
-    group = np.empty(len(pairs), np.int64)
-    group[order] = np.repeat(np.arange(len(first)), size)
-    sums, best = np.add.reduceat(total[order], first), order[first]
-    second = np.where(size > 1, order[np.minimum(first + 1, len(order) - 1)], -1)
-    g = group[pair]
+    order = np.argsort(both, kind="stable")
+    new = np.r_[True, both[order[1:]] != both[order[:-1]]]
+    start = np.nonzero(new)[0]
+    pair = np.empty(len(both), np.int64)
+    pair[order] = np.cumsum(new) - 1
+    total, context = np.add.reduceat(n[order], start), both[order[start]] >> np.uint64(32)
+    first = np.nonzero(np.r_[True, context[1:] != context[:-1]])[0]
+    size = np.diff(np.r_[first, len(total)])
+    low = np.uint64(0xFFFFFFFF)
+    rank = (total.astype(np.uint64) << np.uint64(32)) | (low - np.arange(len(total), dtype=np.uint64))
+    best = (low - (np.maximum.reduceat(rank, first) & low)).astype(np.int64)
+    rank[best] = 0
+    second = np.where(size > 1, (low - (np.maximum.reduceat(rank, first) & low)).astype(np.int64), -1)
+    sums, g = np.add.reduceat(total, first), np.repeat(np.arange(len(first)), size)[pair]
     rival = np.where(best[g] == pair, second[g], best[g])
     rivals, mine = np.where(rival >= 0, total[rival], 0), total[pair] - own
     hit = (mine > rivals) | ((mine == rivals) & (mine > 0) & (pair < rival))
@@ -582,10 +610,10 @@ _STREAM = T.StructType([T.StructField("ids", T.ArrayType(T.LongType())), T.Struc
 
 def repeated(key: np.ndarray) -> np.ndarray:
     """The last earlier position with the same key, else -1."""
-    order = np.argsort(key, kind="stable")
+    order, new = grouped(key)
     out = np.full(len(key), -1)
-    same = np.nonzero(key[order[1:]] == key[order[:-1]])[0]
-    out[order[same + 1]] = order[same]
+    same = np.nonzero(~new)[0]
+    out[order[same]] = order[same - 1]
     return out
 
 
@@ -635,10 +663,9 @@ class Stream:
         near = np.where(near >= starts[doc], near, -1)
         f1 = np.where(near >= 0, self.symbol[near], 0).astype(np.uint64)
         f2 = np.where(near >= 0, f1[near], np.uint64(0))
-        two = _mixed(before + back(word, starts, 2) * _M[5])
-        contexts = [_mixed(f1 + np.uint64(1)), _mixed(f1 * np.uint64(FUNCTION_WORDS + 1) + f2 + np.uint64(977)), _mixed(before + np.uint64(3)), two]
+        contexts = [_mixed(f1 + np.uint64(1)), _mixed(f1 * np.uint64(FUNCTION_WORDS + 1) + f2 + np.uint64(977)), _mixed(before + np.uint64(3))]
         sure64 = sure.astype(np.uint64)
-        flagged = [_mixed(sure64 + np.uint64(5)), _mixed(short + np.uint64(7)), _mixed((long << np.uint64(8)) + sure64 + np.uint64(11)), contexts[2]]
+        flagged = [_mixed((short << np.uint64(8)) + sure64 + np.uint64(5)), _mixed((long << np.uint64(8)) + sure64 + np.uint64(11)), contexts[2]]
         todo = np.ones(n, bool)
         self.parts = []
         asked = np.nonzero(sure > 0)[0]
@@ -659,7 +686,7 @@ class Stream:
             level = np.zeros(n, np.uint64)
             level[rare] = np.log2(earlier + 1).astype(np.uint64)
             asked = rare[earlier > 0]
-            self.parts.append((AGAIN, asked, known[earlier > 0], [_mixed(level + np.uint64(13)), flagged[1], _mixed(level * np.uint64(97) + f1 + np.uint64(17)), contexts[2]]))
+            self.parts.append((AGAIN, asked, known[earlier > 0], [_mixed(level + np.uint64(13)), _mixed(level * np.uint64(97) + f1 + np.uint64(17)), contexts[2]]))
         self.contexts = contexts
 
     def decisions(self, which: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
@@ -687,24 +714,26 @@ class Stream:
 
 
 class Mixer:
-    """Stretched predictions of the tables over running text: of all counts, and without a training token's own."""
+    """Stretched predictions of the tables over running text: of all counts, and without a training token's own.
+
+    A slot's four numbers (without an own zero, without an own one, of all counts, how often seen) are read at once.
+    """
 
     def __init__(self, tables: list[np.ndarray]):
         self.shift = [np.uint64(64 - (len(t).bit_length() - 1)) for t in tables]
-        self.look, self.seen = [], []
+        self.slots = []
         for t in tables:
             zero, one = t[:, 0], t[:, 1]
             less0, less1 = np.maximum(zero - 1, 0), np.maximum(one - 1, 0)
-            self.look.append(np.log(np.stack([(one + PRIOR) / (less0 + PRIOR), (less1 + PRIOR) / (zero + PRIOR), (one + PRIOR) / (zero + PRIOR)], 1)).astype(np.float32).ravel())
-        for t in tables[-2:]:
-            n = t.sum(1)
-            self.seen.append(np.stack([np.searchsorted([0.5, 3.5, 15.5, 127.5], x) for x in (n, n - 1)], 1).astype(np.int16).ravel())
+            look = np.log(np.stack([(one + PRIOR) / (less0 + PRIOR), (less1 + PRIOR) / (zero + PRIOR), (one + PRIOR) / (zero + PRIOR)], 1))
+            self.slots.append(np.column_stack([look, np.searchsorted([0.5, 3.5, 15.5, 127.5], zero + one)]).astype(np.float32).view(np.complex128).ravel())
 
     def inputs(self, kind: int, hashes: list[np.ndarray], bit: np.ndarray, train: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        where = [(h >> s).astype(np.int64) for h, s in zip(hashes, self.shift)]
-        column, own = np.where(train, bit, np.uint8(2)), train.astype(np.int64)
-        gate = self.seen[0][2 * where[-2] + own] * 5 + self.seen[1][2 * where[-1] + own] + GATES * kind
-        return [t[3 * w + column] for t, w in zip(self.look, where)], gate
+        n = len(bit)
+        column = np.arange(0, 4 * n, 4) + np.where(train, bit, np.uint8(2))
+        found = [slots.take((h >> s).view(np.int64)).view(np.float32) for slots, h, s in zip(self.slots, hashes, self.shift)]
+        gate = (found[-2][3::4] * 5 + found[-1][3::4]).astype(np.int16) + GATES * kind
+        return [f.take(column) for f in found], gate
 
 
 #: steps of the last stage between stretched predictions -8 and 8
@@ -739,12 +768,13 @@ def refined(came: np.ndarray) -> np.ndarray:
 
 def log_probabilities(mixer: Mixer, stream: Stream, weights: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Natural log probability of each token; training tokens are predicted without their own occurrence."""
-    out, w = stream.base.copy(), weights.astype(np.float32)
+    out, w, last = stream.base.copy(), weights.astype(np.float32), last.astype(np.float32)
     for kind, at, bit, hashes in stream.decisions(np.ones(len(out), bool)):
         x, gate = mixer.inputs(kind, hashes, bit, stream.train[at])
         z = np.clip(sum(w[:, k][gate] * x[k] for k in range(len(x))), -12, 12)
         one = 0.5 / (1 + np.exp(-z)) + 0.5 * last[_refine_place(z, gate)]
-        out += np.bincount(at, np.log(np.where(bit > 0, one, 1 - one)), len(out))
+        if len(at):
+            out[at[0]:at[-1] + 1] += np.bincount(at - at[0], np.log(np.where(bit > 0, one, 1 - one)))
     return out
 
 

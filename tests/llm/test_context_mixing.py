@@ -16,7 +16,7 @@ def stream_of(texts, ids, code, flags=None):
     t = cm.Tokens(row)
     flags = np.zeros(len(t.at), np.uint8) if flags is None else flags
     return t, cm.Stream({"ids": ids, "n_tokens": t.size.tolist(), "at": cm._press_planes(t.at.astype(np.uint32)), "word": cm._press((t.hashes >> np.uint64(32)).astype(np.uint32)),
-                         "symbol": cm._press_planes(code.symbols(t.hashes).astype(np.uint32)), "spelled": cm._press_planes(np.full(len(t.words), -20, np.float32)), "flags": cm._press(flags)}, code)
+                         "symbol": cm._press_planes(code.symbols(t.hashes).astype(np.uint32)), "spelled": cm._press_planes(np.full(len(t.hashes), -20, np.float32)), "flags": cm._press(flags)}, code)
 
 
 def test_huffman_code_is_complete_and_short():
@@ -79,6 +79,15 @@ def test_expected_word_against_brute_force():
         assert (g >> 1) & 7 == sum(best >= x for x in cm.SURE) and g >> 4 == sum(rest >= x for x in cm.UNSURE)
 
 
+def test_words_and_hashes():
+    text = "Un été \x00x  a\ta\n\nlong".encode() + b"g" * 600_000 + b" end a"
+    t, _ = stream_of([text, b"", b" \n", b"a"], [1, 2, 3, 4], cm.Code({cm.END: 4, b"a": 3}, 9))
+    want = [w for x in (text, b"", b" \n", b"a") for w in [*x.lower().split(), cm.END]]
+    words = t.words()
+    assert [words[k] for k in t.at] == [w.replace(b"U", b"u") for w in want]
+    assert np.array_equal(cm.hashed(words), t.hashes) and np.array_equal(cm.hashed([b"a"]), t.token[-2:-1])
+
+
 def test_runs_count_own_and_other_texts():
     a, b = b"one two three four one two three", b"one two three"
     ids = [next(i for i in range(100) if not cm.held_out(i))] * 2
