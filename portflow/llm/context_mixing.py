@@ -58,6 +58,7 @@ CHUNK = 1 << 16
 #: tables that one task adds up
 FAN_IN = 32
 WORDS_PER_BUCKET = 125_000
+#: two words count as the same if their bucket and 24 more bits of their hash are, the word that follows by 24 bits
 RUNS_PER_BUCKET = 1_000_000
 SLICE = 1 << 18
 #: decisions that are mixed, and learnt from, at a time
@@ -118,14 +119,17 @@ def _press(x: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).tobytes())
 
 
-def _press_planes(x: np.ndarray) -> bytes:
-    """Numbers with their bytes sorted by significance."""
-    return _press(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T)
+def _press_planes(x: np.ndarray, most: int = 8) -> bytes:
+    """Numbers with their bytes sorted by significance, of each the lowest ``most``."""
+    return _press(x.view(np.uint8).reshape(len(x), x.dtype.itemsize)[:, :most].T)
 
 
-def _planes(body: bytes, kind: type) -> np.ndarray:
+def _planes(body: bytes, kind: type, most: int = 8) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.frombuffer(np.ascontiguousarray(np.frombuffer(unpacked(body), np.uint8).reshape(size, -1).T).tobytes(), kind)
+    found = np.frombuffer(unpacked(body), np.uint8).reshape(min(size, most), -1)
+    out = np.zeros((found.shape[1], size), np.uint8)
+    out[:, :len(found)] = found.T
+    return out.view(kind).ravel()
 
 
 # --- spelling of rare words: the bit model ----------------------------------------------------------------------------------------------------
@@ -551,12 +555,12 @@ def _run_pass(bits: int):
         for row in rows(batches):
             t = Tokens(row)
             at, own, n, _ = runs(t)
-            before, word = t.before[at], (t.token[at] >> np.uint64(32)).astype(np.uint32)
-            bucket, low = (before >> np.uint64(64 - bits)).astype(np.int64), ((before << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+            before, word = t.before[at], (t.token[at] >> np.uint64(40)).astype(np.uint32)
+            bucket, low = (before >> np.uint64(64 - bits)).astype(np.int64), ((before << np.uint64(bits)) >> np.uint64(40)).astype(np.uint32)
             cut = np.r_[np.nonzero(np.r_[True, bucket[1:] != bucket[:-1]])[0], len(bucket)].tolist()
             spans = list(zip(cut, cut[1:]))
-            yield {"key": bucket[cut[:-1]], "block": [row["block"]] * len(spans), "before": [_press_planes(np.diff(low[s:e], prepend=np.uint32(0))) for s, e in spans],
-                   "word": [word[s:e].tobytes() for s, e in spans], "own": [_press_planes(own[s:e]) for s, e in spans], "counts": [_press_planes(n[s:e]) for s, e in spans]}
+            yield {"key": bucket[cut[:-1]], "block": [row["block"]] * len(spans), "before": [_press_planes(np.diff(low[s:e], prepend=np.uint32(0)), 3) for s, e in spans],
+                   "word": [_press_planes(word[s:e], 3) for s, e in spans], "own": [_press_planes(own[s:e]) for s, e in spans], "counts": [_press_planes(n[s:e]) for s, e in spans]}
     return run
 
 
@@ -594,8 +598,8 @@ def expected(before: np.ndarray, word: np.ndarray, own: np.ndarray, n: np.ndarra
 
 
 def _answer_runs(part: pa.Table) -> pa.Table:
-    before = [np.cumsum(_planes(x, np.uint32), dtype=np.uint32) for x in part.column("before").to_pylist()]
-    word = np.frombuffer(b"".join(part.column("word").to_pylist()), np.uint32)
+    before = [np.cumsum(_planes(x, np.uint32, 3), dtype=np.uint32) & np.uint32(0xFFFFFF) for x in part.column("before").to_pylist()]
+    word = np.concatenate([_planes(x, np.uint32, 3) for x in part.column("word").to_pylist()])
     own, n = (np.concatenate([_planes(x, np.int64) for x in part.column(c).to_pylist()]) for c in ("own", "counts"))
     out, cut = expected(np.concatenate(before), word, own, n), np.cumsum([0, *map(len, before)]).tolist()
     return pa.table({"key": part.column("key"), "block": part.column("block"), "body": pa.array([_press(out[s:e]) for s, e in zip(cut, cut[1:])], pa.binary())}, schema=to_arrow_schema(_RUN_REPLY))
@@ -631,7 +635,7 @@ def _stream_pass(code: Shared, tokens: int, v: int):
             base = np.log10((count + 1) / (tokens + v + 1))[t.at]
             yield {"ids": [row["ids"]], "sizes": [row["sizes"]], "n_tokens": [t.size], "n_known": [np.add.reduceat((count > 0)[t.at].astype(np.int64), t.starts)],
                    "base_score": [np.add.reduceat(base, t.starts)], "at": [_press_planes(t.at.astype(np.uint32))],
-                   "word": [_press((t.hashes >> np.uint64(32)).astype(np.uint32))], "symbol": [_press_planes(code.value.symbols(t.hashes).astype(np.uint32))],
+                   "word": [_press((t.hashes >> np.uint64(48)).astype(np.uint16))], "symbol": [_press_planes(code.value.symbols(t.hashes).astype(np.uint32))],
                    "spelled": [_press_planes(spelled)], "flags": [_press(flags | again << 6)]}
     return run
 
@@ -650,7 +654,7 @@ class Stream:
         doc = np.repeat(np.arange(len(self.size)), self.size)
         self.train = np.repeat(~np.fromiter(map(held_out, row["ids"]), bool, len(self.size)), self.size)
         at, flags = _planes(row["at"], np.uint32).astype(np.int64), np.frombuffer(unpacked(row["flags"]), np.uint8)
-        word = np.frombuffer(unpacked(row["word"]), np.uint32).astype(np.uint64)[at]
+        word = np.frombuffer(unpacked(row["word"]), np.uint16).astype(np.uint64)[at]
         self.symbol = _planes(row["symbol"], np.uint32).astype(np.int64)[at]
         n = len(at)
         sure, hit, own = flags & 62, (flags & 1).astype(bool), flags >> 6

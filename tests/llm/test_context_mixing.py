@@ -15,7 +15,7 @@ def stream_of(texts, ids, code, flags=None):
     row = {"ids": ids, "sizes": [len(t) for t in texts], "body": body}
     t = cm.Tokens(row)
     flags = np.zeros(len(t.at), np.uint8) if flags is None else flags
-    return t, cm.Stream({"ids": ids, "n_tokens": t.size.tolist(), "at": cm._press_planes(t.at.astype(np.uint32)), "word": cm._press((t.hashes >> np.uint64(32)).astype(np.uint32)),
+    return t, cm.Stream({"ids": ids, "n_tokens": t.size.tolist(), "at": cm._press_planes(t.at.astype(np.uint32)), "word": cm._press((t.hashes >> np.uint64(48)).astype(np.uint16)),
                          "symbol": cm._press_planes(code.symbols(t.hashes).astype(np.uint32)), "spelled": cm._press_planes(np.full(len(t.hashes), -20, np.float32)), "flags": cm._press(flags)}, code)
 
 
