@@ -46,6 +46,8 @@ def series_index(df: DataFrame, order: str, out: str = "idx", partition: Sequenc
 
 #: parts that a hot key's rows are dealt into where duplicates are too many to broadcast
 SALTS = 32
+#: rows from which a key is hot
+HOT_ROWS = 100_000
 
 
 def dup_mark(df: DataFrame, pk: Sequence[str], out: str = "is_dup", max_rows: int = DEFAULT_BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
@@ -53,19 +55,30 @@ def dup_mark(df: DataFrame, pk: Sequence[str], out: str = "is_dup", max_rows: in
 
     The duplicated keys come from a map-side combined aggregate and are
     written.  Few of them are broadcast, so no row of ``df`` is shuffled; many
-    are joined with rows dealt into ``salts`` parts per key, so a key with a
-    third of the rows makes no long task.
+    are merge-joined, each key once and never broadcast, whatever its files'
+    size.  Keys of HOT_ROWS rows and more, of which there is one per HOT_ROWS
+    rows at most, are then broadcast by themselves, and their rows dealt into
+    ``salts`` parts, so a key with a third of the rows makes no long task.
     """
     names = {k: f"_k{i}" for i, k in enumerate(pk)}
-    dups = staged(df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(n) for k, n in names.items()], F.lit(True).alias("_dup")), "duplicates")
+    found = staged(df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(n) for k, n in names.items()], "_n"), "duplicates")
+    dups = found.select(*names.values(), F.lit(True).alias("_dup"))
     same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in names.items()])
     if fits(dups, max_rows):
         x = df.join(F.broadcast(dups), same, "left")
-    else:
-        dealt = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
-        spread = dups.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        x = dealt.join(spread, same & (F.col("_salt") == F.col("_part")), "left")
-    return x.select(*df.columns, F.coalesce("_dup", F.lit(False)).alias(out))
+        return x.select(*df.columns, F.coalesce("_dup", F.lit(False)).alias(out))
+    hot = found.where(F.col("_n") >= HOT_ROWS)
+    if hot.isEmpty():
+        x = df.join(dups.hint("merge"), same, "left")
+        return x.select(*df.columns, F.coalesce("_dup", F.lit(False)).alias(out))
+    hot = hot.select(*[F.col(n).alias(f"_h{n}") for n in names.values()], F.lit(True).alias("_hot"))
+    same_hot = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"_h{n}")) for k, n in names.items()])
+    # the rows of a hot key are marked here; their parts 1 to salts meet no key below
+    part = F.when(F.col("_hot"), 1 + F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0).cast("int")
+    dealt = df.join(F.broadcast(hot), same_hot, "left").withColumn("_salt", part)
+    cold = found.where(F.col("_n") < HOT_ROWS).select(*names.values(), F.lit(True).alias("_dup"), F.lit(0).alias("_part"))
+    x = dealt.join(cold.hint("merge"), same & (F.col("_salt") == F.col("_part")), "left")
+    return x.select(*df.columns, F.coalesce("_hot", "_dup", F.lit(False)).alias(out))
 
 
 def month_index(date_col) -> Column:
