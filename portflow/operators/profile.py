@@ -45,8 +45,11 @@ def profile_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
                        "example")
 
 
-#: distinct values that a task holds before it passes its counts on
-HELD_VALUES = 200_000
+#: distinct values, and their bytes, that a task holds before it passes its counts on; Spark's partial aggregate behind it merges further
+HELD_VALUES = 20_000
+HELD_BYTES = 4 << 20
+#: rows of a batch that a task passes on
+PASSED_ROWS = 10_000
 
 
 def value_counts_long(df: DataFrame, cols: Sequence[str], value: T.DataType) -> DataFrame:
@@ -54,7 +57,8 @@ def value_counts_long(df: DataFrame, cols: Sequence[str], value: T.DataType) ->
 
     Tasks count whole Arrow batches column by column and merge the counts
     before anything is shuffled, so no input row is ever expanded into one
-    row per column.
+    row per column.  What a task holds is bounded by HELD_VALUES and
+    HELD_BYTES (and a batch), whatever the number of rows it reads.
     """
     schema = T.StructType([T.StructField("column", T.IntegerType()), T.StructField("value", value), T.StructField("n", T.LongType())])
     arrow = to_arrow_schema(schema)
@@ -64,20 +68,21 @@ def value_counts_long(df: DataFrame, cols: Sequence[str], value: T.DataType) ->
         return pa.table({"column": out["column"], "value": out["value"], "n": out["n_sum"]}, schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+        held, rows, size = [], 0, 0
         for batch in batches:
             for k in range(len(cols)):
                 counts = pc.value_counts(batch.column(k).drop_null())
                 held.append(pa.table({"column": pa.repeat(pa.scalar(k, pa.int32()), len(counts)), "value": counts.field(0), "n": counts.field(1)}, schema=arrow))
                 rows += len(counts)
-            if rows > 4 * HELD_VALUES:
+                size += held[-1].nbytes
+            if rows > 4 * HELD_VALUES or size > 4 * HELD_BYTES:
                 held = [merged(held)]
-                rows = held[0].num_rows
-                if rows > HELD_VALUES:
-                    yield from held[0].to_batches()
-                    held, rows = [], 0
+                rows, size = held[0].num_rows, held[0].nbytes
+                if rows > HELD_VALUES or size > HELD_BYTES:
+                    yield from held[0].to_batches(PASSED_ROWS)
+                    held, rows, size = [], 0, 0
         if held:
-            yield from merged(held).to_batches()
+            yield from merged(held).to_batches(PASSED_ROWS)
 
     narrow = df.select(*[F.col(c).cast(value).alias(f"c{k}") for k, c in enumerate(cols)])
     names = F.array(*[F.lit(c) for c in cols])
